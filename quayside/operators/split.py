@@ -35,6 +35,12 @@ def repeated_keys(df: DataFrame, keys: Sequence[str], out: str = "is_complex") -
               .select(*[qcol(k) for k in keys], F.lit(True).alias(out)))
 
 
+def _zero_from(key: str):
+    # a computed zero, not a literal: a literal would be folded out of the join
+    # keys into the join condition, and the spread of null keys would be lost
+    return F.least(F.length(qcol(key).cast("string")), F.lit(0)).cast("int")
+
+
 def flag_repeated(df: DataFrame, keys: Sequence[str], out: str = "is_complex") -> DataFrame:
     """Add boolean ``out``: true when the (non-null) key occurs more than once."""
     keys = list(keys)
@@ -43,7 +49,12 @@ def flag_repeated(df: DataFrame, keys: Sequence[str], out: str = "is_complex") -
     spread = F.when(all_not_null(keys), F.lit(0)).otherwise(
         F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD_BUCKETS)).cast("int"))
     left = base.withColumn(SPREAD, spread)
-    right = repeated_keys(base, keys, out).withColumn(SPREAD, F.lit(0))
+    # grouped on (keys, zero) so the counts come out partitioned as the join needs
+    right = (base.where(all_not_null(keys))
+                 .groupBy(*[qcol(k) for k in keys], _zero_from(keys[0]).alias(SPREAD))
+                 .agg(F.count(F.lit(1)).alias("__qs_n"))
+                 .where(F.col("__qs_n") > 1)
+                 .select(*[qcol(k) for k in keys], F.col(SPREAD), F.lit(True).alias(out)))
     joined = left.join(right, on=[*keys, SPREAD], how="left")
     return joined.select(*[qcol(c) for c in base.columns],
                          F.coalesce(qcol(out), F.lit(False)).alias(out))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.columns import qcol
 from ..operators.mapping import drop_audit, fill_missing_required, fill_sentinel, map_strict
 from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
-from ..operators.split import flag_repeated, split_repeated
+from ..operators.split import count_flagged, flag_repeated, split_repeated
 from ..sinks.report import load_report, skipped_report
 from ..sinks.snapshot import VersionedTable
 from ..sources.catalog import table_columns
@@ -109,12 +109,15 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
     batch = drop_audit(fill_missing_required(batch, required, exclude=(flag,)))
     flagged = persisted(flag_repeated(batch, keys, flag))
     try:
+        # one pass: the split counts, and the cache filled for both writes
+        counts = count_flagged(flagged, flag).first()
+        sizes = {"upsert": counts["n_normal"], "replace": counts["n_complex"]}
         normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
         normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
         tschema = _target_schema(normal_b, now)
         staged, reports = [], {}
         for table, part, op in ((normal, normal_b, "upsert"), (repeated, repeated_b, "replace")):
-            if part.isEmpty():
+            if not sizes[op]:
                 reports[table.label] = skipped_report(spark, table.label,
                                                       table.read() if table.exists() else None)
                 continue
@@ -137,3 +140,38 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
 def persisted(df: DataFrame) -> DataFrame:
     """Keep a frame used by two writes (recomputable from lineage on loss)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def run_routed_claims(spark: SparkSession, specs: Sequence[TableSpec], registered: Sequence[str], landing: str,
+                      normal: VersionedTable, repeated: VersionedTable, required: Sequence[str],
+                      flag: str = "is_complex") -> tuple[str, DataFrame]:
+    """Legacy claims load: route the landed files to the first registered spec
+    (config order) that has a file, read its greatest-named file, map it
+    strictly, add the fixed list of required columns, then flag/split and
+    load without audit stamps.  Returns (spec name, report)."""
+    from ..sources.files import route_files
+
+    manifest = discover_files(spark, landing)
+    allowed = set(registered)
+    routes = [(s.table_name, s.name_pattern, s.table_name in allowed) for s in specs]
+    hit = route_files(manifest, routes).collect()  # one row: the winning route
+    if not hit:
+        raise FileNotFoundError(f"no landed file matches a registered spec in {landing}")
+    spec = next(s for s in specs if s.table_name == hit[0]["table_name"])
+    raw = read_delimited(spark, [hit[0]["path"]], spec.delimiter, spec.encoding, spec.multiline)
+    batch = prepare_batch(raw, spec, [c for c in required if c != flag]).drop(POS)
+    keys = list(spec.keys)
+    flagged = persisted(flag_repeated(batch, keys, flag))
+    try:
+        normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
+        normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
+        empty = T.StructType([f for f in normal_b.schema.fields])
+        staged = [(normal, normal.stage(upsert(normal.read_or_empty(empty), normal_b, keys, now="-"))),
+                  (repeated, repeated.stage(replace_by_key(repeated.read_or_empty(empty), repeated_b, keys,
+                                                           stamp=False)))]
+        for table, st in staged:
+            table.commit(st)
+    finally:
+        flagged.unpersist()
+    reports = [load_report(t.label, t.read()) for t, _ in staged]
+    return spec.table_name, reports[0].unionByName(reports[1])
