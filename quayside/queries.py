@@ -300,7 +300,7 @@ def _claims_batches(spark, sf):
     return first, second
 
 
-def _claims_load(spark, sf, buckets: int | None = None):
+def _claims_load(spark, sf, buckets: int | None = 8):
     first, second = _claims_batches(spark, sf)
     uid = _uid()
     normal = VersionedTable(spark, f"claims_normal_{uid}", keys=CLAIMS_KEYS, buckets=buckets, label="claims_normal")

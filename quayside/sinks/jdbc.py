@@ -8,7 +8,8 @@ de-duplicated on the keys first (:func:`quayside.operators.merge.dedupe_last`),
 because both statements reject two source rows for one key.
 
 Only the statement text is exercised by the tests here: this environment
-has no database driver and no database may be started for a test.
+has no database driver and no database (embedded or served) may be started
+for a test, so the JDBC round trip itself is unverified.
 """
 
 from __future__ import annotations
@@ -92,8 +93,11 @@ def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str], dialec
                 num_partitions: int | None = None) -> None:
     """Stage ``df`` in parallel, then apply it with one set-based statement."""
     staging = staging or f"{table}__staging"
-    out = df.repartition(num_partitions) if num_partitions else df
-    out.write.jdbc(url, staging, mode="overwrite", properties=properties or {})
+    props = dict(properties or {})
+    if num_partitions:
+        # the JDBC writer coalesces to this many connections (no shuffle)
+        props["numPartitions"] = str(num_partitions)
+    df.write.jdbc(url, staging, mode="overwrite", properties=props)
     if strategy == "upsert":
         stmts = [upsert_statement(table, staging, df.columns, keys, dialect)]
     elif strategy == "replace":

@@ -91,16 +91,25 @@ class VersionedTable:
         """Write ``df`` as the next version and make it current.  Returns the version."""
         return self.commit(self.stage(df))
 
-    def stage(self, df: DataFrame) -> tuple[int, str, T.StructType]:
+    def stage(self, df: DataFrame, repartition: bool | None = None) -> tuple[int, str, T.StructType]:
         """Write ``df`` into the next version directory without publishing it,
-        so several tables can be written before any becomes visible."""
+        so several tables can be written before any becomes visible.
+
+        Bucketed tables: the first version is hash-partitioned on the keys so
+        that each task writes one bucket file.  Later versions come from a join
+        with the bucketed current version, whose output is already split by
+        the same hash into the same buckets, so by default they are written
+        as they are: no second shuffle of the whole table (``repartition``
+        forces either way)."""
         existing = self._list_versions(committed=False)
         version = (existing[-1] + 1) if existing else 1
         path = self.version_path(version)
         if self.buckets:
             staged = f"{self.name}__v{version:08d}"
-            (df.repartition(self.buckets, *[qcol(k) for k in self.keys])
-               .write.format("parquet").mode("errorifexists")
+            if repartition is None:
+                repartition = self.current_version() is None
+            out = df.repartition(self.buckets, *[qcol(k) for k in self.keys]) if repartition else df
+            (out.write.format("parquet").mode("errorifexists")
                .bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
                .option("path", path).saveAsTable(staged))
             # the staged entry only described the files; the pointer below is the table

@@ -104,8 +104,8 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
     df = (_reader(spark, delimiter, encoding, multiline)
           .option("header", "true").option("enforceSchema", "true")
           .schema(schema).load(list(paths)))
-    path = F.reflect(F.lit("java.net.URLDecoder"), F.lit("decode"),
-                     F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"), F.lit("UTF-8"))
+    # the path is URI-encoded (a space is %20); decode it natively ('+' kept)
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     pos = F.struct(path.alias("file"), F.col("_metadata.file_block_start").alias("offset"),
                    F.monotonically_increasing_id().alias("row"))
     cols: list[Column] = []
