@@ -143,3 +143,5 @@ SELECT COALESCE(n2.talon, n1.talon) AS talon, COALESCE(n2.source, n1.source) AS
        CASE WHEN n1.talon IS NULL THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS updated_at
 FROM n1 FULL OUTER JOIN n2 ON n1.talon = n2.talon AND n1.source = n2.source""",
 }
+
+ORACLE_SQL["stream_journal"] = ORACLE_SQL["journal_flow"]

@@ -29,7 +29,7 @@ from .sources.catalog import table_columns_frame, table_health
 from .sources.delimited import null_tokens, read_delimited, write_delimited
 from .sources.files import classify_files, latest_by_name, latest_by_time, plan_file_actions, route_files
 from .spec import TableSpec
-from .streaming.ingest import stream_upsert
+from .streaming.ingest import stream_journal, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,7 +271,8 @@ JOURNAL_SPEC = TableSpec(table_name="load_data_suppliers", file_pattern="Спр
                          encoding="cp1251", delimiter=";")
 
 
-def q_journal_flow(spark, sf):
+def _land_supplier_exports(spark, sf) -> str:
+    """Two cp1251 exports of ``supplier`` in a landing folder (plus junk)."""
     supplier = table(spark, sf, "supplier")
     landing = work_path(spark, "landing", "journal")
     first = supplier.select(F.col("s_suppkey").cast("string").alias("Номер"), F.col("s_name").alias("Наименование"))
@@ -280,12 +281,25 @@ def q_journal_flow(spark, sf):
     land(first, landing, "Справки_20240101", mtime="2024-01-01 12:00:00", encoding="cp1251")
     land(second, landing, "Справки_20240102", mtime="2024-01-02 12:00:00", encoding="cp1251")
     land_bytes(spark, landing, "readme.txt", b"not a journal\n", mtime="2024-01-01 00:00:00")
+    return landing
+
+
+def q_journal_flow(spark, sf):
+    landing = _land_supplier_exports(spark, sf)
     target = VersionedTable(spark, f"suppliers_{_uid()}", label=JOURNAL_SPEC.table_name)
     run_journal(spark, JOURNAL_SPEC, landing, target, as_of="2024-01-03 00:00:00",
                 now="2024-01-03 00:00:00", required=["number", "name", "comment"])
     return target.read().select("number", "name", "comment")
 
 
+def q_stream_journal(spark, sf):
+    landing = _land_supplier_exports(spark, sf)
+    target = VersionedTable(spark, f"suppliers_s_{_uid()}", label=JOURNAL_SPEC.table_name)
+    stream_journal(spark, JOURNAL_SPEC, landing, target, now="2024-01-03 00:00:00",
+                   required=["number", "name", "comment"], max_files_per_trigger=4)
+    return target.read().select("number", "name", "comment")
+
+
 CLAIMS_KEYS = ["talon", "source"]
 
 
@@ -304,8 +318,9 @@ def _claims_load(spark, sf, buckets: int | None = 8):
     first, second = _claims_batches(spark, sf)
     uid = _uid()
     normal = VersionedTable(spark, f"claims_normal_{uid}", keys=CLAIMS_KEYS, buckets=buckets, label="claims_normal")
-    repeated = VersionedTable(spark, f"claims_repeated_{uid}", keys=CLAIMS_KEYS, buckets=buckets,
-                              label="claims_repeated")
+    # the repeated table is not bucketed: its keys repeat by definition, and a
+    # hot key would make one bucket (one unsplittable scan task) a third of it
+    repeated = VersionedTable(spark, f"claims_repeated_{uid}", label="claims_repeated")
     run_claims(spark, first, CLAIMS_KEYS, normal, repeated, now="2024-01-01 00:00:00")
     report = run_claims(spark, second, CLAIMS_KEYS, normal, repeated, now="2024-01-02 00:00:00")
     return report, normal, repeated
@@ -361,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "retire_files": q_retire_files,
     "publish_snapshot": q_publish_snapshot,
     "journal_flow": q_journal_flow,
+    "stream_journal": q_stream_journal,
     "claims_flagship": q_claims_flagship,
     "claims_normal_rows": q_claims_normal_rows,
 }

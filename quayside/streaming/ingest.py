@@ -55,6 +55,48 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     return writer.start()
 
 
+def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable, now,
+                   required: Sequence[str] = (), max_files_per_trigger: int = 1, checkpoint: str | None = None,
+                   available_now: bool = True):
+    """The journal flow as a stream: the *manifest* is streamed (``binaryFile``
+    without its content, so no bytes are read by the stream itself), and each
+    micro-batch reads its new files with the delimited reader (a CSV stream
+    would need one fixed schema up front, but every file brings its own
+    header).  Files are taken oldest first; a replayed micro-batch re-applies
+    the same rows, which the upsert absorbs."""
+    from pyspark.sql import functions as F
+
+    from ..functions.globs import glob_match
+    from ..plans.flows import load_upsert, prepare_batch
+    from ..sources.delimited import read_delimited
+
+    checkpoint = checkpoint or work_path(spark, "streams", target.name)
+    schema = T.StructType([T.StructField("path", T.StringType(), False),
+                           T.StructField("modificationTime", T.TimestampType(), False),
+                           T.StructField("length", T.LongType(), False),
+                           T.StructField("content", T.BinaryType(), True)])
+    files = (spark.readStream.format("binaryFile").schema(schema)
+             .option("maxFilesPerTrigger", str(max_files_per_trigger))
+             .load(landing)
+             .select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
+                     F.col("modificationTime").alias("mtime"), "length"))
+    files = files.where(glob_match("name", spec.name_pattern))
+
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        paths = [r["path"] for r in batch.select("path", "name").orderBy("name").collect()]
+        if not paths:
+            return
+        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        load_upsert(spark, prepare_batch(raw, spec, required), spec.keys, target, now)
+
+    writer = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    if available_now:
+        q = writer.trigger(availableNow=True).start()
+        q.awaitTermination()
+        return q
+    return writer.start()
+
+
 def run_once(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable, ledger: VersionedTable,
              as_of, now, required: Sequence[str] | None = None, min_age_seconds: float = 60) -> FlowResult:
     """One polling tick: files already in the ledger (same name, mtime and

@@ -24,3 +24,23 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, scratch):
     stream_upsert(spark, src, ev.schema, target, ["user_id", "event_type"], ["event_id"], now="n",
                   checkpoint=ckpt)
     assert target.current_version() == v
+
+
+def test_stream_journal_equals_batch(spark, scratch):
+    from quayside.landing import land_bytes
+    from quayside.spec import TableSpec
+    from quayside.streaming.ingest import stream_journal
+
+    spec = TableSpec("refs", "Справки*", (("Номер", "number"), ("Имя", "name")), ("number",),
+                     encoding="cp1251", delimiter=";")
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "Справки_1.csv", "Номер;Имя\n1;а\n2;б\n1;в\n".encode("cp1251"), mtime="2024-01-01")
+    land_bytes(spark, landing, "Справки_2.csv", "Номер;Имя\n2;г\n".encode("cp1251"), mtime="2024-01-02")
+    land_bytes(spark, landing, "junk.txt", b"x", mtime="2024-01-01")
+    target = VersionedTable(spark, "sj_t", root=os.path.join(scratch, "t"))
+    ckpt = os.path.join(scratch, "ckpt")
+    stream_journal(spark, spec, landing, target, now="n1", required=["comment"], checkpoint=ckpt)
+    assert rows(target.read(), "number", "name", "comment") == [("1", "в", "-"), ("2", "г", "-")]
+    v = target.current_version()
+    stream_journal(spark, spec, landing, target, now="n2", required=["comment"], checkpoint=ckpt)
+    assert target.current_version() == v
