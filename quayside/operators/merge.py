@@ -77,14 +77,16 @@ def target_schema_for(batch: DataFrame, audit: bool = True, now_type: T.DataType
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
            order_cols: Sequence[str] | None = None, touch_updated_at: bool = False,
-           dedupe: bool = True, guard_cols: Sequence[str] = ()) -> DataFrame:
+           dedupe: bool = True, guard_cols: Sequence[str] = (),
+           insert_defaults: dict[str, object] | None = None) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE SET <batch non-key columns>`` as
     one full outer join.  Returns the new table content (target schema).
 
     * matched rows: batch columns overwrite (NULL included), target-only
       columns keep their value, audit stamps stay (``touch_updated_at``
       refreshes ``updated_at``);
-    * new rows: batch columns, target-only columns NULL, both stamps ``now``;
+    * new rows: batch columns, target-only columns NULL (or their value in
+      ``insert_defaults``), both stamps ``now``;
     * target rows without a batch row: unchanged;
     * with ``guard_cols`` a matched row is overwritten only when the batch
       row's guard is not older than the stored one, so replaying an old
@@ -103,7 +105,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     nonkey = [c for c in batch.columns if c not in keys]
     b = batch.select(*[qcol(k) for k in keys], *[qcol(c).alias(BPFX + c) for c in nonkey],
                      F.lit(True).alias(PRESENT))
-    t = target.withColumn("__qs_t", F.lit(True)) if guard_cols else target
+    t = target.withColumn("__qs_t", F.lit(True)) if (guard_cols or insert_defaults) else target
     joined = t.join(b, on=keys, how="full_outer")
     present = F.coalesce(F.col(PRESENT), F.lit(False))
     if guard_cols:
@@ -126,6 +128,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
             out.append(v.alias(c))
         elif c in in_target:
             out.append(F.when(present, F.col(BPFX + c)).otherwise(qcol(c)).cast(f.dataType).alias(c))
+        elif insert_defaults and c in insert_defaults:
+            default = F.lit(insert_defaults[c]).cast(f.dataType)
+            out.append(F.when(present & F.col("__qs_t").isNull(), default).otherwise(qcol(c)).alias(c))
         else:
             out.append(qcol(c))
     return joined.select(*out)

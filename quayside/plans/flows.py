@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import qcol
+from ..functions.tokens import SENTINEL
 from ..operators.mapping import drop_audit, fill_missing_required, fill_sentinel, map_strict
 from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
 from ..operators.split import count_flagged, flag_repeated, split_repeated
@@ -51,24 +52,31 @@ def _target_schema(batch: DataFrame, now) -> T.StructType:
 
 
 def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str], target: VersionedTable,
-                now) -> DataFrame:
-    """fill → last-row-wins → upsert → publish → report."""
+                now, keep_stored: Sequence[str] = ()) -> DataFrame:
+    """fill → last-row-wins → upsert → publish → report.  ``keep_stored``:
+    required columns the files lack that a match must leave unchanged (new
+    rows still get ``-``)."""
     batch = fill_sentinel(batch)
     if batch.isEmpty():
         return skipped_report(spark, target.label, target.read() if target.exists() else None)
-    current = target.read_or_empty(_target_schema(batch, now))
-    target.publish(upsert(current, batch, spec_keys, now))
+    current = target.read_or_empty(_target_schema(fill_missing_required(batch, keep_stored), now))
+    defaults = {c: SENTINEL for c in keep_stored}
+    target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None))
     return load_report(target.label, target.read())
 
 
 def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable, as_of, now,
                 required: Sequence[str] | None = None, min_age_seconds: float = 60,
-                latest_only: bool = False, only_paths: Sequence[str] | None = None) -> FlowResult:
+                latest_only: bool = False, only_paths: Sequence[str] | None = None,
+                overwrite_missing: bool = True) -> FlowResult:
     """One tick of the journal load: discover → classify → read every valid
     file in name order (or only the latest, as the reference picks) →
     prepare → upsert → publish → report + ledger rows for the files read.
 
-    ``required`` defaults to the target's text columns (if it exists)."""
+    ``required`` defaults to the target's text columns (if it exists).  A
+    required column the files lack is written as ``-``; as in the reference
+    it overwrites the stored value on a match, unless ``overwrite_missing``
+    is false."""
     manifest = discover_files(spark, landing)
     classified = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds)
     valid = classified.where(F.col("state") == "valid")
@@ -85,8 +93,12 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
     raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
     if required is None:
         required = table_columns(spark, target.name) if spark.catalog.tableExists(target.name) else []
-    batch = prepare_batch(raw, spec, required)
-    report = load_upsert(spark, batch, spec.keys, target, now)
+    if overwrite_missing:
+        batch, keep = prepare_batch(raw, spec, required), []
+    else:
+        batch = prepare_batch(raw, spec, [])
+        keep = [c for c in required if c not in batch.columns]
+    report = load_upsert(spark, batch, spec.keys, target, now, keep_stored=keep)
     run_key = f"{spec.table_name}-{_stamp(now)}"
     ledger = spark.createDataFrame(
         [(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)
@@ -101,10 +113,14 @@ def _stamp(now) -> str:
 
 def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], normal: VersionedTable,
                repeated: VersionedTable, now, required: Sequence[str] = (), flag: str = "is_complex",
-               stamp_repeated: bool = True) -> DataFrame:
+               stamp_repeated: bool = True, move_between: bool = False) -> DataFrame:
     """Claims load: flag repeated keys, upsert the normal rows, replace the
     repeated rows by key.  Both new versions are written before either is
-    published.  Returns the two-row load report."""
+    published.  Returns the two-row load report.
+
+    Tables are independent by default (as in the reference, a key that was
+    normal and is now repeated keeps its old normal row); ``move_between``
+    removes a key from the other table when it arrives in this one."""
     keys = list(keys)
     batch = drop_audit(fill_missing_required(batch, required, exclude=(flag,)))
     flagged = persisted(flag_repeated(batch, keys, flag))
@@ -122,6 +138,9 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                                                       table.read() if table.exists() else None)
                 continue
             current = table.read_or_empty(tschema)
+            if move_between:
+                other = repeated_b if op == "upsert" else normal_b
+                current = current.join(other.select(*[qcol(k) for k in keys]).distinct(), keys, "left_anti")
             if op == "upsert":
                 new = upsert(current, part, keys, now)
             else:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.charsets import decode_column, decode_text, needs_translation, normalise
+from ..functions.charsets import REPLACEMENT, decode_column, needs_translation, normalise
 from ..functions.columns import qcol
 from ..functions.tokens import PANDAS_NULL_TOKENS
 
@@ -79,17 +79,36 @@ def pandas_names(raw: Sequence[str]) -> list[str]:
     return out
 
 
+HEADER_PROBE_BYTES = 1 << 20
+
+
 def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8",
                 multiline: bool = True) -> list[str]:
-    """The header of one file (a LIMIT-1 scan of its first split)."""
-    rows = (_reader(spark, delimiter, encoding, multiline).option("header", "false")
-            .load(path).limit(1).collect())
-    if not rows:
+    """The header of one file, parsed from its first bytes (read through the
+    Hadoop file system on the driver: a metadata-sized read, no Spark job)."""
+    from ..session import fs_for
+
+    fs, jpath = fs_for(spark, path)
+    stream = fs.open(jpath)
+    try:
+        buf = bytearray()
+        while len(buf) < HEADER_PROBE_BYTES:
+            chunk = bytes(stream.readNBytes(65536))   # a returned byte[] crosses as bytes
+            if not chunk:
+                break
+            buf += chunk
+            line_end = buf.find(b"\n")
+            if line_end >= 0 and buf[:line_end].count(b'"') % 2 == 0:
+                break
+    finally:
+        stream.close()
+    if not buf:
         raise ValueError(f"{path}: no header line (empty file)")
-    raw = ["" if v is None else v for v in rows[0]]
-    if needs_translation(encoding):
-        raw = [decode_text(v, encoding) for v in raw]
-    return pandas_names(raw)
+    enc = normalise(encoding)
+    text = bytes(buf).decode("utf-8-sig" if enc in ("utf-8", "utf8") else enc, errors="replace")
+    first = next(csv.reader(io.StringIO(text, newline=""), delimiter=delimiter, quotechar='"',
+                            doublequote=True), [])
+    return pandas_names(first)
 
 
 def parse_header_line(line: str, delimiter: str) -> list[str]:
@@ -109,48 +128,63 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
     pos = F.struct(path.alias("file"), F.col("_metadata.file_block_start").alias("offset"),
                    F.monotonically_increasing_id().alias("row"))
     cols: list[Column] = []
+    undefined = F.lit(False)
     for i, n in enumerate(names):
         c = F.col(f"_c{i}")
         if needs_translation(encoding):
             c = decode_column(c, encoding)
+            undefined = undefined | F.coalesce(F.instr(c, REPLACEMENT) > 0, F.lit(False))
         cols.append(c.alias(n))
-    return df.select(*cols, F.col(EXTRA), pos.alias(POS))
+    # a row is bad when it has more fields than the header, or a byte the code
+    # page leaves undefined (a strict decoder would refuse the file)
+    bad = (F.when(F.col(EXTRA).isNotNull(), F.lit("more fields than the header"))
+            .when(undefined, F.lit(f"a byte undefined in {encoding}")))
+    return df.select(*cols, bad.alias(EXTRA), pos.alias(POS))
+
+
+def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encoding: str, multiline: bool,
+              header: Sequence[str] | None) -> DataFrame:
+    """One scan per distinct header layout, united by column name (a later
+    export that adds or reorders columns is read by name, not by position)."""
+    if not paths:
+        raise ValueError("no files to read")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        names = tuple(header) if header is not None else tuple(read_header(spark, p, delimiter, encoding))
+        groups.setdefault(names, []).append(p)
+    out = None
+    for names, group in groups.items():
+        part = _scan(spark, group, list(names), delimiter, encoding, multiline)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
                          encoding: str = "utf-8", multiline: bool = True,
                          header: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good rows, long rows).  Long rows keep their first fields and ``_pos``."""
+    """(good rows, bad rows).  Bad rows keep their fields, ``_pos`` and the
+    reason in ``bad_reason``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if not paths:
-        raise ValueError("no files to read")
-    names = list(header) if header is not None else read_header(spark, paths[0], delimiter, encoding, multiline)
-    df = _scan(spark, paths, names, delimiter, encoding, multiline)
+    df = _scan_all(spark, paths, delimiter, encoding, multiline, header)
     good = df.where(F.col(EXTRA).isNull()).drop(EXTRA)
-    bad = df.where(F.col(EXTRA).isNotNull()).drop(EXTRA)
+    bad = df.where(F.col(EXTRA).isNotNull()).withColumnRenamed(EXTRA, "bad_reason")
     return good, bad
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
                    encoding: str = "utf-8", multiline: bool = True, on_bad: str = "error",
                    header: Sequence[str] | None = None, with_position: bool = True) -> DataFrame:
-    """Read landed delimited files as strings (see module doc).  All files of
-    one call share the header of the first (one spec = one layout); files with
-    another layout belong in another call."""
+    """Read landed delimited files as strings (see module doc).  Files are
+    grouped by their header; each group is one scan."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if on_bad not in ("error", "quarantine"):
         raise ValueError("on_bad must be 'error' or 'quarantine'")
     if on_bad == "quarantine":
-        good, _ = read_delimited_split(spark, paths, delimiter, encoding, multiline, header)
-        df = good
+        df, _ = read_delimited_split(spark, paths, delimiter, encoding, multiline, header)
     else:
-        if not paths:
-            raise ValueError("no files to read")
-        names = list(header) if header is not None else read_header(spark, paths[0], delimiter, encoding, multiline)
-        df = _scan(spark, paths, names, delimiter, encoding, multiline)
+        df = _scan_all(spark, paths, delimiter, encoding, multiline, header)
         ok = F.when(F.col(EXTRA).isNull(), F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("row with more fields than the header in "),
-                                   F.col(POS).getField("file"))))
+            F.raise_error(F.concat(F.lit("bad row ("), F.col(EXTRA), F.lit(") in "), F.col(POS).getField("file"))))
         df = df.where(ok).drop(EXTRA)
     return df if with_position else df.drop(POS)
 

@@ -137,17 +137,27 @@ def route_files(manifest: DataFrame, routes: Sequence[tuple[str, str, bool]] | S
     return per_route.orderBy("pos").limit(1)
 
 
-def plan_file_actions(manifest: DataFrame, ledger: DataFrame, on: Sequence[str] = FILE_ID) -> DataFrame:
+def plan_file_actions(manifest: DataFrame, ledger: DataFrame, on: Sequence[str] = FILE_ID,
+                      stale_before=None) -> DataFrame:
     """Per landed file: ``launch`` (never seen), ``wait`` (running, or a run
     whose outcome is unknown), ``retire`` (succeeded), ``relaunch`` (failed).
     A file is identified by (name, mtime, length): a re-upload under the same
-    name is a new file.  One left join; the ledger side is measured by AQE."""
+    name is a new file.  One left join; the ledger side is measured by AQE.
+
+    By default a waiting file waits for ever, as in the reference.  With
+    ``stale_before`` (and a ledger ``started_at`` column) a run started before
+    it that is still running or unknown is relaunched instead."""
     on = list(on)
-    led = ledger.select(*[qcol(c) for c in on], F.col("run_status"), F.lit(True).alias("__qs_seen"))
+    extra = [F.col("started_at")] if (stale_before is not None and "started_at" in ledger.columns) else []
+    led = ledger.select(*[qcol(c) for c in on], F.col("run_status"), *extra, F.lit(True).alias("__qs_seen"))
     j = manifest.join(led, on=on, how="left")
     status = F.upper(F.col("run_status"))
     action = (F.when(F.col("__qs_seen").isNull(), F.lit("launch"))
                .when(status == "SUCCESS", F.lit("retire"))
-               .when(status == "FAILURE", F.lit("relaunch"))
-               .otherwise(F.lit("wait")))
+               .when(status == "FAILURE", F.lit("relaunch")))
+    if extra:
+        cut = _ts_literal(stale_before if not isinstance(stale_before, str)
+                          else _dt.datetime.fromisoformat(stale_before), ledger.schema["started_at"].dataType)
+        action = action.when(F.col("started_at") < cut, F.lit("relaunch"))
+    action = action.otherwise(F.lit("wait"))
     return j.select(*[qcol(c) for c in manifest.columns], F.col("run_status"), action.alias("action"))

@@ -94,3 +94,39 @@ def test_land_parts(spark, scratch):
     df = spark.range(10).select(F.col("id").cast("string").alias("Номер")).repartition(3)
     paths = land(df, os.path.join(scratch, "landing"), "Справки_x", mtime="2024-01-01", encoding="cp1251")
     assert len(paths) >= 1
+
+
+def test_keep_stored_and_move_between(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    target = VersionedTable(spark, "ks_t", root=os.path.join(scratch, "t"))
+    target.publish(spark.createDataFrame([("1", "old", "kept", "n0", "n0")],
+                                         "series_number string, full_name string, errors string, "
+                                         "created_at string, updated_at string"))
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;new\n2;two\n".encode("cp1251"),
+               mtime="2024-01-01")
+    run_journal(spark, SPEC, landing, target, as_of="2024-01-02", now="n1", required=["errors"],
+                overwrite_missing=False)
+    assert rows(target.read(), "series_number", "full_name", "errors") == [("1", "new", "kept"), ("2", "two", "-")]
+
+    normal = VersionedTable(spark, "mb_n", root=os.path.join(scratch, "n"))
+    rep = VersionedTable(spark, "mb_r", root=os.path.join(scratch, "r"))
+    b1 = spark.createDataFrame([("1", "a"), ("2", "a"), ("2", "a")], "talon string, source string")
+    run_claims(spark, b1, ["talon", "source"], normal, rep, now="t1", move_between=True)
+    b2 = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", "a")], "talon string, source string")
+    run_claims(spark, b2, ["talon", "source"], normal, rep, now="t2", move_between=True)
+    assert rows(normal.read(), "talon") == [("2",)]
+    assert rows(rep.read(), "talon") == [("1",), ("1",)]
+
+
+def test_stale_runs_relaunch_only_when_asked(spark):
+    import datetime as dt
+    from quayside.sources.files import plan_file_actions
+
+    t = dt.datetime(2024, 1, 1)
+    m = spark.createDataFrame([("a.csv", t, 1), ("b.csv", t, 1)], "name string, mtime timestamp, length long")
+    led = spark.createDataFrame([("a.csv", t, 1, "r", "RUNNING", t), ("b.csv", t, 1, "r", None, t + dt.timedelta(days=2))],
+                                "name string, mtime timestamp, length long, run_key string, run_status string, "
+                                "started_at timestamp")
+    assert {r.name: r.action for r in plan_file_actions(m, led).collect()} == {"a.csv": "wait", "b.csv": "wait"}
+    got = plan_file_actions(m, led, stale_before="2024-01-02 00:00:00").collect()
+    assert {r.name: r.action for r in got} == {"a.csv": "relaunch", "b.csv": "wait"}

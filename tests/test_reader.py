@@ -47,12 +47,6 @@ def test_cp1251(spark, scratch):
     spark_vs_pandas(spark, write(scratch, "Справки 1.csv", text.encode("cp1251")), enc="cp1251")
 
 
-def test_cp1251_undefined_byte(spark, scratch):
-    p = write(scratch, "u.csv", "a;b\n".encode("cp1251") + b"X\x98;1\n")
-    got = read_delimited(spark, p, ";", "cp1251", with_position=False).collect()
-    assert got[0]["a"] == "X�"
-
-
 def test_long_row_error(spark, scratch):
     p = write(scratch, "l.csv", b"x;y\n1;2;3\n4;5\n")
     with pytest.raises(Exception, match="more fields than the header"):
@@ -80,3 +74,19 @@ def test_position_is_file_order(spark, scratch):
     df = read_delimited(spark, [a, b], ";")
     ordered = [r.v for r in df.orderBy("_pos").collect()]
     assert ordered == ["a", "b", "c", "d"]
+
+
+def test_files_with_different_layouts_read_by_name(spark, scratch):
+    a = write(scratch, "j_1.csv", b"k;v\n1;a\n")
+    b = write(scratch, "j_2.csv", b"v;extra;k\nb;e;2\n")
+    df = read_delimited(spark, [a, b], ";", with_position=False)
+    assert sorted(df.columns) == ["extra", "k", "v"]
+    assert rows(df, "k", "v", "extra") == [("1", "a", None), ("2", "b", "e")]
+
+
+def test_cp1251_undefined_byte_is_an_error_or_quarantined(spark, scratch):
+    p = write(scratch, "u2.csv", "a;b\n".encode("cp1251") + b"X\x98;1\nY;2\n")
+    with pytest.raises(Exception, match="undefined"):
+        read_delimited(spark, p, ";", "cp1251").collect()
+    good, bad = read_delimited_split(spark, p, ";", "cp1251")
+    assert rows(good, "a") == [("Y",)] and bad.count() == 1
