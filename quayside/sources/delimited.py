@@ -142,10 +142,31 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
     return df.select(*cols, bad.alias(EXTRA), pos.alias(POS))
 
 
+def expand_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files behind each path: a directory or glob becomes its data files
+    (names starting with ``_`` or ``.`` are skipped, as Spark does), in name
+    order.  Metadata calls only."""
+    from ..session import fs_for
+
+    out: list[str] = []
+    for p in paths:
+        fs, jpath = fs_for(spark, p)
+        statuses = fs.globStatus(jpath) or []
+        for st in statuses:
+            if st.isDirectory():
+                kids = [k for k in fs.listStatus(st.getPath()) if k.isFile()]
+                out += sorted(str(k.getPath().toString()) for k in kids
+                              if not k.getPath().getName().startswith(("_", ".")))
+            else:
+                out.append(str(st.getPath().toString()))
+    return out
+
+
 def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encoding: str, multiline: bool,
               header: Sequence[str] | None) -> DataFrame:
     """One scan per distinct header layout, united by column name (a later
     export that adds or reorders columns is read by name, not by position)."""
+    paths = expand_paths(spark, paths)
     if not paths:
         raise ValueError("no files to read")
     groups: dict[tuple[str, ...], list[str]] = {}
