@@ -130,3 +130,22 @@ def test_stale_runs_relaunch_only_when_asked(spark):
     assert {r.name: r.action for r in plan_file_actions(m, led).collect()} == {"a.csv": "wait", "b.csv": "wait"}
     got = plan_file_actions(m, led, stale_before="2024-01-02 00:00:00").collect()
     assert {r.name: r.action for r in got} == {"a.csv": "relaunch", "b.csv": "wait"}
+
+
+def test_journal_with_dotted_cp1251_headers(spark, scratch):
+    """A journal shaped like the EMD export: cp1251, dotted headers, a space in the pattern."""
+    spec = load_specs({"tables": {"load_data_emd": {
+        "file": {"file_pattern": "Журнал ЭМД*", "file_format": "csv"},
+        "mapping_fields": {"ИД": "epmd_id", "Дата отправки в РИР.РЭМД": "sending_date",
+                           "Статус отправки в РИР.РЭМД": "sending_status"},
+        "column_check": ["epmd_id"], "encoding": "cp1251", "delimiter": ";"}}})["load_data_emd"]
+    landing = os.path.join(scratch, "landing")
+    body = ("ИД;Дата отправки в РИР.РЭМД;Статус отправки в РИР.РЭМД;Лишнее\n"
+            "7;01.02.2024;\"Отправлен; «ок»\";x\n8;;NULL;y\n7;02.02.2024;Ошибка;z\n")
+    land_bytes(spark, landing, "Журнал ЭМД 2024.csv", body.encode("cp1251"), mtime="2024-01-01")
+    target = VersionedTable(spark, "emd_t", root=os.path.join(scratch, "t"))
+    res = run_journal(spark, spec, landing, target, as_of="2024-01-02", now="n1",
+                      required=["epmd_id", "sending_date", "sending_status", "doctor"])
+    assert res.report.first().final_count == 2
+    assert rows(target.read(), "epmd_id", "sending_date", "sending_status", "doctor") == [
+        ("7", "02.02.2024", "Ошибка", "-"), ("8", "-", "-", "-")]
