@@ -185,7 +185,7 @@ def run_routed_claims(spark: SparkSession, specs: Sequence[TableSpec], registere
         normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
         normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
         empty = T.StructType([f for f in normal_b.schema.fields])
-        staged = [(normal, normal.stage(upsert(normal.read_or_empty(empty), normal_b, keys, now="-"))),
+        staged = [(normal, normal.stage(upsert(normal.read_or_empty(empty), normal_b, keys, now=None))),
                   (repeated, repeated.stage(replace_by_key(repeated.read_or_empty(empty), repeated_b, keys,
                                                            stamp=False)))]
         for table, st in staged:

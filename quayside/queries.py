@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.columns import qcol
 from .landing import land, land_bytes
 from .operators.mapping import (as_strings, fill_missing_required, fill_sentinel, incremental_window,
                                 map_lenient, map_strict, missing_columns_frame)

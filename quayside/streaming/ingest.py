@@ -57,13 +57,15 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
 
 def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable, now,
                    required: Sequence[str] = (), max_files_per_trigger: int = 1, checkpoint: str | None = None,
-                   available_now: bool = True):
+                   available_now: bool = True, archive_dir: str | None = None):
     """The journal flow as a stream: the *manifest* is streamed (``binaryFile``
     without its content, so no bytes are read by the stream itself), and each
     micro-batch reads its new files with the delimited reader (a CSV stream
     would need one fixed schema up front, but every file brings its own
     header).  Files are taken oldest first; a replayed micro-batch re-applies
-    the same rows, which the upsert absorbs."""
+    the same rows, which the upsert absorbs.  With ``archive_dir`` the file
+    source moves consumed files there (``cleanSource=archive``; Spark does it
+    lazily, after the batch is committed)."""
     from pyspark.sql import functions as F
 
     from ..functions.globs import glob_match
@@ -75,9 +77,11 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
                            T.StructField("modificationTime", T.TimestampType(), False),
                            T.StructField("length", T.LongType(), False),
                            T.StructField("content", T.BinaryType(), True)])
-    files = (spark.readStream.format("binaryFile").schema(schema)
-             .option("maxFilesPerTrigger", str(max_files_per_trigger))
-             .load(landing)
+    reader = (spark.readStream.format("binaryFile").schema(schema)
+              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    files = (reader.load(landing)
              .select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
                      F.col("modificationTime").alias("mtime"), "length"))
     files = files.where(glob_match("name", spec.name_pattern))

@@ -46,3 +46,18 @@ def test_incremental_window_pushdown(spark):
                                "id int, start timestamp, changed timestamp")
     out = incremental_window(df, "start", "changed", dt.date(2024, 3, 15))
     assert [r.id for r in out.collect()] == [3]
+
+
+def test_table_columns_string_and_varchar(spark):
+    from quayside.sources.catalog import table_columns
+
+    spark.sql("DROP TABLE IF EXISTS tc_vc")
+    spark.sql("CREATE TABLE tc_vc (a VARCHAR(10), b INT, c STRING, d CHAR(2)) USING parquet")
+    assert table_columns(spark, "tc_vc") == ["a", "c", "d"]
+    assert table_columns(spark, "tc_vc", kind="varchar") == ["a"]
+    import pytest
+
+    spark.sql("DROP TABLE IF EXISTS tc_int")
+    spark.sql("CREATE TABLE tc_int (b INT) USING parquet")
+    with pytest.raises(ValueError):
+        table_columns(spark, "tc_int")
