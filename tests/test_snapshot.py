@@ -43,3 +43,19 @@ def test_bucketed_target_join_reads_without_exchange(spark, scratch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_merge_into_is_refused_for_plain_parquet(spark):
+    import pytest
+
+    from quayside.sinks.merge_table import merge_statement, merge_upsert
+
+    sql = merge_statement("t", "s", ["k", "v"], ["k"], "2024-01-01 00:00:00")
+    assert sql == ("MERGE INTO t t USING s s ON t.`k` = s.`k` WHEN MATCHED THEN UPDATE SET t.`v` = s.`v` "
+                   "WHEN NOT MATCHED THEN INSERT (`k`, `v`, `created_at`, `updated_at`) VALUES (s.`k`, s.`v`, "
+                   "CAST('2024-01-01 00:00:00' AS TIMESTAMP), CAST('2024-01-01 00:00:00' AS TIMESTAMP))")
+    spark.sql("DROP TABLE IF EXISTS mt_plain")
+    spark.sql("CREATE TABLE mt_plain (k STRING, v STRING, created_at TIMESTAMP, updated_at TIMESTAMP) USING parquet")
+    batch = spark.createDataFrame([("1", "a")], "k string, v string")
+    with pytest.raises(Exception):
+        merge_upsert(batch, "mt_plain", ["k"], "2024-01-01 00:00:00")
