@@ -102,16 +102,23 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
 
 
 def run_once(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable, ledger: VersionedTable,
-             as_of, now, required: Sequence[str] | None = None, min_age_seconds: float = 60) -> FlowResult:
+             as_of, now, required: Sequence[str] | None = None, min_age_seconds: float = 60,
+             archive_dir: str | None = None) -> FlowResult:
     """One polling tick: files already in the ledger (same name, mtime and
-    length) are skipped, the rest are loaded and appended to the ledger."""
+    length) are skipped, the rest are loaded and appended to the ledger.
+    With ``archive_dir``, files whose load succeeded on an earlier tick are
+    moved there (files never read are never moved)."""
     from pyspark.sql import functions as F
 
+    from ..sinks.files import archive_files
     from ..sources.files import LEDGER_SCHEMA, discover_files, plan_file_actions
 
     known = ledger.read_or_empty(LEDGER_SCHEMA)
-    plan = plan_file_actions(discover_files(spark, landing), known)
-    todo = plan.where(F.col("action").isin("launch", "relaunch")).select("path").collect()
+    # one listing, one decision per file (the file list, not data, comes back)
+    actions = plan_file_actions(discover_files(spark, landing), known).select("path", "action").collect()
+    if archive_dir:
+        archive_files(spark, [r["path"] for r in actions if r["action"] == "retire"], archive_dir)
+    todo = [r for r in actions if r["action"] in ("launch", "relaunch")]
     if not todo:
         return FlowResult(target.count().select(F.lit(target.label).alias("table_name"),
                                                 F.lit("skipped").alias("status"), "final_count"), None, [])

@@ -149,3 +149,19 @@ def test_journal_with_dotted_cp1251_headers(spark, scratch):
     assert res.report.first().final_count == 2
     assert rows(target.read(), "epmd_id", "sending_date", "sending_status", "doctor") == [
         ("7", "02.02.2024", "Ошибка", "-"), ("8", "-", "-", "-")]
+
+
+def test_run_once_archives_loaded_files_next_tick(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;А\n".encode("cp1251"), mtime="2024-01-01")
+    land_bytes(spark, landing, "Справки_2.csv", "Серия и номер;ФИО\n2;Б\n".encode("cp1251"))  # young
+    target = VersionedTable(spark, "ar_t", root=os.path.join(scratch, "t"))
+    ledger = VersionedTable(spark, "ar_l", root=os.path.join(scratch, "l"))
+    archive = os.path.join(scratch, "archive")
+    r1 = run_once(spark, SPEC, landing, target, ledger, as_of="2024-01-02", now="n1", required=[],
+                  archive_dir=archive)
+    assert [os.path.basename(p) for p in r1.files] == ["Справки_1.csv"]
+    run_once(spark, SPEC, landing, target, ledger, as_of="2024-01-02", now="n2", required=[], archive_dir=archive)
+    left = [n for n in os.listdir(landing) if not n.startswith(".")]
+    assert left == ["Справки_2.csv"]          # the young file was never read, so it stays
+    assert "Справки_1.csv" in os.listdir(archive)
