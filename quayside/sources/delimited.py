@@ -5,8 +5,10 @@ Semantics follow a default pandas ``read_csv(dtype=str)`` of each landed file:
 * every cell is text; header names come from the file, duplicates are named
   ``x, x.1, x.2`` and a UTF-8 byte-order mark is dropped;
 * ``"`` quotes, doubled quotes inside quotes, delimiters and newlines inside
-  quotes (``multiline``; a multi-line file cannot be split, so it is an
-  option per spec);
+  quotes.  A file parsed whole (multi-line) is one task; with the default
+  ``multiline="auto"`` a file above the split size is first checked in one
+  parallel pass for a quoted field that spans lines, and read split into
+  tasks when none does (same rows either way);
 * a short row is padded with NULL; a *long* row (more fields than the header)
   is an error by default (``on_bad="error"``, raised by the scan itself, no
   extra pass) or set aside (``on_bad="quarantine"``, see
@@ -142,46 +144,87 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
     return df.select(*cols, bad.alias(EXTRA), pos.alias(POS))
 
 
-def expand_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Files behind each path: a directory or glob becomes its data files
-    (names starting with ``_`` or ``.`` are skipped, as Spark does), in name
-    order.  Metadata calls only."""
+def expand_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int]]:
+    """(file, length) behind each path: a directory or glob becomes its data
+    files (names starting with ``_`` or ``.`` are skipped, as Spark does), in
+    name order.  Metadata calls only."""
     from ..session import fs_for
 
-    out: list[str] = []
+    out: list[tuple[str, int]] = []
     for p in paths:
         fs, jpath = fs_for(spark, p)
         statuses = fs.globStatus(jpath) or []
         for st in statuses:
             if st.isDirectory():
-                kids = [k for k in fs.listStatus(st.getPath()) if k.isFile()]
-                out += sorted(str(k.getPath().toString()) for k in kids
-                              if not k.getPath().getName().startswith(("_", ".")))
+                kids = [k for k in fs.listStatus(st.getPath())
+                        if k.isFile() and not k.getPath().getName().startswith(("_", "."))]
+                out += sorted((str(k.getPath().toString()), int(k.getLen())) for k in kids)
             else:
-                out.append(str(st.getPath().toString()))
+                out.append((str(st.getPath().toString()), int(st.getLen())))
     return out
 
 
-def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encoding: str, multiline: bool,
-              header: Sequence[str] | None) -> DataFrame:
-    """One scan per distinct header layout, united by column name (a later
-    export that adds or reorders columns is read by name, not by position)."""
-    paths = expand_paths(spark, paths)
+def expand_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    return [p for p, _ in expand_files(spark, paths)]
+
+
+# A file above this size is worth splitting across tasks (Spark's own default
+# split size); smaller files are parsed whole, quoted newlines and all.
+SPLIT_BYTES = 128 * 1024 * 1024
+ASCII_COMPATIBLE = ("utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1")
+
+
+def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Which of ``paths`` have a line with an odd number of ``"`` characters —
+    the only way a quoted field can continue on the next line.  One parallel,
+    splittable pass over the lines (only the file index and a parity bit leave
+    each task)."""
     if not paths:
+        return set()
+    parts = [spark.read.text(p).select(F.lit(i).alias("f"), F.col("value")) for i, p in enumerate(paths)]
+    lines = parts[0]
+    for part in parts[1:]:
+        lines = lines.unionByName(part)
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    hit = lines.where(quotes % 2 == 1).select("f").distinct().collect()
+    return {paths[r["f"]] for r in hit}
+
+
+def _choose_multiline(spark: SparkSession, files: Sequence[tuple[str, int]], encoding: str,
+                      multiline) -> dict[str, bool]:
+    """Per file: parse whole (multi-line) or split by lines.  ``"auto"`` splits
+    files above :data:`SPLIT_BYTES` unless a quoted field spans lines."""
+    if multiline != "auto":
+        return {p: bool(multiline) for p, _ in files}
+    big = [p for p, n in files if n > SPLIT_BYTES]
+    if not big or (normalise(encoding) not in ASCII_COMPATIBLE and not needs_translation(encoding)):
+        return {p: True for p, _ in files}
+    spanning = files_with_quoted_newlines(spark, big)
+    return {p: (p not in big) or (p in spanning) for p, _ in files}
+
+
+def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encoding: str, multiline,
+              header: Sequence[str] | None) -> DataFrame:
+    """One scan per distinct (header layout, parse mode), united by column name
+    (a later export that adds or reorders columns is read by name, not by
+    position)."""
+    files = expand_files(spark, paths)
+    if not files:
         raise ValueError("no files to read")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
+    mode = _choose_multiline(spark, files, encoding, multiline)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for p, _ in files:
         names = tuple(header) if header is not None else tuple(read_header(spark, p, delimiter, encoding))
-        groups.setdefault(names, []).append(p)
+        groups.setdefault((names, mode[p]), []).append(p)
     out = None
-    for names, group in groups.items():
-        part = _scan(spark, group, list(names), delimiter, encoding, multiline)
+    for (names, whole), group in groups.items():
+        part = _scan(spark, group, list(names), delimiter, encoding, whole)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
 def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
-                         encoding: str = "utf-8", multiline: bool = True,
+                         encoding: str = "utf-8", multiline: bool | str = "auto",
                          header: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows).  Bad rows keep their fields, ``_pos`` and the
     reason in ``bad_reason``."""
@@ -193,7 +236,7 @@ def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimi
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
-                   encoding: str = "utf-8", multiline: bool = True, on_bad: str = "error",
+                   encoding: str = "utf-8", multiline: bool | str = "auto", on_bad: str = "error",
                    header: Sequence[str] | None = None, with_position: bool = True) -> DataFrame:
     """Read landed delimited files as strings (see module doc).  Files are
     grouped by their header; each group is one scan."""

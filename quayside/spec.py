@@ -28,7 +28,7 @@ class TableSpec:
     encoding: str = "utf-8"
     delimiter: str = ","
     strategy: str = "upsert"          # "upsert" | "replace" | "split" (flag + both)
-    multiline: bool = True
+    multiline: bool | str = "auto"    # True: parse files whole; False: split by lines
     options: dict[str, Any] = field(default_factory=dict, compare=False, hash=False)
 
     @property

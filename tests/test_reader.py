@@ -90,3 +90,26 @@ def test_cp1251_undefined_byte_is_an_error_or_quarantined(spark, scratch):
         read_delimited(spark, p, ";", "cp1251").collect()
     good, bad = read_delimited_split(spark, p, ";", "cp1251")
     assert rows(good, "a") == [("Y",)] and bad.count() == 1
+
+
+def test_auto_mode_splits_big_files_without_quoted_newlines(spark, scratch, monkeypatch):
+    import quayside.sources.delimited as D
+
+    monkeypatch.setattr(D, "SPLIT_BYTES", 200)
+    plain = write(scratch, "p.csv", ("k;v\n" + "".join(f"{i};\"a;{i}\"\n" for i in range(2000))).encode())
+    spans = write(scratch, "s.csv", ("k;v\n" + "".join(f"{i};\"a\n{i}\"\n" for i in range(50))).encode())
+    small = write(scratch, "t.csv", b"k;v\n1;x\n")
+    files = D.expand_files(spark, [plain, spans, small])
+    modes = D._choose_multiline(spark, files, "utf-8", "auto")
+    assert modes == {files[0][0]: False, files[1][0]: True, files[2][0]: True}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_delimited(spark, [plain, spans, small], ";", with_position=False)
+        assert df.rdd.getNumPartitions() > 3          # the big plain file was split
+        exp = pd.concat([pd.read_csv(p, sep=";", dtype=str) for p in (plain, spans, small)])
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, exp.itertuples(index=False)))
+        # last row wins still follows file order across splits
+        ordered = read_delimited(spark, plain, ";").orderBy("_pos").select("k").collect()
+        assert [int(r.k) for r in ordered] == list(range(2000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
