@@ -18,9 +18,9 @@ Semantics follow a default pandas ``read_csv(dtype=str)`` of each landed file:
 * code pages Spark cannot decode (cp1251) are read as ISO-8859-1 and
   translated natively (:mod:`quayside.functions.charsets`).
 
-Each row carries ``_pos`` = (file path, split offset, row id), captured at the
-scan before any shuffle, so "last row in file order wins" survives any later
-repartitioning.
+Each row carries ``_pos`` = (file ordinal in apply order, split offset, row
+id), captured at the scan before any shuffle, so "last row in file order
+wins" survives any later repartitioning.
 """
 
 from __future__ import annotations
@@ -118,17 +118,33 @@ def parse_header_line(line: str, delimiter: str) -> list[str]:
     return pandas_names(next(csv.reader(io.StringIO(line), delimiter=delimiter, quotechar='"')))
 
 
+def _file_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(uri as the scan reports it, ordinal in apply order, path) per file.
+    Its size is the number of files in one load (checked by the caller's
+    file list), so it is broadcast to the scan."""
+    jvm = spark.sparkContext._jvm
+    rows = [(str(jvm.org.apache.hadoop.fs.Path(p).toUri().toString()), i, p) for i, p in enumerate(paths)]
+    schema = T.StructType([T.StructField("__qs_uri", T.StringType(), False),
+                           T.StructField("__qs_file", T.IntegerType(), False),
+                           T.StructField("__qs_path", T.StringType(), False)])
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delimiter: str,
-          encoding: str, multiline: bool) -> DataFrame:
+          encoding: str, multiline: bool, files: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))]
                           + [T.StructField(EXTRA, T.StringType(), True)])
     df = (_reader(spark, delimiter, encoding, multiline)
           .option("header", "true").option("enforceSchema", "true")
           .schema(schema).load(list(paths)))
-    # the path is URI-encoded (a space is %20); decode it natively ('+' kept)
-    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
-    pos = F.struct(path.alias("file"), F.col("_metadata.file_block_start").alias("offset"),
-                   F.monotonically_increasing_id().alias("row"))
+    # file order as a small ordinal (not the path string) so that the position
+    # stays a few bytes per row through later shuffles
+    df = df.select("*", F.col("_metadata.file_path").alias("__qs_uri"),
+                   F.col("_metadata.file_block_start").alias("__qs_offset"),
+                   F.monotonically_increasing_id().alias("__qs_row"))
+    df = df.join(files, "__qs_uri", "inner")
+    pos = F.struct(F.col("__qs_file").alias("file"), F.col("__qs_offset").alias("offset"),
+                   F.col("__qs_row").alias("row"))
     cols: list[Column] = []
     undefined = F.lit(False)
     for i, n in enumerate(names):
@@ -139,8 +155,8 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
         cols.append(c.alias(n))
     # a row is bad when it has more fields than the header, or a byte the code
     # page leaves undefined (a strict decoder would refuse the file)
-    bad = (F.when(F.col(EXTRA).isNotNull(), F.lit("more fields than the header"))
-            .when(undefined, F.lit(f"a byte undefined in {encoding}")))
+    bad = (F.when(F.col(EXTRA).isNotNull(), F.concat(F.lit("more fields than the header in "), F.col("__qs_path")))
+            .when(undefined, F.concat(F.lit(f"a byte undefined in {encoding} in "), F.col("__qs_path"))))
     return df.select(*cols, bad.alias(EXTRA), pos.alias(POS))
 
 
@@ -212,13 +228,14 @@ def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encodin
     if not files:
         raise ValueError("no files to read")
     mode = _choose_multiline(spark, files, encoding, multiline)
+    table = _file_table(spark, [p for p, _ in files])
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for p, _ in files:
         names = tuple(header) if header is not None else tuple(read_header(spark, p, delimiter, encoding))
         groups.setdefault((names, mode[p]), []).append(p)
     out = None
     for (names, whole), group in groups.items():
-        part = _scan(spark, group, list(names), delimiter, encoding, whole)
+        part = _scan(spark, group, list(names), delimiter, encoding, whole, table)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -248,7 +265,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: s
     else:
         df = _scan_all(spark, paths, delimiter, encoding, multiline, header)
         ok = F.when(F.col(EXTRA).isNull(), F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("bad row ("), F.col(EXTRA), F.lit(") in "), F.col(POS).getField("file"))))
+            F.raise_error(F.concat(F.lit("bad row: "), F.col(EXTRA))))
         df = df.where(ok).drop(EXTRA)
     return df if with_position else df.drop(POS)
 
