@@ -78,7 +78,8 @@ def target_schema_for(batch: DataFrame, audit: bool = True, now_type: T.DataType
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
            order_cols: Sequence[str] | None = None, touch_updated_at: bool = False,
            dedupe: bool = True, guard_cols: Sequence[str] = (),
-           insert_defaults: dict[str, object] | None = None) -> DataFrame:
+           insert_defaults: dict[str, object] | None = None,
+           batch_rows: int | None = None, broadcast_below: int = 0) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE SET <batch non-key columns>`` as
     one full outer join.  Returns the new table content (target schema).
 
@@ -91,6 +92,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     * with ``guard_cols`` a matched row is overwritten only when the batch
       row's guard is not older than the stored one, so replaying an old
       batch (a re-run micro-batch) changes nothing.
+
+    Plan: a full outer join (both sides hashed on the keys; a bucketed target
+    is read in place).  When the caller proves the batch small —
+    ``batch_rows`` (a count it already has) at most ``broadcast_below`` — the
+    batch is broadcast instead and the target is only scanned, never
+    shuffled: matched rows (target ⋈ batch), untouched rows (target ▷ batch
+    keys) and new rows (batch ▷ matched keys) are united.
     """
     keys = list(keys)
     batch = drop_audit(batch)
@@ -105,8 +113,16 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     nonkey = [c for c in batch.columns if c not in keys]
     b = batch.select(*[qcol(k) for k in keys], *[qcol(c).alias(BPFX + c) for c in nonkey],
                      F.lit(True).alias(PRESENT))
-    t = target.withColumn("__qs_t", F.lit(True)) if (guard_cols or insert_defaults) else target
-    joined = t.join(b, on=keys, how="full_outer")
+    small = batch_rows is not None and batch_rows <= broadcast_below
+    t = target.withColumn("__qs_t", F.lit(True)) if (guard_cols or insert_defaults or small) else target
+    if small:
+        matched = t.join(F.broadcast(b), on=keys, how="inner")
+        kept = t.join(F.broadcast(b.select(*[qcol(k) for k in keys])), on=keys, how="left_anti")
+        # matched keys are a subset of the batch keys: bounded by the same count
+        new = b.join(F.broadcast(matched.select(*[qcol(k) for k in keys])), on=keys, how="left_anti")
+        joined = matched.unionByName(kept, allowMissingColumns=True).unionByName(new, allowMissingColumns=True)
+    else:
+        joined = t.join(b, on=keys, how="full_outer")
     present = F.coalesce(F.col(PRESENT), F.lit(False))
     if guard_cols:
         newer = (F.struct(*[F.col(BPFX + g) for g in guard_cols])

@@ -29,6 +29,11 @@ from ..sources.files import LEDGER_SCHEMA, classify_files, discover_files, lates
 from ..spec import TableSpec
 
 
+# A batch of at most this many rows is broadcast into an upsert (its size is a
+# count the flow already holds, never an estimate).
+BROADCAST_BATCH_ROWS = 200_000
+
+
 @dataclass
 class FlowResult:
     report: DataFrame           # table_name, status, final_count
@@ -142,7 +147,10 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                 other = repeated_b if op == "upsert" else normal_b
                 current = current.join(other.select(*[qcol(k) for k in keys]).distinct(), keys, "left_anti")
             if op == "upsert":
-                new = upsert(current, part, keys, now)
+                # the normal half's size is known from the split counts: a small
+                # batch is broadcast and the stored table is not shuffled
+                new = upsert(current, part, keys, now, batch_rows=sizes[op],
+                             broadcast_below=BROADCAST_BATCH_ROWS)
             else:
                 new = replace_by_key(current, part, keys, now, stamp=stamp_repeated)
             staged.append((table, table.stage(new)))

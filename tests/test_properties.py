@@ -37,3 +37,26 @@ def test_replace_matches_delete_then_insert_model(spark, target, batch):
     t = spark.createDataFrame(target, "k string, v string")
     b = spark.createDataFrame(batch, "k string, v string")
     assert rows(replace_by_key(t, b, ["k"])) == expect
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.dictionaries(keys, st.tuples(vals, vals), max_size=4), st.lists(st.tuples(keys, vals), max_size=8),
+       st.booleans())
+def test_broadcast_upsert_equals_full_outer(spark, target, batch, guard):
+    t = spark.createDataFrame([(k, v, keep, "t0", "t0") for k, (v, keep) in target.items()],
+                              "k string, v string, keep string, created_at string, updated_at string")
+    b = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(batch)], "k string, v string, _pos int")
+    kw = {"guard_cols": ["v"]} if guard else {}
+    full = rows(upsert(t, b, ["k"], now="t1", **kw))
+    small = upsert(t, b, ["k"], now="t1", batch_rows=len(batch), broadcast_below=10, **kw)
+    assert rows(small) == full
+
+
+def test_broadcast_upsert_does_not_shuffle_target(spark):
+    t = spark.range(1000).selectExpr("cast(id as string) k", "'a' v", "'t0' created_at", "'t0' updated_at")
+    b = spark.createDataFrame([("5", "b"), ("5000", "c")], "k string, v string")
+    out = upsert(t, b, ["k"], now="t1", batch_rows=2, broadcast_below=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan_lines = [i for i, line in enumerate(plan.splitlines()) if "Range (0, 1000" in line]
+    assert scan_lines and "SortMergeJoin" not in plan
+    assert out.count() == 1001 and out.where("v = 'b'").count() == 1
