@@ -153,10 +153,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], now=None,
-                   stamp: bool = True) -> DataFrame:
+                   stamp: bool = True, batch_rows: int | None = None, broadcast_below: int = 0) -> DataFrame:
     """Delete every stored row whose key occurs in the batch, insert all batch
     rows.  New rows get both audit stamps = ``now`` when ``stamp`` and the
-    target carries audit columns."""
+    target carries audit columns.  The distinct batch keys are broadcast when
+    the caller's ``batch_rows`` count bounds them under ``broadcast_below``
+    (else AQE measures them at run time)."""
     keys = list(keys)
     batch = drop_audit(batch)
     batch = batch.drop(POS) if POS in batch.columns else batch
@@ -166,6 +168,8 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], now
     if extra:
         raise ValueError(f"batch column(s) not in the target: {extra}")
     batch_keys = batch.select(*[qcol(k) for k in keys]).distinct()
+    if batch_rows is not None and batch_rows <= broadcast_below:
+        batch_keys = F.broadcast(batch_keys)
     kept = target.join(batch_keys, on=keys, how="left_anti")
     types = {f.name: f.dataType for f in target.schema.fields}
     add = {}

@@ -152,7 +152,8 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                 new = upsert(current, part, keys, now, batch_rows=sizes[op],
                              broadcast_below=BROADCAST_BATCH_ROWS)
             else:
-                new = replace_by_key(current, part, keys, now, stamp=stamp_repeated)
+                new = replace_by_key(current, part, keys, now, stamp=stamp_repeated, batch_rows=sizes[op],
+                                     broadcast_below=BROADCAST_BATCH_ROWS)
             staged.append((table, table.stage(new)))
         for table, st in staged:
             table.commit(st)
