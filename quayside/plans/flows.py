@@ -61,12 +61,19 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
     """fill → last-row-wins → upsert → publish → report.  ``keep_stored``:
     required columns the files lack that a match must leave unchanged (new
     rows still get ``-``)."""
-    batch = fill_sentinel(batch)
-    if batch.isEmpty():
-        return skipped_report(spark, target.label, target.read() if target.exists() else None)
-    current = target.read_or_empty(_target_schema(fill_missing_required(batch, keep_stored), now))
-    defaults = {c: SENTINEL for c in keep_stored}
-    target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None))
+    # one pass reads the files, fills the cache and counts: the count decides
+    # "skipped" and proves (or not) that the batch is small enough to broadcast
+    batch = persisted(fill_sentinel(batch))
+    try:
+        n = batch.count()
+        if n == 0:
+            return skipped_report(spark, target.label, target.read() if target.exists() else None)
+        current = target.read_or_empty(_target_schema(fill_missing_required(batch, keep_stored), now))
+        defaults = {c: SENTINEL for c in keep_stored}
+        target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None,
+                              batch_rows=n, broadcast_below=BROADCAST_BATCH_ROWS))
+    finally:
+        batch.unpersist()
     return load_report(target.label, target.read())
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.merge import target_schema_for, upsert
-from ..plans.flows import FlowResult, run_journal
+from ..plans.flows import BROADCAST_BATCH_ROWS, FlowResult, run_journal
 from ..session import work_path
 from ..sinks.snapshot import VersionedTable
 from ..spec import TableSpec
@@ -42,10 +42,16 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     now_type = T.StringType() if isinstance(now, str) else T.TimestampType()
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        current = target.read_or_empty(target_schema_for(batch, audit=True, now_type=now_type))
-        target.publish(upsert(current, batch, keys, now, order_cols=order_cols, guard_cols=order_cols))
+        batch = batch.persist()
+        try:
+            n = batch.count()
+            if n == 0:
+                return
+            current = target.read_or_empty(target_schema_for(batch, audit=True, now_type=now_type))
+            target.publish(upsert(current, batch, keys, now, order_cols=order_cols, guard_cols=order_cols,
+                                  batch_rows=n, broadcast_below=BROADCAST_BATCH_ROWS))
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
