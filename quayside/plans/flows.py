@@ -34,6 +34,13 @@ from ..spec import TableSpec
 BROADCAST_BATCH_ROWS = 200_000
 
 
+def broadcast_bound(table: VersionedTable) -> int:
+    """Bucketing and broadcasting are two ways of not shuffling the stored
+    table: a bucketed table is joined in place (and rewritten one file per
+    bucket), an unbucketed one takes a count-proven small batch by broadcast."""
+    return 0 if table.buckets else BROADCAST_BATCH_ROWS
+
+
 @dataclass
 class FlowResult:
     report: DataFrame           # table_name, status, final_count
@@ -71,7 +78,7 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
         current = target.read_or_empty(_target_schema(fill_missing_required(batch, keep_stored), now))
         defaults = {c: SENTINEL for c in keep_stored}
         target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None,
-                              batch_rows=n, broadcast_below=BROADCAST_BATCH_ROWS))
+                              batch_rows=n, broadcast_below=broadcast_bound(target)))
     finally:
         batch.unpersist()
     return load_report(target.label, target.read())
@@ -157,10 +164,10 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                 # the normal half's size is known from the split counts: a small
                 # batch is broadcast and the stored table is not shuffled
                 new = upsert(current, part, keys, now, batch_rows=sizes[op],
-                             broadcast_below=BROADCAST_BATCH_ROWS)
+                             broadcast_below=broadcast_bound(table))
             else:
                 new = replace_by_key(current, part, keys, now, stamp=stamp_repeated, batch_rows=sizes[op],
-                                     broadcast_below=BROADCAST_BATCH_ROWS)
+                                     broadcast_below=broadcast_bound(table))
             staged.append((table, table.stage(new)))
         for table, st in staged:
             table.commit(st)

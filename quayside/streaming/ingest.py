@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.merge import target_schema_for, upsert
-from ..plans.flows import BROADCAST_BATCH_ROWS, FlowResult, run_journal
+from ..plans.flows import FlowResult, broadcast_bound, run_journal
 from ..session import work_path
 from ..sinks.snapshot import VersionedTable
 from ..spec import TableSpec
@@ -49,7 +49,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
                 return
             current = target.read_or_empty(target_schema_for(batch, audit=True, now_type=now_type))
             target.publish(upsert(current, batch, keys, now, order_cols=order_cols, guard_cols=order_cols,
-                                  batch_rows=n, broadcast_below=BROADCAST_BATCH_ROWS))
+                                  batch_rows=n, broadcast_below=broadcast_bound(target)))
         finally:
             batch.unpersist()
 
