@@ -175,9 +175,13 @@ def q_publish_snapshot(spark, sf):
 
 
 def q_table_health(spark, sf):
+    uid = _uid()
+    names = {}
     for name in ("orders", "labels"):
-        table(spark, sf, name).createOrReplaceTempView(name)
-    return table_health(spark, ["orders", "labels", "no_such_table"])
+        table(spark, sf, name).createOrReplaceTempView(f"{name}_{uid}")
+        names[name] = f"{name}_{uid}"
+    names["no_such_table"] = f"no_such_table_{uid}"
+    return table_health(spark, names)
 
 
 # --------------------------------------------------------------------------- A: landed files

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,21 +42,23 @@ def table_columns_frame(spark: SparkSession, table: str, kind: str = "string") -
     return spark.createDataFrame([(c,) for c in table_columns(spark, table, kind)], schema)
 
 
-def table_health(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
+def table_health(spark: SparkSession, tables: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """One row per table: ``ok`` and its row count.  A missing or unreadable
     table is reported (``ok = false``), not fatal.  The counts run as one
-    ``UNION ALL`` of aggregates, answered from Parquet footers where possible."""
+    ``UNION ALL`` of aggregates, answered from Parquet footers where possible.
+    ``tables`` may map the reported name to the catalog name."""
     if not tables:
         raise ValueError("no tables to check")
+    named = dict(tables) if isinstance(tables, Mapping) else {t: t for t in tables}
     parts: list[DataFrame] = []
-    for t in tables:
+    for label, t in named.items():
         try:
             if not spark.catalog.tableExists(t):
                 raise LookupError(t)
             part = spark.table(t).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-            parts.append(part.select(F.lit(t).alias("table_name"), F.lit(True).alias("ok"), "n_rows"))
+            parts.append(part.select(F.lit(label).alias("table_name"), F.lit(True).alias("ok"), "n_rows"))
         except Exception:  # noqa: BLE001 - an unreadable table is a finding, not a failure
-            parts.append(spark.createDataFrame([(t, False, None)], HEALTH_SCHEMA))
+            parts.append(spark.createDataFrame([(label, False, None)], HEALTH_SCHEMA))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
