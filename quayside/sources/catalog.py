@@ -63,3 +63,19 @@ def table_health(spark: SparkSession, tables: Sequence[str] | Mapping[str, str])
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def jdbc_table_columns(spark: SparkSession, url: str, table: str, properties: dict | None = None,
+                       data_type: str = "character varying") -> list[str]:
+    """Text columns of a relational target, from its ``information_schema``
+    (one small query pushed to the database; the result is the column list).
+    Not exercised here: no JDBC driver is installed and no database may run."""
+    query = ("SELECT column_name FROM information_schema.columns "
+             f"WHERE table_name = '{table}' AND data_type = '{data_type}' ORDER BY ordinal_position")
+    reader = spark.read.format("jdbc").option("url", url).option("query", query)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    cols = [r[0] for r in reader.load().collect()]
+    if not cols:
+        raise ValueError(f"table {table} has no {data_type} columns")
+    return cols

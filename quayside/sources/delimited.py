@@ -229,10 +229,18 @@ def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encodin
         raise ValueError("no files to read")
     mode = _choose_multiline(spark, files, encoding, multiline)
     table = _file_table(spark, [p for p, _ in files])
+    if header is not None:
+        headers = {p: tuple(header) for p, _ in files}
+    else:
+        # small reads of the first bytes of each file, a few at a time
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
+            found = pool.map(lambda f: tuple(read_header(spark, f[0], delimiter, encoding)), files)
+            headers = {p: h for (p, _), h in zip(files, found)}
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for p, _ in files:
-        names = tuple(header) if header is not None else tuple(read_header(spark, p, delimiter, encoding))
-        groups.setdefault((names, mode[p]), []).append(p)
+        groups.setdefault((headers[p], mode[p]), []).append(p)
     out = None
     for (names, whole), group in groups.items():
         part = _scan(spark, group, list(names), delimiter, encoding, whole, table)

@@ -113,3 +113,17 @@ def test_auto_mode_splits_big_files_without_quoted_newlines(spark, scratch, monk
         assert [int(r.k) for r in ordered] == list(range(2000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_cp1251_whole_upper_half_matches_pandas(spark, scratch):
+    # every character the code page defines above 0x7F (0x98 excluded: undefined)
+    chars = [bytes([b]).decode("cp1251") for b in range(0x80, 0x100) if b != 0x98]
+    cells = ["".join(chars[i:i + 8]).replace(";", ",").replace('"', "'") for i in range(0, len(chars), 8)]
+    body = "k;text\n" + "".join(f'{i};"{c}"\n' for i, c in enumerate(cells))
+    spark_vs_pandas(spark, write(scratch, "all.csv", body.encode("cp1251")), enc="cp1251")
+
+
+def test_many_files_headers_probed(spark, scratch):
+    paths = [write(scratch, f"m_{i:03d}.csv", f"k;v\n{i};x{i}\n".encode()) for i in range(40)]
+    df = read_delimited(spark, paths, ";", with_position=False)
+    assert df.count() == 40 and df.columns == ["k", "v"]
