@@ -39,10 +39,14 @@ def local_session(cpus: int | str = "*", app: str = "quayside", **conf: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when unset."""
+    """Return the shared checkpoint folder (``spark.checkpoint.dir``).  Only a
+    local-mode session (tests, a laptop) without one gets a local folder; a
+    cluster session without one is an error, never a machine-local path."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="quayside-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
