@@ -217,3 +217,26 @@ def run_routed_claims(spark: SparkSession, specs: Sequence[TableSpec], registere
         flagged.unpersist()
     reports = [load_report(t.label, t.read()) for t, _ in staged]
     return spec.table_name, reports[0].unionByName(reports[1])
+
+
+def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal: VersionedTable,
+                     repeated: VersionedTable, as_of, now, required: Sequence[str] = (),
+                     min_age_seconds: float = 60, latest_only: bool = False) -> FlowResult:
+    """Claims from landed files: discover → classify → read (name order) →
+    prepare → :func:`run_claims`.  The file order ``_pos`` makes the last
+    row of a repeated normal key win, as row-by-row statements would."""
+    manifest = discover_files(spark, landing)
+    valid = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds).where(F.col("state") == "valid")
+    if latest_only:
+        valid = latest_by_name(valid, extra=["path", "mtime", "length"])
+    files = valid.select("path", "name", "mtime", "length").orderBy("name").collect()
+    if not files:
+        empty = [skipped_report(spark, t.label, t.read() if t.exists() else None) for t in (normal, repeated)]
+        return FlowResult(empty[0].unionByName(empty[1]), None, [])
+    raw = read_delimited(spark, [r["path"] for r in files], spec.delimiter, spec.encoding, spec.multiline)
+    batch = prepare_batch(raw, spec, [c for c in required if c != "is_complex"])
+    report = run_claims(spark, batch, spec.keys, normal, repeated, now)
+    run_key = f"{spec.table_name}-{_stamp(now)}"
+    ledger = spark.createDataFrame(
+        [(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)
+    return FlowResult(report, ledger, [r["path"] for r in files])

@@ -165,3 +165,32 @@ def test_run_once_archives_loaded_files_next_tick(spark, scratch):
     left = [n for n in os.listdir(landing) if not n.startswith(".")]
     assert left == ["Справки_2.csv"]          # the young file was never read, so it stays
     assert "Справки_1.csv" in os.listdir(archive)
+
+
+def test_cli_journal_and_claims(spark, scratch):
+    import json
+
+    from quayside.plans.cli import main
+
+    mapping = os.path.join(scratch, "mapping.json")
+    with open(mapping, "w", encoding="utf-8") as f:
+        json.dump({"tables": {
+            "refs": {"file": {"file_pattern": "Справки*", "file_format": "csv"},
+                     "mapping_fields": {"Серия и номер": "series_number", "ФИО": "full_name"},
+                     "column_check": ["series_number"], "encoding": "cp1251", "delimiter": ";"},
+            "talons": {"file": {"file_pattern": "journal_20*", "file_format": "csv"},
+                       "mapping_fields": {"Талон": "talon", "Источник": "source", "Статус": "status"},
+                       "column_check": ["talon", "source"], "encoding": "utf-8", "delimiter": ";"}}},
+            f, ensure_ascii=False)
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;А\n".encode("cp1251"), mtime="2024-01-01")
+    land_bytes(spark, landing, "journal_2024.csv", "Талон;Источник;Статус\n1;a;x\n1;a;y\n2;a;z\n".encode(),
+               mtime="2024-01-01")
+    root = os.path.join(scratch, "tables")
+    assert main(["journal", "--mapping", mapping, "--table", "refs", "--landing", landing, "--root", root,
+                 "--as-of", "2024-01-02 00:00:00", "--required"]) == 0
+    assert rows(VersionedTable(spark, "refs", root=os.path.join(root, "refs")).read(), "series_number") == [("1",)]
+    assert main(["claims", "--mapping", mapping, "--table", "talons", "--landing", landing, "--root", root,
+                 "--as-of", "2024-01-02 00:00:00"]) == 0
+    assert rows(VersionedTable(spark, "talons_complex", root=os.path.join(root, "talons_complex")).read(),
+                "talon", "status") == [("1", "x"), ("1", "y")]
