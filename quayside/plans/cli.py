@@ -2,6 +2,7 @@
 
     python -m quayside.plans.cli journal --mapping mapping.json --table load_data_reference \
         --landing s3://landing/reference --root s3://tables --as-of "2024-06-01 00:00:00"
+    python -m quayside.plans.cli tick    --mapping mapping.json --table load_data_reference ... --archive s3://done
     python -m quayside.plans.cli claims  --mapping mapping.json --table load_data_talons ...
     python -m quayside.plans.cli routed  --mapping mapping.json --registered load_data_talons ...
     python -m quayside.plans.cli health  --tables t1 t2
@@ -32,7 +33,7 @@ def _table(spark, root, name, keys=(), buckets=None):
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="quayside")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("journal", "claims", "routed"):
+    for name in ("journal", "tick", "claims", "routed"):
         p = sub.add_parser(name)
         p.add_argument("--mapping", required=True)
         p.add_argument("--landing", required=True)
@@ -48,6 +49,8 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--table", required=True)
         if name == "journal":
             p.add_argument("--latest-only", action="store_true")
+        if name == "tick":
+            p.add_argument("--archive", default=None, help="move files loaded on an earlier tick here")
     h = sub.add_parser("health")
     h.add_argument("--tables", nargs="+", required=True)
     args = ap.parse_args(argv)
@@ -64,6 +67,14 @@ def main(argv: list[str] | None = None) -> int:
         target = _table(spark, args.root, spec.table_name, spec.keys, args.buckets)
         res = run_journal(spark, spec, args.landing, target, args.as_of, now, args.required, args.min_age,
                           latest_only=args.latest_only)
+    elif args.cmd == "tick":
+        from ..streaming.ingest import run_once
+
+        spec = specs[args.table]
+        target = _table(spark, args.root, spec.table_name, spec.keys, args.buckets)
+        ledger = _table(spark, args.root, f"{spec.table_name}_ledger")
+        res = run_once(spark, spec, args.landing, target, ledger, args.as_of, now, args.required, args.min_age,
+                       archive_dir=args.archive)
     elif args.cmd == "claims":
         spec = specs[args.table]
         normal = _table(spark, args.root, f"{spec.table_name}_normal", spec.keys, args.buckets)

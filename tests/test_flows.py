@@ -194,3 +194,24 @@ def test_cli_journal_and_claims(spark, scratch):
                  "--as-of", "2024-01-02 00:00:00"]) == 0
     assert rows(VersionedTable(spark, "talons_complex", root=os.path.join(root, "talons_complex")).read(),
                 "talon", "status") == [("1", "x"), ("1", "y")]
+
+
+def test_cli_tick_twice(spark, scratch):
+    import json
+
+    from quayside.plans.cli import main
+
+    mapping = os.path.join(scratch, "mapping.json")
+    with open(mapping, "w", encoding="utf-8") as f:
+        json.dump({"tables": {"ticks": {"file": {"file_pattern": "Справки*", "file_format": "csv"},
+                                        "mapping_fields": {"Серия и номер": "series_number", "ФИО": "full_name"},
+                                        "column_check": ["series_number"], "encoding": "cp1251",
+                                        "delimiter": ";"}}}, f, ensure_ascii=False)
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;А\n".encode("cp1251"), mtime="2024-01-01")
+    root, archive = os.path.join(scratch, "tables"), os.path.join(scratch, "archive")
+    args = ["tick", "--mapping", mapping, "--table", "ticks", "--landing", landing, "--root", root,
+            "--as-of", "2024-01-02 00:00:00", "--required", "--archive", archive]
+    assert main(args) == 0 and main(args) == 0
+    assert "Справки_1.csv" in os.listdir(archive)
+    assert VersionedTable(spark, "ticks", root=os.path.join(root, "ticks")).versions() == [1]
