@@ -145,3 +145,17 @@ FROM n1 FULL OUTER JOIN n2 ON n1.talon = n2.talon AND n1.source = n2.source""",
 }
 
 ORACLE_SQL["stream_journal"] = ORACLE_SQL["journal_flow"]
+
+ORACLE_SQL["route_files_all"] = """
+WITH m AS (SELECT event_type || '_' || CAST(event_id AS VARCHAR) || '.csv' AS name FROM events),
+r AS (SELECT 'views' AS table_name, 'view!_%.csv' AS pat UNION ALL SELECT 'clicks', 'click!_%.csv'
+      UNION ALL SELECT 'all_csv', '%!_%.csv')
+SELECT r.table_name, MAX(m.name) AS name FROM r JOIN m ON m.name LIKE r.pat ESCAPE '!' GROUP BY r.table_name"""
+
+ORACLE_SQL["dedupe_file_order"] = """
+WITH a AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders
+           WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'),
+b AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, lower(o_orderstatus) AS o_orderstatus FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00')
+SELECT o_orderkey, o_orderstatus FROM b
+UNION ALL SELECT o_orderkey, o_orderstatus FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)"""

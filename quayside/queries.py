@@ -219,6 +219,16 @@ def q_route_files(spark, sf):
     return route_files(m, routes).select("table_name", "name")
 
 
+def q_route_files_all(spark, sf):
+    """Every registered route with a file, each with its greatest name (the
+    report that exposes two routes sharing files)."""
+    ev = table(spark, sf, "events")
+    m = ev.select(F.concat("event_type", F.lit("_"), F.col("event_id").cast("string"), F.lit(".csv")).alias("name"))
+    routes = [("errors", "error_*.csv", False), ("views", "view_*.csv", True), ("clicks", "click_*.csv", True),
+              ("all_csv", "*_*.csv", True)]
+    return route_files(m, routes, all_matches=True).select("table_name", "name")
+
+
 def _files_and_ledger(spark, sf):
     ev = table(spark, sf, "events")
     name = F.concat("event_type", F.lit("_"), F.col("event_id").cast("string"), F.lit(".csv"))
@@ -252,6 +262,21 @@ def q_read_delimited(spark, sf):
     return read_delimited(spark, path, delimiter=";", with_position=False)
 
 
+def q_dedupe_file_order(spark, sf):
+    """Two landed exports of ``orders``; read together, the row of the later
+    file wins for every key that both contain (D1 on real file positions)."""
+    orders = table(spark, sf, "orders")
+    landing = work_path(spark, "landing", "orders")
+    first = orders.where(F.col("o_orderdate") < _ts("1998-01-01 00:00:00", orders, "o_orderdate")).select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus")
+    second = orders.where(F.col("o_orderdate") >= _ts("1997-01-01 00:00:00", orders, "o_orderdate")).select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), F.lower("o_orderstatus").alias("o_orderstatus"))
+    land(first, landing, "orders_20240101", mtime="2024-01-01 00:00:00")
+    land(second, landing, "orders_20240102", mtime="2024-01-02 00:00:00")
+    raw = read_delimited(spark, landing, delimiter=";")
+    return dedupe_last(raw, ["o_orderkey"]).select("o_orderkey", "o_orderstatus")
+
+
 CYR_FROM = "Customer#"
 CYR_TO = "КлиентЁр№"
 
@@ -362,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "split_normal": q_split_normal,
     "split_repeated": q_split_repeated,
     "dedupe_last": q_dedupe_last,
+    "dedupe_file_order": q_dedupe_file_order,
     "upsert": q_upsert,
     "replace_by_key": q_replace_by_key,
     "table_health": q_table_health,
@@ -369,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "latest_by_name": q_latest_by_name,
     "latest_by_time": q_latest_by_time,
     "route_files": q_route_files,
+    "route_files_all": q_route_files_all,
     "plan_file_actions": q_plan_file_actions,
     "incremental_window": q_incremental_window,
     "stream_ingest": q_stream_ingest,
