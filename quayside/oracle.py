@@ -159,3 +159,18 @@ b AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, lower(o_orderstatus) AS
       WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00')
 SELECT o_orderkey, o_orderstatus FROM b
 UNION ALL SELECT o_orderkey, o_orderstatus FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)"""
+
+ORACLE_SQL["journal_two_part_key"] = """
+WITH a AS (SELECT CAST(l_orderkey AS VARCHAR) AS series,
+                  CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)
+                    || '-' || strftime(l_shipdate, '%Y%m%d') AS number,
+                  CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity, strftime(l_shipdate, '%d.%m.%Y') AS ship_date
+           FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01 00:00:00'),
+b AS (SELECT CAST(l_orderkey AS VARCHAR) AS series,
+             CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)
+               || '-' || strftime(l_shipdate, '%Y%m%d') AS number,
+             CAST(CAST(l_quantity AS INTEGER) + 1000 AS VARCHAR) AS quantity, strftime(l_shipdate, '%d.%m.%Y') AS ship_date
+      FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01 00:00:00')
+SELECT series, number, quantity, ship_date FROM b
+UNION ALL SELECT series, number, quantity, ship_date FROM a
+WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.series = a.series AND b.number = a.number)"""

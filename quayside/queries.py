@@ -328,6 +328,37 @@ def q_stream_journal(spark, sf):
     return target.read().select("number", "name", "comment")
 
 
+TWO_PART_SPEC = TableSpec(table_name="load_data_lines", file_pattern="Смертность*",
+                          mapping=(("Серия", "series"), ("Номер", "number"), ("Кол-во, шт.", "quantity"),
+                                   ("Дата отгр.", "ship_date")),
+                          keys=("series", "number"), encoding="cp1251", delimiter=";")
+
+
+def q_journal_two_part_key(spark, sf):
+    """A two-part-key journal (headers with a comma and dots, cp1251) landed
+    from ``lineitem`` as two overlapping exports and loaded in name order."""
+    li = table(spark, sf, "lineitem")
+    landing = work_path(spark, "landing", "lines")
+
+    def export(df, qty):
+        return df.select(F.col("l_orderkey").cast("string").alias("Серия"),
+                         F.concat_ws("-", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
+                                     F.col("l_suppkey").cast("string"),
+                                     F.date_format("l_shipdate", "yyyyMMdd")).alias("Номер"),
+                         qty.alias("Кол-во, шт."), F.date_format("l_shipdate", "dd.MM.yyyy").alias("Дата отгр."))
+
+    first = li.where(F.col("l_shipdate") < _ts("1998-01-01 00:00:00", li, "l_shipdate"))
+    second = li.where(F.col("l_shipdate") >= _ts("1997-01-01 00:00:00", li, "l_shipdate"))
+    land(export(first, F.col("l_quantity").cast("int").cast("string")), landing, "Смертность_1",
+         mtime="2024-01-01 00:00:00", encoding="cp1251")
+    land(export(second, (F.col("l_quantity").cast("int") + 1000).cast("string")), landing, "Смертность_2",
+         mtime="2024-01-02 00:00:00", encoding="cp1251")
+    target = VersionedTable(spark, f"lines_{_uid()}", label=TWO_PART_SPEC.table_name)
+    run_journal(spark, TWO_PART_SPEC, landing, target, as_of="2024-01-03 00:00:00", now="2024-01-03 00:00:00",
+                required=[])
+    return target.read().select("series", "number", "quantity", "ship_date")
+
+
 CLAIMS_KEYS = ["talon", "source"]
 
 
@@ -407,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "publish_snapshot": q_publish_snapshot,
     "journal_flow": q_journal_flow,
     "stream_journal": q_stream_journal,
+    "journal_two_part_key": q_journal_two_part_key,
     "claims_flagship": q_claims_flagship,
     "claims_normal_rows": q_claims_normal_rows,
 }
