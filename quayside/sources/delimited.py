@@ -184,9 +184,29 @@ def expand_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [p for p, _ in expand_files(spark, paths)]
 
 
-# A file above this size is worth splitting across tasks (Spark's own default
-# split size); smaller files are parsed whole, quoted newlines and all.
-SPLIT_BYTES = 128 * 1024 * 1024
+# A file larger than the split size Spark would use for this read is worth
+# splitting across tasks; smaller files are parsed whole, quoted newlines and
+# all.  ``None``: Spark's own rule, min(maxPartitionBytes, max(openCostInBytes,
+# total bytes / default parallelism)); an int fixes it.
+SPLIT_BYTES: int | None = None
+
+
+def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
+    raw = str(spark.conf.get(key, str(default))).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw) if raw.isdigit() else default
+
+
+def split_bytes(spark: SparkSession, files: Sequence[tuple[str, int]]) -> int:
+    if SPLIT_BYTES is not None:
+        return SPLIT_BYTES
+    max_part = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
+    open_cost = _bytes_conf(spark, "spark.sql.files.openCostInBytes", 4 << 20)
+    total = sum(n + open_cost for _, n in files)
+    return min(max_part, max(open_cost, total // max(1, spark.sparkContext.defaultParallelism)))
 ASCII_COMPATIBLE = ("utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1")
 
 
@@ -209,10 +229,11 @@ def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> set
 def _choose_multiline(spark: SparkSession, files: Sequence[tuple[str, int]], encoding: str,
                       multiline) -> dict[str, bool]:
     """Per file: parse whole (multi-line) or split by lines.  ``"auto"`` splits
-    files above :data:`SPLIT_BYTES` unless a quoted field spans lines."""
+    files larger than the read's split size unless a quoted field spans lines."""
     if multiline != "auto":
         return {p: bool(multiline) for p, _ in files}
-    big = [p for p, n in files if n > SPLIT_BYTES]
+    cut = split_bytes(spark, files)
+    big = [p for p, n in files if n > cut]
     if not big or (normalise(encoding) not in ASCII_COMPATIBLE and not needs_translation(encoding)):
         return {p: True for p, _ in files}
     spanning = files_with_quoted_newlines(spark, big)
