@@ -85,8 +85,11 @@ def main(argv: list[str] | None = None) -> int:
         first = specs[args.registered[0]]
         normal = _table(spark, args.root, f"{first.table_name}_normal", first.keys, args.buckets)
         repeated = _table(spark, args.root, f"{first.table_name}_complex")
+        from ..functions.tokens import LEGACY_CLAIMS_REQUIRED
+
+        required = LEGACY_CLAIMS_REQUIRED if args.required is None else args.required
         _, report = run_routed_claims(spark, list(specs.values()), args.registered, args.landing, normal, repeated,
-                                      args.required or ())
+                                      required)
         report.show(truncate=False)
         return 0
     res.report.show(truncate=False)

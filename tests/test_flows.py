@@ -215,3 +215,21 @@ def test_cli_tick_twice(spark, scratch):
     assert main(args) == 0 and main(args) == 0
     assert "Справки_1.csv" in os.listdir(archive)
     assert VersionedTable(spark, "ticks", root=os.path.join(root, "ticks")).versions() == [1]
+
+
+def test_legacy_required_list_fills_routed_claims(spark, scratch):
+    from quayside.functions.tokens import LEGACY_CLAIMS_REQUIRED
+
+    assert len(LEGACY_CLAIMS_REQUIRED) == 45 and LEGACY_CLAIMS_REQUIRED[-1] == "is_complex"
+    specs = load_specs({"tables": {"talons": {
+        "file": {"file_pattern": "journal_20*", "file_format": "csv"},
+        "mapping_fields": {"Талон": "talon", "Источник": "source", "Статус": "status"},
+        "column_check": ["talon", "source"], "encoding": "utf-8", "delimiter": ";"}}})
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "journal_2024.csv", "Талон;Источник;Статус\n1;a;s\n".encode(), mtime="2024-01-01")
+    normal = VersionedTable(spark, "lg_n", root=os.path.join(scratch, "n"))
+    rep = VersionedTable(spark, "lg_r", root=os.path.join(scratch, "r"))
+    run_routed_claims(spark, list(specs.values()), ["talons"], landing, normal, rep, LEGACY_CLAIMS_REQUIRED)
+    cols = normal.read().columns
+    assert cols[:3] == ["talon", "source", "status"] and set(LEGACY_CLAIMS_REQUIRED) <= set(cols)
+    assert normal.read().first()["uet"] == "-"
