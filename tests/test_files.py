@@ -36,8 +36,8 @@ def test_route_first_registered_wins(spark):
     routes = [("talons", "journal_20*.csv", False), ("doctors", "journal_doctor*.csv", True),
               ("oms", "journal_20*.csv", True)]
     assert rows(route_files(m, routes).select("table_name", "name")) == [("doctors", "journal_doctor1.csv")]
-    allm = route_files(m, routes, all_matches=True).select("table_name", "name")
-    assert rows(allm) == [("doctors", "journal_doctor1.csv"), ("oms", "journal_2024b.csv")]
+    every = route_files(m, routes, all_matches=True).select("table_name", "name")
+    assert rows(every) == [("doctors", "journal_doctor1.csv"), ("oms", "journal_2024b.csv")]
 
 
 def test_plan_actions_reupload_is_new(spark):
