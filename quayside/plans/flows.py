@@ -132,20 +132,28 @@ def _stamp(now) -> str:
 
 def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], normal: VersionedTable,
                repeated: VersionedTable, now, required: Sequence[str] = (), flag: str = "is_complex",
-               stamp_repeated: bool = True, move_between: bool = False) -> DataFrame:
+               stamp_repeated: bool = True, move_between: bool = False, cache_input: bool = False) -> DataFrame:
     """Claims load: flag repeated keys, upsert the normal rows, replace the
     repeated rows by key.  Both new versions are written before either is
     published.  Returns the two-row load report.
 
     Tables are independent by default (as in the reference, a key that was
     normal and is now repeated keeps its old normal row); ``move_between``
-    removes a key from the other table when it arrives in this one."""
+    removes a key from the other table when it arrives in this one.
+
+    ``cache_input``: the flag reads its input twice (key counts, then the
+    join back); for an expensive input (parsed text) the input is cached
+    until the flagged cache is filled, so every file is parsed once."""
     keys = list(keys)
     batch = drop_audit(fill_missing_required(batch, required, exclude=(flag,)))
+    if cache_input:
+        batch = persisted(batch)
     flagged = persisted(flag_repeated(batch, keys, flag))
     try:
         # one pass: the split counts, and the cache filled for both writes
         counts = count_flagged(flagged, flag).first()
+        if cache_input:
+            batch.unpersist()
         sizes = {"upsert": counts["n_normal"], "replace": counts["n_complex"]}
         normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
         normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
@@ -235,7 +243,7 @@ def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal:
         return FlowResult(empty[0].unionByName(empty[1]), None, [])
     raw = read_delimited(spark, [r["path"] for r in files], spec.delimiter, spec.encoding, spec.multiline)
     batch = prepare_batch(raw, spec, [c for c in required if c != "is_complex"])
-    report = run_claims(spark, batch, spec.keys, normal, repeated, now)
+    report = run_claims(spark, batch, spec.keys, normal, repeated, now, cache_input=True)
     run_key = f"{spec.table_name}-{_stamp(now)}"
     ledger = spark.createDataFrame(
         [(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)
