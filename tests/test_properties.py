@@ -60,3 +60,16 @@ def test_broadcast_upsert_does_not_shuffle_target(spark):
     scan_lines = [i for i, line in enumerate(plan.splitlines()) if "Range (0, 1000" in line]
     assert scan_lines and "SortMergeJoin" not in plan
     assert out.count() == 1001 and out.where("v = 'b'").count() == 1
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(keys, vals), min_size=1, max_size=12), st.integers(1, 5))
+def test_last_row_wins_ignores_physical_order(spark, batch, parts):
+    from quayside.operators.merge import dedupe_last
+
+    df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(batch)], "k string, v string, _pos int")
+    expect = {}
+    for i, (k, v) in enumerate(batch):
+        expect[k] = (k, v, i)                      # the last row in file order
+    shuffled = df.repartition(parts).sortWithinPartitions(df["_pos"].desc())
+    assert rows(dedupe_last(shuffled, ["k"])) == sorted(expect.values(), key=repr)
