@@ -24,7 +24,7 @@ from ..operators.split import count_flagged, flag_repeated, split_repeated
 from ..sinks.report import load_report, skipped_report
 from ..sinks.snapshot import VersionedTable
 from ..sources.catalog import table_columns
-from ..sources.delimited import null_tokens, read_delimited
+from ..sources.delimited import null_tokens, read_delimited, read_delimited_split
 from ..sources.files import LEDGER_SCHEMA, classify_files, discover_files, latest_by_name
 from ..spec import TableSpec
 
@@ -87,7 +87,8 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
 def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable, as_of, now,
                 required: Sequence[str] | None = None, min_age_seconds: float = 60,
                 latest_only: bool = False, only_paths: Sequence[str] | None = None,
-                overwrite_missing: bool = True) -> FlowResult:
+                overwrite_missing: bool = True, on_bad: str = "error",
+                quarantine: VersionedTable | None = None) -> FlowResult:
     """One tick of the journal load: discover → classify → read every valid
     file in name order (or only the latest, as the reference picks) →
     prepare → upsert → publish → report + ledger rows for the files read.
@@ -95,7 +96,10 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
     ``required`` defaults to the target's text columns (if it exists).  A
     required column the files lack is written as ``-``; as in the reference
     it overwrites the stored value on a match, unless ``overwrite_missing``
-    is false."""
+    is false.  A bad row (more fields than the header, a byte the code page
+    leaves undefined) fails the load (``on_bad="error"``, as the reference)
+    or, with ``on_bad="quarantine"``, is appended to ``quarantine`` (reason
+    and fields) while the good rows load."""
     manifest = discover_files(spark, landing)
     classified = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds)
     valid = classified.where(F.col("state") == "valid")
@@ -109,7 +113,12 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
         return FlowResult(skipped_report(spark, target.label, target.read() if target.exists() else None),
                           None, [])
     paths = [r["path"] for r in files]
-    raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+    if on_bad == "quarantine":
+        raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        if quarantine is not None:
+            _quarantine(spark, bad, quarantine, now)
+    else:
+        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
     if required is None:
         required = table_columns(spark, target.name) if spark.catalog.tableExists(target.name) else []
     if overwrite_missing:
@@ -124,6 +133,22 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
     return FlowResult(report, ledger, paths)
 
 
+QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("bad_reason", T.StringType(), True),
+    T.StructField("fields", T.MapType(T.StringType(), T.StringType()), True),
+    T.StructField("quarantined_at", T.StringType(), True),
+])
+
+
+def _quarantine(spark: SparkSession, bad: DataFrame, table: VersionedTable, now) -> None:
+    """Append bad rows as (reason, fields map): one schema whatever the layout."""
+    data = [c for c in bad.columns if c not in (POS, "bad_reason")]
+    rows = bad.select(F.col("bad_reason"),
+                      F.create_map(*[x for c in data for x in (F.lit(c), qcol(c))]).alias("fields"),
+                      F.lit(str(now)).alias("quarantined_at"))
+    table.publish(table.read_or_empty(QUARANTINE_SCHEMA).unionByName(rows))
+
+
 def _stamp(now) -> str:
     if isinstance(now, _dt.datetime):
         return now.strftime("%Y%m%d_%H%M%S")

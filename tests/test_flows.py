@@ -233,3 +233,20 @@ def test_legacy_required_list_fills_routed_claims(spark, scratch):
     cols = normal.read().columns
     assert cols[:3] == ["talon", "source", "status"] and set(LEGACY_CLAIMS_REQUIRED) <= set(cols)
     assert normal.read().first()["uet"] == "-"
+
+
+def test_journal_quarantines_bad_rows(spark, scratch):
+    import pytest
+
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;А\n2;Б;лишнее\n3;В\n".encode("cp1251"),
+               mtime="2024-01-01")
+    target = VersionedTable(spark, "qr_t", root=os.path.join(scratch, "t"))
+    with pytest.raises(Exception, match="more fields"):
+        run_journal(spark, SPEC, landing, target, as_of="2024-01-02", now="n1", required=[])
+    quarantine = VersionedTable(spark, "qr_q", root=os.path.join(scratch, "q"))
+    run_journal(spark, SPEC, landing, target, as_of="2024-01-02", now="n1", required=[], on_bad="quarantine",
+                quarantine=quarantine)
+    assert rows(target.read(), "series_number") == [("1",), ("3",)]
+    bad = quarantine.read().collect()
+    assert len(bad) == 1 and bad[0].fields["Серия и номер"] == "2" and "Справки_1.csv" in bad[0].bad_reason
