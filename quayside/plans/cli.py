@@ -49,6 +49,9 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--table", required=True)
         if name == "journal":
             p.add_argument("--latest-only", action="store_true")
+        if name in ("journal", "claims"):
+            p.add_argument("--quarantine", action="store_true",
+                           help="set bad rows aside in <table>_quarantine instead of failing")
         if name == "tick":
             p.add_argument("--archive", default=None, help="move files loaded on an earlier tick here")
     h = sub.add_parser("health")
@@ -65,8 +68,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "journal":
         spec = specs[args.table]
         target = _table(spark, args.root, spec.table_name, spec.keys, args.buckets)
+        bad = _table(spark, args.root, f"{spec.table_name}_quarantine") if args.quarantine else None
         res = run_journal(spark, spec, args.landing, target, args.as_of, now, args.required, args.min_age,
-                          latest_only=args.latest_only)
+                          latest_only=args.latest_only, on_bad="quarantine" if bad else "error", quarantine=bad)
     elif args.cmd == "tick":
         from ..streaming.ingest import run_once
 
@@ -79,8 +83,9 @@ def main(argv: list[str] | None = None) -> int:
         spec = specs[args.table]
         normal = _table(spark, args.root, f"{spec.table_name}_normal", spec.keys, args.buckets)
         repeated = _table(spark, args.root, f"{spec.table_name}_complex")
+        bad = _table(spark, args.root, f"{spec.table_name}_quarantine") if args.quarantine else None
         res = run_claims_files(spark, spec, args.landing, normal, repeated, args.as_of, now, args.required or (),
-                               args.min_age)
+                               args.min_age, on_bad="quarantine" if bad else "error", quarantine=bad)
     else:
         first = specs[args.registered[0]]
         normal = _table(spark, args.root, f"{first.table_name}_normal", first.keys, args.buckets)

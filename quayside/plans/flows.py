@@ -254,7 +254,8 @@ def run_routed_claims(spark: SparkSession, specs: Sequence[TableSpec], registere
 
 def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal: VersionedTable,
                      repeated: VersionedTable, as_of, now, required: Sequence[str] = (),
-                     min_age_seconds: float = 60, latest_only: bool = False) -> FlowResult:
+                     min_age_seconds: float = 60, latest_only: bool = False, on_bad: str = "error",
+                     quarantine: VersionedTable | None = None) -> FlowResult:
     """Claims from landed files: discover → classify → read (name order) →
     prepare → :func:`run_claims`.  The file order ``_pos`` makes the last
     row of a repeated normal key win, as row-by-row statements would."""
@@ -266,7 +267,13 @@ def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal:
     if not files:
         empty = [skipped_report(spark, t.label, t.read() if t.exists() else None) for t in (normal, repeated)]
         return FlowResult(empty[0].unionByName(empty[1]), None, [])
-    raw = read_delimited(spark, [r["path"] for r in files], spec.delimiter, spec.encoding, spec.multiline)
+    paths = [r["path"] for r in files]
+    if on_bad == "quarantine":
+        raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        if quarantine is not None:
+            _quarantine(spark, bad, quarantine, now)
+    else:
+        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
     batch = prepare_batch(raw, spec, [c for c in required if c != "is_complex"])
     report = run_claims(spark, batch, spec.keys, normal, repeated, now, cache_input=True)
     run_key = f"{spec.table_name}-{_stamp(now)}"
