@@ -28,9 +28,3 @@ def require_columns(df: DataFrame, names: Iterable[str], what: str = "column") -
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing {what}(s): {', '.join(missing)}")
-
-
-def literal_like(value, dtype) -> Column:
-    """A literal cast to ``dtype`` (keeps ``timestamp_ntz`` columns comparable
-    whatever the session time zone)."""
-    return F.lit(value).cast(dtype)

@@ -62,11 +62,6 @@ def _now_literal(now, dtype: T.DataType | None) -> Column:
     return lit.cast(dtype) if dtype is not None else lit.cast("timestamp")
 
 
-def with_audit(df: DataFrame, now, dtype: T.DataType | None = None) -> DataFrame:
-    """Stamp both audit columns with ``now`` (new rows)."""
-    return df.withColumns({a: _now_literal(now, dtype) for a in AUDIT_COLUMNS})
-
-
 def target_schema_for(batch: DataFrame, audit: bool = True, now_type: T.DataType | None = None) -> T.StructType:
     fields = [f for f in drop_audit(batch).schema.fields if f.name != POS]
     if audit:

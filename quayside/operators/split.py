@@ -26,15 +26,6 @@ SPREAD = "__qs_spread"
 NULL_SPREAD_BUCKETS = 1024
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str], out: str = "is_complex") -> DataFrame:
-    """The distinct non-null keys occurring more than once, with ``out = true``."""
-    return (df.where(all_not_null(keys))
-              .groupBy(*[qcol(k) for k in keys])
-              .agg(F.count(F.lit(1)).alias("__qs_n"))
-              .where(F.col("__qs_n") > 1)
-              .select(*[qcol(k) for k in keys], F.lit(True).alias(out)))
-
-
 def _zero_from(key: str):
     # a computed zero, not a literal: a literal would be folded out of the join
     # keys into the join condition, and the spread of null keys would be lost

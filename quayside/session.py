@@ -8,7 +8,6 @@ runs) do we pick one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,15 +61,6 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([base.rstrip("/")] + leaf)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme, for the few helpers that use the local file API."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
-
-
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -83,10 +73,3 @@ def fs_for(spark: SparkSession, path: str):
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs, jpath
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -25,8 +25,3 @@ def skipped_report(spark: SparkSession, table_name: str, current: DataFrame | No
     if current is None:
         return spark.createDataFrame([(table_name, "skipped", None)], REPORT_SCHEMA)
     return load_report(table_name, current, status="skipped")
-
-
-def is_empty(df: DataFrame) -> bool:
-    """Cheap emptiness probe (a LIMIT 1 job, not a count)."""
-    return df.isEmpty()

@@ -113,11 +113,6 @@ def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding:
     return pandas_names(first)
 
 
-def parse_header_line(line: str, delimiter: str) -> list[str]:
-    """Header names from one text line (used by tests and streaming)."""
-    return pandas_names(next(csv.reader(io.StringIO(line), delimiter=delimiter, quotechar='"')))
-
-
 def _file_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(uri as the scan reports it, ordinal in apply order, path) per file.
     Its size is the number of files in one load (checked by the caller's
@@ -180,10 +175,6 @@ def expand_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, i
     return out
 
 
-def expand_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    return [p for p, _ in expand_files(spark, paths)]
-
-
 # A file larger than the split size Spark would use for this read is worth
 # splitting across tasks; smaller files are parsed whole, quoted newlines and
 # all.  ``None``: Spark's own rule, min(maxPartitionBytes, max(openCostInBytes,

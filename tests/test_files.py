@@ -1,6 +1,5 @@
 import datetime as dt
 import os
-import time
 
 import pytest
 
