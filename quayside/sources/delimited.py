@@ -212,7 +212,9 @@ def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> set
     lines = parts[0]
     for part in parts[1:]:
         lines = lines.unionByName(part)
-    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    # counted within one decoded string (a length difference would mix the raw
+    # byte view and the decoded view for non-UTF-8 text such as cp1251)
+    quotes = F.regexp_count(F.col("value"), F.lit('"'))
     hit = lines.where(quotes % 2 == 1).select("f").distinct().collect()
     return {paths[r["f"]] for r in hit}
 

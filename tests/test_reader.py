@@ -127,3 +127,14 @@ def test_many_files_headers_probed(spark, scratch):
     paths = [write(scratch, f"m_{i:03d}.csv", f"k;v\n{i};x{i}\n".encode()) for i in range(40)]
     df = read_delimited(spark, paths, ";", with_position=False)
     assert df.count() == 40 and df.columns == ["k", "v"]
+
+
+def test_auto_mode_detects_quoted_newline_in_cp1251(spark, scratch, monkeypatch):
+    import quayside.sources.delimited as D
+
+    monkeypatch.setattr(D, "SPLIT_BYTES", 100)
+    body = "Номер;Текст\n" + "".join(f"{i};Ёлка №{i}\n" for i in range(200)) + '999;"строка\nвторая"\n'
+    p = write(scratch, "cp.csv", body.encode("cp1251"))
+    files = D.expand_files(spark, [p])
+    assert D._choose_multiline(spark, files, "cp1251", "auto") == {files[0][0]: True}
+    spark_vs_pandas(spark, p, enc="cp1251")
