@@ -18,15 +18,18 @@ BAD = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowE
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
+    print(f"| query | exchanges | broadcasts | sort aggregates | scans (ReadSchema) |")
+    print("| --- | --- | --- | --- | --- |")
     for name in sys.argv[2:] or QUERIES:
         df = QUERIES[name](spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         ex = plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + \
             plan.count("Exchange SinglePartition") + plan.count("Exchange RoundRobin")
         bad = [b for b in BAD if b in plan]
-        schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
-        print(f"{name:24s} exchanges={ex} bcast={plan.count('BroadcastExchange')} sortagg={plan.count('SortAggregate')} "
-              f"bad={bad} scans={[s[:70] for s in schemas]}")
+        schemas = re.findall(r"ReadSchema: struct<([^>\n]*)", plan)
+        assert not bad, (name, bad)
+        cols = "; ".join(s.rstrip(".") for s in schemas) or "(tables written by the query)"
+        print(f"| {name} | {ex} | {plan.count('BroadcastExchange')} | {plan.count('SortAggregate')} | {cols} |")
     spark.stop()
 
 
