@@ -48,6 +48,11 @@ class FlowResult:
     files: list[str]            # the paths read, in apply order
 
 
+def _mapped(spec: TableSpec) -> list[tuple[str, str]]:
+    """Per mapped column, the names a landed header may carry it under."""
+    return [(src, dst) for src, dst in spec.mapping]
+
+
 def prepare_batch(df: DataFrame, spec: TableSpec, required: Sequence[str] = ()) -> DataFrame:
     """Reader output → the rows a loader applies: NA tokens → NULL, strict
     mapping (``_pos`` kept), required columns added, audit columns dropped."""
@@ -114,11 +119,13 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
                           None, [])
     paths = [r["path"] for r in files]
     if on_bad == "quarantine":
-        raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
+                                        require=_mapped(spec))
         if quarantine is not None:
             _quarantine(spark, bad, quarantine, now)
     else:
-        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
+                             require=_mapped(spec))
     if required is None:
         required = table_columns(spark, target.name) if spark.catalog.tableExists(target.name) else []
     if overwrite_missing:
@@ -233,7 +240,8 @@ def run_routed_claims(spark: SparkSession, specs: Sequence[TableSpec], registere
     if not hit:
         raise FileNotFoundError(f"no landed file matches a registered spec in {landing}")
     spec = next(s for s in specs if s.table_name == hit[0]["table_name"])
-    raw = read_delimited(spark, [hit[0]["path"]], spec.delimiter, spec.encoding, spec.multiline)
+    raw = read_delimited(spark, [hit[0]["path"]], spec.delimiter, spec.encoding, spec.multiline,
+                         require=_mapped(spec))
     batch = prepare_batch(raw, spec, [c for c in required if c != flag]).drop(POS)
     keys = list(spec.keys)
     flagged = persisted(flag_repeated(batch, keys, flag))
@@ -269,11 +277,13 @@ def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal:
         return FlowResult(empty[0].unionByName(empty[1]), None, [])
     paths = [r["path"] for r in files]
     if on_bad == "quarantine":
-        raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
+                                        require=_mapped(spec))
         if quarantine is not None:
             _quarantine(spark, bad, quarantine, now)
     else:
-        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
+                             require=_mapped(spec))
     batch = prepare_batch(raw, spec, [c for c in required if c != "is_complex"])
     report = run_claims(spark, batch, spec.keys, normal, repeated, now, cache_input=True)
     run_key = f"{spec.table_name}-{_stamp(now)}"

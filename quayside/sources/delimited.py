@@ -233,8 +233,23 @@ def _choose_multiline(spark: SparkSession, files: Sequence[tuple[str, int]], enc
     return {p: (p not in big) or (p in spanning) for p, _ in files}
 
 
+def _check_required(headers: dict[str, tuple[str, ...]], require: Sequence[Sequence[str]]) -> None:
+    """Every file must carry, for each entry of ``require``, one of its names
+    (a mapped source header or its target name).  Files are checked one by
+    one, as a per-file load would, so a layout that lacks a column is not
+    hidden by another file that has it."""
+    problems = []
+    for path, names in headers.items():
+        have = set(names)
+        missing = [alts[0] for alts in require if not have.intersection(alts)]
+        if missing:
+            problems.append(f"{path}: {missing}")
+    if problems:
+        raise ValueError("mapped column(s) missing from landed file(s): " + "; ".join(problems))
+
+
 def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encoding: str, multiline,
-              header: Sequence[str] | None) -> DataFrame:
+              header: Sequence[str] | None, require: Sequence[Sequence[str]] = ()) -> DataFrame:
     """One scan per distinct (header layout, parse mode), united by column name
     (a later export that adds or reorders columns is read by name, not by
     position)."""
@@ -252,6 +267,8 @@ def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encodin
         with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
             found = pool.map(lambda f: tuple(read_header(spark, f[0], delimiter, encoding)), files)
             headers = {p: h for (p, _), h in zip(files, found)}
+    if require:
+        _check_required(headers, require)
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for p, _ in files:
         groups.setdefault((headers[p], mode[p]), []).append(p)
@@ -264,11 +281,12 @@ def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encodin
 
 def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
                          encoding: str = "utf-8", multiline: bool | str = "auto",
-                         header: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                         header: Sequence[str] | None = None,
+                         require: Sequence[Sequence[str]] = ()) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows).  Bad rows keep their fields, ``_pos`` and the
     reason in ``bad_reason``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = _scan_all(spark, paths, delimiter, encoding, multiline, header)
+    df = _scan_all(spark, paths, delimiter, encoding, multiline, header, require)
     good = df.where(F.col(EXTRA).isNull()).drop(EXTRA)
     bad = df.where(F.col(EXTRA).isNotNull()).withColumnRenamed(EXTRA, "bad_reason")
     return good, bad
@@ -276,16 +294,19 @@ def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimi
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
                    encoding: str = "utf-8", multiline: bool | str = "auto", on_bad: str = "error",
-                   header: Sequence[str] | None = None, with_position: bool = True) -> DataFrame:
+                   header: Sequence[str] | None = None, with_position: bool = True,
+                   require: Sequence[Sequence[str]] = ()) -> DataFrame:
     """Read landed delimited files as strings (see module doc).  Files are
-    grouped by their header; each group is one scan."""
+    grouped by their header; each group is one scan.  ``require``: per entry,
+    the names one of which every file's header must carry (else ValueError
+    naming the files)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if on_bad not in ("error", "quarantine"):
         raise ValueError("on_bad must be 'error' or 'quarantine'")
     if on_bad == "quarantine":
-        df, _ = read_delimited_split(spark, paths, delimiter, encoding, multiline, header)
+        df, _ = read_delimited_split(spark, paths, delimiter, encoding, multiline, header, require)
     else:
-        df = _scan_all(spark, paths, delimiter, encoding, multiline, header)
+        df = _scan_all(spark, paths, delimiter, encoding, multiline, header, require)
         ok = F.when(F.col(EXTRA).isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("bad row: "), F.col(EXTRA))))
         df = df.where(ok).drop(EXTRA)

@@ -96,7 +96,8 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
         paths = [r["path"] for r in batch.select("path", "name").orderBy("name").collect()]
         if not paths:
             return
-        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline)
+        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
+                             require=[(src, dst) for src, dst in spec.mapping])
         load_upsert(spark, prepare_batch(raw, spec, required), spec.keys, target, now)
 
     writer = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -250,3 +250,15 @@ def test_journal_quarantines_bad_rows(spark, scratch):
     assert rows(target.read(), "series_number") == [("1",), ("3",)]
     bad = quarantine.read().collect()
     assert len(bad) == 1 and bad[0].fields["Серия и номер"] == "2" and "Справки_1.csv" in bad[0].bad_reason
+
+
+def test_file_lacking_a_mapped_column_fails_the_load(spark, scratch):
+    import pytest
+
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;А\n".encode("cp1251"), mtime="2024-01-01")
+    land_bytes(spark, landing, "Справки_2.csv", "Серия и номер;Другое\n2;Б\n".encode("cp1251"), mtime="2024-01-01")
+    target = VersionedTable(spark, "mc_t", root=os.path.join(scratch, "t"))
+    with pytest.raises(ValueError, match="Справки_2.csv.*ФИО"):
+        run_journal(spark, SPEC, landing, target, as_of="2024-01-02", now="n1", required=[])
+    assert not target.exists()
