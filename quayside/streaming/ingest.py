@@ -122,15 +122,24 @@ def run_once(spark: SparkSession, spec: TableSpec, landing: str, target: Version
 
     known = ledger.read_or_empty(LEDGER_SCHEMA)
     # one listing, one decision per file (the file list, not data, comes back)
-    actions = plan_file_actions(discover_files(spark, landing), known).select("path", "action").collect()
+    actions = plan_file_actions(discover_files(spark, landing), known).select(
+        "path", "name", "mtime", "length", "action").collect()
     if archive_dir:
         archive_files(spark, [r["path"] for r in actions if r["action"] == "retire"], archive_dir)
     todo = [r for r in actions if r["action"] in ("launch", "relaunch")]
     if not todo:
         return FlowResult(target.count().select(F.lit(target.label).alias("table_name"),
                                                 F.lit("skipped").alias("status"), "final_count"), None, [])
-    result = run_journal(spark, spec, landing, target, as_of, now, required, min_age_seconds,
-                         only_paths=[r["path"] for r in todo])
+    try:
+        result = run_journal(spark, spec, landing, target, as_of, now, required, min_age_seconds,
+                             only_paths=[r["path"] for r in todo])
+    except Exception:
+        # record the failed attempt: the next tick relaunches these files
+        run_key = f"{spec.table_name}-{now}"
+        failed = spark.createDataFrame([(r["name"], r["mtime"], r["length"], run_key, "FAILURE") for r in todo],
+                                       LEDGER_SCHEMA)
+        ledger.publish(known.unionByName(failed))
+        raise
     if result.ledger is not None:
         ledger.publish(known.unionByName(result.ledger))
     return result

@@ -262,3 +262,20 @@ def test_file_lacking_a_mapped_column_fails_the_load(spark, scratch):
     with pytest.raises(ValueError, match="Справки_2.csv.*ФИО"):
         run_journal(spark, SPEC, landing, target, as_of="2024-01-02", now="n1", required=[])
     assert not target.exists()
+
+
+def test_run_once_records_failure_then_relaunches(spark, scratch):
+    import pytest
+
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;А;лишнее\n".encode("cp1251"),
+               mtime="2024-01-01")
+    target = VersionedTable(spark, "rf_t", root=os.path.join(scratch, "t"))
+    ledger = VersionedTable(spark, "rf_l", root=os.path.join(scratch, "l"))
+    with pytest.raises(Exception):
+        run_once(spark, SPEC, landing, target, ledger, as_of="2024-01-02", now="n1", required=[])
+    assert [r.run_status for r in ledger.read().collect()] == ["FAILURE"]
+    # the file is fixed and re-uploaded: a new identity, launched again; the old failure stays recorded
+    land_bytes(spark, landing, "Справки_1.csv", "Серия и номер;ФИО\n1;А\n".encode("cp1251"), mtime="2024-01-01")
+    r = run_once(spark, SPEC, landing, target, ledger, as_of="2024-01-02", now="n2", required=[])
+    assert len(r.files) == 1 and rows(target.read(), "series_number") == [("1",)]
