@@ -13,7 +13,9 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from quayside.session import local_session
 
-    s = local_session(4, app="quayside-tests", **{"spark.sql.shuffle.partitions": "4"})
+    warehouse = tempfile.mkdtemp(prefix="qs-warehouse-")
+    s = local_session(4, app="quayside-tests", **{"spark.sql.shuffle.partitions": "4",
+                                                  "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
