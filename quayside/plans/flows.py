@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import qcol
+from ..functions.columns import any_null, qcol
 from ..functions.tokens import SENTINEL
 from ..operators.mapping import drop_audit, fill_missing_required, fill_sentinel, map_strict
 from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
-from ..operators.split import count_flagged, flag_repeated, split_repeated
+from ..operators.split import flag_repeated, split_repeated
 from ..sinks.report import load_report, skipped_report
 from ..sinks.snapshot import VersionedTable
 from ..sources.catalog import table_columns
@@ -182,11 +182,15 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
         batch = persisted(batch)
     flagged = persisted(flag_repeated(batch, keys, flag))
     try:
-        # one pass: the split counts, and the cache filled for both writes
-        counts = count_flagged(flagged, flag).first()
+        # one pass: the split counts, and the cache filled for both writes.  The
+        # normal half has unique keys, except rows with a NULL key part, which
+        # collide once filled with "-": only those need the last-row-wins step
+        counts = flagged.agg(F.count_if(~qcol(flag)).alias("n_normal"), F.count_if(qcol(flag)).alias("n_complex"),
+                             F.count_if(any_null(keys)).alias("n_null_keys")).first()
         if cache_input:
             batch.unpersist()
         sizes = {"upsert": counts["n_normal"], "replace": counts["n_complex"]}
+        dedupe_normal = counts["n_null_keys"] > 1
         normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
         normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
         tschema = _target_schema(normal_b, now)
@@ -204,7 +208,7 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                 # the normal half's size is known from the split counts: a small
                 # batch is broadcast and the stored table is not shuffled
                 new = upsert(current, part, keys, now, batch_rows=sizes[op],
-                             broadcast_below=broadcast_bound(table))
+                             broadcast_below=broadcast_bound(table), dedupe=dedupe_normal)
             else:
                 new = replace_by_key(current, part, keys, now, stamp=stamp_repeated, batch_rows=sizes[op],
                                      broadcast_below=broadcast_bound(table))
