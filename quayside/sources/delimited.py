@@ -84,8 +84,7 @@ def pandas_names(raw: Sequence[str]) -> list[str]:
 HEADER_PROBE_BYTES = 1 << 20
 
 
-def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8",
-                multiline: bool = True) -> list[str]:
+def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8") -> list[str]:
     """The header of one file, parsed from its first bytes (read through the
     Hadoop file system on the driver: a metadata-sized read, no Spark job)."""
     from ..session import fs_for
