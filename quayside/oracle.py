@@ -174,3 +174,6 @@ b AS (SELECT CAST(l_orderkey AS VARCHAR) AS series,
 SELECT series, number, quantity, ship_date FROM b
 UNION ALL SELECT series, number, quantity, ship_date FROM a
 WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.series = a.series AND b.number = a.number)"""
+
+ORACLE_SQL["landing_scan"] = """
+SELECT event_type, COUNT(*) AS n_rows FROM events WHERE event_type <> 'view' GROUP BY event_type"""

@@ -26,7 +26,8 @@ from .sinks.report import load_report
 from .sinks.snapshot import VersionedTable, publish_snapshot
 from .sources.catalog import table_columns_frame, table_health
 from .sources.delimited import null_tokens, read_delimited, write_delimited
-from .sources.files import classify_files, latest_by_name, latest_by_time, plan_file_actions, route_files
+from .sources.files import (classify_files, discover_files, latest_by_name, latest_by_time, plan_file_actions,
+                           route_files)
 from .spec import TableSpec
 from .streaming.ingest import stream_journal, stream_upsert
 
@@ -229,6 +230,24 @@ def q_route_files_all(spark, sf):
     return route_files(m, routes, all_matches=True).select("table_name", "name")
 
 
+def q_landing_scan(spark, sf):
+    """A1 on a real folder: ``events`` landed as one export per event type
+    (the ``view`` export is still too young), plus junk; discover, classify,
+    read the settled exports, count rows per type."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value")
+    landing = work_path(spark, "landing", "events_csv")
+    types = [r[0] for r in ev.select("event_type").distinct().collect()]   # a handful of type names
+    for t in types:
+        mtime = "2024-01-20 00:00:30" if t == "view" else "2024-01-19 00:00:00"
+        land(ev.where(F.col("event_type") == t), landing, f"{t}_export", mtime=mtime)
+    land_bytes(spark, landing, "notes.txt", b"not an export\n", mtime="2024-01-01 00:00:00")
+    manifest = discover_files(spark, landing)
+    valid = classify_files(manifest, "*_export_*.csv", AS_OF, 60).where(F.col("state") == "valid")
+    paths = [r["path"] for r in valid.select("path").collect()]
+    rows = read_delimited(spark, paths, delimiter=";", with_position=False)
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
 def _files_and_ledger(spark, sf):
     ev = table(spark, sf, "events")
     name = F.concat("event_type", F.lit("_"), F.col("event_id").cast("string"), F.lit(".csv"))
@@ -427,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "latest_by_time": q_latest_by_time,
     "route_files": q_route_files,
     "route_files_all": q_route_files_all,
+    "landing_scan": q_landing_scan,
     "plan_file_actions": q_plan_file_actions,
     "incremental_window": q_incremental_window,
     "stream_ingest": q_stream_ingest,
