@@ -28,7 +28,7 @@ def main() -> None:
         bad = [b for b in BAD if b in plan]
         schemas = re.findall(r"ReadSchema: struct<([^>\n]*)", plan)
         assert not bad, (name, bad)
-        cols = "; ".join(s.rstrip(".") for s in schemas) or "(no data scan: schema metadata, or a table the query wrote)"
+        cols = "; ".join(s.rstrip(".") or "(row count only)" for s in schemas) or "(no data scan: schema metadata, or a table the query wrote)"
         print(f"| {name} | {ex} | {plan.count('BroadcastExchange')} | {plan.count('SortAggregate')} | {cols} |")
     spark.stop()
 
