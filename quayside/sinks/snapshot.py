@@ -2,10 +2,12 @@
 
 Each write goes to a fresh version directory ``<root>/v=<n>``; Spark's commit
 protocol leaves ``_SUCCESS`` only when every task committed.  Publishing then
-moves the catalog pointer (``ALTER TABLE … SET LOCATION``): readers see the
-old version or the new one, never half of one, and a failed write leaves an
-orphan directory that no reader ever opens.  A session whose catalog does
-not know the table yet picks the highest committed version.
+marks the version ``_PUBLISHED`` and moves the catalog pointer (``ALTER TABLE
+… SET LOCATION``): readers see the old version or the new one, never half of
+one, and a failed write, or a load that stopped between writing and
+publishing its tables, leaves orphan directories that no reader ever opens.
+A session whose catalog does not know the table yet picks the highest
+published version.
 
 With ``keys`` and ``buckets`` the versions are written bucketed and sorted on
 the keys (one file per bucket, because the rows are hash-partitioned on the
@@ -26,6 +28,9 @@ from ..functions.columns import qcol
 from ..session import fs_for, work_path
 
 _VERSION = re.compile(r"^v=(\d+)$")
+# Fixed value: the marker a version gets when it is published (after every
+# table of its load was written); Spark's own _SUCCESS only says "written".
+PUBLISHED = "_PUBLISHED"
 
 
 class VersionedTable:
@@ -51,13 +56,14 @@ class VersionedTable:
             if not m or not st.isDirectory():
                 continue
             if committed and not fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    st.getPath(), "_SUCCESS")):
+                    st.getPath(), PUBLISHED)):
                 continue
             out.append(int(m.group(1)))
         return sorted(out)
 
     def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
+        """Published versions, oldest first (a staged version whose load did not
+        reach its publish step is never listed)."""
         return self._list_versions(committed=True)
 
     def current_version(self) -> int | None:
@@ -119,7 +125,10 @@ class VersionedTable:
         return version, path, df.schema
 
     def commit(self, staged: tuple[int, str, T.StructType]) -> int:
+        """Publish a staged version: mark it, then move the catalog pointer."""
         version, path, schema = staged
+        fs, jpath = fs_for(self.spark, path)
+        fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jpath, PUBLISHED), True).close()
         self._register(path, schema)
         return version
 

@@ -14,7 +14,7 @@ def test_versions_and_atomic_pointer(spark, scratch):
     assert t.publish(df.where("k = 1")) == 2
     assert rows(t.read()) == [(1, "x")]
     assert rows(old) == [(1, "x"), (2, "y")]          # a reader of v1 is not disturbed
-    os.makedirs(os.path.join(scratch, "a", "v=00000003"))  # a crashed write: no _SUCCESS
+    os.makedirs(os.path.join(scratch, "a", "v=00000003"))  # a crashed write: never published
     assert t.versions() == [1, 2]
     assert t.publish(df) == 4                         # never reuses a crashed directory
     spark.sql("DROP TABLE snap_a")                    # a new session's catalog knows nothing
@@ -59,3 +59,13 @@ def test_merge_into_is_refused_for_plain_parquet(spark):
     batch = spark.createDataFrame([("1", "a")], "k string, v string")
     with pytest.raises(Exception):
         merge_upsert(batch, "mt_plain", ["k"], "2024-01-01 00:00:00")
+
+
+def test_staged_but_unpublished_version_is_invisible(spark, scratch):
+    t = VersionedTable(spark, "snap_c", root=os.path.join(scratch, "c"))
+    df = spark.createDataFrame([(1, "x")], "k int, v string")
+    t.publish(df)
+    t.stage(df.union(spark.createDataFrame([(2, "y")], "k int, v string")))   # a load that stopped here
+    spark.sql("DROP TABLE snap_c")
+    fresh = VersionedTable(spark, "snap_c", root=os.path.join(scratch, "c"))
+    assert fresh.versions() == [1] and rows(fresh.read()) == [(1, "x")]
