@@ -164,7 +164,8 @@ def _stamp(now) -> str:
 
 def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], normal: VersionedTable,
                repeated: VersionedTable, now, required: Sequence[str] = (), flag: str = "is_complex",
-               stamp_repeated: bool = True, move_between: bool = False, cache_input: bool = False) -> DataFrame:
+               stamp_repeated: bool = True, move_between: bool = False, cache_input: bool = False,
+               audit: bool = True) -> DataFrame:
     """Claims load: flag repeated keys, upsert the normal rows, replace the
     repeated rows by key.  Both new versions are written before either is
     published.  Returns the two-row load report.
@@ -175,7 +176,8 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
 
     ``cache_input``: the flag reads its input twice (key counts, then the
     join back); for an expensive input (parsed text) the input is cached
-    until the flagged cache is filled, so every file is parsed once."""
+    until the flagged cache is filled, so every file is parsed once.
+    ``audit=False``: new tables get no audit columns (the legacy load)."""
     keys = list(keys)
     batch = drop_audit(fill_missing_required(batch, required, exclude=(flag,)))
     if cache_input:
@@ -193,7 +195,7 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
         dedupe_normal = counts["n_null_keys"] > 1
         normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
         normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
-        tschema = _target_schema(normal_b, now)
+        tschema = _target_schema(normal_b, now) if audit else target_schema_for(normal_b, audit=False)
         staged, reports = [], {}
         for table, part, op in ((normal, normal_b, "upsert"), (repeated, repeated_b, "replace")):
             if not sizes[op]:
@@ -246,22 +248,10 @@ def run_routed_claims(spark: SparkSession, specs: Sequence[TableSpec], registere
     spec = next(s for s in specs if s.table_name == hit[0]["table_name"])
     raw = read_delimited(spark, [hit[0]["path"]], spec.delimiter, spec.encoding, spec.multiline,
                          require=_mapped(spec))
-    batch = prepare_batch(raw, spec, [c for c in required if c != flag]).drop(POS)
-    keys = list(spec.keys)
-    flagged = persisted(flag_repeated(batch, keys, flag))
-    try:
-        normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
-        normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
-        empty = T.StructType([f for f in normal_b.schema.fields])
-        staged = [(normal, normal.stage(upsert(normal.read_or_empty(empty), normal_b, keys, now=None))),
-                  (repeated, repeated.stage(replace_by_key(repeated.read_or_empty(empty), repeated_b, keys,
-                                                           stamp=False)))]
-        for table, st in staged:
-            table.commit(st)
-    finally:
-        flagged.unpersist()
-    reports = [load_report(t.label, t.read()) for t, _ in staged]
-    return spec.table_name, reports[0].unionByName(reports[1])
+    batch = prepare_batch(raw, spec, [c for c in required if c != flag])
+    report = run_claims(spark, batch, spec.keys, normal, repeated, now=None, flag=flag, stamp_repeated=False,
+                        cache_input=True, audit=False)
+    return spec.table_name, report
 
 
 def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal: VersionedTable,
