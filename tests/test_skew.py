@@ -54,3 +54,4 @@ def test_hot_null_key_is_spread(spark, skew_conf):
     assert "__qs_spread" in left          # the NULL group is spread over the join's partitions
     assert f.where("is_complex").count() == n - n // 3
     assert split_counts(df, ["k"]).first().asDict() == {"n_rows": n, "n_normal": n // 3, "n_complex": n - n // 3}
+
