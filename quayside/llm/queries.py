@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op5_bpe
 from .decontaminate import op1_decontamination
+from .neardup import op4_minhash
+from .suffixdedup import op7_suffix_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
+    "op7_suffix_array": op7_suffix_array,
 }
 
 ORACLE_SQL: dict[str, str] = {}
