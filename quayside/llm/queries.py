@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op5_bpe
+from .debruijn import op6_de_bruijn
 from .decontaminate import op1_decontamination
+from .langid import op3_language_id
 from .neardup import op4_minhash
 from .suffixdedup import op7_suffix_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op3_language_id": op3_language_id,
     "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
+    "op6_de_bruijn": op6_de_bruijn,
     "op7_suffix_array": op7_suffix_array,
 }
 
