@@ -11,7 +11,9 @@ from .debruijn import op6_de_bruijn
 from .decontaminate import op1_decontamination
 from .langid import op3_language_id
 from .neardup import op4_minhash
+from .quality import op10_quality
 from .suffixdedup import op7_suffix_array
+from .tokenfile import op9_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -20,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_de_bruijn": op6_de_bruijn,
     "op7_suffix_array": op7_suffix_array,
+    "op9_token_file": op9_token_file,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
