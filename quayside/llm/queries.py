@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op8_ann
 from .bpe import op5_bpe
 from .debruijn import op6_de_bruijn
 from .decontaminate import op1_decontamination
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_de_bruijn": op6_de_bruijn,
     "op7_suffix_array": op7_suffix_array,
+    "op8_ann": op8_ann,
     "op9_token_file": op9_token_file,
     "op10_quality": op10_quality,
 }
