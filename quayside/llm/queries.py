@@ -11,6 +11,7 @@ from .bpe import op5_bpe
 from .debruijn import op6_de_bruijn
 from .decontaminate import op1_decontamination
 from .langid import op3_language_id
+from .license import op2_license_scan
 from .neardup import op4_minhash
 from .quality import op10_quality
 from .suffixdedup import op7_suffix_array
@@ -18,6 +19,7 @@ from .tokenfile import op9_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_license_scan": op2_license_scan,
     "op3_language_id": op3_language_id,
     "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
