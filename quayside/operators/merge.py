@@ -31,6 +31,7 @@ from .mapping import drop_audit
 POS = "_pos"
 PRESENT = "__qs_present"
 BPFX = "__qs_b_"
+HASHED = "__qs_hash"
 
 
 def dedupe_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None) -> DataFrame:
@@ -62,11 +63,10 @@ def _now_literal(now, dtype: T.DataType | None) -> Column:
     return lit.cast(dtype) if dtype is not None else lit.cast("timestamp")
 
 
-def target_schema_for(batch: DataFrame, audit: bool = True, now_type: T.DataType | None = None) -> T.StructType:
+def target_schema_for(batch: DataFrame, audit: bool = True) -> T.StructType:
     fields = [f for f in drop_audit(batch).schema.fields if f.name != POS]
     if audit:
-        t = now_type or T.TimestampType()
-        fields += [T.StructField(a, t, True) for a in AUDIT_COLUMNS]
+        fields += [T.StructField(a, T.TimestampType(), True) for a in AUDIT_COLUMNS]
     return T.StructType(fields)
 
 
@@ -74,7 +74,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
            order_cols: Sequence[str] | None = None, touch_updated_at: bool = False,
            dedupe: bool = True, guard_cols: Sequence[str] = (),
            insert_defaults: dict[str, object] | None = None,
-           batch_rows: int | None = None, broadcast_below: int = 0) -> DataFrame:
+           broadcast_batch: bool = False) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE SET <batch non-key columns>`` as
     one full outer join.  Returns the new table content (target schema).
 
@@ -89,11 +89,11 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
       batch (a re-run micro-batch) changes nothing.
 
     Plan: a full outer join (both sides hashed on the keys; a bucketed target
-    is read in place).  When the caller proves the batch small —
-    ``batch_rows`` (a count it already has) at most ``broadcast_below`` — the
-    batch is broadcast instead and the target is only scanned, never
-    shuffled: matched rows (target ⋈ batch), untouched rows (target ▷ batch
-    keys) and new rows (batch ▷ matched keys) are united.
+    is read in place).  When the caller has checked that the batch is small
+    (``broadcast_batch``) it is broadcast and the target is never shuffled:
+    ``target LEFT JOIN batch`` gives matched and untouched rows in one scan,
+    and the new rows are the batch without the target keys that a key-only
+    scan finds in it.
     """
     keys = list(keys)
     batch = drop_audit(batch)
@@ -108,14 +108,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     nonkey = [c for c in batch.columns if c not in keys]
     b = batch.select(*[qcol(k) for k in keys], *[qcol(c).alias(BPFX + c) for c in nonkey],
                      F.lit(True).alias(PRESENT))
-    small = batch_rows is not None and batch_rows <= broadcast_below
-    t = target.withColumn("__qs_t", F.lit(True)) if (guard_cols or insert_defaults or small) else target
-    if small:
-        matched = t.join(F.broadcast(b), on=keys, how="inner")
-        kept = t.join(F.broadcast(b.select(*[qcol(k) for k in keys])), on=keys, how="left_anti")
-        # matched keys are a subset of the batch keys: bounded by the same count
-        new = b.join(F.broadcast(matched.select(*[qcol(k) for k in keys])), on=keys, how="left_anti")
-        joined = matched.unionByName(kept, allowMissingColumns=True).unionByName(new, allowMissingColumns=True)
+    t = target.withColumn("__qs_t", F.lit(True)) if (guard_cols or insert_defaults or broadcast_batch) else target
+    if broadcast_batch:
+        names = [qcol(k) for k in keys]
+        stored = t.join(F.broadcast(b), on=keys, how="left")
+        # target keys found in the batch: no more than the batch has
+        found = target.select(*names).join(F.broadcast(b.select(*names)), on=keys, how="left_semi")
+        new = b.join(F.broadcast(found), on=keys, how="left_anti")
+        joined = stored.unionByName(new, allowMissingColumns=True)
     else:
         joined = t.join(b, on=keys, how="full_outer")
     present = F.coalesce(F.col(PRESENT), F.lit(False))
@@ -148,12 +148,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], now=None,
-                   stamp: bool = True, batch_rows: int | None = None, broadcast_below: int = 0) -> DataFrame:
+                   stamp: bool = True, broadcast_batch: bool = False, bucketed: bool = False) -> DataFrame:
     """Delete every stored row whose key occurs in the batch, insert all batch
     rows.  New rows get both audit stamps = ``now`` when ``stamp`` and the
     target carries audit columns.  The distinct batch keys are broadcast when
-    the caller's ``batch_rows`` count bounds them under ``broadcast_below``
-    (else AQE measures them at run time)."""
+    the caller has checked the batch's size (``broadcast_batch``).  Otherwise the join
+    also hashes the keys' own hash, so that both sides get an exchange of their
+    own and AQE can split a stored key that holds much of the table; a
+    ``bucketed`` target is joined in place instead."""
     keys = list(keys)
     batch = drop_audit(batch)
     batch = batch.drop(POS) if POS in batch.columns else batch
@@ -163,9 +165,13 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], now
     if extra:
         raise ValueError(f"batch column(s) not in the target: {extra}")
     batch_keys = batch.select(*[qcol(k) for k in keys]).distinct()
-    if batch_rows is not None and batch_rows <= broadcast_below:
-        batch_keys = F.broadcast(batch_keys)
-    kept = target.join(batch_keys, on=keys, how="left_anti")
+    if broadcast_batch or bucketed:
+        kept = target.join(F.broadcast(batch_keys) if broadcast_batch else batch_keys, on=keys, how="left_anti")
+    else:
+        types = {f.name: f.dataType for f in target.schema.fields}
+        hashed = F.xxhash64(*[qcol(k).cast(types[k]) for k in keys])
+        kept = target.withColumn(HASHED, hashed).join(batch_keys.withColumn(HASHED, hashed), on=[HASHED, *keys],
+                                                      how="left_anti").drop(HASHED)
     types = {f.name: f.dataType for f in target.schema.fields}
     add = {}
     for a in AUDIT_COLUMNS:

@@ -23,22 +23,28 @@ from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
 from ..operators.split import flag_repeated, split_repeated
 from ..sinks.report import load_report, skipped_report
 from ..sinks.snapshot import VersionedTable
-from ..sources.catalog import table_columns
-from ..sources.delimited import null_tokens, read_delimited, read_delimited_split
+from ..sources.catalog import text_columns
+from ..sources.delimited import RECORD, null_tokens, read_delimited, read_delimited_split
 from ..sources.files import LEDGER_SCHEMA, classify_files, discover_files, latest_by_name
 from ..spec import TableSpec
 
 
-# A batch of at most this many rows is broadcast into an upsert (its size is a
-# count the flow already holds, never an estimate).
-BROADCAST_BATCH_ROWS = 200_000
+# A cached batch of at most this many bytes is broadcast into an upsert (its
+# size is that of the filled cache, never an estimate).
+BROADCAST_BATCH_BYTES = 32 << 20
 
 
-def broadcast_bound(table: VersionedTable) -> int:
+def small_enough(cached: DataFrame, table: VersionedTable) -> bool:
     """Bucketing and broadcasting are two ways of not shuffling the stored
     table: a bucketed table is joined in place (and rewritten one file per
-    bucket), an unbucketed one takes a count-proven small batch by broadcast."""
-    return 0 if table.buckets else BROADCAST_BATCH_ROWS
+    bucket), an unbucketed one takes a batch by broadcast whose filled cache
+    (call this after the count that fills it) is small in bytes."""
+    return not table.buckets and cached_bytes(cached) <= BROADCAST_BATCH_BYTES
+
+
+def cached_bytes(cached: DataFrame) -> int:
+    """Bytes that the filled cache of a persisted frame takes."""
+    return int(str(cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 @dataclass
@@ -63,13 +69,34 @@ def prepare_batch(df: DataFrame, spec: TableSpec, required: Sequence[str] = ())
     return drop_audit(df)
 
 
-def _target_schema(batch: DataFrame, now) -> T.StructType:
-    t = T.StringType() if isinstance(now, str) else T.TimestampType()
-    return target_schema_for(batch, audit=True, now_type=t)
+def load_replace(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str], target: VersionedTable,
+                 now) -> DataFrame:
+    """fill → each key's rows of its last file only → replace by key → publish
+    → report: what one replace per file, in file order, leaves."""
+    batch = persisted(last_file_of_key(fill_sentinel(batch), spec_keys))
+    try:
+        if batch.isEmpty():
+            return skipped_report(spark, target.label, target.read() if target.exists() else None)
+        current = target.read_or_empty(target_schema_for(batch))
+        target.publish(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)))
+    finally:
+        batch.unpersist()
+    return load_report(target.label, target.read())
+
+
+def last_file_of_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that stand in the last file (by ``_pos.file``) that has their
+    key: a partial aggregate and a join on (keys, file)."""
+    keys = list(keys)
+    if POS not in batch.columns:
+        return batch
+    rows = batch.withColumn("__qs_file", F.col(POS)["file"])
+    last = rows.groupBy(*[qcol(k) for k in keys]).agg(F.max("__qs_file").alias("__qs_file"))
+    return rows.join(last, [*keys, "__qs_file"]).select(*[qcol(c) for c in batch.columns])
 
 
 def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str], target: VersionedTable,
-                now, keep_stored: Sequence[str] = ()) -> DataFrame:
+                now, keep_stored: Sequence[str] = (), guard_cols: Sequence[str] = ()) -> DataFrame:
     """fill → last-row-wins → upsert → publish → report.  ``keep_stored``:
     required columns the files lack that a match must leave unchanged (new
     rows still get ``-``)."""
@@ -80,10 +107,10 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
         n = batch.count()
         if n == 0:
             return skipped_report(spark, target.label, target.read() if target.exists() else None)
-        current = target.read_or_empty(_target_schema(fill_missing_required(batch, keep_stored), now))
+        current = target.read_or_empty(target_schema_for(fill_missing_required(batch, keep_stored)))
         defaults = {c: SENTINEL for c in keep_stored}
-        target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None,
-                              batch_rows=n, broadcast_below=broadcast_bound(target)))
+        target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None, guard_cols=guard_cols,
+                              broadcast_batch=small_enough(batch, target)))
     finally:
         batch.unpersist()
     return load_report(target.label, target.read())
@@ -105,6 +132,8 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
     leaves undefined) fails the load (``on_bad="error"``, as the reference)
     or, with ``on_bad="quarantine"``, is appended to ``quarantine`` (reason
     and fields) while the good rows load."""
+    if spec.strategy == "split":
+        raise ValueError(f"{spec.table_name}: strategy 'split' loads two tables; use run_claims_files")
     manifest = discover_files(spark, landing)
     classified = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds)
     valid = classified.where(F.col("state") == "valid")
@@ -118,22 +147,28 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
         return FlowResult(skipped_report(spark, target.label, target.read() if target.exists() else None),
                           None, [])
     paths = [r["path"] for r in files]
+    bad = None
     if on_bad == "quarantine":
         raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                                         require=_mapped(spec))
-        if quarantine is not None:
-            _quarantine(spark, bad, quarantine, now)
+        bad = bad if quarantine is not None else None
     else:
         raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                              require=_mapped(spec))
     if required is None:
-        required = table_columns(spark, target.name) if spark.catalog.tableExists(target.name) else []
+        # of the stored table itself, whatever this session's catalog knows
+        required = text_columns(target.read().schema) if target.exists() else []
     if overwrite_missing:
         batch, keep = prepare_batch(raw, spec, required), []
     else:
         batch = prepare_batch(raw, spec, [])
         keep = [c for c in required if c not in batch.columns]
-    report = load_upsert(spark, batch, spec.keys, target, now, keep_stored=keep)
+    if spec.strategy == "replace":
+        report = load_replace(spark, batch, spec.keys, target, now)
+    else:
+        report = load_upsert(spark, batch, spec.keys, target, now, keep_stored=keep)
+    if bad is not None:
+        _quarantine(spark, bad, quarantine, now)
     run_key = f"{spec.table_name}-{_stamp(now)}"
     ledger = spark.createDataFrame(
         [(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)
@@ -143,16 +178,20 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
 QUARANTINE_SCHEMA = T.StructType([
     T.StructField("bad_reason", T.StringType(), True),
     T.StructField("fields", T.MapType(T.StringType(), T.StringType()), True),
-    T.StructField("quarantined_at", T.StringType(), True),
+    T.StructField("record", T.StringType(), True),
+    T.StructField("quarantined_at", T.TimestampType(), True),
 ])
 
 
 def _quarantine(spark: SparkSession, bad: DataFrame, table: VersionedTable, now) -> None:
-    """Append bad rows as (reason, fields map): one schema whatever the layout."""
-    data = [c for c in bad.columns if c not in (POS, "bad_reason")]
+    """Append bad rows as (reason, mapped fields, the whole record as it stood):
+    one schema whatever the layout.  Called after the load, so that a load that
+    fails and is tried again quarantines its rows once."""
+    data = [c for c in bad.columns if c not in (POS, "bad_reason", RECORD)]
+    stamp = F.lit(now.isoformat(sep=" ") if hasattr(now, "isoformat") else str(now)).cast("timestamp")
     rows = bad.select(F.col("bad_reason"),
                       F.create_map(*[x for c in data for x in (F.lit(c), qcol(c))]).alias("fields"),
-                      F.lit(str(now)).alias("quarantined_at"))
+                      F.col(RECORD).alias("record"), stamp.alias("quarantined_at"))
     table.publish(table.read_or_empty(QUARANTINE_SCHEMA).unionByName(rows))
 
 
@@ -165,7 +204,7 @@ def _stamp(now) -> str:
 def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], normal: VersionedTable,
                repeated: VersionedTable, now, required: Sequence[str] = (), flag: str = "is_complex",
                stamp_repeated: bool = True, move_between: bool = False, cache_input: bool = False,
-               audit: bool = True) -> DataFrame:
+               audit: bool = True, by_file: bool = False) -> DataFrame:
     """Claims load: flag repeated keys, upsert the normal rows, replace the
     repeated rows by key.  Both new versions are written before either is
     published.  Returns the two-row load report.
@@ -177,25 +216,36 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
     ``cache_input``: the flag reads its input twice (key counts, then the
     join back); for an expensive input (parsed text) the input is cached
     until the flagged cache is filled, so every file is parsed once.
-    ``audit=False``: new tables get no audit columns (the legacy load)."""
+    ``audit=False``: new tables get no audit columns (the legacy load).
+    ``by_file``: the batch is several files, to be applied one after the other
+    (``_pos.file`` order): a key is repeated if one file repeats it; of normal
+    rows the last wins, of repeated rows those of the last file that repeats
+    the key."""
     keys = list(keys)
     batch = drop_audit(fill_missing_required(batch, required, exclude=(flag,)))
     if cache_input:
         batch = persisted(batch)
-    flagged = persisted(flag_repeated(batch, keys, flag))
+    if by_file:
+        per_file = flag_repeated(batch.withColumn("__qs_file", F.col(POS)["file"]), [*keys, "__qs_file"], flag)
+        flagged = persisted(per_file.drop("__qs_file"))
+    else:
+        flagged = persisted(flag_repeated(batch, keys, flag))
     try:
         # one pass: the split counts, and the cache filled for both writes.  The
-        # normal half has unique keys, except rows with a NULL key part, which
-        # collide once filled with "-": only those need the last-row-wins step
+        # normal half of one file has unique keys, except rows with a NULL key part,
+        # which collide with each other, and with a literal "-", once filled
         counts = flagged.agg(F.count_if(~qcol(flag)).alias("n_normal"), F.count_if(qcol(flag)).alias("n_complex"),
                              F.count_if(any_null(keys)).alias("n_null_keys")).first()
         if cache_input:
             batch.unpersist()
         sizes = {"upsert": counts["n_normal"], "replace": counts["n_complex"]}
-        dedupe_normal = counts["n_null_keys"] > 1
+        dedupe_normal = by_file or counts["n_null_keys"] > 0
         normal_b, repeated_b = split_repeated(batch, keys, flag, flagged=flagged)
         normal_b, repeated_b = fill_sentinel(normal_b), fill_sentinel(repeated_b)
-        tschema = _target_schema(normal_b, now) if audit else target_schema_for(normal_b, audit=False)
+        if by_file:
+            repeated_b = last_file_of_key(repeated_b, keys)
+        tschema = target_schema_for(normal_b, audit=audit)
+        small = {table.label: small_enough(flagged, table) for table in (normal, repeated)}
         staged, reports = [], {}
         for table, part, op in ((normal, normal_b, "upsert"), (repeated, repeated_b, "replace")):
             if not sizes[op]:
@@ -207,13 +257,12 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                 other = repeated_b if op == "upsert" else normal_b
                 current = current.join(other.select(*[qcol(k) for k in keys]).distinct(), keys, "left_anti")
             if op == "upsert":
-                # the normal half's size is known from the split counts: a small
-                # batch is broadcast and the stored table is not shuffled
-                new = upsert(current, part, keys, now, batch_rows=sizes[op],
-                             broadcast_below=broadcast_bound(table), dedupe=dedupe_normal)
+                # the whole flagged batch is cached, which bounds each half of it: a
+                # small one is broadcast and the stored table is not shuffled
+                new = upsert(current, part, keys, now, broadcast_batch=small[table.label], dedupe=dedupe_normal)
             else:
-                new = replace_by_key(current, part, keys, now, stamp=stamp_repeated, batch_rows=sizes[op],
-                                     broadcast_below=broadcast_bound(table))
+                new = replace_by_key(current, part, keys, now, stamp=stamp_repeated,
+                                     broadcast_batch=small[table.label], bucketed=bool(table.buckets))
             staged.append((table, table.stage(new)))
         for table, st in staged:
             table.commit(st)
@@ -259,8 +308,8 @@ def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal:
                      min_age_seconds: float = 60, latest_only: bool = False, on_bad: str = "error",
                      quarantine: VersionedTable | None = None) -> FlowResult:
     """Claims from landed files: discover → classify → read (name order) →
-    prepare → :func:`run_claims`.  The file order ``_pos`` makes the last
-    row of a repeated normal key win, as row-by-row statements would."""
+    prepare → :func:`run_claims`, with the result of applying the files one
+    after the other."""
     manifest = discover_files(spark, landing)
     valid = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds).where(F.col("state") == "valid")
     if latest_only:
@@ -270,16 +319,19 @@ def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal:
         empty = [skipped_report(spark, t.label, t.read() if t.exists() else None) for t in (normal, repeated)]
         return FlowResult(empty[0].unionByName(empty[1]), None, [])
     paths = [r["path"] for r in files]
+    bad = None
+    bad = None
     if on_bad == "quarantine":
         raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                                         require=_mapped(spec))
-        if quarantine is not None:
-            _quarantine(spark, bad, quarantine, now)
+        bad = bad if quarantine is not None else None
     else:
         raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                              require=_mapped(spec))
     batch = prepare_batch(raw, spec, [c for c in required if c != "is_complex"])
-    report = run_claims(spark, batch, spec.keys, normal, repeated, now, cache_input=True)
+    report = run_claims(spark, batch, spec.keys, normal, repeated, now, cache_input=True, by_file=len(files) > 1)
+    if bad is not None:
+        _quarantine(spark, bad, quarantine, now)
     run_key = f"{spec.table_name}-{_stamp(now)}"
     ledger = spark.createDataFrame(
         [(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)

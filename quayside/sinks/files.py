@@ -22,14 +22,30 @@ def retire_files(classified: DataFrame, state_col: str = "state") -> DataFrame:
 
 def archive_files(spark: SparkSession, paths: Sequence[str], archive_dir: str) -> list[str]:
     """Move files that were actually read into ``archive_dir`` (metadata-only
-    renames; the list is the file list of one load, not data)."""
-    fs, adir = fs_for(spark, archive_dir)
-    fs.mkdirs(adir)
+    renames on the files' own file system; the list is the file list of one
+    load, not data).  A name that is taken in the archive gets the file's
+    modification time and length, so every upload under one name is kept.  A
+    file that is already gone is left out; one that cannot be moved is an
+    error that names it."""
     jvm = spark.sparkContext._jvm
-    moved = []
+    moved, stuck = [], []
     for p in paths:
-        src = jvm.org.apache.hadoop.fs.Path(p)
+        fs, src = fs_for(spark, p)
+        if not fs.exists(src):
+            continue
+        adir = jvm.org.apache.hadoop.fs.Path(archive_dir)
+        fs.mkdirs(adir)
         dst = jvm.org.apache.hadoop.fs.Path(adir, src.getName())
-        if fs.exists(src) and fs.rename(src, dst):
+        if fs.exists(dst):
+            st = fs.getFileStatus(src)
+            stem, dot, ext = src.getName().rpartition(".")
+            mark = f"{st.getModificationTime()}-{st.getLen()}"
+            name = f"{stem}.{mark}.{ext}" if dot else f"{ext}.{mark}"
+            dst = jvm.org.apache.hadoop.fs.Path(adir, name)
+        if not fs.exists(dst) and fs.rename(src, dst):
             moved.append(str(dst.toString()))
+        else:
+            stuck.append(p)
+    if stuck:
+        raise OSError(f"could not archive to {archive_dir}: {stuck}")
     return moved

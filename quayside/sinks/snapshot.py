@@ -9,6 +9,10 @@ publishing its tables, leaves orphan directories that no reader ever opens.
 A session whose catalog does not know the table yet picks the highest
 published version.
 
+The layout belongs to the version, not to the caller: its marker holds the
+keys and bucket count it was written with, and a reader registers it with
+those.  A writer that asks for another layout rewrites the table in it.
+
 With ``keys`` and ``buckets`` the versions are written bucketed and sorted on
 the keys (one file per bucket, because the rows are hash-partitioned on the
 same keys first).  A later upsert/replace joining on those keys then reads
@@ -17,6 +21,7 @@ the target without an exchange: only the batch is shuffled.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -41,6 +46,8 @@ class VersionedTable:
         self.spark = spark
         self.name = name
         self.label = label or name
+        if root is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"table {name}: name its root folder; the work folder ends with the session")
         self.root = (root or work_path(spark, "tables", name, unique=False)).rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets if (buckets and self.keys) else None
@@ -76,21 +83,55 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.current_version() is not None
 
+    def layout(self, version: int) -> tuple[list[str], int | None]:
+        """(keys, buckets) that a published version was written with."""
+        fs, marker = fs_for(self.spark, f"{self.version_path(version)}/{PUBLISHED}")
+        stream = fs.open(marker)
+        try:
+            raw = bytes(stream.readAllBytes()).decode("utf-8")
+        finally:
+            stream.close()
+        held = json.loads(raw) if raw else {}
+        return list(held.get("keys", [])), held.get("buckets")
+
+    def drop_old_versions(self, keep: int = 1) -> list[int]:
+        """Delete all but the last ``keep`` published versions, and unpublished
+        ones older than the current; the current version is never deleted.
+        Returns the versions dropped.  Only this call ever deletes data."""
+        kept = self.versions()[-max(1, keep):]
+        if not kept:
+            return []
+        gone = [v for v in self._list_versions(committed=False) if v < kept[-1] and v not in kept]
+        for v in gone:
+            fs, path = fs_for(self.spark, self.version_path(v))
+            fs.delete(path, True)
+        return gone
+
     # -- reading ----------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
         if version is not None:
             return self.spark.read.parquet(self.version_path(version))
-        if not self.spark.catalog.tableExists(self.name):
-            cur = self.current_version()
-            if cur is None:
-                raise FileNotFoundError(f"table {self.name} has no committed version under {self.root}")
-            self._register(self.version_path(cur), self.spark.read.parquet(self.version_path(cur)).schema)
+        cur = self.current_version()
+        if cur is None:
+            raise FileNotFoundError(f"table {self.name} has no committed version under {self.root}")
+        if not self._registered(self.version_path(cur)):
+            self._register(self.version_path(cur), self.spark.read.parquet(self.version_path(cur)).schema,
+                           *self.layout(cur))
         return self.spark.table(self.name)
 
+    def _registered(self, path: str) -> bool:
+        """Whether the catalog's table of this name is this very version: a name
+        used by another root, or a view, is not."""
+        if any(t.name == self.name and t.isTemporary for t in self.spark.catalog.listTables(pattern=self.name)):
+            raise ValueError(f"{self.name} is a temporary view in this session; it hides the table")
+        if not self.spark.catalog.tableExists(self.name):
+            return False
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.name}").where("col_name = 'Location'").collect()
+        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return bool(rows) and jpath(rows[0]["data_type"]).toUri().getPath() == jpath(path).toUri().getPath()
+
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
-        if self.exists() or self.spark.catalog.tableExists(self.name):
-            return self.read()
-        return self.spark.createDataFrame([], schema)
+        return self.read() if self.exists() else self.spark.createDataFrame([], schema)
 
     # -- writing ----------------------------------------------------------
     def publish(self, df: DataFrame) -> int:
@@ -113,7 +154,8 @@ class VersionedTable:
         if self.buckets:
             staged = f"{self.name}__v{version:08d}"
             if repartition is None:
-                repartition = self.current_version() is None
+                cur = self.current_version()
+                repartition = cur is None or self.layout(cur) != (self.keys, self.buckets)
             out = df.repartition(self.buckets, *[qcol(k) for k in self.keys]) if repartition else df
             (out.write.format("parquet").mode("errorifexists")
                .bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
@@ -128,24 +170,29 @@ class VersionedTable:
         """Publish a staged version: mark it, then move the catalog pointer."""
         version, path, schema = staged
         fs, jpath = fs_for(self.spark, path)
-        fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jpath, PUBLISHED), True).close()
-        self._register(path, schema)
+        marker = fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jpath, PUBLISHED), True)
+        marker.write(bytearray(json.dumps({"keys": self.keys, "buckets": self.buckets}).encode("utf-8")))
+        marker.close()
+        self._register(path, schema, self.keys, self.buckets)
         return version
 
-    def _register(self, path: str, schema: T.StructType) -> None:
+    def _register(self, path: str, schema: T.StructType, keys: Sequence[str], buckets: int | None) -> None:
         spark = self.spark
         if spark.catalog.tableExists(self.name):
             cur = spark.table(self.name).schema
-            if [(f.name, f.dataType) for f in cur.fields] == [(f.name, f.dataType) for f in schema.fields]:
+            described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {self.name}").collect()}
+            same_buckets = str(described.get("Num Buckets", "")) == (str(buckets) if buckets else "")
+            same_keys = described.get("Bucket Columns", "") == ("[" + ", ".join(f"`{k}`" for k in keys) + "]" if buckets else "")
+            if same_buckets and same_keys and [(f.name, f.dataType) for f in cur.fields] == [(f.name, f.dataType) for f in schema.fields]:
                 spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{path}'")
                 spark.catalog.refreshTable(self.name)
                 return
             spark.sql(f"DROP TABLE {self.name}")
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         bucket = ""
-        if self.buckets:
-            ks = ", ".join(f"`{k}`" for k in self.keys)
-            bucket = f" CLUSTERED BY ({ks}) SORTED BY ({ks}) INTO {self.buckets} BUCKETS"
+        if buckets:
+            ks = ", ".join(f"`{k}`" for k in keys)
+            bucket = f" CLUSTERED BY ({ks}) SORTED BY ({ks}) INTO {buckets} BUCKETS"
         spark.sql(f"CREATE TABLE {self.name} ({cols}) USING parquet{bucket} LOCATION '{path}'")
 
     def count(self) -> DataFrame:

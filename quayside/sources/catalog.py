@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.tokens import AUDIT_COLUMNS
+
 VARCHAR_META = "__CHAR_VARCHAR_TYPE_STRING"
 
 HEALTH_SCHEMA = T.StructType([
@@ -37,6 +38,12 @@ def table_columns(spark: SparkSession, table: str, kind: str = "string") -> list
     return out
 
 
+def text_columns(schema: T.StructType) -> list[str]:
+    """Text columns of a stored table's schema, audit columns left out."""
+    return [f.name for f in schema.fields
+            if isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType)) and f.name.lower() not in AUDIT_COLUMNS]
+
+
 def table_columns_frame(spark: SparkSession, table: str, kind: str = "string") -> DataFrame:
     schema = T.StructType([T.StructField("column_name", T.StringType(), False)])
     return spark.createDataFrame([(c,) for c in table_columns(spark, table, kind)], schema)
@@ -44,25 +51,22 @@ def table_columns_frame(spark: SparkSession, table: str, kind: str = "string") -
 
 def table_health(spark: SparkSession, tables: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """One row per table: ``ok`` and its row count.  A missing or unreadable
-    table is reported (``ok = false``), not fatal.  The counts run as one
-    ``UNION ALL`` of aggregates, answered from Parquet footers where possible.
+    table is reported (``ok = false``), not fatal.  Each count is a job of its
+    own, answered from Parquet footers where possible.
     ``tables`` may map the reported name to the catalog name."""
     if not tables:
         raise ValueError("no tables to check")
     named = dict(tables) if isinstance(tables, Mapping) else {t: t for t in tables}
-    parts: list[DataFrame] = []
+    rows: list[tuple[str, bool, int | None]] = []
     for label, t in named.items():
+        # each table is counted by itself: a file that cannot be read fails its own count only
         try:
             if not spark.catalog.tableExists(t):
                 raise LookupError(t)
-            part = spark.table(t).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-            parts.append(part.select(F.lit(label).alias("table_name"), F.lit(True).alias("ok"), "n_rows"))
+            rows.append((label, True, spark.table(t).count()))
         except Exception:  # noqa: BLE001 - an unreadable table is a finding, not a failure
-            parts.append(spark.createDataFrame([(label, False, None)], HEALTH_SCHEMA))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            rows.append((label, False, None))
+    return spark.createDataFrame(rows, HEALTH_SCHEMA)
 
 
 def jdbc_table_columns(spark: SparkSession, url: str, table: str, properties: dict | None = None,

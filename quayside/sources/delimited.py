@@ -7,12 +7,14 @@ Semantics follow a default pandas ``read_csv(dtype=str)`` of each landed file:
 * ``"`` quotes, doubled quotes inside quotes, delimiters and newlines inside
   quotes.  A file parsed whole (multi-line) is one task; with the default
   ``multiline="auto"`` a file above the split size is first checked in one
-  parallel pass for a quoted field that spans lines, and read split into
-  tasks when none does (same rows either way);
-* a short row is padded with NULL; a *long* row (more fields than the header)
-  is an error by default (``on_bad="error"``, raised by the scan itself, no
-  extra pass) or set aside (``on_bad="quarantine"``, see
-  :func:`read_delimited_split`) — never silently truncated;
+  parallel pass, and read split into tasks only if every line is a record by
+  itself that both ways of reading see alike: each field plain (no quote in it)
+  or quoted and closed on the line, no blank line, no lone carriage return;
+* a short row is padded with NULL; a *long* row (more fields than the header,
+  empty ones too) is an error by default (``on_bad="error"``, raised by the scan
+  itself, no extra pass) or set aside with its whole record
+  (``on_bad="quarantine"``, see :func:`read_delimited_split`) — never silently
+  truncated;
 * empty cells stay ``""`` here; :func:`null_tokens` turns them (and the other
   pandas NA strings) into NULL;
 * code pages Spark cannot decode (cp1251) are read as ISO-8859-1 and
@@ -38,6 +40,8 @@ from ..functions.columns import qcol
 from ..functions.tokens import PANDAS_NULL_TOKENS
 
 EXTRA = "__qs_extra"
+# The record as it stood, of a row that has not as many fields as the header.
+RECORD = "_record"
 POS = "_pos"
 # Fixed value: a null marker no landed text contains, so that an empty cell
 # reads as "" and a missing (short-row) cell as NULL.
@@ -56,7 +60,7 @@ def _reader(spark: SparkSession, delimiter: str, encoding: str, multiline: bool)
             .option("emptyValue", "")
             .option("ignoreLeadingWhiteSpace", "false")
             .option("ignoreTrailingWhiteSpace", "false")
-            .option("mode", "PERMISSIVE"))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD))
 
 
 def pandas_names(raw: Sequence[str]) -> list[str]:
@@ -81,7 +85,8 @@ def pandas_names(raw: Sequence[str]) -> list[str]:
     return out
 
 
-HEADER_PROBE_BYTES = 1 << 20
+# A header longer than this is refused, never cut.
+HEADER_LIMIT_BYTES = 64 << 20
 
 
 def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8") -> list[str]:
@@ -93,14 +98,20 @@ def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding:
     stream = fs.open(jpath)
     try:
         buf = bytearray()
-        while len(buf) < HEADER_PROBE_BYTES:
+        seen = 0
+        while True:
             chunk = bytes(stream.readNBytes(65536))   # a returned byte[] crosses as bytes
             if not chunk:
                 break
             buf += chunk
-            line_end = buf.find(b"\n")
-            if line_end >= 0 and buf[:line_end].count(b'"') % 2 == 0:
+            line_end = buf.find(b"\n", seen)
+            while line_end >= 0 and buf[:line_end].count(b'"') % 2:
+                line_end = buf.find(b"\n", line_end + 1)
+            if line_end >= 0:
                 break
+            seen = buf.rfind(b"\n") + 1 if buf.count(b'"') % 2 == 0 else 0
+            if len(buf) > HEADER_LIMIT_BYTES:
+                raise ValueError(f"{path}: no header line ends within {HEADER_LIMIT_BYTES} bytes")
     finally:
         stream.close()
     if not buf:
@@ -114,20 +125,20 @@ def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding:
 
 def _file_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(uri as the scan reports it, ordinal in apply order, path) per file.
-    Its size is the number of files in one load (checked by the caller's
-    file list), so it is broadcast to the scan."""
+    The planner measures it: a short list is broadcast to the scan, a long one
+    is joined by shuffle."""
     jvm = spark.sparkContext._jvm
     rows = [(str(jvm.org.apache.hadoop.fs.Path(p).toUri().toString()), i, p) for i, p in enumerate(paths)]
     schema = T.StructType([T.StructField("__qs_uri", T.StringType(), False),
                            T.StructField("__qs_file", T.IntegerType(), False),
                            T.StructField("__qs_path", T.StringType(), False)])
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    return spark.createDataFrame(rows, schema)
 
 
 def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delimiter: str,
           encoding: str, multiline: bool, files: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))]
-                          + [T.StructField(EXTRA, T.StringType(), True)])
+                          + [T.StructField(RECORD, T.StringType(), True)])
     df = (_reader(spark, delimiter, encoding, multiline)
           .option("header", "true").option("enforceSchema", "true")
           .schema(schema).load(list(paths)))
@@ -136,7 +147,9 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
     df = df.select("*", F.col("_metadata.file_path").alias("__qs_uri"),
                    F.col("_metadata.file_block_start").alias("__qs_offset"),
                    F.monotonically_increasing_id().alias("__qs_row"))
-    df = df.join(files, "__qs_uri", "inner")
+    # every scanned file is in the list; one that is not must not lose its rows
+    df = df.join(files, "__qs_uri", "left").withColumn("__qs_file", F.coalesce(
+        "__qs_file", F.raise_error(F.concat(F.lit("scanned file is not in the load: "), "__qs_uri")).cast("int")))
     pos = F.struct(F.col("__qs_file").alias("file"), F.col("__qs_offset").alias("offset"),
                    F.col("__qs_row").alias("row"))
     cols: list[Column] = []
@@ -148,10 +161,23 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
             undefined = undefined | F.coalesce(F.instr(c, REPLACEMENT) > 0, F.lit(False))
         cols.append(c.alias(n))
     # a row is bad when it has more fields than the header, or a byte the code
-    # page leaves undefined (a strict decoder would refuse the file)
-    bad = (F.when(F.col(EXTRA).isNotNull(), F.concat(F.lit("more fields than the header in "), F.col("__qs_path")))
+    # page leaves undefined (a strict decoder would refuse the file).  The record
+    # is kept only for rows of another length, short or long, so fields are
+    # counted there: quoted fields first lose their content
+    sep = _quoted(delimiter)
+    # (a query may not read the record alone, so nothing of the first field is added)
+    raw = F.concat(F.col(RECORD), F.coalesce(F.substring("_c0", 1, 0), F.lit("")))
+    plain = F.regexp_replace(raw, f'(^|{sep})"(?:[^"]|"")*"', "$1")
+    long = F.regexp_count(plain, F.lit(sep)) + 1 > len(names)
+    record = decode_column(F.col(RECORD), encoding) if needs_translation(encoding) else F.col(RECORD)
+    bad = (F.when(F.coalesce(long, F.lit(False)), F.concat(F.lit("more fields than the header in "), F.col("__qs_path")))
             .when(undefined, F.concat(F.lit(f"a byte undefined in {encoding} in "), F.col("__qs_path"))))
-    return df.select(*cols, bad.alias(EXTRA), pos.alias(POS))
+    return df.select(*cols, bad.alias(EXTRA), record.alias(RECORD), pos.alias(POS))
+
+
+def _quoted(text: str) -> str:
+    """``text`` as a literal of a Java regular expression."""
+    return "".join(c if c.isalnum() else "\\" + c for c in text)
 
 
 def expand_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int]]:
@@ -200,36 +226,37 @@ def split_bytes(spark: SparkSession, files: Sequence[tuple[str, int]]) -> int:
 ASCII_COMPATIBLE = ("utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1")
 
 
-def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Which of ``paths`` have a line with an odd number of ``"`` characters —
-    the only way a quoted field can continue on the next line.  One parallel,
-    splittable pass over the lines (only the file index and a parity bit leave
-    each task)."""
+def files_to_read_whole(spark: SparkSession, paths: Sequence[str], delimiter: str) -> set[str]:
+    """Which of ``paths`` have a line that is not a record by itself: a quote
+    that does not open a field, close it or stand doubled in one, a field left
+    open, a blank line or a lone carriage return.  One parallel, splittable pass
+    over the lines of all files; only paths leave it."""
     if not paths:
         return set()
-    parts = [spark.read.text(p).select(F.lit(i).alias("f"), F.col("value")) for i, p in enumerate(paths)]
-    lines = parts[0]
-    for part in parts[1:]:
-        lines = lines.unionByName(part)
-    # counted within one decoded string (a length difference would mix the raw
-    # byte view and the decoded view for non-UTF-8 text such as cp1251)
-    quotes = F.regexp_count(F.col("value"), F.lit('"'))
-    hit = lines.where(quotes % 2 == 1).select("f").distinct().collect()
-    return {paths[r["f"]] for r in hit}
+    lines = (spark.read.option("lineSep", "\n").text(list(paths))
+             .select(F.col("_metadata.file_path").alias("uri"), F.col("value")))
+    sep = _quoted(delimiter)
+    field = f'(?:"(?:[^"\\r]|"")*+"|[^{sep}"\\r]*+)'
+    plain = F.col("value").rlike(f"^{field}(?:{sep}{field})*+\\r?$") & (F.trim(F.col("value")) != "") & (F.col("value") != "\r")
+    hit = {r["uri"] for r in lines.where(~plain).select("uri").distinct().collect()}
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return {p for p in paths if str(jpath(p).toUri().toString()) in hit}
 
 
 def _choose_multiline(spark: SparkSession, files: Sequence[tuple[str, int]], encoding: str,
-                      multiline) -> dict[str, bool]:
+                      multiline, delimiter: str) -> dict[str, bool]:
     """Per file: parse whole (multi-line) or split by lines.  ``"auto"`` splits
-    files larger than the read's split size unless a quoted field spans lines."""
+    files larger than the read's split size where the rows are the same either
+    way."""
     if multiline != "auto":
         return {p: bool(multiline) for p, _ in files}
     cut = split_bytes(spark, files)
     big = [p for p, n in files if n > cut]
     if not big or (normalise(encoding) not in ASCII_COMPATIBLE and not needs_translation(encoding)):
         return {p: True for p, _ in files}
-    spanning = files_with_quoted_newlines(spark, big)
-    return {p: (p not in big) or (p in spanning) for p, _ in files}
+    whole = files_to_read_whole(spark, big, delimiter)
+    large = set(big)
+    return {p: p not in large or p in whole for p, _ in files}
 
 
 def _check_required(headers: dict[str, tuple[str, ...]], require: Sequence[Sequence[str]]) -> None:
@@ -255,7 +282,7 @@ def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encodin
     files = expand_files(spark, paths)
     if not files:
         raise ValueError("no files to read")
-    mode = _choose_multiline(spark, files, encoding, multiline)
+    mode = _choose_multiline(spark, files, encoding, multiline, delimiter)
     table = _file_table(spark, [p for p, _ in files])
     if header is not None:
         headers = {p: tuple(header) for p, _ in files}
@@ -282,11 +309,11 @@ def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimi
                          encoding: str = "utf-8", multiline: bool | str = "auto",
                          header: Sequence[str] | None = None,
                          require: Sequence[Sequence[str]] = ()) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows).  Bad rows keep their fields, ``_pos`` and the
-    reason in ``bad_reason``."""
+    """(good rows, bad rows).  Bad rows keep their fields, ``_pos``, the reason
+    in ``bad_reason`` and, if they are too long, the whole record in ``_record``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = _scan_all(spark, paths, delimiter, encoding, multiline, header, require)
-    good = df.where(F.col(EXTRA).isNull()).drop(EXTRA)
+    good = df.where(F.col(EXTRA).isNull()).drop(EXTRA, RECORD)
     bad = df.where(F.col(EXTRA).isNotNull()).withColumnRenamed(EXTRA, "bad_reason")
     return good, bad
 
@@ -308,7 +335,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: s
         df = _scan_all(spark, paths, delimiter, encoding, multiline, header, require)
         ok = F.when(F.col(EXTRA).isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("bad row: "), F.col(EXTRA))))
-        df = df.where(ok).drop(EXTRA)
+        df = df.where(ok).drop(EXTRA, RECORD)
     return df if with_position else df.drop(POS)
 
 

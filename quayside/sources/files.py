@@ -142,14 +142,22 @@ def plan_file_actions(manifest: DataFrame, ledger: DataFrame, on: Sequence[str]
     """Per landed file: ``launch`` (never seen), ``wait`` (running, or a run
     whose outcome is unknown), ``retire`` (succeeded), ``relaunch`` (failed).
     A file is identified by (name, mtime, length): a re-upload under the same
-    name is a new file.  One left join; the ledger side is measured by AQE.
+    name is a new file; several ledger rows for one file give one action.  One
+    partial aggregate and one left join; the ledger side is measured by AQE.
 
     By default a waiting file waits for ever, as in the reference.  With
     ``stale_before`` (and a ledger ``started_at`` column) a run started before
     it that is still running or unknown is relaunched instead."""
     on = list(on)
-    extra = [F.col("started_at")] if (stale_before is not None and "started_at" in ledger.columns) else []
-    led = ledger.select(*[qcol(c) for c in on], F.col("run_status"), *extra, F.lit(True).alias("__qs_seen"))
+    extra = ["started_at"] if (stale_before is not None and "started_at" in ledger.columns) else []
+    # several attempts at one file leave several rows; one status stands for
+    # them: success is final, else a run that is under way, else the failure
+    state = F.upper(F.col("run_status"))
+    rank = F.when(state == "SUCCESS", 3).when(state == "FAILURE", 1).otherwise(2)
+    latest = ledger.groupBy(*[qcol(c) for c in on]).agg(
+        F.max(F.struct(rank.alias("rank"), *[F.col(c) for c in extra], F.col("run_status"))).alias("__qs_run"))
+    led = latest.select(*[qcol(c) for c in on], *[F.col("__qs_run")[c].alias(c) for c in ["run_status", *extra]],
+                        F.lit(True).alias("__qs_seen"))
     j = manifest.join(led, on=on, how="left")
     status = F.upper(F.col("run_status"))
     action = (F.when(F.col("__qs_seen").isNull(), F.lit("launch"))

@@ -21,25 +21,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.merge import target_schema_for, upsert
-from ..plans.flows import FlowResult, broadcast_bound, run_journal
-from ..session import work_path
+from ..plans.flows import FlowResult, run_journal, small_enough
 from ..sinks.snapshot import VersionedTable
 from ..spec import TableSpec
 
 
+# the file that wrote a row of a streamed journal
+SOURCE_FILE = "source_file"
+
+
+def stream_checkpoint(spark: SparkSession, target: VersionedTable, checkpoint: str | None) -> str:
+    """Where a stream keeps its progress: what the caller names, else a folder
+    beside the target's versions, the same at each call, so that the stream
+    resumes."""
+    return (checkpoint or f"{target.root}/_stream").rstrip("/")
+
+
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, target: VersionedTable,
                   keys: Sequence[str], order_cols: Sequence[str], now, file_format: str = "parquet",
                   max_files_per_trigger: int = 1, checkpoint: str | None = None,
                   available_now: bool = True, options: dict | None = None):
     """Run (or start, with ``available_now=False``) the ingest stream."""
     keys, order_cols = list(keys), list(order_cols)
-    checkpoint = checkpoint or work_path(spark, "streams", target.name)
+    checkpoint = stream_checkpoint(spark, target, checkpoint)
     reader = spark.readStream.schema(schema).format(file_format).option(
         "maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     stream = reader.load(source_dir)
-    now_type = T.StringType() if isinstance(now, str) else T.TimestampType()
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
@@ -47,9 +56,9 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
             n = batch.count()
             if n == 0:
                 return
-            current = target.read_or_empty(target_schema_for(batch, audit=True, now_type=now_type))
+            current = target.read_or_empty(target_schema_for(batch, audit=True))
             target.publish(upsert(current, batch, keys, now, order_cols=order_cols, guard_cols=order_cols,
-                                  batch_rows=n, broadcast_below=broadcast_bound(target)))
+                                  broadcast_batch=small_enough(batch, target)))
         finally:
             batch.unpersist()
 
@@ -68,17 +77,20 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
     without its content, so no bytes are read by the stream itself), and each
     micro-batch reads its new files with the delimited reader (a CSV stream
     would need one fixed schema up front, but every file brings its own
-    header).  Files are taken oldest first; a replayed micro-batch re-applies
-    the same rows, which the upsert absorbs.  With ``archive_dir`` the file
+    header).  The order of files is that of their names, as in the batch load,
+    however many a trigger takes: each stored row keeps the name of the file
+    that wrote it (``source_file``), and a row of a lesser name never overwrites
+    it.  A replayed micro-batch re-applies the same rows.  With ``archive_dir`` the file
     source moves consumed files there (``cleanSource=archive``; Spark does it
     lazily, after the batch is committed)."""
     from pyspark.sql import functions as F
 
     from ..functions.globs import glob_match
+    from ..operators.merge import POS
     from ..plans.flows import load_upsert, prepare_batch
     from ..sources.delimited import read_delimited
 
-    checkpoint = checkpoint or work_path(spark, "streams", target.name)
+    checkpoint = stream_checkpoint(spark, target, checkpoint)
     schema = T.StructType([T.StructField("path", T.StringType(), False),
                            T.StructField("modificationTime", T.TimestampType(), False),
                            T.StructField("length", T.LongType(), False),
@@ -98,7 +110,9 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
             return
         raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                              require=[(src, dst) for src, dst in spec.mapping])
-        load_upsert(spark, prepare_batch(raw, spec, required), spec.keys, target, now)
+        names = F.element_at(F.array(*[F.lit(p.rpartition("/")[2]) for p in paths]), F.col(POS)["file"] + 1)
+        load = prepare_batch(raw, spec, required).withColumn(SOURCE_FILE, names)
+        load_upsert(spark, load, spec.keys, target, now, guard_cols=[SOURCE_FILE])
 
     writer = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
@@ -112,34 +126,49 @@ def run_once(spark: SparkSession, spec: TableSpec, landing: str, target: Version
              as_of, now, required: Sequence[str] | None = None, min_age_seconds: float = 60,
              archive_dir: str | None = None) -> FlowResult:
     """One polling tick: files already in the ledger (same name, mtime and
-    length) are skipped, the rest are loaded and appended to the ledger.
+    length) are skipped, the rest are loaded and appended to the ledger: valid
+    files as SUCCESS or FAILURE, files that match no pattern once as QUARANTINED.
+    Young files are left alone; an empty folder skips the tick.
     With ``archive_dir``, files whose load succeeded on an earlier tick are
     moved there (files never read are never moved)."""
     from pyspark.sql import functions as F
 
     from ..sinks.files import archive_files
-    from ..sources.files import LEDGER_SCHEMA, discover_files, plan_file_actions
+    from ..sinks.report import skipped_report
+    from ..sources.files import LEDGER_SCHEMA, classify_files, discover_files, plan_file_actions
 
     known = ledger.read_or_empty(LEDGER_SCHEMA)
-    # one listing, one decision per file (the file list, not data, comes back)
-    actions = plan_file_actions(discover_files(spark, landing), known).select(
-        "path", "name", "mtime", "length", "action").collect()
+    run_key = f"{spec.table_name}-{now}"
+    skipped = FlowResult(target.count().select(F.lit(target.label).alias("table_name"), F.lit("skipped").alias("status"),
+                                               "final_count") if target.exists()
+                         else skipped_report(spark, target.label, None), None, [])
+    try:
+        manifest = discover_files(spark, landing)
+    except FileNotFoundError:   # nothing has landed, or all of it is archived
+        return skipped
+    # the ledger's files drop out in Spark, junk is set aside once, young files
+    # wait; only what this tick must act on comes back
+    states = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds)
+    actions = plan_file_actions(states, known).where("action <> 'wait'").select(
+        "path", "name", "mtime", "length", "state", "action").where("state <> 'young'").collect()
     if archive_dir:
         archive_files(spark, [r["path"] for r in actions if r["action"] == "retire"], archive_dir)
-    todo = [r for r in actions if r["action"] in ("launch", "relaunch")]
+    junk = [r for r in actions if r["state"] == "invalid"]
+    todo = [r for r in actions if r["state"] == "valid" and r["action"] in ("launch", "relaunch")]
+
+    def record(rows, status: str) -> None:
+        if rows:
+            new = spark.createDataFrame([(r["name"], r["mtime"], r["length"], run_key, status) for r in rows], LEDGER_SCHEMA)
+            ledger.publish(ledger.read_or_empty(LEDGER_SCHEMA).unionByName(new))
+
+    record(junk, "QUARANTINED")
     if not todo:
-        return FlowResult(target.count().select(F.lit(target.label).alias("table_name"),
-                                                F.lit("skipped").alias("status"), "final_count"), None, [])
+        return skipped
     try:
         result = run_journal(spark, spec, landing, target, as_of, now, required, min_age_seconds,
                              only_paths=[r["path"] for r in todo])
     except Exception:
-        # record the failed attempt: the next tick relaunches these files
-        run_key = f"{spec.table_name}-{now}"
-        failed = spark.createDataFrame([(r["name"], r["mtime"], r["length"], run_key, "FAILURE") for r in todo],
-                                       LEDGER_SCHEMA)
-        ledger.publish(known.unionByName(failed))
+        record(todo, "FAILURE")   # the next tick relaunches these files
         raise
-    if result.ledger is not None:
-        ledger.publish(known.unionByName(result.ledger))
+    record(todo, "SUCCESS")
     return result

@@ -48,14 +48,14 @@ def test_broadcast_upsert_equals_full_outer(spark, target, batch, guard):
     b = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(batch)], "k string, v string, _pos int")
     kw = {"guard_cols": ["v"]} if guard else {}
     full = rows(upsert(t, b, ["k"], now="t1", **kw))
-    small = upsert(t, b, ["k"], now="t1", batch_rows=len(batch), broadcast_below=10, **kw)
+    small = upsert(t, b, ["k"], now="t1", broadcast_batch=True, **kw)
     assert rows(small) == full
 
 
 def test_broadcast_upsert_does_not_shuffle_target(spark):
     t = spark.range(1000).selectExpr("cast(id as string) k", "'a' v", "'t0' created_at", "'t0' updated_at")
     b = spark.createDataFrame([("5", "b"), ("5000", "c")], "k string, v string")
-    out = upsert(t, b, ["k"], now="t1", batch_rows=2, broadcast_below=10)
+    out = upsert(t, b, ["k"], now="t1", broadcast_batch=True)
     plan = out._jdf.queryExecution().executedPlan().toString()
     scan_lines = [i for i, line in enumerate(plan.splitlines()) if "Range (0, 1000" in line]
     assert scan_lines and "SortMergeJoin" not in plan

@@ -60,6 +60,50 @@ def test_long_row_quarantine(spark, scratch):
     assert bad.count() == 1
 
 
+def test_every_overflow_is_seen_and_kept(spark, scratch):
+    p = write(scratch, "o.csv", b'x;y\n1;2;;LOST\n3;4;\n5;;Z\n1;2;X3;Y4;Z5\n6\n7;\n8;"a;b"\n9;"c\nd"\n')
+    with pytest.raises(Exception, match="more fields than the header"):
+        read_delimited(spark, p, ";").collect()
+    good, bad = read_delimited_split(spark, p, ";")
+    assert rows(good.drop("_pos"))[:4] == [("6", None), ("7", None), ("8", "a;b"), ("9", "c\nd")] or \
+        rows(good.drop("_pos"))[1][0] == "7"
+    assert sorted(r["_record"] for r in bad.collect()) == ["1;2;;LOST", "1;2;X3;Y4;Z5", "3;4;", "5;;Z"]
+
+
+STRAY = b'k;v;w;z\n1;5" pipe;"multi\nline";7" x\n2;b;c;d\n'
+
+
+@pytest.mark.parametrize("body", [STRAY, b"k;v\n1;a\n   \n2;b\n", b"k;v\n1;a\rb\n2;b\n", b"k;v\r\n1;a\r\n2;b\r\n"])
+def test_rows_do_not_depend_on_the_split_size(spark, scratch, monkeypatch, body):
+    import quayside.sources.delimited as D
+
+    p = write(scratch, "s.csv", body)
+    whole = rows(read_delimited(spark, p, ";", with_position=False))
+    monkeypatch.setattr(D, "SPLIT_BYTES", 4)
+    assert rows(read_delimited(spark, p, ";", with_position=False)) == whole
+
+
+def test_long_header_is_read_whole(spark, scratch, monkeypatch):
+    import quayside.sources.delimited as D
+
+    names = [f"column_{i:06d}_{'x' * 60}" for i in range(16000)]
+    p = write(scratch, "wide.csv", (";".join(names) + "\n").encode())
+    assert D.read_header(spark, p, ";") == names
+    monkeypatch.setattr(D, "HEADER_LIMIT_BYTES", 1000)
+    with pytest.raises(ValueError, match="no header line"):
+        D.read_header(spark, p, ";")
+
+
+def test_one_text_scan_whatever_the_number_of_files(spark, scratch, monkeypatch):
+    import quayside.sources.delimited as D
+
+    monkeypatch.setattr(D, "SPLIT_BYTES", 4)
+    paths = [write(scratch, f"n_{i:03d}.csv", b"k;v\n1;x\n") for i in range(300)]
+    df = read_delimited(spark, paths, ";", with_position=False)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and df.count() == 300
+
+
 def test_header_only_and_empty(spark, scratch):
     p = write(scratch, "h.csv", b"x;y\n")
     assert read_delimited(spark, p, ";").count() == 0
@@ -100,7 +144,7 @@ def test_auto_mode_splits_big_files_without_quoted_newlines(spark, scratch, monk
     spans = write(scratch, "s.csv", ("k;v\n" + "".join(f"{i};\"a\n{i}\"\n" for i in range(50))).encode())
     small = write(scratch, "t.csv", b"k;v\n1;x\n")
     files = D.expand_files(spark, [plain, spans, small])
-    modes = D._choose_multiline(spark, files, "utf-8", "auto")
+    modes = D._choose_multiline(spark, files, "utf-8", "auto", ";")
     assert modes == {files[0][0]: False, files[1][0]: True, files[2][0]: True}
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
@@ -136,5 +180,5 @@ def test_auto_mode_detects_quoted_newline_in_cp1251(spark, scratch, monkeypatch)
     body = "Номер;Текст\n" + "".join(f"{i};Ёлка №{i}\n" for i in range(200)) + '999;"строка\nвторая"\n'
     p = write(scratch, "cp.csv", body.encode("cp1251"))
     files = D.expand_files(spark, [p])
-    assert D._choose_multiline(spark, files, "cp1251", "auto") == {files[0][0]: True}
+    assert D._choose_multiline(spark, files, "cp1251", "auto", ";") == {files[0][0]: True}
     spark_vs_pandas(spark, p, enc="cp1251")

@@ -55,3 +55,19 @@ def test_hot_null_key_is_spread(spark, skew_conf):
     assert f.where("is_complex").count() == n - n // 3
     assert split_counts(df, ["k"]).first().asDict() == {"n_rows": n, "n_normal": n // 3, "n_complex": n - n // 3}
 
+
+
+def test_hot_stored_key_of_a_replace_is_split(spark, skew_conf):
+    from quayside.operators.merge import replace_by_key
+
+    n = 150000
+    stored = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("string").alias("k"),
+                                   F.xxhash64("id").alias("v")).repartition(4)
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    batch = spark.range(1000, 2000).select(F.col("id").cast("string").alias("k"), (-F.col("id")).alias("v")).repartition(4)
+    out = replace_by_key(stored, batch, ["k"])
+    count, plan = final_plan(out)
+    spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionFactor")
+    assert "skew=true" in plan
+    gone = sum(1 for i in range(1000, 2000) if i % 3)
+    assert count == n - gone + 1000

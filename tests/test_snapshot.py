@@ -69,3 +69,43 @@ def test_staged_but_unpublished_version_is_invisible(spark, scratch):
     spark.sql("DROP TABLE snap_c")
     fresh = VersionedTable(spark, "snap_c", root=os.path.join(scratch, "c"))
     assert fresh.versions() == [1] and rows(fresh.read()) == [(1, "x")]
+
+
+def test_layout_belongs_to_the_table(spark, scratch):
+    import pytest
+
+    root = os.path.join(scratch, "lay")
+    df = spark.range(2000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    t8 = VersionedTable(spark, "lay_t", root=root, keys=["k"], buckets=8)
+    t8.publish(df)
+    t4 = VersionedTable(spark, "lay_t", root=root, keys=["k"], buckets=4)
+    for _ in range(2):
+        from quayside.operators.merge import upsert
+
+        t4.publish(upsert(t4.read(), df.where("v < 1038"), ["k"], now="2024-01-01"))
+    assert t4.read().count() == 2000 and t4.layout(3) == (["k"], 4)
+    plain = VersionedTable(spark, "lay_u", root=os.path.join(scratch, "u"))
+    plain.publish(df)
+    spark.sql("DROP TABLE lay_u")
+    bucketed = VersionedTable(spark, "lay_u", root=os.path.join(scratch, "u"), keys=["k"], buckets=4)
+    assert bucketed.read().count() == 2000
+    bucketed.publish(bucketed.read())
+    assert bucketed.read().count() == 2000
+    # a name that another root has in this catalog, and a view of that name
+    other = VersionedTable(spark, "lay_t", root=os.path.join(scratch, "w"))
+    other.publish(df.limit(3))
+    assert other.read().count() == 3 and t4.read().count() == 2000
+    df.createOrReplaceTempView("lay_t")
+    try:
+        with pytest.raises(ValueError, match="view"):
+            t4.read()
+    finally:
+        spark.catalog.dropTempView("lay_t")
+
+
+def test_retention_keeps_the_current_version(spark, scratch):
+    t = VersionedTable(spark, "ret_t", root=os.path.join(scratch, "r"))
+    for i in range(4):
+        t.publish(spark.range(i + 1))
+    assert t.drop_old_versions(keep=2) == [1, 2] and t.versions() == [3, 4]
+    assert t.drop_old_versions(keep=0) == [3] and t.read().count() == 4

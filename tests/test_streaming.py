@@ -13,7 +13,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, scratch):
     ev.repartitionByRange(3, F.col("event_id").desc()).write.parquet(src)
     target = VersionedTable(spark, "ev_t", root=os.path.join(scratch, "t"))
     ckpt = os.path.join(scratch, "ckpt")
-    stream_upsert(spark, src, ev.schema, target, ["user_id", "event_type"], ["event_id"], now="n",
+    stream_upsert(spark, src, ev.schema, target, ["user_id", "event_type"], ["event_id"], now="2024-02-01",
                   checkpoint=ckpt)
     from quayside.operators.merge import dedupe_last
 
@@ -21,7 +21,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, scratch):
     got = target.read().select(*expect.columns)
     assert rows(got) == rows(expect)
     v = target.current_version()
-    stream_upsert(spark, src, ev.schema, target, ["user_id", "event_type"], ["event_id"], now="n",
+    stream_upsert(spark, src, ev.schema, target, ["user_id", "event_type"], ["event_id"], now="2024-02-01",
                   checkpoint=ckpt)
     assert target.current_version() == v
 
@@ -39,8 +39,8 @@ def test_stream_journal_equals_batch(spark, scratch):
     land_bytes(spark, landing, "junk.txt", b"x", mtime="2024-01-01")
     target = VersionedTable(spark, "sj_t", root=os.path.join(scratch, "t"))
     ckpt = os.path.join(scratch, "ckpt")
-    stream_journal(spark, spec, landing, target, now="n1", required=["comment"], checkpoint=ckpt)
+    stream_journal(spark, spec, landing, target, now="2024-02-01", required=["comment"], checkpoint=ckpt)
     assert rows(target.read(), "number", "name", "comment") == [("1", "в", "-"), ("2", "г", "-")]
     v = target.current_version()
-    stream_journal(spark, spec, landing, target, now="n2", required=["comment"], checkpoint=ckpt)
+    stream_journal(spark, spec, landing, target, now="2024-02-02", required=["comment"], checkpoint=ckpt)
     assert target.current_version() == v
