@@ -139,8 +139,8 @@ SELECT COALESCE(n2.talon, n1.talon) AS talon, COALESCE(n2.source, n1.source) AS
        CASE WHEN n2.talon IS NULL THEN n1.part ELSE n2.part END AS part,
        CASE WHEN n2.talon IS NULL THEN n1.ship_date ELSE n2.ship_date END AS ship_date,
        FALSE AS is_complex,
-       CASE WHEN n1.talon IS NULL THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS created_at,
-       CASE WHEN n1.talon IS NULL THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS updated_at
+       CASE WHEN n1.talon IS NULL THEN TIMESTAMP '2024-01-02 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS created_at,
+       CASE WHEN n1.talon IS NULL THEN TIMESTAMP '2024-01-02 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
 FROM n1 FULL OUTER JOIN n2 ON n1.talon = n2.talon AND n1.source = n2.source""",
 }
 
@@ -177,3 +177,64 @@ WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.series = a.series AND b.number = a.num
 
 ORACLE_SQL["landing_scan"] = """
 SELECT event_type, COUNT(*) AS n_rows FROM events WHERE event_type <> 'view' GROUP BY event_type"""
+
+_CLAIM_FILES = """
+l AS (SELECT *, CAST(l_orderkey AS VARCHAR) AS talon, CASE l_returnflag WHEN 'A' THEN '-' WHEN 'R' THEN 'R' END AS src,
+             strftime(l_shipdate, '%Y-%m-%d') AS ship_date FROM lineitem),
+d AS (SELECT 1 AS day, * FROM l WHERE l_shipdate < TIMESTAMP '1998-01-01 00:00:00'
+      UNION ALL SELECT 2, * FROM l WHERE l_shipdate >= TIMESTAMP '1997-01-01 00:00:00'),
+n AS (SELECT *, COUNT(*) OVER (PARTITION BY day, talon, src) AS n FROM d)"""
+_CLAIM_COLUMNS = """CAST(l_linenumber AS VARCHAR) AS line, CAST(l_partkey AS VARCHAR) AS part, ship_date,
+       TIMESTAMP '2024-01-03 00:00:00' AS created_at, TIMESTAMP '2024-01-03 00:00:00' AS updated_at"""
+
+ORACLE_SQL["claims_files_rows"] = f"""
+WITH {_CLAIM_FILES},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY talon, COALESCE(src, '-') ORDER BY day DESC, l_returnflag DESC,
+             l_linenumber DESC, l_partkey DESC, l_shipdate DESC) AS rn FROM n WHERE src IS NULL OR n = 1)
+SELECT talon, COALESCE(src, '-') AS source, FALSE AS is_complex, {_CLAIM_COLUMNS} FROM r WHERE rn = 1"""
+
+ORACLE_SQL["claims_repeated_rows"] = f"""
+WITH {_CLAIM_FILES},
+r AS (SELECT *, MAX(day) OVER (PARTITION BY talon, src) AS last FROM n WHERE src IS NOT NULL AND n > 1)
+SELECT talon, src AS source, TRUE AS is_complex, {_CLAIM_COLUMNS} FROM r WHERE day = last"""
+
+ORACLE_SQL["routed_claims_rows"] = """
+SELECT CAST(l_orderkey AS VARCHAR) AS talon, l_returnflag AS source, MAX(CAST(l_linenumber AS VARCHAR)) AS line, '-' AS uet,
+       FALSE AS is_complex FROM lineitem GROUP BY l_orderkey, l_returnflag"""
+
+ORACLE_SQL["read_delimited_stray_quotes"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS k, CASE c_custkey % 3 WHEN 0 THEN '5" pipe' WHEN 1 THEN '7" x' ELSE '' END AS v,
+       CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN 'a;b' ELSE c_name || '"s' || chr(10) END AS w FROM customer"""
+
+ORACLE_SQL["quarantine_rows"] = """
+SELECT CASE WHEN s_acctbal < 1000 THEN 'bad' ELSE 'good' END AS state, CAST(s_suppkey AS VARCHAR) || ';' || s_name
+       || CASE WHEN s_acctbal < 0 THEN ';;LOST' WHEN s_acctbal < 1000 THEN ';' ELSE '' END AS record FROM supplier"""
+
+ORACLE_SQL["tick_actions"] = """
+SELECT event_type || '_' || CAST(event_id AS VARCHAR) || '.csv' AS name,
+       CASE WHEN event_id % 4 = 0 THEN 'retire' WHEN event_id % 8 = 2 THEN 'wait' WHEN event_id % 2 = 0 THEN 'relaunch'
+            ELSE 'launch' END AS action FROM events"""
+
+ORACLE_SQL["bucket_change_rows"] = """
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' THEN 'Z' ELSE o_orderstatus END AS o_orderstatus
+FROM orders"""
+
+ORACLE_SQL["replace_by_key_hot"] = """
+WITH t AS (SELECT CASE WHEN l_linenumber % 3 = 0 THEN -1 ELSE l_orderkey END AS k, l_partkey, l_linenumber FROM lineitem),
+b AS (SELECT l_orderkey AS k, l_partkey, -l_linenumber AS l_linenumber FROM lineitem
+      WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00')
+SELECT * FROM t WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT * FROM b"""
+
+ORACLE_SQL["skip_empty_report"] = """
+SELECT 'orders' AS table_name, 'skipped' AS status, (SELECT COUNT(*) FROM orders) AS final_count, 1 AS versions"""
+
+ORACLE_SQL["incremental_window_two"] = """
+SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND l_shipdate >= TIMESTAMP '1997-03-14 00:00:00'"""
+
+ORACLE_SQL["fill_missing_counts"] = """
+SELECT COUNT(*) AS n_population, COUNT(*) AS n_c_mktsegment, COUNT(*) AS n_c_name, COUNT(*) AS n_rows FROM customer"""
+
+ORACLE_SQL["drop_audit_upsert"] = """
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' THEN 'Z' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 2000 ELSE 2001 END AS created FROM orders"""

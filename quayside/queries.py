@@ -16,16 +16,16 @@ from pyspark.sql import functions as F
 
 from .landing import land, land_bytes
 from .operators.mapping import (as_strings, fill_missing_required, fill_sentinel, incremental_window,
-                                map_lenient, map_strict, missing_columns_frame)
+                                map_lenient, map_strict, missing_columns, missing_columns_frame)
 from .operators.merge import dedupe_last, replace_by_key, upsert
 from .operators.split import flag_repeated, split_counts, split_repeated
-from .plans.flows import run_claims, run_journal
-from .session import work_path
+from .plans.flows import load_upsert, run_claims, run_claims_files, run_journal, run_routed_claims
+from .session import fs_for, work_path
 from .sinks.files import retire_files
 from .sinks.report import load_report
 from .sinks.snapshot import VersionedTable, publish_snapshot
-from .sources.catalog import table_columns_frame, table_health
-from .sources.delimited import null_tokens, read_delimited, write_delimited
+from .sources.catalog import table_columns, table_columns_frame, table_health
+from .sources.delimited import RECORD, null_tokens, read_delimited, read_delimited_split, write_delimited
 from .sources.files import (classify_files, discover_files, latest_by_name, latest_by_time, plan_file_actions,
                            route_files)
 from .spec import TableSpec
@@ -425,6 +425,190 @@ def q_stream_ingest(spark, sf):
     return target.read().select("user_id", "event_type", "event_id", "value")
 
 
+# --------------------------------------------------------------------------- cases that files and tables meet
+CLAIM_FILES_SPEC = TableSpec(table_name="claims_files", file_pattern="claims_*",
+                             mapping=(("Талон", "talon"), ("Источник", "source"), ("Строка", "line"),
+                                      ("Услуга", "part"), ("Дата", "ship_date")),
+                             keys=("talon", "source"), encoding="cp1251", delimiter=";")
+
+
+def _land_claim_files(spark, sf) -> str:
+    """Two overlapping cp1251 exports of ``lineitem``, each several files by
+    ranges of the order key; one key part is empty for a class of rows and
+    literally ``-`` for another."""
+    li = table(spark, sf, "lineitem")
+    landing = work_path(spark, "landing", "claims")
+    rows = li.select(
+        "l_orderkey", "l_returnflag", "l_linenumber", "l_partkey", "l_shipdate",
+        F.col("l_orderkey").cast("string").alias("Талон"),
+        F.when(F.col("l_returnflag") == "A", F.lit("-")).when(F.col("l_returnflag") == "R", F.lit("R")).alias("Источник"),
+        F.col("l_linenumber").cast("string").alias("Строка"), F.col("l_partkey").cast("string").alias("Услуга"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Дата"))
+    for day, part in ((1, F.col("l_shipdate") < _ts("1998-01-01 00:00:00", li, "l_shipdate")),
+                      (2, F.col("l_shipdate") >= _ts("1997-01-01 00:00:00", li, "l_shipdate"))):
+        export = rows.where(part).repartitionByRange("l_orderkey").sortWithinPartitions(
+            "l_orderkey", "l_returnflag", "l_linenumber", "l_partkey", "l_shipdate")
+        land(export.select("Талон", "Источник", "Строка", "Услуга", "Дата"), landing, f"claims_day{day}",
+             mtime=f"2024-01-0{day} 00:00:00", encoding="cp1251")
+    return landing
+
+
+def _claims_files_load(spark, sf):
+    uid = _uid()
+    normal, repeated = VersionedTable(spark, f"cf_normal_{uid}"), VersionedTable(spark, f"cf_repeated_{uid}")
+    run_claims_files(spark, CLAIM_FILES_SPEC, _land_claim_files(spark, sf), normal, repeated,
+                     as_of="2024-01-03 00:00:00", now="2024-01-03 00:00:00")
+    return normal, repeated
+
+
+def q_claims_files_rows(spark, sf):
+    return _claims_files_load(spark, sf)[0].read()
+
+
+def q_claims_repeated_rows(spark, sf):
+    return _claims_files_load(spark, sf)[1].read()
+
+
+def q_routed_claims_rows(spark, sf):
+    """The legacy load: the first registered route with a file, its greatest
+    file, a fixed list of required columns, no audit columns."""
+    li = table(spark, sf, "lineitem")
+    landing = work_path(spark, "landing", "routed")
+    export = li.select(F.col("l_orderkey").cast("string").alias("Талон"), F.col("l_returnflag").alias("Источник"),
+                       F.col("l_linenumber").cast("string").alias("Строка"))
+    # the legacy load reads one file, so the export is one
+    land(export.groupBy("Талон", "Источник").agg(F.max("Строка").alias("Строка")).coalesce(1), landing, "journal_20240102",
+         mtime="2024-01-02 00:00:00")
+    land_bytes(spark, landing, "journal_20240101.csv", "Талон;Источник;Строка\n0;A;old\n".encode(), mtime="2024-01-01")
+    land_bytes(spark, landing, "doctor_1.csv", b"x\n1\n", mtime="2024-01-01")
+    mapping = (("Талон", "talon"), ("Источник", "source"), ("Строка", "line"))
+    specs = [TableSpec("doctors", "doctor_*", (("x", "x"),), ("x",), delimiter=";"),
+             TableSpec("talons", "journal_20*", mapping, ("talon", "source"), delimiter=";")]
+    uid = _uid()
+    normal, repeated = VersionedTable(spark, f"rc_normal_{uid}"), VersionedTable(spark, f"rc_repeated_{uid}")
+    run_routed_claims(spark, specs, ["talons"], landing, normal, repeated, required=["talon", "source", "uet", "is_complex"])
+    return normal.read().select("talon", "source", "line", "uet", "is_complex")
+
+
+def _land_lines(df: DataFrame, header: str, landing: str, prefix: str) -> None:
+    """Land exact lines (no quoting) under a header, as the one file that an
+    export is."""
+    spark = df.sparkSession
+    staging = work_path(spark, "staging")
+    lines = df.select(F.lit(1).alias("o"), F.col(df.columns[0]).alias("value"))
+    head = spark.range(1).select(F.lit(0).alias("o"), F.lit(header).alias("value"))
+    head.unionByName(lines).coalesce(1).sortWithinPartitions("o").select("value").write.text(staging)
+    fs, sdir = fs_for(spark, staging)
+    _, ldir = fs_for(spark, landing)
+    fs.mkdirs(ldir)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for i, st in enumerate(s for s in fs.listStatus(sdir) if s.getPath().getName().startswith("part-")):
+        fs.rename(st.getPath(), jpath(ldir, f"{prefix}_{i:05d}.csv"))
+
+
+def q_read_delimited_stray_quotes(spark, sf):
+    """Quotes that neither open a field nor stand doubled in one, next to
+    fields that are quoted, some over two lines."""
+    c = table(spark, sf, "customer")
+    landing = work_path(spark, "landing", "stray")
+    key = F.col("c_custkey").cast("string")
+    odd = F.col("c_custkey") % 3
+    line = (F.when(odd == 0, F.concat(key, F.lit(';5" pipe;"'), F.col("c_name"), F.lit('"')))
+             .when(odd == 1, F.concat(key, F.lit(';7" x;"a;b"')))
+             .otherwise(F.concat(key, F.lit(';;"'), F.col("c_name"), F.lit('""s\n"'))))
+    _land_lines(c.select(line.alias("l")), "k;v;w", landing, "stray")
+    rows = read_delimited(spark, landing, delimiter=";", with_position=False)
+    return rows.select("k", F.coalesce("v", F.lit("")).alias("v"), "w")
+
+
+def q_quarantine_rows(spark, sf):
+    """Records with more fields than the header, set aside whole."""
+    s = table(spark, sf, "supplier")
+    landing = work_path(spark, "landing", "overflow")
+    line = F.concat_ws(";", F.col("s_suppkey").cast("string"), "s_name")
+    line = F.when(F.col("s_acctbal") < 0, F.concat(line, F.lit(";;LOST"))).when(
+        F.col("s_acctbal") < 1000, F.concat(line, F.lit(";"))).otherwise(line)
+    _land_lines(s.select(line.alias("l")), "number;name", landing, "overflow")
+    good, bad = read_delimited_split(spark, landing, delimiter=";")
+    return bad.select(F.lit("bad").alias("state"), F.col(RECORD).alias("record")).unionByName(
+        good.select(F.lit("good").alias("state"), F.concat_ws(";", "number", "name").alias("record")))
+
+
+def q_tick_actions(spark, sf):
+    """Several attempts at one file in the ledger: one action each."""
+    files, _ = _files_and_ledger(spark, sf)
+    ev = table(spark, sf, "events")
+    names = files.join(ev.select(F.concat("event_type", F.lit("_"), F.col("event_id").cast("string"), F.lit(".csv")).alias("name"),
+                                 "event_id"), "name")
+    attempt = lambda cond, status: names.where(cond).select("name", "mtime", "length", F.lit("r").alias("run_key"),
+                                                            F.lit(status).alias("run_status"))
+    e = F.col("event_id")
+    ledger = attempt(e % 2 == 0, "FAILURE").unionByName(attempt(e % 4 == 0, "SUCCESS")).unionByName(
+        attempt(e % 6 == 0, "FAILURE")).unionByName(attempt(e % 8 == 2, "RUNNING"))
+    return plan_file_actions(files, ledger).select("name", "action")
+
+
+def q_bucket_change_rows(spark, sf):
+    """A table written in 8 buckets, then loaded by a writer that asks for 4."""
+    stored, arriving = _orders_split(spark, sf)
+    name, root = f"orders_b_{_uid()}", work_path(spark, "tables", "orders_buckets")
+    first = VersionedTable(spark, name, root=root, keys=["o_orderkey"], buckets=8)
+    first.publish(stored.select("o_orderkey", "o_orderstatus"))
+    second = VersionedTable(spark, name, root=root, keys=["o_orderkey"], buckets=4)
+    for status in ("X", "Z"):
+        second.publish(upsert(second.read(), arriving.select("o_orderkey", F.lit(status).alias("o_orderstatus")),
+                              ["o_orderkey"], now="2001-01-01"))
+    return second.read().select("o_orderkey", "o_orderstatus")
+
+
+def q_replace_by_key_hot(spark, sf):
+    """A third of the stored rows have one key."""
+    li = table(spark, sf, "lineitem")
+    key = F.when(F.col("l_linenumber") % 3 == 0, F.lit(-1)).otherwise(F.col("l_orderkey")).alias("k")
+    target = li.select(key, "l_partkey", "l_linenumber")
+    late = li.where(F.col("l_shipdate") >= _ts("1998-01-01 00:00:00", li, "l_shipdate"))
+    batch = late.select(F.col("l_orderkey").alias("k"), "l_partkey", (-F.col("l_linenumber")).alias("l_linenumber"))
+    return replace_by_key(target, batch, ["k"])
+
+
+def q_skip_empty_report(spark, sf):
+    """A batch without rows writes nothing."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus")
+    t = VersionedTable(spark, f"orders_e_{_uid()}", label="orders")
+    t.publish(orders)
+    report = load_upsert(spark, orders.where("o_orderstatus = 'no such status'"), ["k"], t, now="2024-01-01")
+    return report.withColumn("versions", F.lit(len(t.versions())))
+
+
+def q_incremental_window_two(spark, sf):
+    """Start and change date are two columns: a line's order and ship dates."""
+    orders, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    both = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return incremental_window(both, "o_orderdate", "l_shipdate", "1997-03-15").select("l_orderkey", "l_linenumber", "l_shipdate")
+
+
+def q_fill_missing_counts(spark, sf):
+    """Missing mapped and required columns, filled; cells that hold ``-``."""
+    customer = table(spark, sf, "customer")
+    mapping = {"c_custkey": "id", "c_name": "name", "c_population": "population"}
+    view = f"customer_{_uid()}"
+    customer.createOrReplaceTempView(view)
+    required = [*[mapping[c] for c in missing_columns(customer, mapping)], *table_columns(spark, view)]
+    filled = fill_missing_required(map_lenient(customer.drop("c_mktsegment"), mapping), required)
+    return filled.agg(*[F.count_if(F.col(c) == "-").alias(f"n_{c}") for c in ("population", "c_mktsegment", "c_name")],
+                      F.count("name").alias("n_rows"))
+
+
+def q_drop_audit_upsert(spark, sf):
+    """A batch that carries audit columns of its own, which are ignored."""
+    stored, arriving = _orders_split(spark, sf)
+    stamp = F.lit("2000-01-01 00:00:00").cast("timestamp")
+    target = stored.select("o_orderkey", "o_orderstatus", stamp.alias("created_at"), stamp.alias("updated_at"))
+    batch = arriving.select("o_orderkey", F.lit("Z").alias("o_orderstatus"), F.lit("junk").alias("CREATED_AT"))
+    out = upsert(target, batch, ["o_orderkey"], now="2001-01-01 00:00:00")
+    return out.select("o_orderkey", "o_orderstatus", F.year("created_at").alias("created"))
+
+
 QUERIES: dict[str, Query] = {
     "map_strict": q_map_strict,
     "map_lenient": q_map_lenient,
@@ -461,4 +645,16 @@ QUERIES: dict[str, Query] = {
     "journal_two_part_key": q_journal_two_part_key,
     "claims_flagship": q_claims_flagship,
     "claims_normal_rows": q_claims_normal_rows,
+    "claims_files_rows": q_claims_files_rows,
+    "claims_repeated_rows": q_claims_repeated_rows,
+    "routed_claims_rows": q_routed_claims_rows,
+    "read_delimited_stray_quotes": q_read_delimited_stray_quotes,
+    "quarantine_rows": q_quarantine_rows,
+    "tick_actions": q_tick_actions,
+    "bucket_change_rows": q_bucket_change_rows,
+    "replace_by_key_hot": q_replace_by_key_hot,
+    "skip_empty_report": q_skip_empty_report,
+    "incremental_window_two": q_incremental_window_two,
+    "fill_missing_counts": q_fill_missing_counts,
+    "drop_audit_upsert": q_drop_audit_upsert,
 }

@@ -127,12 +127,14 @@ def _file_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(uri as the scan reports it, ordinal in apply order, path) per file.
     The planner measures it: a short list is broadcast to the scan, a long one
     is joined by shuffle."""
-    jvm = spark.sparkContext._jvm
-    rows = [(str(jvm.org.apache.hadoop.fs.Path(p).toUri().toString()), i, p) for i, p in enumerate(paths)]
-    schema = T.StructType([T.StructField("__qs_uri", T.StringType(), False),
-                           T.StructField("__qs_file", T.IntegerType(), False),
-                           T.StructField("__qs_path", T.StringType(), False)])
-    return spark.createDataFrame(rows, schema)
+    import pyarrow as pa
+
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    # from Arrow it is a local relation, whose size the planner knows
+    return spark.createDataFrame(pa.table({
+        "__qs_uri": pa.array([str(jpath(p).toUri().toString()) for p in paths], pa.string()),
+        "__qs_file": pa.array(range(len(paths)), pa.int32()),
+        "__qs_path": pa.array(list(paths), pa.string())}))
 
 
 def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delimiter: str,
@@ -223,6 +225,8 @@ def split_bytes(spark: SparkSession, files: Sequence[tuple[str, int]]) -> int:
     open_cost = _bytes_conf(spark, "spark.sql.files.openCostInBytes", 4 << 20)
     total = sum(n + open_cost for _, n in files)
     return min(max_part, max(open_cost, total // max(1, spark.sparkContext.defaultParallelism)))
+
+
 ASCII_COMPATIBLE = ("utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1")
 
 
