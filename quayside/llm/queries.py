@@ -13,10 +13,13 @@ from .decontaminate import op1_decontamination
 from .langid import op3_language_id
 from .license import op2_license_scan
 from .neardup import op4_minhash
+from .oracle import ORACLE_SQL
 from .quality import op10_quality
 from .suffixdedup import op7_suffix_array
 from .tokenfile import op9_token_file
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -29,5 +32,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_file": op9_token_file,
     "op10_quality": op10_quality,
 }
-
-ORACLE_SQL: dict[str, str] = {}
