@@ -21,6 +21,7 @@ from ..functions.tokens import SENTINEL
 from ..operators.mapping import drop_audit, fill_missing_required, fill_sentinel, map_strict
 from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
 from ..operators.split import flag_repeated, split_repeated
+from ..sinks.jdbc import JdbcTable
 from ..sinks.report import load_report, skipped_report
 from ..sinks.snapshot import VersionedTable
 from ..sources.catalog import text_columns
@@ -77,6 +78,9 @@ def load_replace(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str]
     try:
         if batch.isEmpty():
             return skipped_report(spark, target.label, target.read() if target.exists() else None)
+        if isinstance(target, JdbcTable):
+            target.apply(batch, spec_keys, "replace")
+            return load_report(target.label, target.read())
         current = target.read_or_empty(target_schema_for(batch))
         target.publish(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)))
     finally:
@@ -95,7 +99,7 @@ def last_file_of_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(last, [*keys, "__qs_file"]).select(*[qcol(c) for c in batch.columns])
 
 
-def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str], target: VersionedTable,
+def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str], target: VersionedTable | JdbcTable,
                 now, keep_stored: Sequence[str] = (), guard_cols: Sequence[str] = ()) -> DataFrame:
     """fill → last-row-wins → upsert → publish → report.  ``keep_stored``:
     required columns the files lack that a match must leave unchanged (new
@@ -107,6 +111,9 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
         n = batch.count()
         if n == 0:
             return skipped_report(spark, target.label, target.read() if target.exists() else None)
+        if isinstance(target, JdbcTable):
+            target.apply(batch, spec_keys, "upsert")
+            return load_report(target.label, target.read())
         current = target.read_or_empty(target_schema_for(fill_missing_required(batch, keep_stored)))
         defaults = {c: SENTINEL for c in keep_stored}
         target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None, guard_cols=guard_cols,
@@ -116,7 +123,7 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
     return load_report(target.label, target.read())
 
 
-def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable, as_of, now,
+def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: VersionedTable | JdbcTable, as_of, now,
                 required: Sequence[str] | None = None, min_age_seconds: float = 60,
                 latest_only: bool = False, only_paths: Sequence[str] | None = None,
                 overwrite_missing: bool = True, on_bad: str = "error",

@@ -3,9 +3,10 @@
 The rows travel in parallel from the executors into a staging table
 (``DataFrame.write.jdbc``), then ONE statement per operation runs on the
 database inside one transaction: ``INSERT … SELECT … ON CONFLICT`` (PostgreSQL)
-or ``MERGE`` (ANSI), instead of one statement per row.  The batch must be
-de-duplicated on the keys first (:func:`quayside.operators.merge.dedupe_last`),
-because both statements reject two source rows for one key.
+or ``MERGE`` (ANSI), instead of one statement per row.  Both statements reject
+two source rows for one key, so an upsert first fills missing values and keeps
+the last row of each key.  :class:`JdbcTable` stands in for a versioned table as
+the target of a journal load.
 
 Only the statement text is exercised by the tests here: this environment
 has no database driver and no database (embedded or served) may be started
@@ -19,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from ..functions.tokens import AUDIT_COLUMNS
+from ..operators.mapping import drop_audit, fill_sentinel
+from ..operators.merge import POS, dedupe_last
 
 
 def _q(name: str) -> str:
@@ -88,10 +91,41 @@ def run_statements(df: DataFrame, url: str, statements: Sequence[str], propertie
         conn.close()
 
 
+def applicable(df: DataFrame, keys: Sequence[str], strategy: str) -> DataFrame:
+    """The rows to stage: missing values filled, audit columns dropped, and for
+    an upsert the last row of each key."""
+    df = fill_sentinel(drop_audit(df))
+    df = dedupe_last(df, keys) if strategy == "upsert" else df
+    return df.drop(POS)
+
+
+class JdbcTable:
+    """A relational target for :func:`quayside.plans.flows.run_journal`."""
+
+    buckets = None
+
+    def __init__(self, spark, url: str, table: str, dialect: str = "postgresql", properties: dict | None = None,
+                 label: str | None = None, num_partitions: int | None = None):
+        self.spark, self.url, self.table, self.dialect = spark, url, table, dialect
+        self.properties, self.num_partitions, self.label = properties, num_partitions, label or table
+
+    def exists(self) -> bool:
+        return True
+
+    def read(self) -> DataFrame:
+        return self.spark.read.jdbc(self.url, self.table, properties=dict(self.properties or {}))
+
+    def apply(self, batch: DataFrame, keys: Sequence[str], strategy: str) -> None:
+        jdbc_upsert(batch, self.url, self.table, keys, self.dialect, self.properties, strategy=strategy,
+                    num_partitions=self.num_partitions)
+
+
 def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str], dialect: str = "postgresql",
                 properties: dict | None = None, staging: str | None = None, strategy: str = "upsert",
                 num_partitions: int | None = None) -> None:
-    """Stage ``df`` in parallel, then apply it with one set-based statement."""
+    """Stage ``df`` (filled; for an upsert one row a key, the last) in parallel,
+    then apply it with one set-based statement."""
+    df = applicable(df, keys, strategy)
     staging = staging or f"{table}__staging"
     props = dict(properties or {})
     if num_partitions:

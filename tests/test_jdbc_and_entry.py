@@ -18,6 +18,30 @@ def test_merge_statement_shape():
     assert sql.startswith('MERGE INTO t t USING s s ON (t."k" = s."k") WHEN MATCHED THEN UPDATE SET "v" = s."v"')
 
 
+def test_a_relational_table_is_the_target_of_a_journal_load(spark, scratch, monkeypatch):
+    import os
+
+    from quayside.landing import land_bytes
+    from quayside.plans.flows import run_journal
+    from quayside.sinks import jdbc
+    from quayside.spec import TableSpec
+
+    said = []
+    table = jdbc.JdbcTable(spark, "jdbc:none", "refs")
+    monkeypatch.setattr(table, "read", lambda: spark.createDataFrame([], "k string, v string, extra string"))
+    monkeypatch.setattr(jdbc, "run_statements", lambda df, url, statements, props=None: said.append((sorted(map(tuple, df.collect())), list(statements))))
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.jdbc", lambda self, url, name, mode=None, properties=None: said.append((name, mode)))
+    landing = os.path.join(scratch, "landing")
+    land_bytes(spark, landing, "j1.csv", b"k;v\n1;a\n1;b\n2;NA\n", mtime="2024-01-01")
+    spec = TableSpec("refs", "j*", (("k", "k"), ("v", "v")), ("k",), delimiter=";")
+    run_journal(spark, spec, landing, table, as_of="2024-01-02", now="2024-01-02")
+    assert said[0] == ("refs__staging", "overwrite")
+    rows, statements = said[1]
+    assert rows == [("1", "b", "-"), ("2", "-", "-")]      # one row a key, the last, filled
+    assert statements[0].startswith('INSERT INTO refs ("k", "v", "extra", "created_at", "updated_at")')
+    assert statements[-1] == "DROP TABLE refs__staging"
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 
