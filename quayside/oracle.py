@@ -238,3 +238,5 @@ SELECT COUNT(*) AS n_population, COUNT(*) AS n_c_mktsegment, COUNT(*) AS n_c_nam
 ORACLE_SQL["drop_audit_upsert"] = """
 SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' THEN 'Z' ELSE o_orderstatus END AS o_orderstatus,
        CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 2000 ELSE 2001 END AS created FROM orders"""
+
+ORACLE_SQL["partitioned_upsert_rows"] = ORACLE_SQL["drop_audit_upsert"]

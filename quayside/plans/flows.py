@@ -22,6 +22,7 @@ from ..operators.mapping import drop_audit, fill_missing_required, fill_sentinel
 from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
 from ..operators.split import flag_repeated, split_repeated
 from ..sinks.jdbc import JdbcTable
+from ..sinks.partitioned import PartitionedTable
 from ..sinks.report import load_report, skipped_report
 from ..sinks.snapshot import VersionedTable
 from ..sources.catalog import text_columns
@@ -48,6 +49,15 @@ def cached_bytes(cached: DataFrame) -> int:
     return int(str(cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def touched_rows(table, schema: T.StructType, *batches: DataFrame) -> tuple[DataFrame, dict]:
+    """The stored rows that a load of ``batches`` can change, and what to pass to
+    the table's write so that the rest stays as it is."""
+    if isinstance(table, PartitionedTable):
+        only = table.touched(*batches)
+        return table.read_or_empty(schema, only), {"only": only}
+    return table.read_or_empty(schema), {}
+
+
 @dataclass
 class FlowResult:
     report: DataFrame           # table_name, status, final_count
@@ -81,8 +91,8 @@ def load_replace(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str]
         if isinstance(target, JdbcTable):
             target.apply(batch, spec_keys, "replace")
             return load_report(target.label, target.read())
-        current = target.read_or_empty(target_schema_for(batch))
-        target.publish(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)))
+        current, rest = touched_rows(target, target_schema_for(batch), batch)
+        target.publish(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)), **rest)
     finally:
         batch.unpersist()
     return load_report(target.label, target.read())
@@ -114,10 +124,10 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
         if isinstance(target, JdbcTable):
             target.apply(batch, spec_keys, "upsert")
             return load_report(target.label, target.read())
-        current = target.read_or_empty(target_schema_for(fill_missing_required(batch, keep_stored)))
+        current, rest = touched_rows(target, target_schema_for(fill_missing_required(batch, keep_stored)), batch)
         defaults = {c: SENTINEL for c in keep_stored}
         target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None, guard_cols=guard_cols,
-                              broadcast_batch=small_enough(batch, target)))
+                              broadcast_batch=small_enough(batch, target)), **rest)
     finally:
         batch.unpersist()
     return load_report(target.label, target.read())
@@ -259,9 +269,9 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                 reports[table.label] = skipped_report(spark, table.label,
                                                       table.read() if table.exists() else None)
                 continue
-            current = table.read_or_empty(tschema)
+            other = repeated_b if op == "upsert" else normal_b
+            current, rest = touched_rows(table, tschema, *([part, other] if move_between else [part]))
             if move_between:
-                other = repeated_b if op == "upsert" else normal_b
                 current = current.join(other.select(*[qcol(k) for k in keys]).distinct(), keys, "left_anti")
             if op == "upsert":
                 # the whole flagged batch is cached, which bounds each half of it: a
@@ -270,7 +280,7 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
             else:
                 new = replace_by_key(current, part, keys, now, stamp=stamp_repeated,
                                      broadcast_batch=small[table.label], bucketed=bool(table.buckets))
-            staged.append((table, table.stage(new)))
+            staged.append((table, table.stage(new, **rest)))
         for table, st in staged:
             table.commit(st)
         for table, _ in staged:

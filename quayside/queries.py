@@ -22,6 +22,7 @@ from .operators.split import flag_repeated, split_counts, split_repeated
 from .plans.flows import load_upsert, run_claims, run_claims_files, run_journal, run_routed_claims
 from .session import fs_for, work_path
 from .sinks.files import retire_files
+from .sinks.partitioned import PartitionedTable
 from .sinks.report import load_report
 from .sinks.snapshot import VersionedTable, publish_snapshot
 from .sources.catalog import table_columns, table_columns_frame, table_health
@@ -561,6 +562,17 @@ def q_bucket_change_rows(spark, sf):
     return second.read().select("o_orderkey", "o_orderstatus")
 
 
+def q_partitioned_upsert_rows(spark, sf):
+    """A load into a table of which only the touched partitions are rewritten."""
+    stored, arriving = _orders_split(spark, sf)
+    t = PartitionedTable(spark, f"orders_p_{_uid()}", work_path(spark, "tables", "orders_partitioned"), ["o_orderkey"],
+                         partitions=16)
+    stamp = F.lit("2000-01-01 00:00:00").cast("timestamp")
+    t.publish(stored.select("o_orderkey", "o_orderstatus", stamp.alias("created_at"), stamp.alias("updated_at")))
+    load_upsert(spark, arriving.select("o_orderkey", F.lit("Z").alias("o_orderstatus")), ["o_orderkey"], t, now="2001-01-01")
+    return t.read().select("o_orderkey", "o_orderstatus", F.year("created_at").alias("created"))
+
+
 def q_replace_by_key_hot(spark, sf):
     """A third of the stored rows have one key."""
     li = table(spark, sf, "lineitem")
@@ -652,6 +664,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_rows": q_quarantine_rows,
     "tick_actions": q_tick_actions,
     "bucket_change_rows": q_bucket_change_rows,
+    "partitioned_upsert_rows": q_partitioned_upsert_rows,
     "replace_by_key_hot": q_replace_by_key_hot,
     "skip_empty_report": q_skip_empty_report,
     "incremental_window_two": q_incremental_window_two,

@@ -109,3 +109,42 @@ def test_retention_keeps_the_current_version(spark, scratch):
         t.publish(spark.range(i + 1))
     assert t.drop_old_versions(keep=2) == [1, 2] and t.versions() == [3, 4]
     assert t.drop_old_versions(keep=0) == [3] and t.read().count() == 4
+
+
+def test_a_load_rewrites_only_touched_partitions(spark, scratch):
+    import datetime as dt
+
+    import pytest
+
+    from quayside.landing import land_bytes
+    from quayside.plans.flows import run_claims, run_journal
+    from quayside.sinks.partitioned import PartitionedTable
+    from quayside.spec import TableSpec
+
+    spec = TableSpec("refs", "j*", (("k", "k"), ("v", "v")), ("k",), delimiter=";")
+    root = os.path.join(scratch, "p")
+    t = PartitionedTable(spark, "refs", root, ["k"], partitions=16)
+    for day, body in ((1, "".join(f"{i};a\n" for i in range(200))), (2, "7;b\n900;new\n")):
+        landing = os.path.join(scratch, f"d{day}")
+        land_bytes(spark, landing, "j1.csv", f"k;v\n{body}".encode(), mtime="2024-01-01")
+        run_journal(spark, spec, landing, t, as_of="2024-01-02", now=f"2024-01-0{day}", required=[])
+    got = {r.k: (r.v, r.created_at) for r in t.read().collect()}
+    assert len(got) == 201 and got["7"] == ("b", dt.datetime(2024, 1, 1)) and got["900"] == ("new", dt.datetime(2024, 1, 2))
+    first, second = t.manifest(1)["folders"], t.manifest(2)["folders"]
+    changed = [p for p in second if first.get(p) != second[p]]
+    assert 1 <= len(changed) <= 2 and len(second) == 16
+    assert t.read(version=1).where("k = '7'").first().v == "a"
+    # the count of partitions and the keys are the table's own
+    assert PartitionedTable(spark, "refs", root, ["k"], partitions=4).partitions == 16
+    with pytest.raises(ValueError, match="keyed by"):
+        PartitionedTable(spark, "refs", root, ["v"]).read()
+    assert t.drop_old_versions() == [1] and t.read().count() == 201 and t.versions() == [2]
+
+    normal = PartitionedTable(spark, "pn", os.path.join(scratch, "n"), ["talon", "source"], partitions=8)
+    rep = PartitionedTable(spark, "pr", os.path.join(scratch, "r"), ["talon", "source"], partitions=8)
+    cols = "talon string, source string, v string"
+    run_claims(spark, spark.createDataFrame([("1", "a", "x"), ("1", "a", "y"), ("2", "a", "z")], cols), ["talon", "source"], normal, rep,
+               now="2024-01-01", move_between=True)
+    run_claims(spark, spark.createDataFrame([("1", "a", "w"), ("2", "a", "q"), ("2", "a", "r")], cols), ["talon", "source"], normal, rep,
+               now="2024-01-02", move_between=True)
+    assert rows(normal.read(), "talon", "v") == [("1", "w")] and rows(rep.read(), "talon", "v") == [("2", "q"), ("2", "r")]
