@@ -15,9 +15,10 @@ Exact verification on full sets, without all pairs of a bucket:
 1. rows with equal sets form a class, of which one stands in the buckets;
 2. each member of a bucket is compared with the bucket's leader, members in
    blocks of ``BLOCK``, so a bucket of any size is many bounded groups;
-3. links make components; a bucket whose other members still lie in several
-   components is compared block against block, skipping pairs that are already
-   in one component, and only links that join components leave the task.
+3. links make components; where a bucket's other members still lie in several,
+   those outside its largest component are compared with all, block against
+   block, skipping pairs that are already in one component, and only links that
+   join components leave the task.
 
 Words: A-Z lower-cased, then runs of ``[^\\x20\\x09-\\x0D]``; a set is the
 distinct ``shingle``-word sequences, or the whole sequence when shorter.
@@ -156,47 +157,41 @@ def _verify_leaders(rows: DataFrame, k: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _verify_blocks(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """rows (bucket, i, j, side, member, component, text), grouped by (bucket,
-    i, j): links between members of block i and block j (or within i) that
-    join two components."""
+def _verify_rest(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """rows (bucket, i, j, asks, member, component, text), grouped by (bucket,
+    i, j) with those that ask last: links between a row that asks and another
+    that join two components."""
 
-    def links(group: list[tuple[int, int, int, np.ndarray]], within: bool) -> Iterator[tuple[int, int]]:
-        top: dict[int, int] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, others, top = None, [], {}
 
         def find(x: int) -> int:
             while top.get(x, x) != x:
                 x = top[x]
             return x
 
-        left = [g for g in group if g[0] == 0]
-        right = left if within else [g for g in group if g[0] == 1]
-        for p, (_, u, cu, su) in enumerate(left):
-            for _, v, cv, sv in right[p + 1 :] if within else right:
-                if find(cu) != find(cv) and linked(su, sv, percent):
-                    top[max(find(cu), find(cv))] = min(find(cu), find(cv))
-                    yield u, v
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(6)]
             buf, off = C.text_buffer(batch.column(6))
-            out: list[tuple[int, int]] = []
+            a, b = [], []
             for lo, hi in C.doc_chunks(off):
                 base = off[lo]
                 sets, cut = shingle_sets(buf[base : off[hi]], off[lo : hi + 1] - base, k)
                 for x in range(lo, hi):
-                    now = (cols[0][x], cols[1][x], cols[2][x])
+                    now, asks, member, component = (cols[0][x], cols[1][x], cols[2][x]), cols[3][x], cols[4][x], cols[5][x]
                     if now != key:
-                        if key is not None:
-                            out += links(group, key[1] == key[2])
-                        key, group = now, []
-                    group.append((cols[3][x], cols[4][x], cols[5][x], sets[cut[x - lo] : cut[x - lo + 1]].copy()))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
-        if key is not None:
-            out = list(links(group, key[1] == key[2]))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+                        key, others, top = now, [], {}
+                    own = sets[cut[x - lo] : cut[x - lo + 1]]
+                    if not asks:
+                        others.append((member, component, own.copy()))
+                        continue
+                    for other, c, theirs in others:
+                        p, q = find(component), find(c)
+                        if p != q and linked(own, theirs, percent):
+                            top[max(p, q)] = min(p, q)
+                            a.append(member)
+                            b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -224,16 +219,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80,
     grouped = components(first)
     placed_in = buckets.join(grouped.withColumnRenamed("node", "member"), "member", "left").select(
         "bucket", "member", "leader", F.coalesce("component", "member").alias("component"))
-    open_ = placed_in.where("member <> leader").groupBy("bucket").agg(
-        F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("size"),
-        F.sum(F.xxhash64("member").cast("decimal(38,0)")).alias("sign")).where("c1 <> c2")
-    open_ = open_.groupBy("size", "sign").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    inside = placed_in.where("member <> leader").join(open_, "bucket").withColumn("own", F.pmod(F.xxhash64("member", F.lit(1)), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    meets = inside.select("bucket", "member", "component", "own", other).select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "member", "component")
-    todo = meets.join(texts, "member").select("bucket", "i", "j", "side", "member", "component", "text")
-    second = _verify_blocks(todo.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side", "member"), shingle, percent)
+    members = placed_in.where("member <> leader")
+    kinds = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("member").cast("decimal(38,0)")).alias("sign"))
+    open_ = kinds.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most"), F.sum("sign").alias("sign"))
+    open_ = open_.where("most < size").groupBy("size", "sign").agg(F.min(F.struct("bucket", "main", "most")).alias("b")).select(
+        F.col("b.bucket").alias("bucket"), F.col("b.main").alias("main"), F.ceil((F.col("size") - F.col("b.most")) / F.lit(BLOCK)).cast("int").alias("rows"), F.ceil(F.col("size") / F.lit(4 * BLOCK)).cast("int").alias("cols"))
+    inside = members.join(open_, "bucket")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt_to = lambda n, salt: F.pmod(F.xxhash64("member", F.lit(salt)), n).cast("int")
+    others = inside.select("bucket", every("rows").alias("i"), dealt_to("cols", 1).alias("j"), F.lit(False).alias("asks"), "member", "component")
+    asking = inside.where("component <> main").select("bucket", dealt_to("rows", 2).alias("i"), every("cols").alias("j"), F.lit(True).alias("asks"), "member", "component")
+    todo = others.unionByName(asking).join(texts, "member").select("bucket", "i", "j", "asks", "member", "component", "text")
+    second = _verify_rest(todo.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "asks", "member"), shingle, percent)
     more = C.written(second, "links")
     if more.isEmpty():
         final = grouped
