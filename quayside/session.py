@@ -1,7 +1,7 @@
 """Session helpers: a local session for tests/bench and the shared work folder.
 
-Library code never invents a machine-local folder on a cluster: scratch and
-lineage-cutting tables go under the folder the cluster names in
+Library code never invents a machine-local folder on a cluster: scratch tables
+go under the folder the cluster names in
 ``spark.checkpoint.dir``.  Only when that setting is absent (tests, local
 runs) do we pick one ourselves.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -61,12 +61,6 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([base.rstrip("/")] + leaf)
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def fs_for(spark: SparkSession, path: str):
     """Hadoop FileSystem and Path objects for ``path`` (driver-side metadata only)."""
     jvm = spark.sparkContext._jvm

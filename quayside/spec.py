@@ -14,7 +14,7 @@ Specs are loaded once on the driver; operators take plain arguments.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 
@@ -27,9 +27,8 @@ class TableSpec:
     file_format: str = "csv"
     encoding: str = "utf-8"
     delimiter: str = ","
-    strategy: str = "upsert"          # "upsert" | "replace" | "split" (flag + both)
+    strategy: str = "upsert"          # "upsert" | "replace" (run_journal) | "split" (run_claims_files)
     multiline: bool | str = "auto"    # True: parse files whole; False: split by lines
-    options: dict[str, Any] = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def name_pattern(self) -> str:
@@ -68,7 +67,7 @@ def spec_from_dict(name: str, entry: dict[str, Any], **overrides: Any) -> TableS
         keys=tuple(entry.get("column_check", [])),
         encoding=entry.get("encoding", "utf-8"),
         delimiter=entry.get("delimiter", ","),
-        **{k: v for k, v in entry.items() if k in ("strategy", "multiline", "options")},
+        **{k: v for k, v in entry.items() if k in ("strategy", "multiline")},
     )
     if overrides:
         spec = TableSpec(**{**spec.__dict__, **overrides})
