@@ -28,6 +28,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +39,14 @@ from pyspark.sql import functions as F
 from quayside.session import work_path
 
 from . import common as C
-from .bpe import CACHE_PIECES, Pieces, Rows, split_pieces, text_list, vocabulary
+from .bpe import Pieces, Rows, byte_letters, split_pieces, text_list, vocabulary
 
 SHARD_TOKENS = 1 << 20
 #: A pair is frequent if it occurs so often in a shard.
 LEAST = 16
 END = 0
+#: Pieces that a Python worker keeps encoded.
+CACHE_PIECES = 600_000
 
 
 # -- grammar ---------------------------------------------------------------
@@ -172,6 +175,7 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model, self.letters = self.tokenizer.model, dict(enumerate(byte_letters()))
         self.base = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.limit = limit
         self.forget()
@@ -181,26 +185,35 @@ class LibraryEncoder:
         self.piece_ids, self.word_ids = Rows(), Rows()
 
     def _learn(self) -> None:
-        """Encode the pieces met since the last call.  A word and the comma or
-        full stop after it are two pretokens, so they are looked up apart."""
+        """Encode the pieces met since the last call.  A piece of letters alone
+        is one pretoken; the comma or full stop after it is one of its own.  A
+        piece that followed a space has lost it; a leading space marks one that
+        had none."""
         word, members, counts = self.words.__getitem__, [], []
         for p in self.pieces.new:
-            p = p[1:] if p[:1] == " " else " " + p  # a leading space marks a piece that had none before it
-            if p[-1] in ",." and p[1:-1].isalpha() and p[0] == " ":
-                members += (word(p[:-1]), word(p[-1]))
+            if p.isalpha():
+                members.append(word(" " + p))
+                counts.append(1)
+            elif p[-1] in ",." and p[:-1].isalpha():
+                members += (word(" " + p[:-1]), word(p[-1]))
                 counts.append(2)
             else:
-                members.append(word(p))
+                members.append(word(p[1:] if p[0] == " " else " " + p))
                 counts.append(1)
         self.pieces.new = []
-        if new := self.words.new:
-            got = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            self.word_ids.add(np.array([x for ids in got for x in ids], np.int64), np.fromiter(map(len, got), np.int64, len(got)))
-            self.words.new = []
+        got = [self._word(w) for w in self.words.new]
+        self.words.new = []
+        self.word_ids.add(np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got)))
         flat, n = self.word_ids.gather(np.array(members, np.int64))
         total, ends, counts = np.concatenate([[0], np.cumsum(n)]), np.cumsum(counts), np.array(counts, np.int64)
         self.piece_ids.add(flat, total[ends] - total[ends - counts])
 
+    def _word(self, word: str) -> list[int]:
+        if word[0] == " " and word[1:].isalpha():  # one pretoken, so the library's model alone will do
+            spelt = word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            return [t.id for t in self.model.tokenize(spelt)]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end and the number of each text."""
         if len(self.pieces) > self.limit:
@@ -280,7 +293,7 @@ def write_ids(docs: DataFrame, vocabulary_path: str, path: str, text: str = "tex
         if held:
             yield shard()
 
-    rows.mapInArrow(run, SHARD_SCHEMA).write.parquet(path)
+    rows.mapInArrow(C.tidy(run), SHARD_SCHEMA).write.parquet(path)
 
 
 def _offsets(files: DataFrame) -> DataFrame:
@@ -339,7 +352,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
                     cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return placed.mapInArrow(C.tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def read_range(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
@@ -356,7 +369,7 @@ def read_range(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
                 got = expand_range(rules, lengths, seq, base, a, b)
                 yield pa.RecordBatch.from_arrays([pa.array([row["begin"] + a], pa.int64()), pa.array([got.tolist()], pa.list_(pa.int32()))], names=["start", "ids"])
 
-    return placed.mapInArrow(run, "start long, ids array<int>")
+    return placed.mapInArrow(C.tidy(run), "start long, ids array<int>")
 
 
 def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
