@@ -46,8 +46,8 @@ PRETOKENS = regex.compile(
 _SPACE_RUN = re.compile(r" (?:\s|\Z)")
 #: A vocabulary file over this size is not broadcast.
 MAX_VOCAB_BYTES = 64 << 20
-#: Pieces that a task keeps encoded.
-CACHE_PIECES = 600_000
+#: Pieces that a task keeps encoded; the store is let go at the end of the task.
+CACHE_PIECES = 300_000
 NEVER = np.iinfo(np.int32).max
 
 
@@ -396,15 +396,15 @@ def decode(v: Vocabulary, ids: np.ndarray) -> bytes:
 
 # -- Spark ----------------------------------------------------------------
 
-_LOADED: dict[str, Encoder] = {}
+_LOADED: dict[str, Vocabulary] = {}
 
 
-def loaded(spec: Broadcast) -> Encoder:
-    """The encoder of this Python worker (kept over its tasks)."""
-    text = spec.value
-    key = hashlib.sha256(text.encode()).hexdigest()
+def loaded(spec: Broadcast) -> Vocabulary:
+    """The vocabulary, the one thing that a Python worker keeps over its tasks."""
+    key = hashlib.sha256(spec.value.encode()).hexdigest()
     if key not in _LOADED:
-        _LOADED[key] = Encoder(Vocabulary(text))
+        _LOADED.clear()
+        _LOADED[key] = Vocabulary(spec.value)
     return _LOADED[key]
 
 
@@ -435,7 +435,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     fields += [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = loaded(spec)
+        enc = Encoder(loaded(spec))
         for batch in batches:
             _, off = C.text_buffer(batch.column(len(keep)))
             for lo, hi in C.doc_chunks(off):
@@ -454,7 +454,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                 cols += [pa.array(count, pa.int64()), pa.array(id_hash), pa.array(text_hash)]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
 
-    return frame.mapInArrow(run, T.StructType(fields))
+    return frame.mapInArrow(C.tidy(run), T.StructType(fields))
 
 
 def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -464,7 +464,7 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text
 
     @F.pandas_udf("string")
     def text(col):  # noqa: ANN001, ANN202
-        v = loaded(spec).v
+        v = loaded(spec)
         return col.map(lambda x: None if x is None else decode(v, np.asarray(x)).decode("utf-8", "replace"))
 
     return encoded.withColumn(out, text(C.exactly(encoded, ids)))

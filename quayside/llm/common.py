@@ -7,7 +7,7 @@ partitioning, shuffling and joining.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from quayside.session import work_path
 
-#: Bytes of text that a task works on at a time.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text, and documents, that a task works on at a time.
+CHUNK_BYTES, CHUNK_DOCS = 1 << 20, 1024
 #: White space of the word rules: \x20 and \x09-\x0D.
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -62,6 +62,28 @@ def row_uid(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def spread_join(rows: DataFrame, found: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` to an aggregate of them.  The keys' own hash is joined on
+    too, so that the aggregate, which is dealt by the keys already, gets an
+    exchange of its own; between two exchanges Spark can split a hot key."""
+    own = F.xxhash64(*keys)
+    mark = fresh("q_hash", rows.columns + found.columns)
+    return rows.withColumn(mark, own).join(found.withColumn(mark, own), [*keys, mark], how).drop(mark)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, handing Arrow's unused memory back at the end of
+    each task: Python workers outlive their tasks."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 # -- text buffers ---------------------------------------------------------
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,13 +103,13 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def doc_chunks(off: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs [lo, hi) of whole documents of about ``limit`` bytes."""
+def doc_chunks(off: np.ndarray, limit: int = CHUNK_BYTES, docs: int = CHUNK_DOCS) -> Iterator[tuple[int, int]]:
+    """Runs [lo, hi) of at most ``docs`` whole documents of about ``limit`` bytes."""
     lo, n = 0, len(off) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, "right")) - 1)
-        yield lo, min(hi, n)
-        lo = min(hi, n)
+        hi = min(n, lo + docs, max(lo + 1, int(np.searchsorted(off, off[lo] + limit, "right")) - 1))
+        yield lo, hi
+        lo = hi
 
 
 def word_spans(buf: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

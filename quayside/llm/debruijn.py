@@ -81,7 +81,7 @@ def anchored(rows: DataFrame, window: int, anchor: int) -> DataFrame:
                 own = pa.array(doc + lo)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(at.astype(np.int32)), pa.array(edges.astype(np.int32)), pa.array(key), pa.array(h)], names=["doc_id", "uid", "at", "edges", "anchor", "h"])
 
-    return rows.select("doc_id", "uid", "text").mapInArrow(run, f"doc_id {kind}, uid long, at int, edges int, anchor long, h long")
+    return rows.select("doc_id", "uid", "text").mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, at int, edges int, anchor long, h long")
 
 
 def _spelt(rows: DataFrame, window: int) -> DataFrame:
@@ -114,7 +114,7 @@ def _spelt(rows: DataFrame, window: int) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(C.signed(two.of(edge, edge + window)))),
                 ], names=["anchor", "h", "nodes", "checks"])
 
-    return rows.mapInArrow(run, "anchor long, h long, nodes array<long>, checks array<long>")
+    return rows.mapInArrow(C.tidy(run), "anchor long, h long, nodes array<long>, checks array<long>")
 
 
 def compacted(spelt: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     rows = docs.select(ident.alias("doc_id"), C.row_uid(ident, body).alias("uid"), body.alias("text"))
     places = C.written(anchored(rows.where("doc_id is not null"), window, anchor), "paths")
     state = places.groupBy("anchor").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"), F.min("h").alias("h1"), F.max("h").alias("h2")).where("d1 < d2")
-    met = C.written(places.join(state.select("anchor", F.col("d1").alias("first"), (F.col("h1") == F.col("h2")).alias("same")), "anchor"), "repeated")
+    met = C.written(C.spread_join(places, state.select("anchor", F.col("d1").alias("first"), (F.col("h1") == F.col("h2")).alias("same")), ["anchor"]), "repeated")
     whole = lambda rows: rows.select("uid", F.col("at").alias("lo"), (F.col("at") + F.col("edges") + (window - 1)).alias("hi"))
     sure = whole(met.where("same and doc_id > first"))
 
@@ -193,7 +193,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_
             yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.string())] * with_text, names=names)
 
     return frame.join(spans, "uid", "left").select("doc_id", "text", "spans").mapInArrow(
-        run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+        C.tidy(run), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
 
 
 def op6_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,7 +194,7 @@ def _scan(docs: DataFrame, block: TestBlock, window: int, text: str, keep: list[
                 cols += [pa.array(list(map(len, texts)), pa.int64()), *[pa.ListArray.from_arrays(pa.array(cut), pa.array((x - start[owner]).astype(np.int32))) for x in (a, z)], pa.array(names, pa.list_(pa.string())), pa.array(nulls)]
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(C.tidy(run), schema)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", item_text: str = "text",
@@ -276,7 +276,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         yield pa.RecordBatch.from_arrays([pa.array([b.ids[k]], pa.string()), pa.array([s], pa.int64()), pa.array([size], pa.int64()), pa.array([count], pa.int64()), pa.array([best[1]], ids.type), pa.array([best[2]], pa.int64())], names=["item_id", "item_word", "n_words", "n_places", "doc_id", "doc_word"])
 
         kind = frame.schema["doc_id"].dataType.simpleString()
-        found = frame.mapInArrow(run, f"item_id string, item_word long, n_words long, n_places long, doc_id {kind}, doc_word long")
+        found = frame.mapInArrow(C.tidy(run), f"item_id string, item_word long, n_words long, n_places long, doc_id {kind}, doc_word long")
         out = found if out is None else out.unionByName(found)
     if out is None:
         kind = frame.schema["doc_id"].dataType.simpleString()

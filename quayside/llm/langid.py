@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 DIMS = 4096
+#: Documents that a task counts at a time (a row of counts each).
+DOCS = 256
 ORDERS = (1, 2, 3)
 CLUSTERS = 4
 #: Learning rows a language that the centroids are fitted on.
@@ -129,13 +131,13 @@ def _document_frequencies(rows: DataFrame, dims: int) -> tuple[int, np.ndarray]:
         total, n = np.zeros(dims, np.int64), 0
         for batch in batches:
             buf, off = C.text_buffer(batch.column(0))
-            for lo, hi in C.doc_chunks(off):
+            for lo, hi in C.doc_chunks(off, docs=DOCS):
                 base = off[lo]
                 total += (counts(buf[base : off[hi]], off[lo : hi + 1] - base, dims) > 0).sum(axis=0)
                 n += hi - lo
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, dims), pa.int32()), pa.array(np.concatenate([[n], total]))], names=["place", "n"])
 
-    found = rows.mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    found = rows.mapInArrow(C.tidy(run), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(dims + 1, np.int64)
     for r in found:
         df[r.place + 1] = r.n
@@ -155,7 +157,7 @@ def fit(rows: DataFrame, dims: int = DIMS, clusters: int = CLUSTERS, per_lang: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, off = C.text_buffer(batch.column(1))
-            for lo, hi in C.doc_chunks(off):
+            for lo, hi in C.doc_chunks(off, docs=DOCS):
                 base = off[lo]
                 got = counts(buf[base : off[hi]], off[lo : hi + 1] - base, dims)
                 some = [np.flatnonzero(r).astype(np.int16 if dims <= 32768 else np.int32) for r in got]
@@ -164,7 +166,7 @@ def fit(rows: DataFrame, dims: int = DIMS, clusters: int = CLUSTERS, per_lang: i
                     [part.column(0), part.column(2), pa.array([s.astype(np.int32).tobytes() for s in some], pa.binary()), pa.array([g[s].tobytes() for g, s in zip(got, some, strict=True)], pa.binary())],
                     names=["lang", "draw", "place", "count"])
 
-    sample = drawn.select("lang", "text", "draw").mapInArrow(run, "lang string, draw long, place binary, count binary").collect()
+    sample = drawn.select("lang", "text", "draw").mapInArrow(C.tidy(run), "lang string, draw long, place binary, count binary").collect()
     centres, langs, bounds = [], [], []
     for lang in sorted({r.lang for r in sample}):
         own = sorted((r for r in sample if r.lang == lang), key=lambda r: (r.draw, r.place, r.count))[:per_lang]
@@ -206,7 +208,7 @@ def predicted(docs: DataFrame, model: Centroids, text: str = "text", keep: list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, off = C.text_buffer(batch.column(len(keep)))
-            for lo, hi in C.doc_chunks(off):
+            for lo, hi in C.doc_chunks(off, docs=DOCS):
                 base = off[lo]
                 lang, score, rejected = shared.value.predict(buf[base : off[hi]], off[lo : hi + 1] - base)
                 part = batch.slice(lo, hi - lo)
@@ -217,7 +219,7 @@ def predicted(docs: DataFrame, model: Centroids, text: str = "text", keep: list[
                     cols += [pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)]
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(C.tidy(run), schema)
 
 
 def learned(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", folds: int = 4, held: int = 2, **options) -> Centroids:  # noqa: ANN003

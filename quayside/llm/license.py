@@ -189,7 +189,7 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str | None]] | N
                 cols = list(zip(*rows, strict=True)) or [[]] * 7
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.float64()), *[pa.array(c, pa.int64()) for c in cols[3:]]], names=names)
 
-    return frame.mapInArrow(run, f"doc_id {kind}, license string, coverage double, start_word long, end_word long, start_byte long, end_byte long")
+    return frame.mapInArrow(C.tidy(run), f"doc_id {kind}, license string, coverage double, start_word long, end_word long, start_byte long, end_byte long")
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

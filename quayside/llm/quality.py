@@ -207,7 +207,7 @@ def described(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
                 offsets = pa.array(np.arange(hi - lo + 1, dtype=np.int32) * x.shape[1])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))], names=["doc_id", "uid", "features"])
 
-    return frame.mapInArrow(run, f"doc_id {kind}, uid long, features array<float>")
+    return frame.mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, features array<float>")
 
 
 def fitted(table: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, folds: int = 3, held: int = 1, **options) -> Trees:  # noqa: ANN003
@@ -233,7 +233,7 @@ def scored(table: DataFrame, trees: Trees) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared.value.score(x))], names=["doc_id", "uid", "score"])
 
     kind = table.schema["doc_id"].dataType.simpleString()
-    return table.select("doc_id", "uid", "features").mapInArrow(run, f"doc_id {kind}, uid long, score double")
+    return table.select("doc_id", "uid", "features").mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:  # noqa: ANN003

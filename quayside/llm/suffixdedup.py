@@ -190,7 +190,7 @@ def anchored(texts: DataFrame, length: int, anchor: int) -> DataFrame:
             for doc, at, windows, key, h in segments(*C.text_buffer(batch.column(1)), length, anchor):
                 yield pa.RecordBatch.from_arrays([pa.array(uid[doc]), pa.array(at.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(key), pa.array(h)], names=["uid", "at", "windows", "anchor", "h"])
 
-    return texts.select("uid", "text").mapInArrow(run, "uid long, at int, windows int, anchor long, h long")
+    return texts.select("uid", "text").mapInArrow(C.tidy(run), "uid long, at int, windows int, anchor long, h long")
 
 
 def _cut_segments(rows: DataFrame, length: int) -> DataFrame:
@@ -209,7 +209,7 @@ def _cut_segments(rows: DataFrame, length: int) -> DataFrame:
             body = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
             yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("h"), flat.field("n"), flat.field("hot"), body], names=["anchor", "h", "n", "hot", "segment"])
 
-    return rows.mapInArrow(run, "anchor long, h long, n long, hot boolean, segment binary")
+    return rows.mapInArrow(C.tidy(run), "anchor long, h long, n long, hot boolean, segment binary")
 
 
 def _expand_shards(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
@@ -241,7 +241,7 @@ def _expand_shards(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
         if held:
             yield shard(held)
 
-    return rows.mapInArrow(run, "anchor long, h long, lo int, hi int")
+    return rows.mapInArrow(C.tidy(run), "anchor long, h long, lo int, hi int")
 
 
 def _single_windows(rows: DataFrame, length: int) -> DataFrame:
@@ -260,7 +260,7 @@ def _single_windows(rows: DataFrame, length: int) -> DataFrame:
             w2 = C.RangeHash(C.mix64(C.byte_codes(buf))).of(at, at + length)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array(C.signed(w1)), pa.array(C.signed(w2)), batch.column(2).take(pa.array(row))], names=["anchor", "h", "i", "w1", "w2", "n"])
 
-    return rows.mapInArrow(run, "anchor long, h long, i int, w1 long, w2 long, n long")
+    return rows.mapInArrow(C.tidy(run), "anchor long, h long, i int, w1 long, w2 long, n long")
 
 
 def _texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -277,7 +277,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     texts = _texts(docs, text, doc_id)
     places = C.written(anchored(texts, length, anchor), "segments")
     state = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min("h").alias("h1"), F.max("h").alias("h2")).where("n > 1")
-    met = C.written(places.join(state.select("anchor", (F.col("h1") == F.col("h2")).alias("same")), "anchor"), "repeated")
+    met = C.written(C.spread_join(places, state.select("anchor", (F.col("h1") == F.col("h2")).alias("same")), ["anchor"]), "repeated")
     sure = met.where("same").select("uid", F.col("at").alias("lo"), (F.col("at") + F.col("windows") + (length - 1)).alias("hi"))
 
     mixed = met.where("not same")
@@ -295,7 +295,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     many = single.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1")
     ones = single.join(many, ["w1", "w2"]).select("anchor", "h", F.col("i").alias("lo"), (F.col("i") + 1).alias("hi"))
     runs = C.written(few.unionByName(ones).distinct(), "runs")
-    found = mixed.select("anchor", "h", "uid", "at").join(runs, ["anchor", "h"]).select(
+    found = C.spread_join(mixed.select("anchor", "h", "uid", "at"), runs, ["anchor", "h"]).select(
         "uid", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") + (length - 1)).alias("hi"))
     return sure.unionByName(found).groupBy("uid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
@@ -341,7 +341,7 @@ def measured(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id:
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return frame.join(spans, "uid", "left").select("doc_id", "text", "spans").mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        C.tidy(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:  # noqa: ANN003
@@ -372,7 +372,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", d
             cols[place] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return frame.mapInArrow(run, docs.schema)
+    return frame.mapInArrow(C.tidy(run), docs.schema)
 
 
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
