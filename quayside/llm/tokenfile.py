@@ -26,6 +26,7 @@ comes first; an empty table gives an empty file.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from quayside.session import work_path
 
 from . import common as C
-from .bpe import Pieces, Rows, byte_letters, split_pieces, text_list, vocabulary
+from .bpe import PRETOKENS, Pieces, Rows, byte_letters, split_pieces, text_list, vocabulary
 
 SHARD_TOKENS = 1 << 20
 #: A pair is frequent if it occurs so often in a shard.
@@ -175,7 +176,9 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.model, self.letters = self.tokenizer.model, dict(enumerate(byte_letters()))
+        self.letters = dict(enumerate(byte_letters()))
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added) or "(?!)")
         self.base = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.limit = limit
         self.forget()
@@ -185,8 +188,7 @@ class LibraryEncoder:
         self.piece_ids, self.word_ids = Rows(), Rows()
 
     def _learn(self) -> None:
-        """Encode the pieces met since the last call.  A piece of letters alone
-        is one pretoken; the comma or full stop after it is one of its own.  A
+        """Encode the pieces met since the last call, pretoken by pretoken.  A
         piece that followed a space has lost it; a leading space marks one that
         had none."""
         word, members, counts = self.words.__getitem__, [], []
@@ -198,22 +200,26 @@ class LibraryEncoder:
                 members += (word(" " + p[:-1]), word(p[-1]))
                 counts.append(2)
             else:
-                members.append(word(p[1:] if p[0] == " " else " " + p))
-                counts.append(1)
+                p = p[1:] if p[0] == " " else " " + p
+                found = [p] if self.special.search(p) else PRETOKENS.findall(p)
+                members += map(word, found)
+                counts.append(len(found))
         self.pieces.new = []
-        got = [self._word(w) for w in self.words.new]
+        space, letters, special, model = self.letters[32], self.letters, self.special.search, self.tokenizer.model.tokenize
+        got = []
+        for w in self.words.new:
+            if special(w):  # only the whole library knows added tokens
+                got.append(self.tokenizer.encode(w, add_special_tokens=False).ids)
+            elif w.isascii() and w.isprintable():
+                got.append([t.id for t in model(w.replace(" ", space))])
+            else:
+                got.append([t.id for t in model(w.encode().decode("latin-1").translate(letters))])
         self.words.new = []
         self.word_ids.add(np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got)))
         flat, n = self.word_ids.gather(np.array(members, np.int64))
         total, ends, counts = np.concatenate([[0], np.cumsum(n)]), np.cumsum(counts), np.array(counts, np.int64)
         self.piece_ids.add(flat, total[ends] - total[ends - counts])
 
-    def _word(self, word: str) -> list[int]:
-        if word[0] == " " and word[1:].isalpha():  # one pretoken, so the library's model alone will do
-            spelt = word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            return [t.id for t in self.model.tokenize(spelt)]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end and the number of each text."""
         if len(self.pieces) > self.limit:
