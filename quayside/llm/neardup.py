@@ -13,8 +13,9 @@ Banding: ``BANDS`` bands of ``ROWS`` coordinates.  A pair at the threshold of
 Exact verification on full sets, without all pairs of a bucket:
 
 1. rows with equal sets form a class, of which one stands in the buckets;
-2. each member of a bucket is compared with the bucket's leader, members in
-   blocks of ``BLOCK``, so a bucket of any size is many bounded groups;
+2. each member of a bucket is compared with the bucket's leader (``LEADERS`` of
+   them in a bucket of over ``BLOCK`` / 2 of the first ``LED_BANDS`` bands), members in blocks of ``BLOCK``, so a
+   bucket of any size is many bounded groups;
 3. links make components; where a bucket's other members still lie in several,
    those outside its largest component are compared with all, block against
    block, skipping pairs that are already in one component, and only links that
@@ -43,6 +44,9 @@ from .graph import components
 SHINGLE = 4
 BINS, BANDS, ROWS = 128, 32, 4
 BLOCK = 64
+#: Rows outside a bucket's largest component that a group compares with four times as many.
+REST = 256
+LEADERS, LED_BANDS = 5, 4
 _EMPTY = np.uint64((1 << 64) - 1)
 
 
@@ -116,7 +120,7 @@ def sketched(docs: DataFrame, k: int = SHINGLE, text: str = "text", doc_id: str
                     [part.column(0), part.column(1), pa.array(n), pa.array(s1), pa.array(s2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(C.signed(keys.ravel())))],
                     names=["doc_id", "uid", "n", "s1", "s2", "bands"])
 
-    return frame.mapInArrow(run, f"doc_id {kind}, uid long, n long, s1 long, s2 long, bands array<long>")
+    return frame.mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, n long, s1 long, s2 long, bands array<long>")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -154,7 +158,7 @@ def _verify_leaders(rows: DataFrame, k: int, percent: int) -> DataFrame:
                         b.append(leader[i])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(C.tidy(run), "a long, b long")
 
 
 def _verify_rest(rows: DataFrame, k: int, percent: int) -> DataFrame:
@@ -193,7 +197,7 @@ def _verify_rest(rows: DataFrame, k: int, percent: int) -> DataFrame:
                             b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(C.tidy(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -204,27 +208,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80,
     table = C.written(sketched(docs, shingle, text, doc_id), "sketches")
     some = table.where("n > 0")
     by_class = some.groupBy("n", "s1", "s2").agg(F.min(F.struct("doc_id", "uid")).alias("r"), F.min_by("bands", F.struct("doc_id", "uid")).alias("bands"))
-    placed = by_class.select(F.col("r.uid").alias("member"), F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.min("member").alias("leader"), F.max("member").alias("last")).where("leader < last").drop("last")
-    buckets = C.written(placed.join(shared, "bucket"), "buckets")
-
-    pairs = buckets.where("member <> leader").select("leader", "member").distinct()
+    placed = by_class.select(F.col("r.uid").alias("member"), F.posexplode("bands").alias("band", "bucket"))
+    # one leader could be an outlier that few link with, so a larger bucket gets several, drawn by
+    # hashes; a few bands of them make the components that the others find joined already
+    drawn = [F.min_by("member", F.xxhash64("member", F.lit(i))) for i in range(1, LEADERS)]
+    shared = placed.groupBy("bucket").agg(F.min("member").alias("one"), F.max("member").alias("last"), F.count("*").alias("n"), F.min("band").alias("first"), F.array(*drawn).alias("more")).where("one < last")
+    leaders = F.when((F.col("n") > BLOCK // 2) & (F.col("first") < LED_BANDS), F.array_distinct(F.concat(F.array("one"), "more"))).otherwise(F.array("one"))
+    shared = shared.select("bucket", leaders.alias("leaders"))
+    buckets = C.written(C.spread_join(placed.drop("band"), shared, ["bucket"]), "buckets")
+
+    pairs = buckets.select(F.explode("leaders").alias("leader"), "member").where("member <> leader").distinct()
     parts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("parts"))
     own = parts.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"), F.col("leader").alias("member"))
-    rest = pairs.join(parts, "leader").select("leader", F.pmod(F.xxhash64("member"), "parts").cast("int").alias("block"), "member")
+    rest = C.spread_join(pairs, parts, ["leader"]).select("leader", F.pmod(F.xxhash64("member"), "parts").cast("int").alias("block"), "member")
     asked = own.unionByName(rest).join(texts, "member").select("leader", "block", "member", "text")
     dealt = asked.repartition("leader", "block").sortWithinPartitions("leader", "block", F.col("member") != F.col("leader"), "member")
     first = C.written(_verify_leaders(dealt, shingle, percent), "links")
 
     grouped = components(first)
     placed_in = buckets.join(grouped.withColumnRenamed("node", "member"), "member", "left").select(
-        "bucket", "member", "leader", F.coalesce("component", "member").alias("component"))
-    members = placed_in.where("member <> leader")
+        "bucket", "member", "leaders", F.coalesce("component", "member").alias("component"))
+    members = placed_in.where(~F.array_contains("leaders", F.col("member"))).drop("leaders")
     kinds = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("member").cast("decimal(38,0)")).alias("sign"))
     open_ = kinds.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most"), F.sum("sign").alias("sign"))
     open_ = open_.where("most < size").groupBy("size", "sign").agg(F.min(F.struct("bucket", "main", "most")).alias("b")).select(
-        F.col("b.bucket").alias("bucket"), F.col("b.main").alias("main"), F.ceil((F.col("size") - F.col("b.most")) / F.lit(BLOCK)).cast("int").alias("rows"), F.ceil(F.col("size") / F.lit(4 * BLOCK)).cast("int").alias("cols"))
-    inside = members.join(open_, "bucket")
+        F.col("b.bucket").alias("bucket"), F.col("b.main").alias("main"), F.ceil((F.col("size") - F.col("b.most")) / F.lit(REST)).cast("int").alias("rows"), F.ceil(F.col("size") / F.lit(4 * REST)).cast("int").alias("cols"))
+    inside = C.spread_join(members, open_, ["bucket"])
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt_to = lambda n, salt: F.pmod(F.xxhash64("member", F.lit(salt)), n).cast("int")
     others = inside.select("bucket", every("rows").alias("i"), dealt_to("cols", 1).alias("j"), F.lit(False).alias("asks"), "member", "component")
@@ -242,7 +251,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80,
         "n", "s1", "s2", F.coalesce("component", "node").alias("component"))
     rows = some.select("doc_id", "uid", "n", "s1", "s2").join(classes, ["n", "s1", "s2"])
     least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = rows.join(least, "component").select("doc_id", "uid", F.col("n").alias("n_shingles"), "component_id")
+    out = C.spread_join(rows, least, ["component"]).select("doc_id", "uid", F.col("n").alias("n_shingles"), "component_id")
     out = out.unionByName(table.where("n = 0").select("doc_id", "uid", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
