@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from brute import decontamination, near_duplicates, repeated_bytes
 
 import corpus_pipeline
@@ -28,6 +29,31 @@ def test_neighbours_recall_and_scores(spark):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize(("spread", "longest"), [(0.25, 1), (0.5, 1), (1, 1), (0, 5)])
+def test_neighbours_recall_with_varying_norms(spark, spread, longest):
+    draw = np.random.default_rng(3)
+    v = draw.standard_normal((10_000, 64))
+    v *= np.exp(spread * draw.standard_normal((len(v), 1))) / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    v[7] *= longest
+    asked = np.arange(0, len(v), 125)
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>")
+    by = {}
+    for r in ann.nearest(df, df.where("vec_id % 125 = 0")).collect():
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    score = v[asked] @ v.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    assert all(len(found) == 20 for found in by.values())
+    recall = np.mean([len(by[int(q)] & set(b.tolist())) / 20 for q, b in zip(asked, best, strict=True)])
+    assert recall >= 0.9, recall
+
+
+def test_an_id_of_many_vectors_is_one_neighbour(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [1.0, i / 100]) for i in range(30)] + [(i, [0.5, i / 10]) for i in range(2, 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [r.vec_id for r in ann.nearest(df, k=3).orderBy("rank").collect()] == [1, 2, 3]
+
+
 def test_neighbours_defined_cases(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]),
             (7, [float("inf"), 1.0]), (8, [1.0]), (20, [0.0, 1.0]), (1, [1.0, 0.0]), (None, [1.0, 1.0]), (9, [])]
