@@ -6,8 +6,9 @@ by spherical k-means; the nearest centroid by cosine gives the language, and a
 text whose cosine falls below its centroid's own bound is rejected.
 
 The document frequencies are counted over all learning rows by Spark.  The
-centroids are fitted on about ``PER_LANG`` learning rows a language, drawn by a
-hash of the row (a documented bound); prediction reads every whole text.
+centroids of every language are fitted in a Spark group of its own, on about
+``PER_LANG`` learning rows drawn by a hash of the row (a documented bound), so that
+only the centroids reach the driver; prediction reads every whole text.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
 and is rejected; ties go to the centroid that comes first by language; without
@@ -33,8 +34,6 @@ ORDERS = (1, 2, 3)
 CLUSTERS = 4
 #: Learning rows a language that the centroids are fitted on.
 PER_LANG = 400
-#: At most so many languages, most frequent first, get centroids.
-MAX_LANGS = 200
 #: A text is rejected below this share of the least cosine of its centroid's
 #: learning rows; a text of few distinct n-grams cannot come near any centroid,
 #: so below ``FULL`` of them the bound falls with the square root of their number.
@@ -150,7 +149,7 @@ def fit(rows: DataFrame, dims: int = DIMS, clusters: int = CLUSTERS, per_lang: i
     rows = rows.where("lang is not null")
     n, df = _document_frequencies(rows.select("text"), dims)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(MAX_LANGS)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
     share = sizes.select("lang", (F.lit(1.25 * per_lang) / F.col("size")).alias("share"))
     drawn = rows.join(F.broadcast(share), "lang").where(F.pmod("draw", F.lit(1 << 30)) < F.col("share") * F.lit(1 << 30))
 
@@ -166,26 +165,26 @@ def fit(rows: DataFrame, dims: int = DIMS, clusters: int = CLUSTERS, per_lang: i
                     [part.column(0), part.column(2), pa.array([s.astype(np.int32).tobytes() for s in some], pa.binary()), pa.array([g[s].tobytes() for g, s in zip(got, some, strict=True)], pa.binary())],
                     names=["lang", "draw", "place", "count"])
 
-    sample = drawn.select("lang", "text", "draw").mapInArrow(C.tidy(run), "lang string, draw long, place binary, count binary").collect()
-    centres, langs, bounds = [], [], []
-    for lang in sorted({r.lang for r in sample}):
-        own = sorted((r for r in sample if r.lang == lang), key=lambda r: (r.draw, r.place, r.count))[:per_lang]
+    def centroids(table: pa.Table) -> pa.Table:
+        own = sorted(zip(*(table.column(c).to_pylist() for c in ("draw", "place", "count")), strict=True))[:per_lang]
         dense = np.zeros((len(own), dims), np.float32)
-        for i, r in enumerate(own):
-            dense[i, np.frombuffer(r.place, np.int32)] = np.frombuffer(r["count"], np.float32)
+        for i, (_, place, count) in enumerate(own):
+            dense[i, np.frombuffer(place, np.int32)] = np.frombuffer(count, np.float32)
         dense = weigh(dense, idf)
         dense = dense[(dense > 0).any(axis=1)]
-        if not len(dense):
-            continue
-        found = spherical_means(dense, clusters)
+        found = spherical_means(dense, clusters) if len(dense) else np.zeros((0, dims), np.float32)
         cosine = dense @ found.T
-        own_centre = cosine.argmax(axis=1)
-        for j in range(len(found)):
-            mine = cosine[own_centre == j, j]
-            centres.append(found[j])
-            langs.append(lang)
-            bounds.append(slack * float(mine.min()) if len(mine) else 0.0)
-    return Centroids(idf, np.array(centres, np.float32).reshape(-1, dims), langs, np.array(bounds))
+        own_centre = cosine.argmax(axis=1) if len(dense) else np.zeros(0, np.int64)
+        least = [cosine[own_centre == j, j].min(initial=np.inf) for j in range(len(found))]
+        # centroids never outnumber the rows that they are drawn from
+        return pa.table({"lang": table.column("lang").slice(0, len(found)), "at": pa.array(range(len(found)), pa.int32()), "centre": pa.array([c.tobytes() for c in found], pa.binary()),
+                         "bound": pa.array([slack * float(x) if np.isfinite(x) else 0.0 for x in least], pa.float64())})
+
+    sample = drawn.select("lang", "text", "draw").mapInArrow(C.tidy(run), "lang string, draw long, place binary, count binary")
+    fitted = sample.groupBy("lang").applyInArrow(centroids, "lang string, at int, centre binary, bound double").collect()
+    fitted.sort(key=lambda r: (r.lang, r["at"]))
+    centres = np.array([np.frombuffer(r.centre, np.float32) for r in fitted], np.float32).reshape(-1, dims)
+    return Centroids(idf, centres, [r.lang for r in fitted], np.array([r.bound for r in fitted]))
 
 
 def remainder(doc_id: Column, of: int) -> Column:

@@ -91,6 +91,20 @@ def test_license_matches(spark):
 
 # -- language ----------------------------------------------------------------
 
+def test_every_language_gets_centroids(spark):
+    draw = random.Random(5)
+    rows = []
+    for n in range(230):
+        own = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        rows += [(len(rows) + i, " ".join(draw.choices(own, k=60)), f"l{n:03d}") for i in range(12 if n < 200 else 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learned(docs)
+    assert model.langs == sorted(model.langs) and set(model.langs) == {r[2] for r in rows}
+    found = langid.predicted(docs, model).collect()
+    assert sum(r.lang_pred == r.lang for r in found) >= 0.99 * len(rows)
+    assert sum(r.rejected for r in found) <= 0.01 * len(rows)
+
+
 def test_language_identification(spark):
     q = langid.op3_language_id(spark, SF)
     rows = q.join(documents(spark).select("doc_id", "lang"), "doc_id").collect()
