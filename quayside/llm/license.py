@@ -1,11 +1,17 @@
 """License scans: winnowed fingerprints of templates, then banded alignment.
 
 Every template's ``GRAM``-word hashes are winnowed (the least of each ``WINNOW``
-neighbours) into an inverted index from fingerprint to (template, place).  A
-document is winnowed the same way, so a shared run of ``GRAM + WINNOW - 1``
-words always gives a common fingerprint.  Hits of one template on nearby
-diagonals make a candidate; a local alignment in a band around them counts
-matched words.  A match covers at least ``COVERAGE`` of the template's words;
+neighbours) into an inverted index from fingerprint to (template, place), and a
+document is winnowed the same way.  A shared run of ``GRAM + WINNOW - 1`` words
+always gives a common fingerprint, but a match need not have one: it covers
+``COVERAGE`` of the template's words, so changed and inserted words can part it
+into shorter runs.  So the index also holds single words of each template: one
+more than a match may leave out, the rarest in the templates, all of them for no
+coverage.  Every match has one of those, however many words are inserted.
+
+Hits of one template on nearby diagonals make a candidate; a local alignment in
+a band around them counts matched words, unless too few of the template's words
+stand there at all.  A match covers at least ``COVERAGE`` of the template's words;
 of overlapping matches in a document the one with most matched words stays.
 
 The templates are a small stated table: their index is broadcast after a check
@@ -15,8 +21,7 @@ without a shuffle.
 Words: A-Z lower-cased, then runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.
 
 Defined cases: null or wordless texts have no match; a null template or one
-without words matches nothing, one of fewer than ``GRAM`` words is one
-fingerprint; equal templates are reported by the lesser name; repeated
+without words matches nothing; equal templates are reported by the lesser name; repeated
 documents get equal rows.
 """
 
@@ -80,8 +85,20 @@ def fingerprints(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return at, hashed
 
 
+def needed(words: int, coverage: float) -> int:
+    """The least number of matched words that covers a template."""
+    return int(np.ceil(coverage * words))
+
+
+def all_fingerprints(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word place, hash) of the winnowed fingerprints and of every word."""
+    at, hashed = fingerprints(codes, first)
+    place = np.arange(len(codes))
+    return np.concatenate([at, place]), np.concatenate([hashed, C.RangeHash(codes).of(place, place + 1)])
+
+
 class TemplateIndex:
-    def __init__(self, templates: list[tuple[str, str]]) -> None:
+    def __init__(self, templates: list[tuple[str, str]], coverage: float = COVERAGE) -> None:
         self.names = [n for n, _ in templates]
         raw = [t.encode() for _, t in templates]
         buf = C.LOWER[np.frombuffer(b"".join(raw), np.uint8)] if raw else np.zeros(0, np.uint8)
@@ -90,6 +107,16 @@ class TemplateIndex:
         codes = C.word_hashes(buf, starts, ends) if len(starts) else np.zeros(0, np.uint64)
         self.words = [codes[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
         at, hashed = fingerprints(codes, first) if len(codes) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        # single words: one more than may be left out, the rarest in the templates, the longest of equally rare ones
+        seen, own = np.unique(codes, return_inverse=True)
+        often = np.bincount(own, minlength=len(seen))[own]
+        some = [np.zeros(0, np.int64)]
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            rare = a + np.lexsort((np.arange(b - a), (starts - ends)[a:b], often[a:b]))
+            some.append(rare[: b - a - needed(b - a, coverage) + 1])
+        single = np.concatenate(some).astype(np.int64)
+        if len(single):
+            at, hashed = np.concatenate([at, single]), np.concatenate([hashed, C.RangeHash(codes).of(single, single + 1)])
         template = np.searchsorted(first, at, "right") - 1
         order = np.argsort(hashed, kind="stable")
         self.hashed, self.template, self.at = hashed[order], template[order], (at - first[template])[order]
@@ -133,15 +160,22 @@ def matches_of(codes: np.ndarray, index: TemplateIndex, at: np.ndarray, template
     for t in np.unique(template):
         own = template == t
         words = index.words[t]
-        # an occurrence is a diagonal; hits within the band of the first belong to it
+        # an occurrence is a diagonal; hits within the band of the first belong to it, and each has its whole band aligned
         slack = max(1, min(max(band, len(words) // 10), len(words) // 4))
-        lead = None
-        for diagonal in np.unique((at - place)[own]).tolist():
-            if lead is not None and diagonal - lead <= slack:
+        need = needed(len(words), coverage)
+        diagonals = np.unique((at - place)[own])
+        i = 0
+        while i < len(diagonals):
+            lead = int(diagonals[i])
+            i = int(np.searchsorted(diagonals, lead + slack, "right"))
+            reach = slack + (int(diagonals[i - 1]) - lead + 1) // 2
+            centre = lead - slack + reach
+            lo, hi = max(0, centre - reach), min(len(codes), centre + reach + len(words))
+            there = codes[lo:hi].tolist()
+            standing = set(there)
+            if sum(w in standing for w in words) < need:
                 continue
-            lead = diagonal
-            lo, hi = max(0, lead - slack), min(len(codes), lead + len(words) + 2 * slack)
-            matched, start, end = banded_alignment(codes[lo:hi].tolist(), words, lead - lo, slack)
+            matched, start, end = banded_alignment(there, words, centre - lo, reach)
             if matched >= coverage * len(words):
                 found.append((matched, matched / len(words), int(t), lo + start, lo + end))
     found.sort(key=lambda f: (-f[0], -f[1], f[3], index.names[f[2]]))
@@ -158,7 +192,7 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str | None]] | N
     own = sorted((n, t) for n, t in (TEMPLATES if templates is None else templates) if t)
     if sum(len(t) for _, t in own) > MAX_TEMPLATE_BYTES:
         raise ValueError(f"templates over {MAX_TEMPLATE_BYTES} bytes")
-    shared = docs.sparkSession.sparkContext.broadcast(TemplateIndex(own))
+    shared = docs.sparkSession.sparkContext.broadcast(TemplateIndex(own, coverage))
     frame = docs.select(C.exactly(docs, doc_id).alias("doc_id"), C.exactly(docs, text).alias("text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "license", "coverage", "start_word", "end_word", "start_byte", "end_byte"]
@@ -174,7 +208,7 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str | None]] | N
                 if not len(starts):
                     continue
                 codes = C.word_hashes(part, starts, ends)
-                at, hashed = fingerprints(codes, first)
+                at, hashed = all_fingerprints(codes, first)
                 which, template, place = index.hits(hashed)
                 spot = at[which]
                 doc = np.searchsorted(first, spot, "right") - 1

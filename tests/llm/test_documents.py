@@ -1,6 +1,7 @@
 """Operators over documents: brute force, and the cases every operator defines."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -89,6 +90,47 @@ def test_license_matches(spark):
     assert license.license_matches(table(spark, []), templates=[("a", None), ("b", "two words")]).count() == 0
 
 
+def _scanned(spark, texts, **options):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    by = {}
+    for r in license.license_matches(rows, **options).collect():
+        by.setdefault(r.doc_id, []).append((r.license, r.coverage, r.start_word, r.end_word))
+    return by
+
+
+def test_licenses_with_a_changed_or_an_inserted_word(spark):
+    texts, expected = [], []
+    for name, notice in license.TEMPLATES:
+        words = re.findall("[a-z0-9]+", notice.lower())
+        for i in range(1, len(words) - 1):
+            texts += [" ".join(["so", *words[:i], "zzz", *words[i + 1:], "so"]), " ".join(["so", *words[:i], "zzz", *words[i:], "so"])]
+            expected += [(name, 1 - 1 / len(words), 1, 1 + len(words)), (name, 1.0, 1, 2 + len(words))]
+    texts += ["Released under an MIT License.", "released under the new MIT License", "all of it Released x under y the MIT License"]
+    by = _scanned(spark, texts, templates=license.TEMPLATES)
+    for i, (name, share, a, b) in enumerate(expected):
+        # another template that covers as many words, or a whole shorter one, may stand in the same place
+        assert any(n == name and c == pytest.approx(share) and (s, e) == (a, b) for n, c, s, e in _scanned_one(texts[i], name)), texts[i]
+        assert by[i], texts[i]
+    # the last drifts by more than the band of a template of five words
+    assert [by[len(expected) + i][0][:2] for i in range(3)] == [("mit", 0.8), ("mit", 1.0), ("mit", 0.8)]
+
+
+def _scanned_one(text, name):
+    """Matches of one template alone, without Spark."""
+    index = license.TemplateIndex([(name, dict(license.TEMPLATES)[name])])
+    buf = np.frombuffer(text.encode(), np.uint8)
+    starts, ends, first = license.C.word_spans(buf, np.array([0, len(buf)]), license._WORD)
+    codes = license.C.word_hashes(buf, starts, ends)
+    at, hashed = license.all_fingerprints(codes, first)
+    which, template, place = index.hits(hashed)
+    return [(name, share, a, b) for share, _, a, b in license.matches_of(codes, index, at[which], template, place, license.BAND, license.COVERAGE)]
+
+
+def test_license_of_two_words_inside_a_text(spark):
+    by = _scanned(spark, ["a text with two words in it", "two", "two words"], templates=[("b", "Two words")])
+    assert by == {0: [("b", 1.0, 3, 5)], 2: [("b", 1.0, 0, 2)]}
+
+
 # -- language ----------------------------------------------------------------
 
 def test_every_language_gets_centroids(spark):
