@@ -6,8 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,8 +22,3 @@ def spark():
 def scratch():
     """A fresh scratch folder per test (never cleared: a new one each time)."""
     return tempfile.mkdtemp(prefix="qs-test-")
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

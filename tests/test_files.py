@@ -6,7 +6,7 @@ import pytest
 from quayside.sinks.files import archive_files, retire_files
 from quayside.sources.files import (classify_files, discover_files, latest_by_name, latest_by_time,
                                     plan_file_actions, route_files)
-from conftest import rows
+from helpers import rows
 
 
 def manifest(spark):

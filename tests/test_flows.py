@@ -8,7 +8,7 @@ from quayside.plans.flows import run_claims, run_journal, run_routed_claims
 from quayside.sinks.snapshot import VersionedTable
 from quayside.spec import TableSpec, load_specs
 from quayside.streaming.ingest import run_once
-from conftest import rows
+from helpers import rows
 
 T1, T2 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
 

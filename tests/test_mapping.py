@@ -4,7 +4,7 @@ import pytest
 
 from quayside.operators.mapping import (drop_audit, fill_missing_required, fill_sentinel, incremental_window,
                                         map_lenient, map_strict, missing_columns)
-from conftest import rows
+from helpers import rows
 
 
 def test_map_strict_order_dots_and_passthrough(spark):

@@ -1,5 +1,5 @@
 from quayside.operators.merge import dedupe_last, replace_by_key, upsert
-from conftest import rows
+from helpers import rows
 
 T = "k string, v string, keep string, created_at string, updated_at string"
 

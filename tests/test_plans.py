@@ -3,7 +3,7 @@
 import pytest
 
 from quayside.queries import QUERIES
-from conftest import SF
+from helpers import SF
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "CartesianProduct",
              "BroadcastNestedLoopJoin", "Window ")

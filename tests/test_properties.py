@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quayside.operators.merge import replace_by_key, upsert
-from conftest import rows
+from helpers import rows
 
 keys = st.sampled_from(["a", "b", "c", "d"])
 vals = st.one_of(st.none(), st.sampled_from(["x", "y", "z"]))

@@ -5,7 +5,7 @@ import pytest
 
 from quayside.sources.delimited import null_tokens, read_delimited, read_delimited_split
 from quayside.functions.tokens import PANDAS_NULL_TOKENS
-from conftest import rows
+from helpers import rows
 
 
 def write(d, name, data: bytes):

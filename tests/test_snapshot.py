@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from quayside.sinks.snapshot import VersionedTable
-from conftest import rows
+from helpers import rows
 
 
 def test_versions_and_atomic_pointer(spark, scratch):

@@ -2,7 +2,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quayside.operators.split import count_flagged, flag_repeated, split_counts, split_repeated
-from conftest import rows
+from helpers import rows
 
 
 def test_flag_null_keys_never_repeated(spark):

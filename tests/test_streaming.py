@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quayside.sinks.snapshot import VersionedTable
 from quayside.streaming.ingest import stream_upsert
-from conftest import SF, rows
+from helpers import SF, rows
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, scratch):
