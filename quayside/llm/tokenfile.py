@@ -3,7 +3,8 @@
 Documents are dealt by ranges of their ids, sorted, encoded with the tokenizers
 library and followed by an end id.  About ``SHARD_TOKENS`` ids (whole documents)
 make a shard, a row of the file: the frequent adjacent pairs of its ids are
-replaced by nonterminals, again and again, until no pair occurs ``LEAST`` times.
+replaced by nonterminals, again and again, until no pair occurs ``LEAST`` times
+(symbols are two bytes wide, or four in a shard that has more of them).
 A shard holds the rules (two symbols each), the expansion length of each rule,
 the remaining symbols, and its documents' ids and lengths; the file is Parquet
 with these as binary columns, so any store that Spark writes will do and a lost
@@ -25,29 +26,25 @@ comes first; an empty table gives an empty file.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.session import work_path
 
 from . import common as C
-from .bpe import PRETOKENS, Pieces, Rows, byte_letters, split_pieces, text_list, vocabulary
+from .bpe import text_list, vocabulary
+from .words import ByteWords, kept
 
 SHARD_TOKENS = 1 << 20
 #: A pair is frequent if it occurs so often in a shard.
 LEAST = 16
 END = 0
-#: Pieces that a Python worker keeps encoded.
-CACHE_PIECES = 600_000
 
 
 # -- grammar ---------------------------------------------------------------
@@ -65,12 +62,10 @@ def _equal_pairs(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """(rules (k, 2), sequence): symbol ``base + i`` stands for ``rules[i]``.
-    Symbols stay below 65536, two bytes each, where ``base`` allows it."""
-    room = (1 << 16) - base if base < 1 << 16 else (1 << 31) - base
+    """(rules (k, 2), sequence): symbol ``base + i`` stands for ``rules[i]``."""
     seq = ids.astype(np.int64)
     rules: list[tuple[int, int]] = []
-    while len(seq) > 1 and len(rules) < room:
+    while len(seq) > 1:
         pairs = np.sort((seq[:-1] << 32) | seq[1:])
         new = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
         count = np.diff(np.concatenate([new, [len(pairs)]]))
@@ -82,7 +77,7 @@ def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray,
         heads, tails, taken, same = set(), set(), [], []
         for key in keys[order].tolist():
             a, b = key >> 32, key & 0xFFFFFFFF
-            if a in tails or b in heads or len(taken) + len(same) + len(rules) >= room:
+            if a in tails or b in heads:
                 continue
             if a == b:
                 if a in heads or doubles.get(a, 0) < least:
@@ -164,102 +159,14 @@ def expand_range(rules: np.ndarray, lengths: np.ndarray, seq: np.ndarray, base:
     return np.array(out, np.uint32)
 
 
-# -- encoding --------------------------------------------------------------
-
-class LibraryEncoder:
-    """The tokenizers library behind a bounded store of encoded pieces."""
-
-    def __init__(self, spec: str, limit: int = CACHE_PIECES) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.letters = dict(enumerate(byte_letters()))
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(added) or "(?!)")
-        self.base = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
-        self.limit = limit
-        self.forget()
-
-    def forget(self) -> None:
-        self.pieces, self.words = Pieces(), Pieces()
-        self.piece_ids, self.word_ids = Rows(), Rows()
-
-    def _learn(self) -> None:
-        """Encode the pieces met since the last call, pretoken by pretoken.  A
-        piece that followed a space has lost it; a leading space marks one that
-        had none."""
-        word, members, counts = self.words.__getitem__, [], []
-        for p in self.pieces.new:
-            if p.isalpha():
-                members.append(word(" " + p))
-                counts.append(1)
-            elif p[-1] in ",." and p[:-1].isalpha():
-                members += (word(" " + p[:-1]), word(p[-1]))
-                counts.append(2)
-            else:
-                p = p[1:] if p[0] == " " else " " + p
-                found = [p] if self.special.search(p) else PRETOKENS.findall(p)
-                members += map(word, found)
-                counts.append(len(found))
-        self.pieces.new = []
-        space, letters, special, model = self.letters[32], self.letters, self.special.search, self.tokenizer.model.tokenize
-        got = []
-        for w in self.words.new:
-            if special(w):  # only the whole library knows added tokens
-                got.append(self.tokenizer.encode(w, add_special_tokens=False).ids)
-            elif w.isascii() and w.isprintable():
-                got.append([t.id for t in model(w.replace(" ", space))])
-            else:
-                got.append([t.id for t in model(w.encode().decode("latin-1").translate(letters))])
-        self.words.new = []
-        self.word_ids.add(np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got)))
-        flat, n = self.word_ids.gather(np.array(members, np.int64))
-        total, ends, counts = np.concatenate([[0], np.cumsum(n)]), np.cumsum(counts), np.array(counts, np.int64)
-        self.piece_ids.add(flat, total[ends] - total[ends - counts])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids end to end and the number of each text."""
-        if len(self.pieces) > self.limit:
-            self.forget()
-        which, count = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if text:
-                parts = split_pieces(text)
-                parts[0] = " " + parts[0]  # marks the piece that had no space before it
-                which.append(np.fromiter(map(self.pieces.__getitem__, parts), np.int64, len(parts)))
-                count[i] = len(parts)
-        if self.pieces.new:
-            self._learn()
-        flat, n = self.piece_ids.gather(np.concatenate(which) if which else np.zeros(0, np.int64))
-        total = np.concatenate([[0], np.cumsum(n)])
-        ends = np.cumsum(count)
-        return flat, total[ends] - total[ends - count]
-
-
-_ENCODERS: dict[int, LibraryEncoder] = {}
-
-
-def _encoder(spec: Broadcast) -> LibraryEncoder:
-    key = zlib.crc32(spec.value.encode())
-    if key not in _ENCODERS:
-        _ENCODERS[key] = LibraryEncoder(spec.value)
-    return _ENCODERS[key]
-
-
 # -- files -----------------------------------------------------------------
 
-SHARD_SCHEMA = "part int, shard int, doc_ids array<long>, counts array<int>, n_tokens long, base int, rules binary, lengths binary, symbols binary"
-
-
-def _packed(x: np.ndarray) -> bytes:
-    return x.astype("<u2" if not len(x) or x.max() < 1 << 16 else "<u4").tobytes()
+SHARD_SCHEMA = "part int, shard int, doc_ids array<long>, counts array<int>, n_tokens long, base int, width int, rules binary, lengths binary, symbols binary"
 
 
-def _unpacked(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.int64)
+def symbol_type(width: int) -> str:
+    """Symbols of a shard take two bytes, or four if there are more of them."""
+    return f"<u{width}"
 
 
 def write_ids(docs: DataFrame, vocabulary_path: str, path: str, text: str = "text", doc_id: str = "doc_id", end: int = END,
@@ -270,7 +177,7 @@ def write_ids(docs: DataFrame, vocabulary_path: str, path: str, text: str = "tex
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(spec)
+        enc = kept(ByteWords, spec)
         part, number = TaskContext.get().partitionId(), 0
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
         size = 0
@@ -279,11 +186,13 @@ def write_ids(docs: DataFrame, vocabulary_path: str, path: str, text: str = "tex
             ids = np.concatenate([h[1] for h in held])
             counts = np.concatenate([h[2] for h in held])
             rules, seq = repair(ids, enc.base, least)
+            width = 2 if enc.base + len(rules) <= 1 << 16 else 4
+            kind = symbol_type(width)
             return pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([[d for h in held for d in h[0]]], pa.list_(pa.int64())),
-                pa.array([counts.tolist()], pa.list_(pa.int32())), pa.array([len(ids)], pa.int64()), pa.array([enc.base], pa.int32()),
-                pa.array([_packed(rules.ravel())], pa.binary()), pa.array([expansion_lengths(rules, enc.base).astype("<u4").tobytes()], pa.binary()), pa.array([_packed(seq)], pa.binary()),
-            ], names=["part", "shard", "doc_ids", "counts", "n_tokens", "base", "rules", "lengths", "symbols"])
+                pa.array([counts.tolist()], pa.list_(pa.int32())), pa.array([len(ids)], pa.int64()), pa.array([enc.base], pa.int32()), pa.array([width], pa.int32()),
+                pa.array([rules.astype(kind).tobytes()], pa.binary()), pa.array([expansion_lengths(rules, enc.base).astype("<u4").tobytes()], pa.binary()), pa.array([seq.astype(kind).tobytes()], pa.binary()),
+            ], names=["part", "shard", "doc_ids", "counts", "n_tokens", "base", "width", "rules", "lengths", "symbols"])
 
         for batch in batches:
             _, off = C.text_buffer(batch.column(1))
@@ -319,22 +228,10 @@ def _offsets(files: DataFrame) -> DataFrame:
 
 
 def _grammar(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    kind = symbol_type(row["width"])
     lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
-    rules = _unpacked(row["rules"], 2 * len(lengths)).reshape(-1, 2)
-    expanded = row["n_tokens"]
-    wide = _unpacked_symbols(row["symbols"], lengths, row["base"], expanded)
-    return rules, lengths, wide, row["base"]
-
-
-def _unpacked_symbols(raw: bytes, lengths: np.ndarray, base: int, expanded: int) -> np.ndarray:
-    """Two-byte symbols, unless only four-byte ones expand to the right length."""
-    if len(raw) % 4 == 0:
-        seq = np.frombuffer(raw, "<u4").astype(np.int64)
-        if not len(seq) or seq.max() < base + len(lengths):
-            size = np.where(seq >= base, lengths[np.maximum(seq - base, 0)] if len(lengths) else 1, 1)
-            if int(size.sum()) == expanded:
-                return seq
-    return np.frombuffer(raw, "<u2").astype(np.int64)
+    rules = np.frombuffer(row["rules"], kind).astype(np.int64).reshape(-1, 2)
+    return rules, lengths, np.frombuffer(row["symbols"], kind).astype(np.int64), row["base"]
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
