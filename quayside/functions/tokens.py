@@ -29,6 +29,9 @@ PANDAS_NULL_TOKENS = (
 # the audit columns the loader stamps itself.
 SENTINEL = "-"
 AUDIT_COLUMNS = ("created_at", "updated_at")
+# A journal table's own bookkeeping: the name of the file that wrote a row.  Batch
+# and streamed loads both write it; it is never a required column.
+SOURCE_FILE = "_source_file"
 
 # The required columns of the legacy (routed) claims load, in the
 # order that load lists them.  Any the file lacks is added as "-"; the flag

@@ -5,11 +5,13 @@ Semantics follow a default pandas ``read_csv(dtype=str)`` of each landed file:
 * every cell is text; header names come from the file, duplicates are named
   ``x, x.1, x.2`` and a UTF-8 byte-order mark is dropped;
 * ``"`` quotes, doubled quotes inside quotes, delimiters and newlines inside
-  quotes.  A file parsed whole (multi-line) is one task; with the default
-  ``multiline="auto"`` a file above the split size is first checked in one
-  parallel pass, and read split into tasks only if every line is a record by
-  itself that both ways of reading see alike: each field plain (no quote in it)
-  or quoted and closed on the line, no blank line, no lone carriage return;
+  quotes.  How a file is read follows from what stands in it, never from its
+  size.  One splittable pass over the first and all other lines of the files
+  (:func:`file_layouts`) finds their headers and their kind: where every line is
+  a record by itself the file is read by lines; where a quoted cell goes on over
+  a line end, records are put together first (:mod:`quayside.sources.records`),
+  by as many tasks as the file has splits; a file with a lone carriage return, or
+  in a code page of wide characters, is one task.  Only empty lines are no rows;
 * a short row is padded with NULL; a *long* row (more fields than the header,
   empty ones too) is an error by default (``on_bad="error"``, raised by the scan
   itself, no extra pass) or set aside with its whole record
@@ -37,7 +39,8 @@ from pyspark.sql import types as T
 
 from ..functions.charsets import REPLACEMENT, decode_column, needs_translation, normalise
 from ..functions.columns import qcol
-from ..functions.tokens import PANDAS_NULL_TOKENS
+from ..functions.tokens import PANDAS_NULL_TOKENS, SOURCE_FILE
+from .records import assembled, text_lines
 
 EXTRA = "__qs_extra"
 # The record as it stood, of a row that has not as many fields as the header.
@@ -48,19 +51,19 @@ POS = "_pos"
 NO_NULL_MARKER = "\u0000<no-null>\u0000"
 
 
-def _reader(spark: SparkSession, delimiter: str, encoding: str, multiline: bool):
-    enc = "iso-8859-1" if needs_translation(encoding) else normalise(encoding)
-    return (spark.read.format("csv")
-            .option("sep", delimiter)
-            .option("encoding", enc)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", str(bool(multiline)).lower())
-            .option("nullValue", NO_NULL_MARKER)
-            .option("emptyValue", "")
-            .option("ignoreLeadingWhiteSpace", "false")
-            .option("ignoreTrailingWhiteSpace", "false")
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD))
+#: Kinds of files: every line is a record, lines make records, one task.
+LINES, RECORDS, WHOLE = "lines", "records", "whole"
+UTF8 = ("utf-8", "utf8", "us-ascii", "ascii")
+ASCII_COMPATIBLE = (*UTF8, "iso-8859-1", "latin1", "latin-1")
+
+
+def _options(delimiter: str, encoding: str, multiline: bool) -> dict[str, str]:
+    return {"sep": delimiter, "encoding": "iso-8859-1" if needs_translation(encoding) else normalise(encoding),
+            "quote": '"', "escape": '"', "multiLine": str(bool(multiline)).lower(), "nullValue": NO_NULL_MARKER, "emptyValue": "",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+            # a parser that skips columns does not see that a row has too many
+            "columnPruning": "false",
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
 
 
 def pandas_names(raw: Sequence[str]) -> list[str]:
@@ -116,11 +119,7 @@ def read_header(spark: SparkSession, path: str, delimiter: str = ",", encoding:
         stream.close()
     if not buf:
         raise ValueError(f"{path}: no header line (empty file)")
-    enc = normalise(encoding)
-    text = bytes(buf).decode("utf-8-sig" if enc in ("utf-8", "utf8") else enc, errors="replace")
-    first = next(csv.reader(io.StringIO(text, newline=""), delimiter=delimiter, quotechar='"',
-                            doublequote=True), [])
-    return pandas_names(first)
+    return header_names(bytes(buf), delimiter, encoding)
 
 
 def _file_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -137,18 +136,28 @@ def _file_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         "__qs_path": pa.array(list(paths), pa.string())}))
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delimiter: str,
-          encoding: str, multiline: bool, files: DataFrame) -> DataFrame:
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))]
-                          + [T.StructField(RECORD, T.StringType(), True)])
-    df = (_reader(spark, delimiter, encoding, multiline)
-          .option("header", "true").option("enforceSchema", "true")
-          .schema(schema).load(list(paths)))
+def _fields(n: int) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(n)] + [T.StructField(RECORD, T.StringType(), True)])
+
+
+def _scan(spark: SparkSession, sized: Sequence[tuple[str, int]], names: Sequence[str], delimiter: str,
+          encoding: str, kind: str, files: DataFrame) -> DataFrame:
+    paths = [p for p, _ in sized]
+    options = _options(delimiter, encoding, kind == WHOLE)
+    if kind == RECORDS:
+        found = assembled(spark, sized, delimiter)
+        text = found["record"].cast("string") if options["encoding"] in UTF8 else F.decode("record", options["encoding"])
+        schema = ", ".join(f"`{f.name}` string" for f in _fields(len(names)).fields)
+        df = found.select("uri", "block", "row", "closed", F.from_csv(text, schema, options).alias("f")).select(
+            "f.*", F.col("uri").alias("__qs_uri"), F.col("block").alias("__qs_offset"), F.col("row").alias("__qs_row"), "closed")
+    else:
+        df = (spark.read.format("csv").options(**options).option("header", "true").option("enforceSchema", "true")
+              .schema(_fields(len(names))).load(list(paths)))
+        df = df.select("*", F.col("_metadata.file_path").alias("__qs_uri"),
+                       F.col("_metadata.file_block_start").alias("__qs_offset"),
+                       F.monotonically_increasing_id().alias("__qs_row"), F.lit(True).alias("closed"))
     # file order as a small ordinal (not the path string) so that the position
     # stays a few bytes per row through later shuffles
-    df = df.select("*", F.col("_metadata.file_path").alias("__qs_uri"),
-                   F.col("_metadata.file_block_start").alias("__qs_offset"),
-                   F.monotonically_increasing_id().alias("__qs_row"))
     # every scanned file is in the list; one that is not must not lose its rows
     df = df.join(files, "__qs_uri", "left").withColumn("__qs_file", F.coalesce(
         "__qs_file", F.raise_error(F.concat(F.lit("scanned file is not in the load: "), "__qs_uri")).cast("int")))
@@ -173,8 +182,10 @@ def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delim
     long = F.regexp_count(plain, F.lit(sep)) + 1 > len(names)
     record = decode_column(F.col(RECORD), encoding) if needs_translation(encoding) else F.col(RECORD)
     bad = (F.when(F.coalesce(long, F.lit(False)), F.concat(F.lit("more fields than the header in "), F.col("__qs_path")))
-            .when(undefined, F.concat(F.lit(f"a byte undefined in {encoding} in "), F.col("__qs_path"))))
-    return df.select(*cols, bad.alias(EXTRA), record.alias(RECORD), pos.alias(POS))
+            .when(undefined, F.concat(F.lit(f"a byte undefined in {encoding} in "), F.col("__qs_path")))
+            .when(~F.col("closed"), F.concat(F.lit("a quote left open in "), F.col("__qs_path"))))
+    name = F.regexp_extract("__qs_path", r"([^/]*)$", 1)
+    return df.select(*cols, bad.alias(EXTRA), record.alias(RECORD), pos.alias(POS), name.alias(SOURCE_FILE))
 
 
 def _quoted(text: str) -> str:
@@ -202,65 +213,73 @@ def expand_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, i
     return out
 
 
-# A file larger than the split size Spark would use for this read is worth
-# splitting across tasks; smaller files are parsed whole, quoted newlines and
-# all.  ``None``: Spark's own rule, min(maxPartitionBytes, max(openCostInBytes,
-# total bytes / default parallelism)); an int fixes it.
-SPLIT_BYTES: int | None = None
-
-
-def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
-    raw = str(spark.conf.get(key, str(default))).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw) if raw.isdigit() else default
-
-
-def split_bytes(spark: SparkSession, files: Sequence[tuple[str, int]]) -> int:
-    if SPLIT_BYTES is not None:
-        return SPLIT_BYTES
-    max_part = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
-    open_cost = _bytes_conf(spark, "spark.sql.files.openCostInBytes", 4 << 20)
-    total = sum(n + open_cost for _, n in files)
-    return min(max_part, max(open_cost, total // max(1, spark.sparkContext.defaultParallelism)))
-
-
-ASCII_COMPATIBLE = ("utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1")
-
-
-def files_to_read_whole(spark: SparkSession, paths: Sequence[str], delimiter: str) -> set[str]:
-    """Which of ``paths`` have a line that is not a record by itself: a quote
-    that does not open a field, close it or stand doubled in one, a field left
-    open, a blank line or a lone carriage return.  One parallel, splittable pass
-    over the lines of all files; only paths leave it."""
-    if not paths:
-        return set()
-    lines = (spark.read.option("lineSep", "\n").text(list(paths))
-             .select(F.col("_metadata.file_path").alias("uri"), F.col("value")))
+def file_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",") -> DataFrame:
+    """One row a file: ``uri``, ``header`` (the bytes of its first line that is
+    not empty), whether a quoted name goes on behind that line
+    (``header_open``), and ``kind``.  One splittable pass over the lines of all
+    files; the line pattern is one for any ASCII-compatible code page."""
     sep = _quoted(delimiter)
+    value = F.col("value")
     field = f'(?:"(?:[^"\\r]|"")*+"|[^{sep}"\\r]*+)'
-    plain = F.col("value").rlike(f"^{field}(?:{sep}{field})*+\\r?$") & (F.trim(F.col("value")) != "") & (F.col("value") != "\r")
-    hit = {r["uri"] for r in lines.where(~plain).select("uri").distinct().collect()}
+    # (Spark's own line reader drops a line that is blank to Java's trim)
+    alone = value.rlike(f"^{field}(?:{sep}{field})*+\\r?$") & ~value.rlike(r"^[\x00-\x20]*$")
+    filled = (F.col("block") == 0) & ~value.isin("", "\r", "\ufeff")
+    found = text_lines(spark, paths).groupBy("uri").agg(
+        F.min_by(F.when(filled, value), F.when(filled, F.col("row"))).alias("header"),
+        F.max(~alone).alias("joined"), F.max(value.rlike(r"\r(?!$)")).alias("lone"))
+    kind = F.when(F.col("lone") | F.lit(len(delimiter) != 1), WHOLE).when(F.col("joined"), RECORDS).otherwise(LINES)
+    opened = F.col("header").rlike(f'^(?:(?:"(?:[^"]|"")*+"[^{sep}]*+|[^"{sep}][^{sep}]*+|){sep})*+"(?:[^"]|"")*+$')
+    return found.select("uri", F.col("header").cast("binary").alias("header"), opened.alias("header_open"), kind.alias("kind"))
+
+
+def header_names(raw: bytes, delimiter: str, encoding: str) -> list[str]:
+    """The names in a header's bytes."""
+    enc = normalise(encoding)
+    text = raw.decode("utf-8-sig" if enc in ("utf-8", "utf8") else enc, errors="replace")
+    return pandas_names(next(csv.reader(io.StringIO(text, newline=""), delimiter=delimiter, quotechar='"', doublequote=True), []))
+
+
+def file_layout_report(spark: SparkSession, paths: str | Sequence[str], required: Sequence[str | Sequence[str]], delimiter: str = ",",
+                       encoding: str = "utf-8") -> DataFrame:
+    """(path, missing_column) for each landed file and each of ``required`` that
+    its header lacks (an entry may be several names, of which one must be
+    there; it is reported by its first).  The driver parses each distinct header
+    once; files are rows throughout."""
+    wanted = [(r,) if isinstance(r, str) else tuple(r) for r in required]
+    files = file_layouts(spark, [paths] if isinstance(paths, str) else list(paths), delimiter)
+    found = []
+    for r in files.select("header").distinct().collect():
+        have = set(header_names(bytes(r["header"]), delimiter, encoding)) if r["header"] is not None else set()
+        found += [(r["header"], alts[0]) for alts in wanted if not have.intersection(alts)]
+    lacking = spark.createDataFrame(found, "header binary, missing_column string")
+    return files.join(lacking, files["header"].eqNullSafe(lacking["header"])).select(F.col("uri").alias("path"), "missing_column")
+
+
+def _layouts(spark: SparkSession, files: Sequence[tuple[str, int]], delimiter: str, encoding: str, multiline,
+             header: Sequence[str] | None) -> dict[str, tuple[tuple[str, ...], str]]:
+    """(names, kind) of each file.  ``multiline``: "auto" (by what stands in the
+    files), or True / False for files known to be read whole / by lines."""
+    fixed = None if multiline == "auto" else WHOLE if multiline else LINES
+    if normalise(encoding) not in ASCII_COMPATIBLE and not needs_translation(encoding):
+        # wide characters: no line pattern applies
+        return {p: (tuple(header) if header is not None else tuple(read_header(spark, p, delimiter, encoding)), WHOLE) for p, _ in files}
+    if header is not None and fixed:
+        return {p: (tuple(header), fixed) for p, _ in files}
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return {p for p in paths if str(jpath(p).toUri().toString()) in hit}
-
-
-def _choose_multiline(spark: SparkSession, files: Sequence[tuple[str, int]], encoding: str,
-                      multiline, delimiter: str) -> dict[str, bool]:
-    """Per file: parse whole (multi-line) or split by lines.  ``"auto"`` splits
-    files larger than the read's split size where the rows are the same either
-    way."""
-    if multiline != "auto":
-        return {p: bool(multiline) for p, _ in files}
-    cut = split_bytes(spark, files)
-    big = [p for p, n in files if n > cut]
-    if not big or (normalise(encoding) not in ASCII_COMPATIBLE and not needs_translation(encoding)):
-        return {p: True for p, _ in files}
-    whole = files_to_read_whole(spark, big, delimiter)
-    large = set(big)
-    return {p: p not in large or p in whole for p, _ in files}
+    found = {r["uri"]: r for r in file_layouts(spark, [p for p, _ in files], delimiter).collect()}
+    out = {}
+    for p, _ in files:
+        r = found.get(str(jpath(p).toUri().toString()))
+        if header is None and (r is None or r["header"] is None):
+            raise ValueError(f"{p}: no header line (empty file)")
+        if header is not None:
+            names = tuple(header)
+        elif r["header_open"] or r["kind"] == WHOLE:
+            names = tuple(read_header(spark, p, delimiter, encoding))
+        else:
+            names = tuple(header_names(bytes(r["header"]), delimiter, encoding))
+        out[p] = (names, fixed or (r["kind"] if r is not None else LINES))
+    return out
 
 
 def _check_required(headers: dict[str, tuple[str, ...]], require: Sequence[Sequence[str]]) -> None:
@@ -280,31 +299,21 @@ def _check_required(headers: dict[str, tuple[str, ...]], require: Sequence[Seque
 
 def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encoding: str, multiline,
               header: Sequence[str] | None, require: Sequence[Sequence[str]] = ()) -> DataFrame:
-    """One scan per distinct (header layout, parse mode), united by column name
-    (a later export that adds or reorders columns is read by name, not by
-    position)."""
+    """One scan per distinct (header, kind), united by column name (a later
+    export that adds or reorders columns is read by name, not by position)."""
     files = expand_files(spark, paths)
     if not files:
         raise ValueError("no files to read")
-    mode = _choose_multiline(spark, files, encoding, multiline, delimiter)
-    table = _file_table(spark, [p for p, _ in files])
-    if header is not None:
-        headers = {p: tuple(header) for p, _ in files}
-    else:
-        # small reads of the first bytes of each file, a few at a time
-        from concurrent.futures import ThreadPoolExecutor
-
-        with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
-            found = pool.map(lambda f: tuple(read_header(spark, f[0], delimiter, encoding)), files)
-            headers = {p: h for (p, _), h in zip(files, found)}
+    layouts = _layouts(spark, files, delimiter, encoding, multiline, header)
     if require:
-        _check_required(headers, require)
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for p, _ in files:
-        groups.setdefault((headers[p], mode[p]), []).append(p)
+        _check_required({p: names for p, (names, _) in layouts.items()}, require)
+    table = _file_table(spark, [p for p, _ in files])
+    groups: dict[tuple[tuple[str, ...], str], list[tuple[str, int]]] = {}
+    for p, n in files:
+        groups.setdefault(layouts[p], []).append((p, n))
     out = None
-    for (names, whole), group in groups.items():
-        part = _scan(spark, group, list(names), delimiter, encoding, whole, table)
+    for (names, kind), group in groups.items():
+        part = _scan(spark, group, list(names), delimiter, encoding, kind, table)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -312,11 +321,12 @@ def _scan_all(spark: SparkSession, paths: Sequence[str], delimiter: str, encodin
 def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
                          encoding: str = "utf-8", multiline: bool | str = "auto",
                          header: Sequence[str] | None = None,
-                         require: Sequence[Sequence[str]] = ()) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows).  Bad rows keep their fields, ``_pos``, the reason
+                         require: Sequence[Sequence[str]] = (), with_source: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows).  ``with_source`` as in :func:`read_delimited`.  Bad rows keep their fields, ``_pos``, the reason
     in ``bad_reason`` and, if they are too long, the whole record in ``_record``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = _scan_all(spark, paths, delimiter, encoding, multiline, header, require)
+    df = df if with_source else df.drop(SOURCE_FILE)
     good = df.where(F.col(EXTRA).isNull()).drop(EXTRA, RECORD)
     bad = df.where(F.col(EXTRA).isNotNull()).withColumnRenamed(EXTRA, "bad_reason")
     return good, bad
@@ -325,21 +335,23 @@ def read_delimited_split(spark: SparkSession, paths: str | Sequence[str], delimi
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",",
                    encoding: str = "utf-8", multiline: bool | str = "auto", on_bad: str = "error",
                    header: Sequence[str] | None = None, with_position: bool = True,
-                   require: Sequence[Sequence[str]] = ()) -> DataFrame:
+                   require: Sequence[Sequence[str]] = (), with_source: bool = False) -> DataFrame:
     """Read landed delimited files as strings (see module doc).  Files are
     grouped by their header; each group is one scan.  ``require``: per entry,
     the names one of which every file's header must carry (else ValueError
-    naming the files)."""
+    naming the files).  ``with_source`` adds the name of each row's file as
+    ``_source_file``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if on_bad not in ("error", "quarantine"):
         raise ValueError("on_bad must be 'error' or 'quarantine'")
     if on_bad == "quarantine":
-        df, _ = read_delimited_split(spark, paths, delimiter, encoding, multiline, header, require)
+        df, _ = read_delimited_split(spark, paths, delimiter, encoding, multiline, header, require, with_source)
     else:
         df = _scan_all(spark, paths, delimiter, encoding, multiline, header, require)
         ok = F.when(F.col(EXTRA).isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("bad row: "), F.col(EXTRA))))
         df = df.where(ok).drop(EXTRA, RECORD)
+        df = df if with_source else df.drop(SOURCE_FILE)
     return df if with_position else df.drop(POS)
 
 

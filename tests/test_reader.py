@@ -1,9 +1,14 @@
+import contextlib
 import os
+import tempfile
 
 import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from quayside.sources.delimited import null_tokens, read_delimited, read_delimited_split
+from quayside.sources.delimited import file_layout_report, null_tokens, read_delimited, read_delimited_split
 from quayside.functions.tokens import PANDAS_NULL_TOKENS
 from helpers import rows
 
@@ -73,14 +78,95 @@ def test_every_overflow_is_seen_and_kept(spark, scratch):
 STRAY = b'k;v;w;z\n1;5" pipe;"multi\nline";7" x\n2;b;c;d\n'
 
 
-@pytest.mark.parametrize("body", [STRAY, b"k;v\n1;a\n   \n2;b\n", b"k;v\n1;a\rb\n2;b\n", b"k;v\r\n1;a\r\n2;b\r\n"])
-def test_rows_do_not_depend_on_the_split_size(spark, scratch, monkeypatch, body):
-    import quayside.sources.delimited as D
+@contextlib.contextmanager
+def splits_of(spark, size):
+    """Files are cut into splits of so many bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    for n in names:
+        spark.conf.set(n, str(size))
+    try:
+        yield
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+
 
+@pytest.mark.parametrize("body", [STRAY, b"k;v\n1;a\n   \n2;b\n", b"k;v\n1;a\rb\n2;b\n", b"k;v\r\n1;a\r\n2;b\r\n",
+                                  b"k;v\n1;a\n\t\n2;b", b'"k\nx";v\n1;"a\n\n\nb"\n\n2;c\n'])
+def test_rows_do_not_depend_on_the_split_size(spark, scratch, body):
     p = write(scratch, "s.csv", body)
-    whole = rows(read_delimited(spark, p, ";", with_position=False))
-    monkeypatch.setattr(D, "SPLIT_BYTES", 4)
-    assert rows(read_delimited(spark, p, ";", with_position=False)) == whole
+    parsed = rows(read_delimited(spark, p, ";", with_position=False))
+    assert rows(read_delimited(spark, p, ";", with_position=False, multiline=True)) == parsed
+    for size in (1, 4, 9):
+        with splits_of(spark, size):
+            assert rows(read_delimited(spark, p, ";", with_position=False)) == parsed
+
+
+def test_line_ends_in_quotes_stay_as_pandas_keeps_them(spark, scratch):
+    p = write(scratch, "s.csv", b'k;v\r\n1;"a\r\nb"\r\n2;"c\n"\r\n')
+    for size in (3, 8, 1 << 20):
+        with splits_of(spark, size):
+            spark_vs_pandas(spark, p)
+
+
+def test_blank_rows_of_tabs_stay(spark, scratch):
+    p = write(scratch, "t.tsv", b"k\tv\tw\n1\ta\tb\n\t\t\n2\tc\td\n")
+    for size in (3, 1 << 20):
+        with splits_of(spark, size):
+            for how in ("auto", True):
+                got = read_delimited(spark, p, "\t", with_position=False, multiline=how).na.fill("")
+                assert rows(got) == [("", "", ""), ("1", "a", "b"), ("2", "c", "d")]
+
+
+PIECES = st.sampled_from(["a", "b c", "", '"x"', '"x;y"', '"p\nq"', '"\n"', '"d""e"', '"a\n\n""\nb"', '5" pipe', "\t", "\x01", "\x1c", " "])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(PIECES, min_size=1, max_size=3), min_size=1, max_size=9), st.sampled_from([";", "\t", ","]), st.sampled_from(["\n", "\r\n"]),
+       st.integers(1, 40), st.booleans())
+def test_any_split_equals_the_whole_parse(spark, table, sep, end, size, last):
+    lines = [sep.join('"x%sy"' % sep if c == '"x;y"' else " " if c == sep else c for c in row) for row in table]
+    body = end.join(["k" + sep + "l" + sep + "m", *lines]) + end * last
+    folder = tempfile.mkdtemp(prefix="qs-test-")
+    p = write(folder, "r.csv", body.encode())
+    whole = rows(read_delimited(spark, p, sep, multiline=True, with_position=False))
+    assert rows(read_delimited(spark, p, sep, with_position=False)) == whole
+    with splits_of(spark, size):
+        df = read_delimited(spark, p, sep)
+        assert rows(df.drop("_pos")) == whole
+        # file order: positions rise with the records
+        assert [r[:-1] for r in df.orderBy("_pos").collect()] == [tuple(r) for r in read_delimited(spark, p, sep, multiline=True, with_position=False).collect()]
+
+
+def test_a_quote_left_open_is_a_bad_row(spark, scratch):
+    p = write(scratch, "u.csv", b'k;v\n1;a\n2;"b\n3;c\n4;d\n')
+    for size in (5, 1 << 20):
+        with splits_of(spark, size):
+            with pytest.raises(Exception, match="a quote left open"):
+                read_delimited(spark, p, ";").collect()
+            good, bad = read_delimited_split(spark, p, ";")
+            assert rows(good, "k", "v") == [("1", "a")] and bad.count() == 1
+
+
+def test_quoted_newlines_are_read_by_several_tasks(spark, scratch):
+    body = "k;v\n" + "".join(f'{i};"line {i}\nand ""more"" {"x" * (i % 50)}"\n' for i in range(3000))
+    p = write(scratch, "big.csv", body.encode())
+    whole = rows(read_delimited(spark, p, ";", multiline=True, with_position=False))
+    with splits_of(spark, 4096):
+        df = read_delimited(spark, p, ";")
+        used = df.select(F.spark_partition_id().alias("p"), "k").groupBy("p").count().collect()
+        assert len([u for u in used if u["count"] > 10]) > 10
+        assert rows(df.drop("_pos")) == whole and len(whole) == 3000
+        assert [int(r.k) for r in df.orderBy("_pos").select("k").collect()] == list(range(3000))
+
+
+def test_layout_report_names_files_and_columns(spark, scratch):
+    write(scratch, "a_1.csv", "\ufeffНомер;ФИО;Дата\n1;x;y\n".encode())
+    write(scratch, "a_2.csv", "ФИО;Номер\n1;x\n".encode())
+    write(scratch, "a_3.csv", "ФИО;Номер\n1;x\n".encode())
+    write(scratch, "a_4.csv", b"")
+    found = file_layout_report(spark, scratch, ["Номер", ("Дата", "date"), "ФИО"], ";")
+    assert sorted((r.path.rpartition("/")[2], r.missing_column) for r in found.collect()) == [("a_2.csv", "Дата"), ("a_3.csv", "Дата")]
 
 
 def test_long_header_is_read_whole(spark, scratch, monkeypatch):
@@ -94,10 +180,7 @@ def test_long_header_is_read_whole(spark, scratch, monkeypatch):
         D.read_header(spark, p, ";")
 
 
-def test_one_text_scan_whatever_the_number_of_files(spark, scratch, monkeypatch):
-    import quayside.sources.delimited as D
-
-    monkeypatch.setattr(D, "SPLIT_BYTES", 4)
+def test_one_scan_whatever_the_number_of_files(spark, scratch):
     paths = [write(scratch, f"n_{i:03d}.csv", b"k;v\n1;x\n") for i in range(300)]
     df = read_delimited(spark, paths, ";", with_position=False)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
@@ -136,18 +219,16 @@ def test_cp1251_undefined_byte_is_an_error_or_quarantined(spark, scratch):
     assert rows(good, "a") == [("Y",)] and bad.count() == 1
 
 
-def test_auto_mode_splits_big_files_without_quoted_newlines(spark, scratch, monkeypatch):
+def test_kinds_follow_from_what_stands_in_the_files(spark, scratch):
     import quayside.sources.delimited as D
 
-    monkeypatch.setattr(D, "SPLIT_BYTES", 200)
     plain = write(scratch, "p.csv", ("k;v\n" + "".join(f"{i};\"a;{i}\"\n" for i in range(2000))).encode())
     spans = write(scratch, "s.csv", ("k;v\n" + "".join(f"{i};\"a\n{i}\"\n" for i in range(50))).encode())
     small = write(scratch, "t.csv", b"k;v\n1;x\n")
-    files = D.expand_files(spark, [plain, spans, small])
-    modes = D._choose_multiline(spark, files, "utf-8", "auto", ";")
-    assert modes == {files[0][0]: False, files[1][0]: True, files[2][0]: True}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
+    lone = write(scratch, "u.csv", b"k;v\n1;x\ry\n")
+    kinds = {r.uri.rpartition("/")[2]: r.kind for r in D.file_layouts(spark, [plain, spans, small, lone], ";").collect()}
+    assert kinds == {"p.csv": D.LINES, "s.csv": D.RECORDS, "t.csv": D.LINES, "u.csv": D.WHOLE}
+    with splits_of(spark, 4096):
         df = read_delimited(spark, [plain, spans, small], ";", with_position=False)
         assert df.rdd.getNumPartitions() > 3          # the big plain file was split
         exp = pd.concat([pd.read_csv(p, sep=";", dtype=str) for p in (plain, spans, small)])
@@ -155,8 +236,6 @@ def test_auto_mode_splits_big_files_without_quoted_newlines(spark, scratch, monk
         # last row wins still follows file order across splits
         ordered = read_delimited(spark, plain, ";").orderBy("_pos").select("k").collect()
         assert [int(r.k) for r in ordered] == list(range(2000))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_cp1251_whole_upper_half_matches_pandas(spark, scratch):
@@ -173,12 +252,12 @@ def test_many_files_headers_probed(spark, scratch):
     assert df.count() == 40 and df.columns == ["k", "v"]
 
 
-def test_auto_mode_detects_quoted_newline_in_cp1251(spark, scratch, monkeypatch):
+def test_quoted_newline_in_cp1251(spark, scratch):
     import quayside.sources.delimited as D
 
-    monkeypatch.setattr(D, "SPLIT_BYTES", 100)
     body = "Номер;Текст\n" + "".join(f"{i};Ёлка №{i}\n" for i in range(200)) + '999;"строка\nвторая"\n'
     p = write(scratch, "cp.csv", body.encode("cp1251"))
-    files = D.expand_files(spark, [p])
-    assert D._choose_multiline(spark, files, "cp1251", "auto", ";") == {files[0][0]: True}
-    spark_vs_pandas(spark, p, enc="cp1251")
+    assert [r.kind for r in D.file_layouts(spark, [p], ";").collect()] == [D.RECORDS]
+    for size in (100, 1 << 20):
+        with splits_of(spark, size):
+            spark_vs_pandas(spark, p, enc="cp1251")
