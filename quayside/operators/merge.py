@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import qcol, require_columns
-from ..functions.tokens import AUDIT_COLUMNS
+from ..functions.tokens import AUDIT_COLUMNS, SOURCE_FILE
 from .mapping import drop_audit
 
 POS = "_pos"
@@ -70,6 +70,16 @@ def target_schema_for(batch: DataFrame, audit: bool = True) -> T.StructType:
     return T.StructType(fields)
 
 
+def with_bookkeeping(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """``target`` with the bookkeeping column that ``batch`` brings: a table
+    first loaded without it gets it, NULL for the rows it has."""
+    if SOURCE_FILE in batch.columns and SOURCE_FILE not in target.columns:
+        audit = [c for c in target.columns if c in AUDIT_COLUMNS]
+        rest = [qcol(c) for c in target.columns if c not in audit]
+        return target.select(*rest, F.lit(None).cast("string").alias(SOURCE_FILE), *[qcol(c) for c in audit])
+    return target
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
            order_cols: Sequence[str] | None = None, touch_updated_at: bool = False,
            dedupe: bool = True, guard_cols: Sequence[str] = (),
@@ -97,6 +107,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     """
     keys = list(keys)
     batch = drop_audit(batch)
+    target = with_bookkeeping(target, batch)
     require_columns(batch, keys, "key column")
     require_columns(target, keys, "key column")
     extra = [c for c in batch.columns if c not in target.columns and c != POS]
@@ -122,7 +133,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     if guard_cols:
         newer = (F.struct(*[F.col(BPFX + g) for g in guard_cols])
                  >= F.struct(*[qcol(g) for g in guard_cols]))
-        present = present & (F.col("__qs_t").isNull() | F.coalesce(newer, F.lit(False)))
+        # a stored row without a guard (loaded before there was one) gives way
+        unguarded = F.array_min(F.array(*[qcol(g).isNull() for g in guard_cols]))
+        present = present & (F.col("__qs_t").isNull() | unguarded | F.coalesce(newer, F.lit(False)))
     in_target = set(nonkey)
     out = []
     for f in target.schema.fields:
@@ -159,6 +172,7 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], now
     keys = list(keys)
     batch = drop_audit(batch)
     batch = batch.drop(POS) if POS in batch.columns else batch
+    target = with_bookkeeping(target, batch)
     require_columns(batch, keys, "key column")
     require_columns(target, keys, "key column")
     extra = [c for c in batch.columns if c not in target.columns]

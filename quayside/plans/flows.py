@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import any_null, qcol
-from ..functions.tokens import SENTINEL
+from ..functions.tokens import SENTINEL, SOURCE_FILE
 from ..operators.mapping import drop_audit, fill_missing_required, fill_sentinel, map_strict
 from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
 from ..operators.split import flag_repeated, split_repeated
+from ..sinks.commits import commit_together
 from ..sinks.jdbc import JdbcTable
 from ..sinks.partitioned import PartitionedTable
 from ..sinks.report import load_report, skipped_report
@@ -74,25 +75,29 @@ def prepare_batch(df: DataFrame, spec: TableSpec, required: Sequence[str] = ())
     """Reader output → the rows a loader applies: NA tokens → NULL, strict
     mapping (``_pos`` kept), required columns added, audit columns dropped."""
     df = null_tokens(df)
-    keep_pos = [(POS, POS)] if POS in df.columns else []
-    df = map_strict(df, list(spec.mapping) + keep_pos)
+    kept = [(c, c) for c in (POS, SOURCE_FILE) if c in df.columns]
+    df = map_strict(df, list(spec.mapping) + kept)
     df = fill_missing_required(df, required)
     return drop_audit(df)
 
 
 def load_replace(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str], target: VersionedTable,
-                 now) -> DataFrame:
+                 now, progress: tuple[str, int] | None = None, also: Sequence[tuple] = ()) -> DataFrame:
     """fill → each key's rows of its last file only → replace by key → publish
-    → report: what one replace per file, in file order, leaves."""
+    → report: what one replace per file, in file order, leaves.  ``progress``
+    and ``also`` as in :func:`load_upsert`."""
     batch = persisted(last_file_of_key(fill_sentinel(batch), spec_keys))
     try:
         if batch.isEmpty():
+            commit_together(also)
             return skipped_report(spark, target.label, target.read() if target.exists() else None)
         if isinstance(target, JdbcTable):
-            target.apply(batch, spec_keys, "replace")
+            target.apply(batch.drop(SOURCE_FILE), spec_keys, "replace")
+            commit_together(also)
             return load_report(target.label, target.read())
         current, rest = touched_rows(target, target_schema_for(batch), batch)
-        target.publish(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)), **rest)
+        staged = target.stage(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)), progress=progress, **rest)
+        commit_together([(target, staged), *also])
     finally:
         batch.unpersist()
     return load_report(target.label, target.read())
@@ -110,24 +115,29 @@ def last_file_of_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str], target: VersionedTable | JdbcTable,
-                now, keep_stored: Sequence[str] = (), guard_cols: Sequence[str] = ()) -> DataFrame:
+                now, keep_stored: Sequence[str] = (), guard_cols: Sequence[str] = (), progress: tuple[str, int] | None = None,
+                also: Sequence[tuple] = ()) -> DataFrame:
     """fill → last-row-wins → upsert → publish → report.  ``keep_stored``:
     required columns the files lack that a match must leave unchanged (new
-    rows still get ``-``)."""
+    rows still get ``-``).  ``progress``: the (stream, micro-batch) that the batch
+    is.  ``also``: staged versions of other tables to commit with this one."""
     # one pass reads the files, fills the cache and counts: the count decides
     # "skipped" and proves (or not) that the batch is small enough to broadcast
     batch = persisted(fill_sentinel(batch))
     try:
         n = batch.count()
         if n == 0:
+            commit_together(also)
             return skipped_report(spark, target.label, target.read() if target.exists() else None)
         if isinstance(target, JdbcTable):
-            target.apply(batch, spec_keys, "upsert")
+            target.apply(batch.drop(SOURCE_FILE), spec_keys, "upsert")
+            commit_together(also)
             return load_report(target.label, target.read())
         current, rest = touched_rows(target, target_schema_for(fill_missing_required(batch, keep_stored)), batch)
         defaults = {c: SENTINEL for c in keep_stored}
-        target.publish(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None, guard_cols=guard_cols,
-                              broadcast_batch=small_enough(batch, target)), **rest)
+        staged = target.stage(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None, guard_cols=guard_cols,
+                                     broadcast_batch=small_enough(batch, target)), progress=progress, **rest)
+        commit_together([(target, staged), *also])
     finally:
         batch.unpersist()
     return load_report(target.label, target.read())
@@ -137,7 +147,7 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
                 required: Sequence[str] | None = None, min_age_seconds: float = 60,
                 latest_only: bool = False, only_paths: Sequence[str] | None = None,
                 overwrite_missing: bool = True, on_bad: str = "error",
-                quarantine: VersionedTable | None = None) -> FlowResult:
+                quarantine: VersionedTable | None = None, ledger: VersionedTable | None = None) -> FlowResult:
     """One tick of the journal load: discover → classify → read every valid
     file in name order (or only the latest, as the reference picks) →
     prepare → upsert → publish → report + ledger rows for the files read.
@@ -148,14 +158,15 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
     is false.  A bad row (more fields than the header, a byte the code page
     leaves undefined) fails the load (``on_bad="error"``, as the reference)
     or, with ``on_bad="quarantine"``, is appended to ``quarantine`` (reason
-    and fields) while the good rows load."""
+    and fields) while the good rows load.  The files are appended to ``ledger``,
+    if given.  Tables that share a commit log become visible together."""
     if spec.strategy == "split":
         raise ValueError(f"{spec.table_name}: strategy 'split' loads two tables; use run_claims_files")
     manifest = discover_files(spark, landing)
     classified = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds)
     valid = classified.where(F.col("state") == "valid")
     if only_paths is not None:
-        valid = valid.where(F.col("path").isin(list(only_paths)))
+        valid = valid.join(spark.createDataFrame([(p,) for p in only_paths], "path string"), "path", "left_semi")
     if latest_only:
         valid = latest_by_name(valid, extra=["path", "mtime", "length"])
     # the file list (not data) comes to the driver: it names the scan
@@ -167,29 +178,44 @@ def run_journal(spark: SparkSession, spec: TableSpec, landing: str, target: Vers
     bad = None
     if on_bad == "quarantine":
         raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
-                                        require=_mapped(spec))
-        bad = bad if quarantine is not None else None
+                                        require=_mapped(spec), with_source=True)
+        bad = bad.drop(SOURCE_FILE) if quarantine is not None else None
     else:
         raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
-                             require=_mapped(spec))
+                             require=_mapped(spec), with_source=True)
     if required is None:
         # of the stored table itself, whatever this session's catalog knows
-        required = text_columns(target.read().schema) if target.exists() else []
+        required = [c for c in text_columns(target.read().schema) if c != SOURCE_FILE] if target.exists() else []
     if overwrite_missing:
         batch, keep = prepare_batch(raw, spec, required), []
     else:
         batch = prepare_batch(raw, spec, [])
         keep = [c for c in required if c not in batch.columns]
+    handled = _handled(spark, spec, files, now)
+    also = _with_load(spark, bad, quarantine, handled, ledger, now)
     if spec.strategy == "replace":
-        report = load_replace(spark, batch, spec.keys, target, now)
+        report = load_replace(spark, batch, spec.keys, target, now, also=also)
     else:
-        report = load_upsert(spark, batch, spec.keys, target, now, keep_stored=keep)
-    if bad is not None:
-        _quarantine(spark, bad, quarantine, now)
+        report = load_upsert(spark, batch, spec.keys, target, now, keep_stored=keep, also=also)
+    return FlowResult(report, handled, paths)
+
+
+def _handled(spark: SparkSession, spec: TableSpec, files: Sequence, now) -> DataFrame:
+    """Ledger rows of the files that a load has read."""
     run_key = f"{spec.table_name}-{_stamp(now)}"
-    ledger = spark.createDataFrame(
-        [(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)
-    return FlowResult(report, ledger, paths)
+    return spark.createDataFrame([(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)
+
+
+def _with_load(spark: SparkSession, bad: DataFrame | None, quarantine: VersionedTable | None, handled: DataFrame,
+               ledger: VersionedTable | None, now) -> list[tuple]:
+    """The bad rows and the files handled, written but not visible: they are
+    committed with the load's own tables."""
+    out = []
+    if bad is not None:
+        out.append((quarantine, _quarantined(bad, quarantine, now)))
+    if ledger is not None:
+        out.append((ledger, ledger.stage(ledger.read_or_empty(LEDGER_SCHEMA).unionByName(handled))))
+    return out
 
 
 QUARANTINE_SCHEMA = T.StructType([
@@ -200,16 +226,16 @@ QUARANTINE_SCHEMA = T.StructType([
 ])
 
 
-def _quarantine(spark: SparkSession, bad: DataFrame, table: VersionedTable, now) -> None:
-    """Append bad rows as (reason, mapped fields, the whole record as it stood):
-    one schema whatever the layout.  Called after the load, so that a load that
-    fails and is tried again quarantines its rows once."""
+def _quarantined(bad: DataFrame, table: VersionedTable, now):  # noqa: ANN202
+    """Bad rows appended as (reason, mapped fields, the whole record as it
+    stood), one schema whatever the layout; written, to be committed with the
+    load, so that a load that fails and is tried again quarantines its rows once."""
     data = [c for c in bad.columns if c not in (POS, "bad_reason", RECORD)]
     stamp = F.lit(now.isoformat(sep=" ") if hasattr(now, "isoformat") else str(now)).cast("timestamp")
     rows = bad.select(F.col("bad_reason"),
                       F.create_map(*[x for c in data for x in (F.lit(c), qcol(c))]).alias("fields"),
                       F.col(RECORD).alias("record"), stamp.alias("quarantined_at"))
-    table.publish(table.read_or_empty(QUARANTINE_SCHEMA).unionByName(rows))
+    return table.stage(table.read_or_empty(QUARANTINE_SCHEMA).unionByName(rows))
 
 
 def _stamp(now) -> str:
@@ -221,10 +247,11 @@ def _stamp(now) -> str:
 def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], normal: VersionedTable,
                repeated: VersionedTable, now, required: Sequence[str] = (), flag: str = "is_complex",
                stamp_repeated: bool = True, move_between: bool = False, cache_input: bool = False,
-               audit: bool = True, by_file: bool = False) -> DataFrame:
+               audit: bool = True, by_file: bool = False, also: Sequence[tuple] = ()) -> DataFrame:
     """Claims load: flag repeated keys, upsert the normal rows, replace the
     repeated rows by key.  Both new versions are written before either is
-    published.  Returns the two-row load report.
+    published; tables that share a commit log (and the staged versions in
+    ``also``) become visible together.  Returns the two-row load report.
 
     Tables are independent by default (as in the reference, a key that was
     normal and is now repeated keeps its old normal row); ``move_between``
@@ -281,8 +308,7 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
                 new = replace_by_key(current, part, keys, now, stamp=stamp_repeated,
                                      broadcast_batch=small[table.label], bucketed=bool(table.buckets))
             staged.append((table, table.stage(new, **rest)))
-        for table, st in staged:
-            table.commit(st)
+        commit_together([*staged, *also])
         for table, _ in staged:
             reports[table.label] = load_report(table.label, table.read())
     finally:
@@ -323,10 +349,11 @@ def run_routed_claims(spark: SparkSession, specs: Sequence[TableSpec], registere
 def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal: VersionedTable,
                      repeated: VersionedTable, as_of, now, required: Sequence[str] = (),
                      min_age_seconds: float = 60, latest_only: bool = False, on_bad: str = "error",
-                     quarantine: VersionedTable | None = None) -> FlowResult:
+                     quarantine: VersionedTable | None = None, ledger: VersionedTable | None = None) -> FlowResult:
     """Claims from landed files: discover → classify → read (name order) →
     prepare → :func:`run_claims`, with the result of applying the files one
-    after the other."""
+    after the other.  Bad rows and the files handled are committed with the
+    load (in one record, if the tables share a commit log)."""
     manifest = discover_files(spark, landing)
     valid = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds).where(F.col("state") == "valid")
     if latest_only:
@@ -337,7 +364,6 @@ def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal:
         return FlowResult(empty[0].unionByName(empty[1]), None, [])
     paths = [r["path"] for r in files]
     bad = None
-    bad = None
     if on_bad == "quarantine":
         raw, bad = read_delimited_split(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                                         require=_mapped(spec))
@@ -346,10 +372,7 @@ def run_claims_files(spark: SparkSession, spec: TableSpec, landing: str, normal:
         raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                              require=_mapped(spec))
     batch = prepare_batch(raw, spec, [c for c in required if c != "is_complex"])
-    report = run_claims(spark, batch, spec.keys, normal, repeated, now, cache_input=True, by_file=len(files) > 1)
-    if bad is not None:
-        _quarantine(spark, bad, quarantine, now)
-    run_key = f"{spec.table_name}-{_stamp(now)}"
-    ledger = spark.createDataFrame(
-        [(r["name"], r["mtime"], r["length"], run_key, "SUCCESS") for r in files], LEDGER_SCHEMA)
-    return FlowResult(report, ledger, [r["path"] for r in files])
+    handled = _handled(spark, spec, files, now)
+    report = run_claims(spark, batch, spec.keys, normal, repeated, now, cache_input=True, by_file=len(files) > 1,
+                        also=_with_load(spark, bad, quarantine, handled, ledger, now))
+    return FlowResult(report, handled, paths)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import qcol
 from ..session import fs_for
+from .commits import LostUpdate
 
 PART = "__qs_part"
 _MANIFEST = re.compile(r"^v=(\d+)\.json$")
@@ -37,6 +38,7 @@ class PartitionedTable:
             raise ValueError(f"table {name}: a partitioned table needs its keys")
         self.spark, self.name, self.label, self.root = spark, name, label or name, root.rstrip("/")
         self.keys, self._wanted = list(keys), int(partitions)
+        self._seen: list[int | None] = []  # the version that was read last
 
     # -- versions -----------------------------------------------------------
     def _entries(self, folder: str) -> list[str]:
@@ -81,6 +83,8 @@ class PartitionedTable:
         return [folders[p] for p in (sorted(folders, key=int) if only is None else map(str, only)) if p in folders]
 
     def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        if version is None:
+            self._seen = [self.current_version()]
         held = self.manifest(version)
         schema = T.StructType.fromJson(held["schema"])
         folders = [f"{self.root}/{f}" for f in self._folders(held, only)]
@@ -89,7 +93,14 @@ class PartitionedTable:
         return self.spark.read.schema(schema).parquet(*folders)
 
     def read_or_empty(self, schema: T.StructType, only: Sequence[int] | None = None) -> DataFrame:
-        return self.read(only=only) if self.exists() else self.spark.createDataFrame([], schema)
+        if self.exists():
+            return self.read(only=only)
+        self._seen = [None]
+        return self.spark.createDataFrame([], schema)
+
+    def progress(self, stream: str) -> int | None:
+        """The last micro-batch of ``stream`` whose rows the table has."""
+        return self.manifest().get("streams", {}).get(stream) if self.exists() else None
 
     def touched(self, *batches: DataFrame) -> list[int]:
         """The partitions that hold, or will hold, keys of these batches."""
@@ -100,35 +111,44 @@ class PartitionedTable:
         return sorted(r[0] for r in rows.distinct().collect())
 
     # -- writing ------------------------------------------------------------
-    def stage(self, df: DataFrame, only: Sequence[int] | None = None) -> tuple[str, dict]:
+    def stage(self, df: DataFrame, only: Sequence[int] | None = None, progress: tuple[str, int] | None = None) -> tuple[str, dict]:
         """Write the rows of partitions ``only`` (all, if not given) to a fresh
-        folder; nothing is visible until :meth:`commit`."""
-        n = self.partitions
+        folder; nothing is visible until :meth:`commit`.  ``progress`` is the
+        (stream, micro-batch) that this version holds the rows of."""
+        base = self._seen[0] if self._seen else self.current_version()
+        stored = self.manifest(base) if base is not None else {}
+        n = stored.get("partitions", self._wanted)
         folder = f"data/{uuid.uuid4().hex}"
         schema = df.schema
-        (df.withColumn(PART, self.part()).repartition(PART).write.mode("errorifexists").partitionBy(PART)
+        # a partition is one task's unless AQE finds it large and splits it
+        (df.withColumn(PART, self.part()).hint("rebalance", F.col(PART)).write.mode("errorifexists").partitionBy(PART)
            .parquet(f"{self.root}/{folder}"))
-        held = dict(self.manifest()["folders"]) if self.exists() and only is not None else {}
+        held = dict(stored["folders"]) if stored and only is not None else {}
         for p in only or ():
             held.pop(str(p), None)
         for name in self._entries(folder):
             if name.startswith(f"{PART}="):
                 held[name.partition("=")[2]] = f"{folder}/{name}"
-        return folder, {"schema": json.loads(schema.json()), "keys": self.keys, "partitions": n, "folders": held}
+        streams = {**stored.get("streams", {}), **({progress[0]: progress[1]} if progress else {})}
+        return folder, {"schema": json.loads(schema.json()), "keys": self.keys, "partitions": n, "folders": held, "base": base, "streams": streams}
 
     def commit(self, staged: tuple[str, dict]) -> int:
-        version = (self.current_version() or 0) + 1
+        base = staged[1]["base"]
+        if self.current_version() != base:
+            raise LostUpdate(f"table {self.name}: version {self.current_version()} was published by another writer (this load read {base})")
+        version = (base or 0) + 1
         fs, path = fs_for(self.spark, f"{self.root}/_manifests/v={version:08d}.json")
         draft = path.suffix(f".{uuid.uuid4().hex}.tmp")
         stream = fs.create(draft, False)
         stream.write(bytearray(json.dumps(staged[1]).encode("utf-8")))
         stream.close()
         if fs.exists(path) or not fs.rename(draft, path):
-            raise OSError(f"table {self.name}: version {version} was published by another writer")
+            raise LostUpdate(f"table {self.name}: version {version} was published by another writer")
+        self._seen = [version]
         return version
 
-    def publish(self, df: DataFrame, only: Sequence[int] | None = None) -> int:
-        return self.commit(self.stage(df, only))
+    def publish(self, df: DataFrame, only: Sequence[int] | None = None, progress: tuple[str, int] | None = None) -> int:
+        return self.commit(self.stage(df, only, progress))
 
     def drop_old_versions(self, keep: int = 1) -> list[int]:
         """Forget all but the last ``keep`` versions and delete the folders that

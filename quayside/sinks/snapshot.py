@@ -13,6 +13,14 @@ The layout belongs to the version, not to the caller: its marker holds the
 keys and bucket count it was written with, and a reader registers it with
 those.  A writer that asks for another layout rewrites the table in it.
 
+A commit is refused (:class:`~quayside.sinks.commits.LostUpdate`) if another
+writer published a version after this one read the table.  With a ``log``
+(:class:`~quayside.sinks.commits.CommitLog`) that several tables share, their
+versions become visible by one record, all or none.
+
+A version also keeps how far each stream that writes the table has come (its
+last micro-batch), so that a micro-batch which is run again is recognised.
+
 With ``keys`` and ``buckets`` the versions are written bucketed and sorted on
 the keys (one file per bucket, because the rows are hash-partitioned on the
 same keys first).  A later upsert/replace joining on those keys then reads
@@ -24,6 +32,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +40,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import qcol
 from ..session import fs_for, work_path
+from .commits import CommitLog, LostUpdate
 
 _VERSION = re.compile(r"^v=(\d+)$")
 # Fixed value: the marker a version gets when it is published (after every
@@ -38,9 +48,19 @@ _VERSION = re.compile(r"^v=(\d+)$")
 PUBLISHED = "_PUBLISHED"
 
 
+@dataclass
+class Staged:
+    """A written version that is not visible yet, and the one it was made from."""
+    version: int
+    path: str
+    schema: T.StructType
+    base: int | None
+    progress: tuple[str, int] | None = None
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, name: str, root: str | None = None,
-                 keys: Sequence[str] = (), buckets: int | None = None, label: str | None = None):
+                 keys: Sequence[str] = (), buckets: int | None = None, label: str | None = None, log: CommitLog | None = None):
         if not re.match(r"^[A-Za-z_][A-Za-z0-9_]*$", name):
             raise ValueError(f"table name must be an identifier: {name!r}")
         self.spark = spark
@@ -51,6 +71,8 @@ class VersionedTable:
         self.root = (root or work_path(spark, "tables", name, unique=False)).rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets if (buckets and self.keys) else None
+        self.log = log
+        self._seen: list[int | None] = []  # the version that was read last
 
     # -- versions ---------------------------------------------------------
     def _list_versions(self, committed: bool) -> list[int]:
@@ -71,7 +93,7 @@ class VersionedTable:
     def versions(self) -> list[int]:
         """Published versions, oldest first (a staged version whose load did not
         reach its publish step is never listed)."""
-        return self._list_versions(committed=True)
+        return self.log.versions(self.name) if self.log is not None else self._list_versions(committed=True)
 
     def current_version(self) -> int | None:
         v = self.versions()
@@ -83,17 +105,25 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.current_version() is not None
 
-    def layout(self, version: int) -> tuple[list[str], int | None]:
-        """(keys, buckets) that a published version was written with."""
+    def _marker(self, version: int) -> dict:
         fs, marker = fs_for(self.spark, f"{self.version_path(version)}/{PUBLISHED}")
         stream = fs.open(marker)
         try:
             raw = bytes(stream.readAllBytes()).decode("utf-8")
         finally:
             stream.close()
-        held = json.loads(raw) if raw else {}
+        return json.loads(raw) if raw else {}
+
+    def layout(self, version: int) -> tuple[list[str], int | None]:
+        """(keys, buckets) that a published version was written with."""
+        held = self._marker(version)
         return list(held.get("keys", [])), held.get("buckets")
 
+    def progress(self, stream: str) -> int | None:
+        """The last micro-batch of ``stream`` whose rows the table has."""
+        cur = self.current_version()
+        return self._marker(cur).get("streams", {}).get(stream) if cur is not None else None
+
     def drop_old_versions(self, keep: int = 1) -> list[int]:
         """Delete all but the last ``keep`` published versions, and unpublished
         ones older than the current; the current version is never deleted.
@@ -102,6 +132,8 @@ class VersionedTable:
         if not kept:
             return []
         gone = [v for v in self._list_versions(committed=False) if v < kept[-1] and v not in kept]
+        if self.log is not None:
+            self.log.forget(self.name, gone)
         for v in gone:
             fs, path = fs_for(self.spark, self.version_path(v))
             fs.delete(path, True)
@@ -114,6 +146,7 @@ class VersionedTable:
         cur = self.current_version()
         if cur is None:
             raise FileNotFoundError(f"table {self.name} has no committed version under {self.root}")
+        self._seen = [cur]
         if not self._registered(self.version_path(cur)):
             self._register(self.version_path(cur), self.spark.read.parquet(self.version_path(cur)).schema,
                            *self.layout(cur))
@@ -131,14 +164,17 @@ class VersionedTable:
         return bool(rows) and jpath(rows[0]["data_type"]).toUri().getPath() == jpath(path).toUri().getPath()
 
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
-        return self.read() if self.exists() else self.spark.createDataFrame([], schema)
+        if self.exists():
+            return self.read()
+        self._seen = [None]
+        return self.spark.createDataFrame([], schema)
 
     # -- writing ----------------------------------------------------------
-    def publish(self, df: DataFrame) -> int:
+    def publish(self, df: DataFrame, progress: tuple[str, int] | None = None) -> int:
         """Write ``df`` as the next version and make it current.  Returns the version."""
-        return self.commit(self.stage(df))
+        return self.commit(self.stage(df, progress=progress))
 
-    def stage(self, df: DataFrame, repartition: bool | None = None) -> tuple[int, str, T.StructType]:
+    def stage(self, df: DataFrame, repartition: bool | None = None, progress: tuple[str, int] | None = None) -> Staged:
         """Write ``df`` into the next version directory without publishing it,
         so several tables can be written before any becomes visible.
 
@@ -147,7 +183,9 @@ class VersionedTable:
         with the bucketed current version, whose output is already split by
         the same hash into the same buckets, so by default they are written
         as they are: no second shuffle of the whole table (``repartition``
-        forces either way)."""
+        forces either way).  ``progress`` is the (stream, micro-batch) that this
+        version holds the rows of."""
+        base = self._seen[0] if self._seen else self.current_version()
         existing = self._list_versions(committed=False)
         version = (existing[-1] + 1) if existing else 1
         path = self.version_path(version)
@@ -164,17 +202,34 @@ class VersionedTable:
             self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
         else:
             df.write.mode("errorifexists").parquet(path)
-        return version, path, df.schema
+        return Staged(version, path, df.schema, base, progress)
 
-    def commit(self, staged: tuple[int, str, T.StructType]) -> int:
+    def commit(self, staged: Staged) -> int:
         """Publish a staged version: mark it, then move the catalog pointer."""
-        version, path, schema = staged
-        fs, jpath = fs_for(self.spark, path)
+        now = self.current_version()
+        if now != staged.base:
+            raise LostUpdate(f"table {self.name}: version {now} was published by another writer (this load read {staged.base})")
+        self.mark(staged)
+        if self.log is not None:
+            self.log.commit({self.name: staged.version}, {self.name: staged.base})
+        return self.show(staged)
+
+    def mark(self, staged: Staged) -> None:
+        """Write a version's marker: its layout and the streams' progress."""
+        streams = dict(self._marker(staged.base).get("streams", {})) if staged.base is not None else {}
+        if staged.progress is not None:
+            streams[staged.progress[0]] = staged.progress[1]
+        held = {"keys": self.keys, "buckets": self.buckets, **({"streams": streams} if streams else {})}
+        fs, jpath = fs_for(self.spark, staged.path)
         marker = fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jpath, PUBLISHED), True)
-        marker.write(bytearray(json.dumps({"keys": self.keys, "buckets": self.buckets}).encode("utf-8")))
+        marker.write(bytearray(json.dumps(held).encode("utf-8")))
         marker.close()
-        self._register(path, schema, self.keys, self.buckets)
-        return version
+
+    def show(self, staged: Staged) -> int:
+        """Move this session's catalog pointer to a version that is committed."""
+        self._seen = [staged.version]
+        self._register(staged.path, staged.schema, self.keys, self.buckets)
+        return staged.version
 
     def _register(self, path: str, schema: T.StructType, keys: Sequence[str], buckets: int | None) -> None:
         spark = self.spark
