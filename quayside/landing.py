@@ -25,8 +25,9 @@ def _millis(ts) -> int:
 
 
 def land(df: DataFrame, landing: str, prefix: str, mtime=None, delimiter: str = ";",
-         encoding: str = "utf-8", suffix: str = ".csv") -> list[str]:
-    """Write ``df`` as ``<landing>/<prefix>_<part>.csv`` files; returns their paths."""
+         encoding: str = "utf-8", suffix: str = ".csv", overwrite: bool = False) -> list[str]:
+    """Write ``df`` as ``<landing>/<prefix>_<part>.csv`` files; returns their
+    paths.  ``overwrite``: a second upload under the same names."""
     spark = df.sparkSession
     staging = work_path(spark, "staging")
     write_delimited(df, staging, delimiter, encoding)
@@ -39,6 +40,8 @@ def land(df: DataFrame, landing: str, prefix: str, mtime=None, delimiter: str =
     out = []
     for i, name in enumerate(parts):
         dst = jvm.org.apache.hadoop.fs.Path(ldir, f"{prefix}_{i:05d}{suffix}")
+        if overwrite and fs.exists(dst):
+            fs.delete(dst, False)
         if not fs.rename(jvm.org.apache.hadoop.fs.Path(sdir, name), dst):
             raise OSError(f"could not land {name} as {dst}")
         if mtime is not None:

@@ -210,6 +210,39 @@ ORACLE_SQL["quarantine_rows"] = """
 SELECT CASE WHEN s_acctbal < 1000 THEN 'bad' ELSE 'good' END AS state, CAST(s_suppkey AS VARCHAR) || ';' || s_name
        || CASE WHEN s_acctbal < 0 THEN ';;LOST' WHEN s_acctbal < 1000 THEN ';' ELSE '' END AS record FROM supplier"""
 
+ORACLE_SQL["read_split_multiline"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS k,
+       CASE WHEN c_acctbal > 0 THEN 'said "' || c_name || '";' || chr(10) || chr(10) || c_mktsegment || chr(10) ELSE c_name END AS note,
+       CASE WHEN c_nationkey < 12 THEN c_name || ';' || c_mktsegment || chr(10) ELSE c_mktsegment END AS segment FROM customer"""
+
+ORACLE_SQL["file_layout_report"] = """
+SELECT DISTINCT o_orderstatus AS export, m.missing_column FROM orders
+JOIN (VALUES ('O', 'o_orderpriority'), ('P', 'o_orderpriority'), ('P', 'o_totalprice')) AS m(status, missing_column) ON m.status = o_orderstatus"""
+
+ORACLE_SQL["stream_settled_files"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS number, s_name AS name, 'final' AS balance, 1 AS versions FROM supplier"""
+
+ORACLE_SQL["stream_reuploads"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS number, s_name AS name, CASE WHEN s_acctbal >= 0 THEN 'again' ELSE 'first' END AS balance, 2 AS versions FROM supplier"""
+
+ORACLE_SQL["stream_replace_rows"] = """
+WITH late AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01 00:00:00')
+SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_linenumber AS VARCHAR) AS line, '-1' AS qty, 2 AS versions FROM late
+UNION ALL
+SELECT CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 2 FROM lineitem
+WHERE l_orderkey NOT IN (SELECT l_orderkey FROM late)"""
+
+ORACLE_SQL["claims_atomic_rows"] = """
+WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) AS talon, l_returnflag AS source, l_quantity > 45 AS bad FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01 00:00:00'),
+g AS (SELECT *, COUNT(*) OVER (PARTITION BY talon, source, bad) AS n FROM l)
+SELECT CASE WHEN bad THEN 'bad' WHEN n > 1 THEN 'repeated' ELSE 'normal' END AS table_name, source, 'day1' AS ship_date, COUNT(*) AS n_rows,
+       MIN(talon) AS least, MAX(talon) AS most FROM g GROUP BY 1, 2
+UNION ALL SELECT 'handled', 'SUCCESS', NULL, 1, 'claims_day1', 'claims_day1'"""
+
+ORACLE_SQL["tick_rows"] = """
+SELECT 'supplier ' || CAST(s_suppkey AS VARCHAR) AS what, CASE WHEN s_acctbal < 0 THEN 'again' ELSE 'first' END AS value FROM supplier
+UNION ALL SELECT 'files FAILURE', '2024-01-01' UNION ALL SELECT 'files SUCCESS', '2024-01-02' UNION ALL SELECT 'files SUCCESS', '2024-01-04'"""
+
 ORACLE_SQL["tick_actions"] = """
 SELECT event_type || '_' || CAST(event_id AS VARCHAR) || '.csv' AS name,
        CASE WHEN event_id % 4 = 0 THEN 'retire' WHEN event_id % 8 = 2 THEN 'wait' WHEN event_id % 2 = 0 THEN 'relaunch'

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +22,19 @@ from .operators.merge import dedupe_last, replace_by_key, upsert
 from .operators.split import flag_repeated, split_counts, split_repeated
 from .plans.flows import load_upsert, run_claims, run_claims_files, run_journal, run_routed_claims
 from .session import fs_for, work_path
+from .sinks.commits import CommitLog
 from .sinks.files import retire_files
 from .sinks.partitioned import PartitionedTable
 from .sinks.report import load_report
 from .sinks.snapshot import VersionedTable, publish_snapshot
 from .sources.catalog import table_columns, table_columns_frame, table_health
-from .sources.delimited import RECORD, null_tokens, read_delimited, read_delimited_split, write_delimited
+from .sources.delimited import (RECORD, expand_files, file_layout_report, null_tokens, read_delimited, read_delimited_split,
+                                write_delimited)
 from .sources.files import (classify_files, discover_files, latest_by_name, latest_by_time, plan_file_actions,
                            route_files)
 from .spec import TableSpec
-from .streaming.ingest import stream_journal, stream_upsert
+from .streaming.arrivals import record_arrivals, stream_settled
+from .streaming.ingest import run_once, stream_journal, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -477,8 +481,8 @@ def q_routed_claims_rows(spark, sf):
     landing = work_path(spark, "landing", "routed")
     export = li.select(F.col("l_orderkey").cast("string").alias("Талон"), F.col("l_returnflag").alias("Источник"),
                        F.col("l_linenumber").cast("string").alias("Строка"))
-    # the legacy load reads one file, so the export is one
-    land(export.groupBy("Талон", "Источник").agg(F.max("Строка").alias("Строка")).coalesce(1), landing, "journal_20240102",
+    # the legacy load reads one file, so the export is one; only its writing is one task
+    land(export.groupBy("Талон", "Источник").agg(F.max("Строка").alias("Строка")).repartition(1), landing, "journal_20240102",
          mtime="2024-01-02 00:00:00")
     land_bytes(spark, landing, "journal_20240101.csv", "Талон;Источник;Строка\n0;A;old\n".encode(), mtime="2024-01-01")
     land_bytes(spark, landing, "doctor_1.csv", b"x\n1\n", mtime="2024-01-01")
@@ -491,20 +495,22 @@ def q_routed_claims_rows(spark, sf):
     return normal.read().select("talon", "source", "line", "uet", "is_complex")
 
 
-def _land_lines(df: DataFrame, header: str, landing: str, prefix: str) -> None:
-    """Land exact lines (no quoting) under a header, as the one file that an
-    export is."""
+def _land_lines(df: DataFrame, header: str, landing: str, prefix: str, files: int | None = None) -> None:
+    """Land exact lines (no quoting) as ``files`` files with a header each (as
+    many as a shuffle has partitions, if not given)."""
     spark = df.sparkSession
     staging = work_path(spark, "staging")
-    lines = df.select(F.lit(1).alias("o"), F.col(df.columns[0]).alias("value"))
-    head = spark.range(1).select(F.lit(0).alias("o"), F.lit(header).alias("value"))
-    head.unionByName(lines).coalesce(1).sortWithinPartitions("o").select("value").write.text(staging)
-    fs, sdir = fs_for(spark, staging)
-    _, ldir = fs_for(spark, landing)
+    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    value = F.col(df.columns[0])
+    lines = df.select(F.pmod(F.xxhash64(value), F.lit(n)).alias("p"), F.lit(1).alias("o"), value.alias("value"))
+    head = spark.range(n).select(F.col("id").alias("p"), F.lit(0).alias("o"), F.lit(header).alias("value"))
+    rows = head.unionByName(lines)
+    (rows.repartition(1) if n == 1 else rows.repartition("p")).sortWithinPartitions("p", "o").select("p", "value").write.partitionBy("p").text(staging)
+    fs, ldir = fs_for(spark, landing)
     fs.mkdirs(ldir)
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for i, st in enumerate(s for s in fs.listStatus(sdir) if s.getPath().getName().startswith("part-")):
-        fs.rename(st.getPath(), jpath(ldir, f"{prefix}_{i:05d}.csv"))
+    for i, (path, _) in enumerate(expand_files(spark, [f"{staging}/p=*"])):
+        fs.rename(jpath(path), jpath(ldir, f"{prefix}_{i:05d}.csv"))
 
 
 def q_read_delimited_stray_quotes(spark, sf):
@@ -535,6 +541,178 @@ def q_quarantine_rows(spark, sf):
         good.select(F.lit("good").alias("state"), F.concat_ws(";", "number", "name").alias("record")))
 
 
+def q_read_split_multiline(spark, sf):
+    """One file of quoted cells that go on over line ends, read in splits of a
+    seventh of it."""
+    c = table(spark, sf, "customer")
+    landing = work_path(spark, "landing", "multiline")
+    quoted = lambda *parts: F.concat(F.lit('"'), *parts, F.lit('"'))
+    note = quoted(F.lit('said ""'), "c_name", F.lit('"";\n\n'), "c_mktsegment", F.lit("\n"))
+    plain = F.concat_ws(";", "c_name", "c_mktsegment")
+    line = F.concat_ws(";", F.col("c_custkey").cast("string"), F.when(F.col("c_acctbal") > 0, note).otherwise(quoted("c_name")),
+                       F.when(F.col("c_nationkey") < 12, quoted(plain, F.lit("\n"))).otherwise(F.col("c_mktsegment")))
+    _land_lines(c.select(line.alias("l")), "k;note;segment", landing, "customers", files=1)
+    length = sum(n for _, n in expand_files(spark, [landing]))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    target = VersionedTable(spark, f"notes_{_uid()}")
+    try:
+        for n in names:
+            spark.conf.set(n, str(length // 7 + 1))
+        target.publish(read_delimited(spark, landing, delimiter=";", with_position=False))
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    return target.read()
+
+
+def q_file_layout_report(spark, sf):
+    """Exports of three layouts, one file a range of order keys: which file
+    lacks which mapped column."""
+    orders = table(spark, sf, "orders")
+    landing = work_path(spark, "landing", "layouts")
+    text = [F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")]
+    for status, drop in (("F", []), ("O", ["o_orderpriority"]), ("P", ["o_totalprice", "o_orderpriority"])):
+        land(orders.where(F.col("o_orderstatus") == status).select(*text).drop(*drop).repartitionByRange(3, "o_orderkey"), landing, f"orders_{status}")
+    found = file_layout_report(spark, landing, ["o_orderkey", "o_orderpriority", ("o_totalprice", "price")], ";")
+    return found.select(F.regexp_extract("path", r"([^/_]*)_[0-9]+\.csv$", 1).alias("export"), "missing_column").distinct()
+
+
+SETTLE_SPEC = TableSpec(table_name="suppliers", file_pattern="Справки_*", mapping=(("Номер", "number"), ("Имя", "name"), ("Баланс", "balance")),
+                        keys=("number",), encoding="cp1251", delimiter=";")
+
+
+def _supplier_export(spark, sf, balance):
+    s = table(spark, sf, "supplier")
+    return s.select(F.col("s_suppkey").cast("string").alias("Номер"), F.col("s_name").alias("Имя"), balance.alias("Баланс"), "s_acctbal", "s_suppkey")
+
+
+def _with_versions(target):
+    return target.read().withColumn("versions", F.lit(len(target.versions())))
+
+
+def q_stream_settled_files(spark, sf):
+    """Files that still grow when they are first seen, and go on growing: each is
+    loaded once, in its last form."""
+    landing, log = work_path(spark, "landing", "settling"), work_path(spark, "landing", "arrivals")
+    target = VersionedTable(spark, f"settled_{_uid()}")
+    rows = _supplier_export(spark, sf, F.lit("final")).repartitionByRange(3, "s_suppkey")
+    for second, part in ((0, F.col("s_acctbal") < 1000), (40, F.col("s_acctbal") < 5000), (80, F.lit(True))):
+        land(rows.where(part).drop("s_acctbal", "s_suppkey") if second == 80 else rows.where(part).withColumn("Баланс", F.lit("partial")).drop("s_acctbal", "s_suppkey"),
+             landing, "Справки", mtime=f"2024-01-01 00:0{second // 60}:{second % 60:02d}", encoding="cp1251", overwrite=True)
+        record_arrivals(spark, landing, log, f"2024-01-01 00:0{(second + 10) // 60}:{(second + 10) % 60:02d}")
+        stream_settled(spark, SETTLE_SPEC, landing, log, target, now="2024-01-02 00:00:00")
+    record_arrivals(spark, landing, log, "2024-01-01 00:02:21")
+    for _ in range(2):  # the second run has nothing to do
+        stream_settled(spark, SETTLE_SPEC, landing, log, target, now="2024-01-02 00:00:00")
+    return _with_versions(target).select("number", "name", "balance", "versions")
+
+
+def q_stream_reuploads(spark, sf):
+    """A second upload under the same names is applied; the same files listed
+    again are not."""
+    landing, log = work_path(spark, "landing", "reuploads"), work_path(spark, "landing", "arrivals")
+    target = VersionedTable(spark, f"reuploads_{_uid()}")
+    first = _supplier_export(spark, sf, F.lit("first")).repartitionByRange(3, "s_suppkey")
+    again = first.where("s_acctbal >= 0").withColumn("Баланс", F.lit("again"))
+    for day, rows in ((1, first), (2, again), (3, None)):
+        if rows is not None:
+            land(rows.drop("s_acctbal", "s_suppkey"), landing, "Справки", mtime=f"2024-01-0{day} 00:00:00", encoding="cp1251", overwrite=True)
+        record_arrivals(spark, landing, log, f"2024-01-0{day} 12:00:00")
+        stream_settled(spark, SETTLE_SPEC, landing, log, target, now="2024-01-04 00:00:00")
+    return _with_versions(target).select("number", "name", "balance", "versions")
+
+
+def q_stream_replace_rows(spark, sf):
+    """Replace by key on a stream, with its last micro-batch run again as after a
+    crash between publishing and the stream's own commit."""
+    li = table(spark, sf, "lineitem")
+    landing, checkpoint = work_path(spark, "landing", "replacing"), work_path(spark, "checkpoints", "replacing")
+    spec = TableSpec("lines", "lines_*", (("order", "order"), ("line", "line"), ("qty", "qty")), ("order",), delimiter=";", strategy="replace")
+    target = VersionedTable(spark, f"replaced_{_uid()}")
+    rows = lambda day, part, qty: land(
+        li.where(part).select(F.col("l_orderkey").cast("string").alias("order"), F.col("l_linenumber").cast("string").alias("line"), qty.cast("string").alias("qty"), "l_orderkey")
+        .repartitionByRange(2, "l_orderkey").drop("l_orderkey"), landing, f"lines_{day}", mtime=f"2024-01-0{day} 00:00:00")
+    rows(1, F.lit(True), F.col("l_quantity").cast("int"))
+    run = lambda: stream_journal(spark, spec, landing, target, now="2024-02-01", max_files_per_trigger=2, checkpoint=checkpoint)
+    run()
+    rows(2, F.col("l_shipdate") >= _ts("1997-01-01 00:00:00", li, "l_shipdate"), F.lit(-1))
+    run()
+    fs, done = fs_for(spark, f"{checkpoint}/commits")
+    last = max(int(st.getPath().getName()) for st in fs.listStatus(done) if st.getPath().getName().isdigit())
+    for name in (str(last), f".{last}.crc"):
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(done, name), False)
+    run()
+    return _with_versions(target).select("order", "line", "qty", "versions")
+
+
+class _Stops(CommitLog):
+    """A load that ends before its commit."""
+
+    def commit(self, versions, base):
+        raise ConnectionError("the load was stopped")
+
+
+def q_claims_atomic_rows(spark, sf):
+    """Two claims loads into tables that share a commit log; the second is
+    stopped when all its tables are written: none of them shows it."""
+    li = table(spark, sf, "lineitem")
+    landing, root = work_path(spark, "landing", "atomic"), work_path(spark, "tables", "atomic")
+    uid = _uid()
+
+    def tables(log):
+        return [VersionedTable(spark, f"{n}_{uid}", root=f"{root}/{n}", label=n, log=log) for n in ("normal", "repeated", "bad", "handled")]
+
+    def load(day, log):
+        export = li.where(F.col("l_shipdate") < _ts(f"199{5 + day}-01-01 00:00:00", li, "l_shipdate")).select(
+            "l_orderkey", F.concat_ws(";", F.col("l_orderkey").cast("string"), "l_returnflag", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
+                                      F.when(F.col("l_quantity") > 45, F.concat(F.lit(f"day{day};"), F.col("l_suppkey").cast("string"))).otherwise(F.lit(f"day{day}"))).alias("l"))
+        _land_lines(export.select("l"), "Талон;Источник;Строка;Услуга;Дата", landing, f"claims_day{day}", files=1)
+        normal, repeated, bad, handled = tables(log)
+        spec = replace(CLAIM_FILES_SPEC, encoding="utf-8")
+        run_claims_files(spark, spec, landing, normal, repeated, as_of="2999-01-01 00:00:00", now=f"2024-01-0{day} 00:00:00",
+                         on_bad="quarantine", quarantine=bad, ledger=handled)
+
+    load(1, CommitLog(spark, f"{root}/log"))
+    try:
+        load(2, _Stops(spark, f"{root}/log"))
+    except ConnectionError:
+        pass
+    normal, repeated, bad, handled = tables(CommitLog(spark, f"{root}/log"))
+    claims = normal.read().select(F.lit("normal").alias("table_name"), "talon", "source", "ship_date").unionByName(
+        repeated.read().select(F.lit("repeated").alias("table_name"), "talon", "source", "ship_date"))
+    rows = claims.unionByName(bad.read().select(F.lit("bad").alias("table_name"), F.col("fields")["Талон"].alias("talon"), F.col("fields")["Источник"].alias("source"),
+                                                F.col("fields")["Дата"].alias("ship_date")))
+    files = handled.read().select(F.lit("handled").alias("table_name"), F.regexp_extract("name", r"^(claims_day\d)", 1).alias("talon"), F.col("run_status").alias("source"),
+                                  F.lit(None).cast("string").alias("ship_date"))
+    return rows.unionByName(files).groupBy("table_name", "source", "ship_date").agg(F.count("*").alias("n_rows"), F.min("talon").alias("least"), F.max("talon").alias("most"))
+
+
+def q_tick_rows(spark, sf):
+    """Polling ticks: a file without a mapped column fails the tick, the mended
+    file succeeds, nothing to do, a second upload under the same name."""
+    landing = work_path(spark, "landing", "ticks")
+    target, ledger = VersionedTable(spark, f"ticks_{_uid()}"), VersionedTable(spark, f"ticks_ledger_{_uid()}")
+    rows = _supplier_export(spark, sf, F.lit("first")).repartitionByRange(3, "s_suppkey")
+
+    def tick(day):
+        try:
+            run_once(spark, SETTLE_SPEC, landing, target, ledger, as_of=f"2024-01-0{day} 12:00:00", now=f"2024-01-0{day} 12:00:00", required=[])
+        except ValueError:
+            pass  # the ledger has it
+
+    whole, put = rows.drop("s_acctbal", "s_suppkey"), dict(landing=landing, prefix="Справки", encoding="cp1251", overwrite=True)
+    land(whole.drop("Имя"), mtime="2024-01-01 00:00:00", **put)
+    tick(1)
+    land(whole, mtime="2024-01-02 00:00:00", **put)
+    tick(2)
+    tick(3)
+    land(rows.where("s_acctbal < 0").withColumn("Баланс", F.lit("again")).drop("s_acctbal", "s_suppkey"), mtime="2024-01-04 00:00:00", **put)
+    tick(4)
+    files = ledger.read().select(F.concat(F.lit("files "), "run_status").alias("what"), F.date_format("mtime", "yyyy-MM-dd").alias("value")).distinct()
+    return target.read().select(F.concat(F.lit("supplier "), "number").alias("what"), F.col("balance").alias("value")).unionByName(files)
+
+
 def q_tick_actions(spark, sf):
     """Several attempts at one file in the ledger: one action each."""
     files, _ = _files_and_ledger(spark, sf)
@@ -662,6 +840,13 @@ QUERIES: dict[str, Query] = {
     "routed_claims_rows": q_routed_claims_rows,
     "read_delimited_stray_quotes": q_read_delimited_stray_quotes,
     "quarantine_rows": q_quarantine_rows,
+    "read_split_multiline": q_read_split_multiline,
+    "file_layout_report": q_file_layout_report,
+    "stream_settled_files": q_stream_settled_files,
+    "stream_reuploads": q_stream_reuploads,
+    "stream_replace_rows": q_stream_replace_rows,
+    "claims_atomic_rows": q_claims_atomic_rows,
+    "tick_rows": q_tick_rows,
     "tick_actions": q_tick_actions,
     "bucket_change_rows": q_bucket_change_rows,
     "partitioned_upsert_rows": q_partitioned_upsert_rows,

@@ -3,33 +3,36 @@
 ``stream_upsert`` is Structured Streaming: the file source hands each
 micro-batch of new files to ``foreachBatch``, which upserts it into a
 versioned table and publishes the version.  The stream checkpoint records
-which files were consumed; the upsert is guarded by an order column, so a
-micro-batch replayed after a failure leaves the table as it was.  Each
-micro-batch reads the target from its last published files, so lineage does
-not grow across batches.
-
-``run_once`` is the polling alternative (one tick of the journal flow with a
-ledger of handled files), which also covers re-uploads under the same name
-and the minimum file age, neither of which the file source can express.
+which files were consumed; the version that a micro-batch writes keeps its
+number, so one that is run again after a failure is recognised and left out
+(the upsert is guarded by an order column besides).  Each micro-batch reads the
+target from its last published files, so lineage does not grow across batches.
+
+``stream_journal`` streams the manifest of a folder into the journal load, by
+either strategy (upsert, replace).  The file source sees a path once, so it knows
+neither a file that still grows nor a second upload under one name;
+:mod:`quayside.streaming.arrivals` does.
+
+``run_once`` is the polling alternative: one tick of the journal flow with a
+ledger of handled files.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.tokens import SOURCE_FILE
 from ..operators.merge import target_schema_for, upsert
-from ..plans.flows import FlowResult, run_journal, small_enough
+from ..plans.flows import FlowResult, load_replace, load_upsert, prepare_batch, run_journal, small_enough
 from ..sinks.snapshot import VersionedTable
+from ..sources.delimited import read_delimited
 from ..spec import TableSpec
 
 
-# the file that wrote a row of a streamed journal
-SOURCE_FILE = "source_file"
-
-
 def stream_checkpoint(spark: SparkSession, target: VersionedTable, checkpoint: str | None) -> str:
     """Where a stream keeps its progress: what the caller names, else a folder
     beside the target's versions, the same at each call, so that the stream
@@ -37,6 +40,30 @@ def stream_checkpoint(spark: SparkSession, target: VersionedTable, checkpoint: s
     return (checkpoint or f"{target.root}/_stream").rstrip("/")
 
 
+def stream_name(checkpoint: str) -> str:
+    """A stream is known to its targets by where it keeps its progress."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:24]
+
+
+def done_before(target, stream: str, epoch: int) -> bool:
+    """Whether the target already has the rows of this micro-batch."""
+    last = target.progress(stream)
+    return last is not None and last >= epoch
+
+
+def load_files(spark: SparkSession, spec: TableSpec, paths: Sequence[str], target: VersionedTable, now,
+               required: Sequence[str] = (), progress: tuple[str, int] | None = None, also: Sequence[tuple] = ()) -> DataFrame:
+    """Files, in this order, into the table by the spec's strategy, in one
+    version.  An upserted row keeps the name of the file that wrote it, and a row
+    of a lesser name never overwrites it."""
+    raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
+                         require=[(src, dst) for src, dst in spec.mapping], with_source=True)
+    load = prepare_batch(raw, spec, required)
+    if spec.strategy == "replace":
+        return load_replace(spark, load, spec.keys, target, now, progress=progress, also=also)
+    return load_upsert(spark, load, spec.keys, target, now, guard_cols=[SOURCE_FILE], progress=progress, also=also)
+
+
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, target: VersionedTable,
                   keys: Sequence[str], order_cols: Sequence[str], now, file_format: str = "parquet",
                   max_files_per_trigger: int = 1, checkpoint: str | None = None,
@@ -44,6 +71,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     """Run (or start, with ``available_now=False``) the ingest stream."""
     keys, order_cols = list(keys), list(order_cols)
     checkpoint = stream_checkpoint(spark, target, checkpoint)
+    stream_id = stream_name(checkpoint)
     reader = spark.readStream.schema(schema).format(file_format).option(
         "maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in (options or {}).items():
@@ -51,6 +79,8 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     stream = reader.load(source_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        if done_before(target, stream_id, epoch_id):
+            return
         batch = batch.persist()
         try:
             n = batch.count()
@@ -58,7 +88,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
                 return
             current = target.read_or_empty(target_schema_for(batch, audit=True))
             target.publish(upsert(current, batch, keys, now, order_cols=order_cols, guard_cols=order_cols,
-                                  broadcast_batch=small_enough(batch, target)))
+                                  broadcast_batch=small_enough(batch, target)), progress=(stream_id, epoch_id))
         finally:
             batch.unpersist()
 
@@ -79,18 +109,21 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
     would need one fixed schema up front, but every file brings its own
     header).  The order of files is that of their names, as in the batch load,
     however many a trigger takes: each stored row keeps the name of the file
-    that wrote it (``source_file``), and a row of a lesser name never overwrites
-    it.  A replayed micro-batch re-applies the same rows.  With ``archive_dir`` the file
+    that wrote it (the table's own column ``_source_file``, which batch loads
+    write too, so one table takes both), and a row of a lesser name never
+    overwrites it.  With strategy "replace" the rows of a key are those of the last
+    file that has it, in the order of arrival.  A micro-batch that is run again is
+    recognised by its number.  With ``archive_dir`` the file
     source moves consumed files there (``cleanSource=archive``; Spark does it
     lazily, after the batch is committed)."""
     from pyspark.sql import functions as F
 
     from ..functions.globs import glob_match
-    from ..operators.merge import POS
-    from ..plans.flows import load_upsert, prepare_batch
-    from ..sources.delimited import read_delimited
 
+    if spec.strategy == "split":
+        raise ValueError(f"{spec.table_name}: strategy 'split' loads two tables; use run_claims_files")
     checkpoint = stream_checkpoint(spark, target, checkpoint)
+    stream_id = stream_name(checkpoint)
     schema = T.StructType([T.StructField("path", T.StringType(), False),
                            T.StructField("modificationTime", T.TimestampType(), False),
                            T.StructField("length", T.LongType(), False),
@@ -106,13 +139,8 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         paths = [r["path"] for r in batch.select("path", "name").orderBy("name").collect()]
-        if not paths:
-            return
-        raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
-                             require=[(src, dst) for src, dst in spec.mapping])
-        names = F.element_at(F.array(*[F.lit(p.rpartition("/")[2]) for p in paths]), F.col(POS)["file"] + 1)
-        load = prepare_batch(raw, spec, required).withColumn(SOURCE_FILE, names)
-        load_upsert(spark, load, spec.keys, target, now, guard_cols=[SOURCE_FILE])
+        if paths and not done_before(target, stream_id, epoch_id):
+            load_files(spark, spec, paths, target, now, required, (stream_id, epoch_id))
 
     writer = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
@@ -148,9 +176,10 @@ def run_once(spark: SparkSession, spec: TableSpec, landing: str, target: Version
         return skipped
     # the ledger's files drop out in Spark, junk is set aside once, young files
     # wait; only what this tick must act on comes back
-    states = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds)
-    actions = plan_file_actions(states, known).where("action <> 'wait'").select(
-        "path", "name", "mtime", "length", "state", "action").where("state <> 'young'").collect()
+    states = classify_files(manifest, spec.name_pattern, as_of, min_age_seconds).where("state <> 'young'")
+    wanted = ["launch", "relaunch", *(["retire"] if archive_dir else [])]
+    actions = plan_file_actions(states, known).where(F.col("action").isin(wanted)).select(
+        "path", "name", "mtime", "length", "state", "action").collect()
     if archive_dir:
         archive_files(spark, [r["path"] for r in actions if r["action"] == "retire"], archive_dir)
     junk = [r for r in actions if r["state"] == "invalid"]
@@ -166,9 +195,8 @@ def run_once(spark: SparkSession, spec: TableSpec, landing: str, target: Version
         return skipped
     try:
         result = run_journal(spark, spec, landing, target, as_of, now, required, min_age_seconds,
-                             only_paths=[r["path"] for r in todo])
+                             only_paths=[r["path"] for r in todo], ledger=ledger)
     except Exception:
         record(todo, "FAILURE")   # the next tick relaunches these files
         raise
-    record(todo, "SUCCESS")
     return result
