@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,9 +58,10 @@ def exactly(df: DataFrame, name: str) -> Column:
 
 
 def row_uid(doc_id: Column, text: Column) -> Column:
-    """Identity of a row by content: rows that repeat an id with another text
-    stay apart; rows equal in both get the same verdict."""
-    return F.xxhash64(doc_id, text)
+    """Identity of a row by content, 128 bits: rows that repeat an id with another
+    text stay apart; rows equal in both get the same verdict."""
+    halves = [F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64(doc_id, text), F.xxhash64(F.lit("second"), text, doc_id))]
+    return F.unhex(F.concat(*halves))
 
 
 def spread_join(rows: DataFrame, found: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -164,7 +166,12 @@ POWERS = Powers()
 
 class RangeHash:
     """64-bit hashes of any ranges of a sequence of 64-bit codes, each in O(1)
-    after one cumulative sum; equal ranges hash equal wherever they stand."""
+    after one cumulative sum; equal ranges hash equal wherever they stand.
+
+    A polynomial modulo 2^64 tells ranges apart up to some hundreds of codes; from
+    1,024 on some ranges collide whatever its base is (Thue-Morse sequences).
+    Words of any length are hashed by :func:`word_hashes`, and where equality
+    is decided :class:`PrimeHash` is asked too."""
 
     def __init__(self, codes: np.ndarray) -> None:
         up, self.down = POWERS.upto(len(codes) + 1)
@@ -180,8 +187,47 @@ def byte_codes(buf: np.ndarray) -> np.ndarray:
     return _BYTE_CODES[buf]
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return RangeHash(byte_codes(buf)).of(starts, ends)
+_PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
+_SEEDS = (1_103_515_245, 741_103_597)
+
+
+class PrimeHash:
+    """As :class:`RangeHash`, of another family: polynomials modulo two primes,
+    62 bits together."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        n = len(codes) + 1
+        self.tables = []
+        for p, seed in zip(_PRIMES, _SEEDS, strict=True):
+            up, down = (_prime_powers(x, p, n) for x in (seed, pow(seed, -1, p)))
+            total = np.zeros(n, np.uint64)
+            # terms are below 2^31, so the running sum of 2^33 of them is exact
+            np.cumsum(codes % np.uint64(p) * up[:-1] % np.uint64(p), out=total[1:])
+            self.tables.append((np.uint64(p), total, down))
+
+    def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        a, b = ((total[hi] - total[lo]) % p * down[lo] % p for p, total, down in self.tables)
+        return (a << np.uint64(31)) ^ b
+
+
+def _prime_powers(x: int, p: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(x, len(out), p)) % np.uint64(p)])
+    return out[:n]
+
+
+#: Longer words are hashed one by one.
+_LONG_WORD = 64
+
+
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word; ``second``: another, independent of the first."""
+    codes = byte_codes(buf)
+    out = RangeHash(mix64(codes) if second else codes).of(starts, ends)
+    for i in np.flatnonzero(ends - starts > _LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(buf[starts[i] : ends[i]].tobytes(), seed=int(second))
+    return out
 
 
 def signed(x: np.ndarray) -> np.ndarray:

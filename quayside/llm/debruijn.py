@@ -81,7 +81,7 @@ def anchored(rows: DataFrame, window: int, anchor: int) -> DataFrame:
                 own = pa.array(doc + lo)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(at.astype(np.int32)), pa.array(edges.astype(np.int32)), pa.array(key), pa.array(h)], names=["doc_id", "uid", "at", "edges", "anchor", "h"])
 
-    return rows.select("doc_id", "uid", "text").mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, at int, edges int, anchor long, h long")
+    return rows.select("doc_id", "uid", "text").mapInArrow(C.tidy(run), f"doc_id {kind}, uid binary, at int, edges int, anchor long, h long")
 
 
 def _spelt(rows: DataFrame, window: int) -> DataFrame:
@@ -106,7 +106,7 @@ def _spelt(rows: DataFrame, window: int) -> DataFrame:
                 doc = np.repeat(np.arange(hi - lo), np.diff(cuts[lo : hi + 1]))
                 begin, n = first[doc] + at[a:b], edges[a:b].astype(np.int64)
                 one = C.RangeHash(codes)
-                two = C.RangeHash(C.mix64(C.RangeHash(C.mix64(C.byte_codes(part))).of(starts, ends)))
+                two = C.PrimeHash(C.word_hashes(part, starts, ends, second=True))
                 node, edge = C.ranges(begin, n + 1), C.ranges(begin, n)
                 yield pa.RecordBatch.from_arrays([
                     key.slice(a, b - a), h.slice(a, b - a),

@@ -120,7 +120,7 @@ def sketched(docs: DataFrame, k: int = SHINGLE, text: str = "text", doc_id: str
                     [part.column(0), part.column(1), pa.array(n), pa.array(s1), pa.array(s2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(C.signed(keys.ravel())))],
                     names=["doc_id", "uid", "n", "s1", "s2", "bands"])
 
-    return frame.mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, n long, s1 long, s2 long, bands array<long>")
+    return frame.mapInArrow(C.tidy(run), f"doc_id {kind}, uid binary, n long, s1 long, s2 long, bands array<long>")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -204,11 +204,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80,
     """One row a document: doc_id, uid (row identity), n_shingles,
     component_id, kept."""
     ident, body = C.exactly(docs, doc_id), C.exactly(docs, text)
-    texts = docs.select(C.row_uid(ident, body).alias("member"), body.alias("text"))
+    texts = docs.select(C.row_uid(ident, body).alias("uid"), body.alias("text"))
     table = C.written(sketched(docs, shingle, text, doc_id), "sketches")
     some = table.where("n > 0")
     by_class = some.groupBy("n", "s1", "s2").agg(F.min(F.struct("doc_id", "uid")).alias("r"), F.min_by("bands", F.struct("doc_id", "uid")).alias("bands"))
-    placed = by_class.select(F.col("r.uid").alias("member"), F.posexplode("bands").alias("band", "bucket"))
+    # a class is a number, once it is written
+    classes = C.written(by_class.select(F.monotonically_increasing_id().alias("member"), "n", "s1", "s2", F.col("r.uid").alias("uid"), "bands"), "classes")
+    placed = classes.select("member", F.posexplode("bands").alias("band", "bucket"))
     # one leader could be an outlier that few link with, so a larger bucket gets several, drawn by
     # hashes; a few bands of them make the components that the others find joined already
     drawn = [F.min_by("member", F.xxhash64("member", F.lit(i))) for i in range(1, LEADERS)]
@@ -217,6 +219,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80,
     shared = shared.select("bucket", leaders.alias("leaders"))
     buckets = C.written(C.spread_join(placed.drop("band"), shared, ["bucket"]), "buckets")
 
+    # the texts that are compared: one a class, of the classes that share a bucket
+    wanted = buckets.select("member").distinct().join(classes.select("member", "uid"), "member")
+    texts = C.written(texts.join(wanted, "uid").select("member", "text").dropDuplicates(["member"]), "texts")
+
     pairs = buckets.select(F.explode("leaders").alias("leader"), "member").where("member <> leader").distinct()
     parts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("parts"))
     own = parts.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"), F.col("leader").alias("member"))
@@ -247,9 +253,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 80,
         stars = grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
         final = components(stars.unionByName(more))
 
-    classes = by_class.select("n", "s1", "s2", F.col("r.uid").alias("node")).join(final, "node", "left").select(
+    grouped_classes = classes.select("n", "s1", "s2", F.col("member").alias("node")).join(final, "node", "left").select(
         "n", "s1", "s2", F.coalesce("component", "node").alias("component"))
-    rows = some.select("doc_id", "uid", "n", "s1", "s2").join(classes, ["n", "s1", "s2"])
+    rows = some.select("doc_id", "uid", "n", "s1", "s2").join(grouped_classes, ["n", "s1", "s2"])
     least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = C.spread_join(rows, least, ["component"]).select("doc_id", "uid", F.col("n").alias("n_shingles"), "component_id")
     out = out.unionByName(table.where("n = 0").select("doc_id", "uid", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))

@@ -14,12 +14,14 @@ What comes before it only finds the places that can repeat, and loses none:
   by hash (leftmost among equals).  Equal windows have equal anchors at equal
   offsets.  Consecutive windows of one anchor place make a segment, so there is
   about one segment for 85 bytes, of which only hashes are shuffled.
-* An anchor met at one place has no repeated window.  If all segments of an
-  anchor are equal, all their windows repeat: one interval, no expansion needed.
-* The other segments, each distinct one once and with its count, go to shards
-  by anchor.  An anchor with more than ``HOT`` distinct segments would make an
-  unbounded shard; its windows are told apart one by one instead, by a count of
-  equal windows that is pre-aggregated, an exact way for any size.
+* An anchor met at one place has no repeated window.  Of all others each distinct
+  segment, once and with its count, goes to a shard by its anchor.
+* An anchor with more than ``HOT`` distinct segments would make an unbounded
+  shard, so it is split: windows that have it in their second half go by the
+  anchor and the bytes before it that all of them hold, the others by the anchor
+  and the bytes behind it.  That halves the places that the anchor can have in a
+  window, and is repeated while a group is too large; at the last, a group is the
+  copies of one window.
 
 Texts are taken whole; one longer than a chunk is read in overlapping pieces.
 
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,86 +54,109 @@ END = 0xFF
 # -- suffix array, transform, bounded common prefixes ----------------------
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Rotations of ``text`` sorted by their first ``depth`` bytes or more
-    (prefix doubling from 8-byte words)."""
+    """Rotations of ``text`` sorted by their first ``depth`` bytes or more: by
+    8 bytes, then by prefix doubling within the groups that are still equal."""
     n = len(text)
     wrapped = np.concatenate([text, np.resize(text, 8)]).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = (key << np.uint64(8)) | wrapped[i : i + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_ = key[order]
-    new = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
-    rank = np.empty(n, np.int64)
-    rank[order] = new
-    reach = 8
-    while reach < depth and new[-1] < n - 1:
-        pair = rank * np.int64(n) + np.roll(rank, -reach)
-        order = np.argsort(pair, kind="stable")
-        sorted_ = pair[order]
-        new = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
-        rank[order] = new
+    new = np.ones(n, bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, n))
+    rank = np.empty(n, np.int64)  # where a rotation's group starts
+    rank[order] = np.repeat(start, size)
+    bits, reach = n.bit_length(), 8
+    start, size = start[size > 1], size[size > 1]
+    while reach < depth and len(start):
+        m = int(size.sum())
+        at = C.ranges(start, size)
+        suffix = order[at]
+        behind = suffix + reach
+        behind[behind >= n] -= n
+        key = (np.repeat(np.arange(len(start)), size) << bits) | rank[behind]
+        low = (m - 1).bit_length()
+        if len(start).bit_length() + bits + low <= 63:  # sorting numbers is faster than sorting places by them
+            key = np.sort((key << low) | np.arange(m))
+            moved, key = key & ((1 << low) - 1), key >> low
+        else:
+            moved = np.argsort(key)
+            key = key[moved]
+        suffix = suffix[moved]
+        order[at] = suffix
+        new = np.ones(m, bool)
+        new[1:] = key[1:] != key[:-1]
+        first = np.flatnonzero(new)
+        start, size = at[first], np.diff(np.append(first, m))
+        rank[suffix] = np.repeat(start, size)
+        start, size = start[size > 1], size[size > 1]
         reach *= 2
     return order
 
 
 class Transform:
-    """A Burrows-Wheeler transform with the last-to-first map and, per byte,
-    the places that hold it."""
+    """A Burrows-Wheeler transform: the last-to-first map, the sorted bytes and,
+    per byte, the places that hold it."""
 
     def __init__(self, last: np.ndarray) -> None:
         n = len(last)
-        self.last = last
         by_byte = np.argsort(last, kind="stable")
-        self.first_of = np.empty(n, np.int64)
+        self.first, self.first_of = last[by_byte], np.empty(n, np.int64)
         self.first_of[by_byte] = np.arange(n)
         count = np.bincount(last, minlength=256)
         begin = np.cumsum(count) - count
         self.bytes = [(int(begin[c]), by_byte[begin[c] : begin[c] + count[c]]) for c in np.flatnonzero(count)]
 
 
-def shares(transform: Transform, limit: int, wide: int = 256) -> np.ndarray:
+def shares(transform: Transform, limit: int, wide: int = 4096) -> np.ndarray:
     """For each neighbour pair (i - 1, i) of the suffix array whether their
     common prefix is ``limit`` long or longer; index 0 is false.
 
     Intervals of a string w are extended by each byte c to those of cw; a right
-    end met for the first time at depth d has a common prefix of d there."""
-    n = len(transform.last)
+    end met for the first time at depth d has a common prefix of d there.  An
+    interval of one suffix goes on to one interval of one suffix, so those are
+    a plain list of places; only the others can split."""
+    first, first_of = transform.first, transform.first_of
+    n = len(first)
     unset = np.ones(n + 1, bool)
     unset[0] = unset[n] = False
+    bits = n.bit_length()
+    ones = np.zeros(0, np.int64)
     lo, hi = np.array([0], np.int64), np.array([n], np.int64)
     for _ in range(limit):
-        if not len(lo):
+        if not len(lo) and not len(ones):
             break
-        size = hi - lo
-        new_lo, new_hi = [], []
-        one = size == 1
-        if one.any():  # a single suffix: its only extension is by its own byte
-            at = transform.first_of[lo[one]]
-            new_lo.append(at)
-            new_hi.append(at + 1)
-        small = (size > 1) & (size <= wide)
-        if small.any():  # a few suffixes: move each and see which stay together
-            number = np.repeat(np.arange(int(small.sum())), size[small])
-            at = C.ranges(lo[small], size[small])
-            to = transform.first_of[at]
-            order = np.argsort(number * np.int64(n + 1) + to)
-            number, to, byte = number[order], to[order], transform.last[at[order]]
-            start = np.concatenate([[True], (number[1:] != number[:-1]) | (byte[1:] != byte[:-1])])
-            begin = np.flatnonzero(start)
+        ones = first_of[ones]
+        new_lo, new_hi = [lo[:0]], [lo[:0]]
+        few = hi - lo <= wide
+        if few.any():  # move each suffix and see which stay together
+            size = (hi - lo)[few]
+            key = np.repeat(np.arange(len(size)) << bits, size)
+            key |= first_of[C.ranges(lo[few], size)]
+            key.sort()
+            to, key = key & ((1 << bits) - 1), key >> bits
+            byte = first[to]
+            apart = np.ones(len(key), bool)
+            apart[1:] = (key[1:] != key[:-1]) | (byte[1:] != byte[:-1])
+            begin = np.flatnonzero(apart)
             new_lo.append(to[begin])
-            new_hi.append(to[np.concatenate([begin[1:] - 1, [len(to) - 1]])] + 1)
-        large = size > wide
-        if large.any():
+            new_hi.append(to[np.append(begin[1:], len(to)) - 1] + 1)
+        if not few.all():
             for begin, places in transform.bytes:
-                a, b = begin + np.searchsorted(places, lo[large]), begin + np.searchsorted(places, hi[large])
-                some = a < b
-                new_lo.append(a[some])
-                new_hi.append(b[some])
+                a, b = begin + np.searchsorted(places, lo[~few]), begin + np.searchsorted(places, hi[~few])
+                new_lo.append(a[a < b])
+                new_hi.append(b[a < b])
         lo, hi = np.concatenate(new_lo), np.concatenate(new_hi)
-        new = unset[hi]
-        lo, hi = lo[new], hi[new]
+        ones, met = ones[unset[ones + 1]], unset[hi]
+        lo, hi = lo[met], hi[met]
         unset[hi] = False
+        unset[ones + 1] = False
+        single = hi - lo == 1
+        ones = np.concatenate([ones, lo[single]])
+        lo, hi = lo[~single], hi[~single]
     out = unset[:n].copy()
     out[0] = False
     return out
@@ -159,7 +185,7 @@ def repeated_windows(segments: list[bytes], counts: np.ndarray, length: int) ->
 
 def segments(buf: np.ndarray, off: np.ndarray, length: int, anchor: int, chunk: int = C.CHUNK_BYTES) -> Iterator[tuple[np.ndarray, ...]]:
     """Per piece of the buffer: (document, start in it, windows, anchor hash,
-    segment hash) of every segment."""
+    segment hash, place of the anchor in the segment) of every segment."""
     total = len(buf)
     ends = off[1:]
     for lo in range(0, max(0, total - length + 1), chunk):
@@ -178,23 +204,23 @@ def segments(buf: np.ndarray, off: np.ndarray, length: int, anchor: int, chunk:
         a, b = C.window_runs(np.where(valid, chosen, -1), valid)
         if len(a):
             # a run of one anchor place lies in one document, as its windows do
-            yield doc[a], lo + a - off[doc[a]], b - a, C.signed(grams[chosen[a]]), C.signed(hashed.of(a, b + length - 1))
+            yield doc[a], lo + a - off[doc[a]], b - a, C.signed(grams[chosen[a]]), C.signed(hashed.of(a, b + length - 1)), chosen[a] - a
 
 
 def anchored(texts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(uid, at, windows, anchor, h) of the segments of ``texts`` (uid, text)."""
+    """(uid, at, windows, anchor, h, off) of the segments of ``texts`` (uid, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uid = batch.column(0).to_numpy(zero_copy_only=False)
-            for doc, at, windows, key, h in segments(*C.text_buffer(batch.column(1)), length, anchor):
-                yield pa.RecordBatch.from_arrays([pa.array(uid[doc]), pa.array(at.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(key), pa.array(h)], names=["uid", "at", "windows", "anchor", "h"])
+            for doc, at, windows, key, h, off in segments(*C.text_buffer(batch.column(1)), length, anchor):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(at.astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(key), pa.array(h), pa.array(off.astype(np.int32))],
+                                                 names=["uid", "at", "windows", "anchor", "h", "off"])
 
-    return texts.select("uid", "text").mapInArrow(C.tidy(run), "uid long, at int, windows int, anchor long, h long")
+    return texts.select("uid", "text").mapInArrow(C.tidy(run), "uid binary, at int, windows int, anchor long, h long, off int")
 
 
 def _cut_segments(rows: DataFrame, length: int) -> DataFrame:
-    """(anchor, h, n, hot, segment bytes) of representatives in (uid, text, segs)."""
+    """(anchor, h, n, alone, hot, off, segment bytes) of representatives in (text, segs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,15 +233,17 @@ def _cut_segments(rows: DataFrame, length: int) -> DataFrame:
             size = windows + length - 1
             data = text[C.ranges(lo, size)]
             body = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-            yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("h"), flat.field("n"), flat.field("hot"), body], names=["anchor", "h", "n", "hot", "segment"])
+            names = ["anchor", "h", "n", "alone", "hot", "off"]
+            yield pa.RecordBatch.from_arrays([*[flat.field(f) for f in names], body], names=[*names, "segment"])
 
-    return rows.mapInArrow(C.tidy(run), "anchor long, h long, n long, hot boolean, segment binary")
+    return rows.mapInArrow(C.tidy(run), "anchor long, h long, n long, alone boolean, hot boolean, off int, segment binary")
 
 
 def _expand_shards(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """rows (anchor, h, n, segment) sorted by anchor: (anchor, h, spans) where
-    spans are the runs [from, to) of repeated windows of the segment.  A shard
-    is cut between anchors."""
+    """rows (anchor, h, n, segment): (anchor, h, lo, hi), the runs of repeated
+    windows of each segment.  A shard is cut between anchors.  Anchors that have
+    one distinct segment come first: shards of them hold few common prefixes
+    and are soon done."""
 
     def shard(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
         marks = repeated_windows([r[3] for r in rows], np.array([r[2] for r in rows], np.int64), length)
@@ -241,26 +269,57 @@ def _expand_shards(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
         if held:
             yield shard(held)
 
-    return rows.mapInArrow(C.tidy(run), "anchor long, h long, lo int, hi int")
+    dealt = rows.repartition("anchor").sortWithinPartitions(F.desc("alone"), "anchor", "h").select("anchor", "h", "n", "segment")
+    return dealt.mapInArrow(C.tidy(run), "anchor long, h long, lo int, hi int")
 
 
-def _single_windows(rows: DataFrame, length: int) -> DataFrame:
-    """(anchor, h, i, w1, w2, n) for each window i of hot segments; w1, w2 are
-    a 128-bit hash of its bytes."""
+def halves(segment: bytes, off: int, olo: int, ohi: int, length: int) -> Iterator[tuple[int, int, int, int, int, bytes]]:
+    """A segment whose windows have the anchor at places from ``olo`` to ``ohi``
+    (at ``off`` in the first window, one less in each next), split by the half
+    that the place lies in: (first window, off, olo, ohi, key, segment).  The key
+    is a hash of the bytes around the anchor that all windows of a half hold."""
+    windows, mid = len(segment) - length + 1, (olo + ohi) // 2
+    cut = min(max(off - mid, 0), windows)  # windows before it have the anchor behind mid
+    for first, last, a, b in ((0, cut, mid + 1, ohi), (cut, windows, olo, mid)):
+        if first < last:
+            core = segment[off - a : off + length - b]
+            yield first, off - first, a, b, xxhash.xxh3_64_intdigest(core, seed=(a << 32) | b), segment[first : last + length - 1]
+
+
+def _split(rows: DataFrame, length: int) -> DataFrame:
+    """rows (anchor, h, n, i, off, olo, ohi, segment), ``i`` being the window of
+    (anchor, h) that the segment starts with: the same of their halves, by key."""
+    names = ["anchor", "h", "n", "i", "off", "olo", "ohi", "key", "segment"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            body = batch.column(4)
-            size = np.array([len(x) for x in body.to_pylist()], np.int64)
-            buf, off = C.text_buffer(body.cast(pa.large_binary()).view(pa.large_string()))
-            windows = size - length + 1
-            row = np.repeat(np.arange(len(size)), windows)
-            at = C.ranges(off[:-1], windows)
-            w1 = C.RangeHash(C.byte_codes(buf)).of(at, at + length)
-            w2 = C.RangeHash(C.mix64(C.byte_codes(buf))).of(at, at + length)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array(C.signed(w1)), pa.array(C.signed(w2)), batch.column(2).take(pa.array(row))], names=["anchor", "h", "i", "w1", "w2", "n"])
-
-    return rows.mapInArrow(C.tidy(run), "anchor long, h long, i int, w1 long, w2 long, n long")
+            out = []
+            for anchor, h, n, i, off, olo, ohi, segment in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for first, at, a, b, key, part in halves(segment, off, olo, ohi, length):
+                    out.append((anchor, h, n, i + first, at, a, b, key - (1 << 64) if key >> 63 else key, part))
+            cols = list(zip(*out, strict=True)) or [[]] * len(names)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+
+    return rows.select(*[c for c in names if c != "key"]).mapInArrow(C.tidy(run), "anchor long, h long, n long, i int, off int, olo int, ohi int, key long, segment binary")
+
+
+def _split_while_hot(rows: DataFrame, length: int, hot: int) -> tuple[DataFrame, DataFrame] | None:
+    """Segments of hot anchors: (groups that fit a shard, as rows of
+    ``_expand_shards``; (key, part, anchor, h, i): whose window ``i`` each
+    group's segment starts with)."""
+    groups = origins = None
+    while not rows.isEmpty():
+        parts = C.written(_split(rows, length).withColumn("part", F.xxhash64("segment", "off")), "halves")
+        kinds = parts.groupBy("key", "part").agg(F.sum("n").alias("n"), F.first("segment").alias("segment"))
+        crowds = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).where("all > 1")
+        state = C.written(crowds.select("key", (F.col("kinds") > hot).alias("hot"), (F.col("kinds") == 1).alias("alone")), "crowds")
+        cold = C.written(kinds.join(state.where("not hot"), "key").select(F.col("key").alias("anchor"), F.col("part").alias("h"), "n", "alone", "segment"), "cold")
+        own = parts.join(state.where("not hot"), "key").select("key", "part", "anchor", "h", "i")
+        groups = cold if groups is None else groups.unionByName(cold)
+        origins = own if origins is None else origins.unionByName(own)
+        rows = C.written(parts.join(state.where("hot"), "key").drop("key", "part", "hot", "alone"), "hot")
+    return None if groups is None else (groups, origins)
 
 
 def _texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -276,28 +335,30 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         raise ValueError("an anchor is shorter than the strings sought")
     texts = _texts(docs, text, doc_id)
     places = C.written(anchored(texts, length, anchor), "segments")
-    state = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min("h").alias("h1"), F.max("h").alias("h2")).where("n > 1")
-    met = C.written(C.spread_join(places, state.select("anchor", (F.col("h1") == F.col("h2")).alias("same")), ["anchor"]), "repeated")
-    sure = met.where("same").select("uid", F.col("at").alias("lo"), (F.col("at") + F.col("windows") + (length - 1)).alias("hi"))
+    state = places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    met = C.written(C.spread_join(places, state, ["anchor"]), "repeated")
 
-    mixed = met.where("not same")
-    kinds = mixed.groupBy("anchor", "h").agg(F.count("*").alias("n"), F.min(F.struct("uid", "at", "windows")).alias("r"))
+    kinds = met.groupBy("anchor", "h").agg(F.count("*").alias("n"), F.min(F.struct("uid", "at", "windows", "off")).alias("r"))
+    kinds = C.written(kinds.select("anchor", "h", "n", "r.*"), "kinds")
     crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    kinds = kinds.join(crowds, "anchor").select("anchor", "h", "n", "r", (F.col("kinds") > hot).alias("hot"))
-    chosen = kinds.groupBy(F.col("r.uid").alias("uid")).agg(F.collect_list(F.struct("anchor", "h", "n", "hot", F.col("r.at").alias("at"), F.col("r.windows").alias("windows"))).alias("segs"))
+    kinds = C.spread_join(kinds, crowds, ["anchor"])
+    chosen = kinds.groupBy("uid").agg(F.collect_list(F.struct("anchor", "h", "n", (F.col("kinds") == 1).alias("alone"), (F.col("kinds") > hot).alias("hot"), "off", "at", "windows")).alias("segs"))
     # a repeated row has the same text; one of its copies is enough
     source = texts.join(chosen, "uid").select("text", "segs")
     cut = C.written(_cut_segments(source, length), "cut")
 
-    cold = cut.where("not hot").select("anchor", "h", "n", "segment").repartition("anchor").sortWithinPartitions("anchor", "h")
-    few = _expand_shards(cold, length, shard_bytes)
-    single = _single_windows(cut.where("hot"), length)
-    many = single.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1")
-    ones = single.join(many, ["w1", "w2"]).select("anchor", "h", F.col("i").alias("lo"), (F.col("i") + 1).alias("hi"))
-    runs = C.written(few.unionByName(ones).distinct(), "runs")
-    found = C.spread_join(mixed.select("anchor", "h", "uid", "at"), runs, ["anchor", "h"]).select(
+    cold = cut.where("not hot").select("anchor", "h", "n", "alone", "segment")
+    runs = _expand_shards(cold, length, shard_bytes)
+    whole = cut.where("hot").select("anchor", "h", "n", F.lit(0).alias("i"), "off", F.lit(0).alias("olo"), F.lit(length - anchor).alias("ohi"), "segment")
+    if (parts := _split_while_hot(whole, length, hot)) is not None:
+        groups, origins = parts
+        inner = _expand_shards(groups, length, shard_bytes).withColumnsRenamed({"anchor": "key", "h": "part"})
+        runs = runs.unionByName(origins.join(inner, ["key", "part"]).select(
+            "anchor", "h", (F.col("i") + F.col("lo")).alias("lo"), (F.col("i") + F.col("hi")).alias("hi")))
+    runs = C.written(runs.distinct(), "runs")
+    found = C.spread_join(met.select("anchor", "h", "uid", "at"), runs, ["anchor", "h"]).select(
         "uid", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") + (length - 1)).alias("hi"))
-    return sure.unionByName(found).groupBy("uid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    return found.groupBy("uid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
 def removed_runs(spans: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:

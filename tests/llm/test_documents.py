@@ -10,7 +10,7 @@ import pytest
 from brute import decontamination, near_duplicates, repeated_bytes, repeated_words
 from tokenizers import Tokenizer
 
-from quayside.llm import bpe, debruijn, decontaminate, langid, license, neardup, quality, suffixdedup, tokenfile
+from quayside.llm import bpe, common, debruijn, decontaminate, langid, license, neardup, quality, suffixdedup, tokenfile
 
 SF = "/root/testdata/sf0.001"
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -292,7 +292,67 @@ def test_word_passages_defined_cases(spark):
     assert got(q) == sorted(repeated_words(pairs(documents(spark)), 50))
 
 
-@pytest.mark.parametrize(("length", "anchor", "hot"), [(12, 4, 2048), (20, 8, 2)])
+def thue_morse(n, a="a", b="b"):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [64, 65, 1024, 4096])
+def test_words_on_which_polynomial_hashes_collide(spark, size):
+    one, two = thue_morse(size), thue_morse(size, "b", "a")
+    heads = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"{heads} {one}"), (2, f"{heads} {two}"), (3, f"p q r {one}"), (4, f"p q r {two}"), (5, f"{heads} {one}")]
+    table_ = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(debruijn.deduplicated(table_, with_text=False)) == sorted(repeated_words(rows, 50))
+    brute = near_duplicates(rows)
+    assert got(neardup.near_duplicates(table_).drop("uid")) == sorted((d, n, c, k) for d, (n, c, k) in brute.items())
+    assert got(suffixdedup.measured(table_)) == sorted(repeated_bytes(rows, 200))
+    buf = np.frombuffer((one + two).encode(), np.uint8)
+    for second in (False, True):
+        a, b = common.word_hashes(buf, np.array([0, size]), np.array([size, 2 * size]), second)
+        assert a != b
+
+
+def test_prime_hashes_of_ranges():
+    codes = np.random.default_rng(1).integers(0, 1 << 63, 300, dtype=np.uint64)
+    codes = np.concatenate([codes, codes[40:90], codes[:7]])
+    hashed = common.PrimeHash(codes)
+    assert hashed.of(np.array([40]), np.array([90])) == hashed.of(np.array([300]), np.array([350]))
+    lo = np.repeat(np.arange(len(codes)), 5)
+    n = np.tile([1, 2, 3, 10, 50], len(codes))
+    some = lo + n <= len(codes)
+    lo, hi = lo[some], (lo + n)[some]
+    found = {}
+    for a, b, h in zip(lo, hi, hashed.of(lo, hi).tolist(), strict=True):
+        assert found.setdefault(h, codes[a:b].tobytes()) == codes[a:b].tobytes()
+    # Thue-Morse sequences of codes collide modulo 2^64, not here
+    seq = np.array([bin(i).count("1") % 2 for i in range(4096)], np.uint64)
+    both = np.concatenate([seq, 1 - seq])
+    a, b = common.PrimeHash(both).of(np.array([0, 4096]), np.array([4096, 8192]))
+    assert a != b
+
+
+def test_halves_of_a_segment_share_the_bytes_around_their_anchor():
+    length, anchor = 20, 4
+    for _ in range(300):
+        text = "".join(rnd.choices("ab", k=60)).encode()
+        off = rnd.randint(0, length - anchor)
+        windows = rnd.randint(1, off + 1)
+        todo, ends = [(0, off, 0, length - anchor, text[: windows + length - 1])], 0
+        while todo:
+            first, at, a, b, segment = todo.pop()
+            if a == b:
+                ends += len(segment) - length + 1
+                assert len(segment) == length
+                continue
+            for start, at2, a2, b2, _key, part in suffixdedup.halves(segment, at, a, b, length):
+                assert part == segment[start : start + len(part)] and b2 - a2 < b - a
+                for i in range(len(part) - length + 1):  # each window holds its anchor between a2 and b2
+                    assert a2 <= at2 - i <= b2
+                todo.append((first + start, at2, a2, b2, part))
+        assert ends == windows
+
+
+@pytest.mark.parametrize(("length", "anchor", "hot"), [(12, 4, 2048), (20, 8, 2), (20, 4, 1)])
 def test_byte_strings_equal_brute_force(spark, length, anchor, hot):
     rows = synthetic(60)
     found = suffixdedup.measured(spark.createDataFrame(rows, "doc_id long, text string"), length, anchor=anchor, hot=hot, shard_bytes=3000)
