@@ -11,9 +11,14 @@ The suffix array is sparse: a place at which no window can begin (its first
 words occur in no window) is left out, which loses no match.  It is sorted to
 the depth of a window, deeper comparison being the extension.
 
+The hits of a document are the spans of its longest matches: matches are
+extended from where a test suffix and a place begin to agree, all together, word
+by word.
+
 The benchmark is a stated query set.  It is read in blocks of a bounded size
-(``BLOCK_BYTES`` of text, one item at least), each broadcast in turn; the
-documents are never collected.
+(``BLOCK_BYTES`` of text, one item at least); a block is broadcast, its hits are
+written, and it is let go before the next one is made, so the driver holds one.
+The documents are never collected.
 
 Words: A-Z lower-cased, then runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.  A
 window is ``window`` consecutive words of an item; an item of fewer words, but
@@ -40,7 +45,9 @@ from . import common as C
 WINDOW = 10
 #: Words that tell whether a window can begin at a place.
 HEAD = 4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20
+#: Pairs of a place and a test suffix that are extended together.
+PAIRS = 1 << 21
 #: What a byte becomes before words are split off: itself lower-cased, or a space.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -50,8 +57,9 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class TestBlock:
-    """A block of benchmark items: their words numbered from 1, their suffixes,
-    and their distinct windows by length."""
+    """A block of benchmark items: their words numbered from 1 and laid end to
+    end (0 behind each item), and their distinct windows by length, each with
+    the places of the suffixes that begin with it."""
 
     __test__ = False
 
@@ -60,16 +68,25 @@ class TestBlock:
         texts = [words_of((t or "").encode()) for _, t in items]
         self.number = {w: i + 1 for i, w in enumerate(sorted({w for t in texts for w in t}))}
         self.ids = [i for i, _ in items]
-        self.text = [np.array([self.number[w] for w in t], np.int64) for t in texts]
-        by_window: dict[tuple[int, ...], list[int]] = {}
-        for k, t in enumerate(self.text):
-            n = min(window, len(t))
-            for s in range(len(t) - n + 1 if n else 0):
-                by_window.setdefault(tuple(t[s : s + n].tolist()), []).append(k)
-        self.groups: dict[int, tuple[np.ndarray, list[list[int]]]] = {}
-        for n in sorted({len(w) for w in by_window}):
-            own = sorted(w for w in by_window if len(w) == n)
-            self.groups[n] = (np.array(own, np.int64), [sorted(set(by_window[w])) for w in own])
+        size = np.array([len(t) for t in texts], np.int64)
+        self.start = np.cumsum(size + 1) - size - 1
+        self.flat = np.zeros(int((size + 1).sum()), np.int32)
+        for at, t in zip(self.start.tolist(), texts, strict=True):
+            self.flat[at : at + len(t)] = np.fromiter(map(self.number.__getitem__, t), np.int32, len(t))
+        length = np.minimum(size, window)
+        count = np.where(size > 0, size - length + 1, 0)
+        places, lengths = C.ranges(self.start, count), np.repeat(length, count)
+        # window length: (distinct windows, where the suffixes of each begin, how many)
+        self.groups: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n in np.unique(lengths).tolist():
+            own = places[lengths == n]
+            rows = self.flat[own[:, None] + np.arange(n)]
+            windows, which = np.unique(rows, axis=0, return_inverse=True)
+            order = np.argsort(which.ravel(), kind="stable")
+            self.groups[n] = (windows.astype(np.int64), own[order], np.bincount(which.ravel(), minlength=len(windows)))
+
+    def item_of(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.start, place, "right") - 1
 
 
 def sort_keys(words: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
@@ -123,12 +140,46 @@ def shard_words(block: TestBlock, texts: list[list[bytes]], gap: int) -> tuple[n
 
 def shard_hits(block: TestBlock, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(window length, window numbers, places) of every occurrence."""
-    for n, (windows, _) in block.groups.items():
+    for n, (windows, _, _) in block.groups.items():
         shard = Shard(words, windows)
         lo, hi = shard.find()
         yield n, np.repeat(np.arange(len(windows)), hi - lo), shard.array[C.ranges(lo, hi - lo)]
 
 
+def _item_sizes(block: TestBlock) -> np.ndarray:
+    return np.diff(np.append(block.start, len(block.flat))) - 1
+
+
+def matches(block: TestBlock, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, test place, words) of every longest match: a place and a test
+    suffix that agree on a window or more, and not on the word before."""
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    flat = block.flat
+    for n, which, at in shard_hits(block, words):
+        _, suffixes, count = block.groups[n]
+        first = np.cumsum(count) - count
+        total = np.cumsum(count[which])
+        for lo in range(0, int(total[-1]) if len(total) else 0, PAIRS):  # pairs by number, whatever window they are of
+            pair = np.arange(lo, min(lo + PAIRS, int(total[-1])))
+            hit = np.searchsorted(total, pair, "right")
+            place = at[hit]
+            test = suffixes[first[which[hit]] + pair - (total[hit] - count[which[hit]])]
+            # no word of a document is 0, and 0 stands between items
+            before = (place > 0) & (test > 0)
+            begins = ~before | (words[np.maximum(place, 1) - 1] != flat[np.maximum(test, 1) - 1]) | (flat[np.maximum(test, 1) - 1] == 0)
+            place, test = place[begins], test[begins]
+            size = np.full(len(place), n, np.int64)
+            live = np.arange(len(place))
+            while len(live):
+                ours, theirs = words[place[live] + size[live]], flat[test[live] + size[live]]
+                live = live[(ours == theirs) & (theirs > 0)]
+                size[live] += 1
+            out.append((place, test, size))
+    parts = list(zip(*out, strict=True)) or [[np.zeros(0, np.int64)]] * 3
+    place, test, size = (np.concatenate(p) for p in parts)
+    return place, test, size
+
+
 def test_blocks(benchmark: DataFrame, item: str, text: str, window: int, block_bytes: int) -> Iterator[TestBlock]:
     """The benchmark in blocks of ``block_bytes``, streamed to the driver one
     Spark partition at a time; rows in item order."""
@@ -144,15 +195,20 @@ def test_blocks(benchmark: DataFrame, item: str, text: str, window: int, block_b
         yield TestBlock(rows, window)
 
 
+_LONGEST = pa.struct([("words", pa.int64()), ("word", pa.int64()), ("item", pa.string()), ("item_word", pa.int64())])
+_LONGEST_TYPE = T.StructType([T.StructField("words", T.LongType()), T.StructField("word", T.LongType()), T.StructField("item", T.StringType()), T.StructField("item_word", T.LongType())])
+
+
 def _scan(docs: DataFrame, block: TestBlock, window: int, text: str, keep: list[str]) -> DataFrame:
-    """Pass ``keep`` columns through and add n_words, hits (the places of hit
-    words, as starts and lengths of runs) and items (ids of items met)."""
+    """Pass ``keep`` columns through and add the longest match, n_words, hits
+    (the places of hit words, as starts and ends of runs) and items (ids of items
+    met)."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
     source, taken = C.fresh("q_text", keep), list(keep)
     frame = docs.select(*[C.exactly(docs, c) for c in keep], C.exactly(docs, text).alias(source))
-    added = [C.fresh(c, taken) for c in ("q_words", "q_from", "q_to", "q_items", "q_nulls")]
+    added = [C.fresh(c, taken) for c in ("q_longest", "q_words", "q_from", "q_to", "q_items", "q_nulls")]
     schema = docs.select(*[C.exactly(docs, c) for c in keep]).schema
-    for name, kind in zip(added, (T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.IntegerType()), T.ArrayType(T.StringType()), T.IntegerType()), strict=True):
+    for name, kind in zip(added, (_LONGEST_TYPE, T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.IntegerType()), T.ArrayType(T.StringType()), T.IntegerType()), strict=True):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,23 +220,12 @@ def _scan(docs: DataFrame, block: TestBlock, window: int, text: str, keep: list[
                 base = int(off[lo])
                 texts = [words_of(raw[off[k] - base : off[k + 1] - base]) for k in range(lo, hi)]
                 words, start = shard_words(b, texts, window)
-                spans: list[tuple[np.ndarray, np.ndarray]] = []
-                met: list[np.ndarray] = []
-                for n, which, at in shard_hits(b, words):
-                    spans.append((at, at + n))
-                    members = b.groups[n][1]
-                    doc = np.searchsorted(start, at, "right") - 1
-                    pair = np.unique(doc * len(members) + which)
-                    d, w = pair // len(members), pair % len(members)
-                    counts = np.array([len(m) for m in members], np.int64)
-                    flat = np.array([x for m in members for x in m], np.int64)
-                    met.append(np.repeat(d, counts[w]) * len(b.ids) + flat[C.ranges((np.cumsum(counts) - counts)[w], counts[w])])
-                a = np.concatenate([s[0] for s in spans]) if spans else np.zeros(0, np.int64)
-                z = np.concatenate([s[1] for s in spans]) if spans else np.zeros(0, np.int64)
-                a, z = C.merged_spans(a, z)
+                place, test, size = matches(b, words)
+                doc, own = np.searchsorted(start, place, "right") - 1, b.item_of(test)
+                a, z = C.merged_spans(place, place + size)
                 owner = np.searchsorted(start, a, "right") - 1
                 cut = np.searchsorted(owner, np.arange(hi - lo + 1)).astype(np.int32)
-                pairs = np.unique(np.concatenate(met)) if met else np.zeros(0, np.int64)
+                pairs = np.unique(doc * len(b.ids) + own)
                 item_doc, item = pairs // max(1, len(b.ids)), pairs % max(1, len(b.ids))
                 names: list[list[str]] = [[] for _ in texts]
                 nulls = np.zeros(len(texts), np.int32)
@@ -189,9 +234,15 @@ def _scan(docs: DataFrame, block: TestBlock, window: int, text: str, keep: list[
                         nulls[d] += 1
                     else:
                         names[d].append(b.ids[i])
+                # the longest match of each document: the first place, then the first test place, of equal ones
+                best = np.lexsort((test, place, -size, doc))
+                lead = best[np.flatnonzero(np.diff(doc[best], prepend=-1))]
+                longest: list[tuple | None] = [None] * len(texts)
+                for d, w, p, i, q in zip(doc[lead].tolist(), size[lead].tolist(), (place - start[doc])[lead].tolist(), own[lead].tolist(), (test - b.start[own])[lead].tolist(), strict=True):
+                    longest[d] = {"words": w, "word": p, "item": b.ids[i], "item_word": q}
                 part = batch.slice(lo, hi - lo)
                 cols = [part.column(i) for i in range(len(keep))]
-                cols += [pa.array(list(map(len, texts)), pa.int64()), *[pa.ListArray.from_arrays(pa.array(cut), pa.array((x - start[owner]).astype(np.int32))) for x in (a, z)], pa.array(names, pa.list_(pa.string())), pa.array(nulls)]
+                cols += [pa.array(longest, _LONGEST), pa.array(list(map(len, texts)), pa.int64()), *[pa.ListArray.from_arrays(pa.array(cut), pa.array((x - start[owner]).astype(np.int32))) for x in (a, z)], pa.array(names, pa.list_(pa.string())), pa.array(nulls)]
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return frame.mapInArrow(C.tidy(run), schema)
@@ -200,35 +251,41 @@ def _scan(docs: DataFrame, block: TestBlock, window: int, text: str, keep: list[
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", item_text: str = "text",
          keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``keep`` columns (all, if not given) of every document, with n_words,
-    n_hit, n_items, items (sorted as strings) and contaminated."""
+    n_hit, n_items, items (sorted as strings), contaminated, and longest (words,
+    word, item, item_word), its longest verbatim match and where it stands."""
     keep = list(docs.columns) if keep is None else list(keep)
     row = C.fresh("q_row", keep)
-    blocks = list(test_blocks(benchmark, item, item_text, window, block_bytes)) or [TestBlock([], window)]
-    added = [C.fresh(c, keep) for c in ("q_words", "q_from", "q_to", "q_items", "q_nulls")]
-    if len(blocks) == 1:
-        found = _scan(docs, blocks[0], window, text, keep)
-        n, a, z, items, nulls = (C.exactly(found, c) for c in added)
+    blocks = test_blocks(benchmark, item, item_text, window, block_bytes)
+    block, following = next(blocks, None) or TestBlock([], window), next(blocks, None)
+    added = [C.fresh(c, keep) for c in ("q_longest", "q_words", "q_from", "q_to", "q_items", "q_nulls")]
+    if following is None:
+        found = _scan(docs, block, window, text, keep)
+        longest, n, a, z, items, nulls = (C.exactly(found, c) for c in added)
         hit = F.aggregate(F.zip_with(z, a, lambda x, y: x - y), F.lit(0), lambda acc, x: acc + x)
         out = [C.exactly(found, c) for c in keep]
     else:
-        # a block at a time; a document's spans and items meet by its row identity
-        ids = docs.withColumn(row, F.xxhash64(*[C.exactly(docs, c) for c in docs.columns if not _is_map(docs, c)]))
-        parts = [_scan(ids, b, window, text, [row]) for b in blocks]
-        whole = parts[0]
-        for p in parts[1:]:
-            whole = whole.unionByName(p)
-        per = whole.distinct().groupBy(row).agg(
-            F.max(added[0]).alias(added[0]), F.flatten(F.collect_list(F.arrays_zip(added[1], added[2]))).alias(added[1]),
-            F.flatten(F.collect_set(added[3])).alias(added[3]), F.sum(added[4]).alias(added[4]))
+        # a block at a time, written; a document's spans and items meet by its row identity
+        columns = [C.exactly(docs, c) for c in docs.columns if not _is_map(docs, c)]
+        ids = docs.withColumn(row, F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(salt), *columns)), 16, "0") for salt in (1, 2)]))
+        whole = None
+        while block is not None:
+            part = C.written(_scan(ids, block, window, text, [row]).distinct(), "block")
+            whole = part if whole is None else whole.unionByName(part)
+            block, following = following, next(blocks, None)
+        order = F.struct(*[F.col(f"{added[0]}.{f}") * sign for f, sign in (("words", 1), ("word", -1))])
+        per = whole.groupBy(row).agg(
+            F.max_by(added[0], order).alias(added[0]),
+            F.max(added[1]).alias(added[1]), F.flatten(F.collect_list(F.arrays_zip(added[2], added[3]))).alias(added[2]),
+            F.flatten(F.collect_set(added[4])).alias(added[4]), F.sum(added[5]).alias(added[5]))
         found = ids.join(per, row)
-        n, items, nulls = (C.exactly(found, added[i]) for i in (0, 3, 4))
-        places = F.flatten(F.transform(C.exactly(found, added[1]), lambda s: F.sequence(s[added[1]], s[added[2]] - 1)))
+        longest, n, items, nulls = (C.exactly(found, added[i]) for i in (0, 1, 4, 5))
+        places = F.flatten(F.transform(C.exactly(found, added[2]), lambda s: F.sequence(s[added[2]], s[added[3]] - 1)))
         hit = F.size(F.array_distinct(places))
         out = [C.exactly(found, c) for c in keep]
     items = F.array_sort(F.array_distinct(items))
     return found.select(*out, n.alias(C.fresh("n_words", keep)), hit.cast("long").alias(C.fresh("n_hit", keep)),
                         (F.size(items) + nulls).cast("long").alias(C.fresh("n_items", keep)), items.alias(C.fresh("items", keep)),
-                        (hit > 0).alias(C.fresh("contaminated", keep)))
+                        longest.alias(C.fresh("longest", keep)), (hit > 0).alias(C.fresh("contaminated", keep)))
 
 
 def _is_map(df: DataFrame, name: str) -> bool:
@@ -247,33 +304,34 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             b = shared.value
-            suffixes: dict[int, dict[tuple[int, ...], list[tuple[int, int]]]] = {}
-            for k, t in enumerate(b.text):
-                n = min(window, len(t))
-                for s in range(len(t) - n + 1 if n else 0):
-                    suffixes.setdefault(n, {}).setdefault(tuple(t[s : s + n].tolist()), []).append((k, s))
             for batch in batches:
                 buf, off = C.text_buffer(batch.column(1))
                 ids = batch.column(0)
                 for lo, hi in C.doc_chunks(off, 4 * C.CHUNK_BYTES):
                     texts = [words_of(buf[off[k] : off[k + 1]].tobytes()) for k in range(lo, hi)]
                     words, start = shard_words(b, texts, window)
-                    rows: dict[tuple[int, int], tuple[int, int, list[int]]] = {}
-                    for n, which, at in shard_hits(b, words):
-                        for w in np.unique(which):
-                            places = at[which == w]
-                            for k, s in suffixes[n][tuple(b.groups[n][0][w].tolist())]:
-                                rest, live, size = b.text[k][s:], places, n
-                                while size < len(rest):  # extend all places together
-                                    more = live[words[live + size] == rest[size]]
-                                    if not len(more):
-                                        break
-                                    live, size = more, size + 1
-                                rows[k, s] = (size, len(live), live.tolist())
-                    for (k, s), (size, count, live) in rows.items():
-                        own = np.searchsorted(start, live, "right") - 1
-                        best = min(((ids[lo + int(d)].as_py() is None, ids[lo + int(d)].as_py(), int(p - start[d])) for d, p in zip(own, live, strict=True)), key=lambda x: (x[0], x[1] if not x[0] else 0, x[2]))
-                        yield pa.RecordBatch.from_arrays([pa.array([b.ids[k]], pa.string()), pa.array([s], pa.int64()), pa.array([size], pa.int64()), pa.array([count], pa.int64()), pa.array([best[1]], ids.type), pa.array([best[2]], pa.int64())], names=["item_id", "item_word", "n_words", "n_places", "doc_id", "doc_word"])
+                    place, test, size = matches(b, words)
+                    # a match is also one of each of its own later suffixes, as long as a window is left
+                    least = np.minimum(window, _item_sizes(b)[b.item_of(test)])
+                    more = size - least + 1
+                    shift = C.ranges(np.zeros(len(place), np.int64), more)
+                    place, test, size = np.repeat(place, more) + shift, np.repeat(test, more) + shift, np.repeat(size, more) - shift
+                    own = np.searchsorted(start, place, "right") - 1
+                    key = [batch.column(0).slice(lo, hi - lo).to_pylist()[d] for d in own.tolist()]
+                    best: dict[int, list] = {}
+                    for q, w, k, p in zip(test.tolist(), size.tolist(), key, (place - start[own]).tolist(), strict=True):
+                        at = ((k is None, k if k is not None else 0, p), k)
+                        have = best.get(q)
+                        if have is None or w > have[0]:
+                            best[q] = [w, 1, at]
+                        elif w == have[0]:
+                            have[1] += 1
+                            have[2] = min(have[2], at, key=lambda x: x[0])
+                    tests = np.array(list(best), np.int64)
+                    items = b.item_of(tests)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([b.ids[i] for i in items.tolist()], pa.string()), pa.array(tests - b.start[items]), pa.array([v[0] for v in best.values()], pa.int64()), pa.array([v[1] for v in best.values()], pa.int64()),
+                        pa.array([v[2][1] for v in best.values()], ids.type), pa.array([v[2][0][2] for v in best.values()], pa.int64())], names=["item_id", "item_word", "n_words", "n_places", "doc_id", "doc_word"])
 
         kind = frame.schema["doc_id"].dataType.simpleString()
         found = frame.mapInArrow(C.tidy(run), f"item_id string, item_word long, n_words long, n_places long, doc_id {kind}, doc_word long")
@@ -296,3 +354,4 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Dat
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = hits(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+

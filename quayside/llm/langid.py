@@ -32,14 +32,18 @@ DIMS = 4096
 DOCS = 256
 ORDERS = (1, 2, 3)
 CLUSTERS = 4
+#: A centroid holds at least so much of its language's rows.
+LEAST_SHARE = 0.05
 #: Learning rows a language that the centroids are fitted on.
 PER_LANG = 400
-#: A text is rejected below this share of the least cosine of its centroid's
-#: learning rows; a text of few distinct n-grams cannot come near any centroid,
+#: A text is rejected below this share of a low quantile of the cosines of its
+#: centroid's learning rows; a text of few distinct n-grams cannot come near any centroid,
 #: so below ``FULL`` of them the bound falls with the square root of their number.
-SLACK = 0.6
+SLACK, QUANTILE = 0.6, 0.01
 FULL = 400
 UNKNOWN = "und"
+#: Languages whose sizes (some bytes each) are broadcast.
+BROADCAST_LANGS = 100_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -109,18 +113,27 @@ class Centroids:
         return [self.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)], score, rejected
 
 
-def spherical_means(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """At most k unit centroids of unit rows: the first is the row nearest the
-    mean, each next the row farthest from those before; then Lloyd's rounds."""
-    k = min(k, len(np.unique(rows, axis=0)) if len(rows) < 64 else k)
-    centres = rows[[int((rows @ rows.sum(axis=0)).argmax())]]
+def spherical_means(rows: np.ndarray, k: int, rounds: int = 12, least: float = LEAST_SHARE) -> np.ndarray:
+    """At most k unit centroids of unit rows.  The first are drawn (a row by its
+    distance to those drawn before, from a fixed seed), then Lloyd's rounds; a
+    centroid that holds less than ``least`` of the rows is no cluster of its
+    own: it goes, and its rows join the others."""
+    rng = np.random.default_rng(len(rows))
+    centres = rows[[int(rng.integers(len(rows)))]]
     while len(centres) < k:
-        centres = np.vstack([centres, rows[[int((rows @ centres.T).max(axis=1).argmin())]]])
-    for _ in range(rounds):
-        own = (rows @ centres.T).argmax(axis=1)
-        sums = np.stack([rows[own == j].sum(axis=0) if (own == j).any() else centres[j] for j in range(len(centres))])
-        centres = unit(sums)
-    return centres.astype(np.float32)
+        far = np.clip(1 - (rows @ centres.T).max(axis=1), 0, None).astype(np.float64)
+        far[far < 1e-6] = 0
+        if not far.sum():
+            break
+        centres = np.vstack([centres, rows[[int(rng.choice(len(rows), p=far / far.sum()))]]])
+    while True:
+        for _ in range(rounds):
+            own = (rows @ centres.T).argmax(axis=1)
+            centres = unit(np.stack([rows[own == j].sum(axis=0) if (own == j).any() else centres[j] for j in range(len(centres))]))
+        size = np.bincount((rows @ centres.T).argmax(axis=1), minlength=len(centres))
+        if len(centres) == 1 or size.min() >= least * len(rows):
+            return centres.astype(np.float32)
+        centres = np.delete(centres, int(size.argmin()), axis=0)
 
 
 def _document_frequencies(rows: DataFrame, dims: int) -> tuple[int, np.ndarray]:
@@ -151,7 +164,9 @@ def fit(rows: DataFrame, dims: int = DIMS, clusters: int = CLUSTERS, per_lang: i
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
     share = sizes.select("lang", (F.lit(1.25 * per_lang) / F.col("size")).alias("share"))
-    drawn = rows.join(F.broadcast(share), "lang").where(F.pmod("draw", F.lit(1 << 30)) < F.col("share") * F.lit(1 << 30))
+    # a row a language: broadcast while they are few, else the planner's choice
+    share = F.broadcast(share) if sizes.count() <= BROADCAST_LANGS else share
+    drawn = rows.join(share, "lang").where(F.pmod("draw", F.lit(1 << 30)) < F.col("share") * F.lit(1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,10 +190,10 @@ def fit(rows: DataFrame, dims: int = DIMS, clusters: int = CLUSTERS, per_lang: i
         found = spherical_means(dense, clusters) if len(dense) else np.zeros((0, dims), np.float32)
         cosine = dense @ found.T
         own_centre = cosine.argmax(axis=1) if len(dense) else np.zeros(0, np.int64)
-        least = [cosine[own_centre == j, j].min(initial=np.inf) for j in range(len(found))]
+        low = [np.quantile(cosine[own_centre == j, j], QUANTILE) if (own_centre == j).any() else np.inf for j in range(len(found))]
         # centroids never outnumber the rows that they are drawn from
         return pa.table({"lang": table.column("lang").slice(0, len(found)), "at": pa.array(range(len(found)), pa.int32()), "centre": pa.array([c.tobytes() for c in found], pa.binary()),
-                         "bound": pa.array([slack * float(x) if np.isfinite(x) else 0.0 for x in least], pa.float64())})
+                         "bound": pa.array([slack * float(x) if np.isfinite(x) else 0.0 for x in low], pa.float64())})
 
     sample = drawn.select("lang", "text", "draw").mapInArrow(C.tidy(run), "lang string, draw long, place binary, count binary")
     fitted = sample.groupBy("lang").applyInArrow(centroids, "lang string, at int, centre binary, bound double").collect()

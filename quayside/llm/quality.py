@@ -207,18 +207,21 @@ def described(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
                 offsets = pa.array(np.arange(hi - lo + 1, dtype=np.int32) * x.shape[1])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))], names=["doc_id", "uid", "features"])
 
-    return frame.mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, features array<float>")
+    return frame.mapInArrow(C.tidy(run), f"doc_id {kind}, uid binary, features array<float>")
 
 
 def fitted(table: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, folds: int = 3, held: int = 1, **options) -> Trees:  # noqa: ANN003
     """Trees from the labelled rows outside the held-out fold.  A document with
-    several labels counts once with the greatest; a sample is drawn by hash."""
+    several labels counts once with the greatest, as an id of several rows does
+    with the least by row identity; a sample is drawn by hash."""
     known = labels.select(F.col("doc_id"), C.exactly(labels, label).cast("int").alias("y")).where("y is not null and doc_id is not null")
     known = known.where(remainder(F.col("doc_id"), folds) != held).groupBy("doc_id").agg(F.max("y").alias("y"))
     n = known.count()
     if n > sample:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
-    rows = table.join(known, "doc_id").select("doc_id", "uid", "features", "y").orderBy("doc_id", "uid").toPandas()
+    # one row an id, whatever number of rows repeat it, so the driver gets the sample's size at most
+    rows = C.spread_join(table.select("doc_id", "uid", "features"), known, ["doc_id"]).groupBy("doc_id").agg(F.min(F.struct("uid", "features", "y")).alias("r"))
+    rows = rows.select("doc_id", "r.features", "r.y").orderBy("doc_id").toPandas()
     x = np.array(rows["features"].tolist(), np.float32).reshape(len(rows), len(FEATURES))
     return fit_trees(x, rows["y"].to_numpy(np.float64), **options)
 
@@ -233,7 +236,7 @@ def scored(table: DataFrame, trees: Trees) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared.value.score(x))], names=["doc_id", "uid", "score"])
 
     kind = table.schema["doc_id"].dataType.simpleString()
-    return table.select("doc_id", "uid", "features").mapInArrow(C.tidy(run), f"doc_id {kind}, uid long, score double")
+    return table.select("doc_id", "uid", "features").mapInArrow(C.tidy(run), f"doc_id {kind}, uid binary, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:  # noqa: ANN003
