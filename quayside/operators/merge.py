@@ -80,11 +80,43 @@ def with_bookkeeping(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target
 
 
+# Most bits of a key bitmap: 2^21 words of 16 bytes, 32 MB as a broadcast relation.
+BITMAP_BITS = 1 << 27
+# Bits for each batch row: at most one stored row in so many is shuffled for nothing.
+BITS_A_ROW = 16
+
+
+def bitmap_bits(rows: int) -> int | None:
+    """Bits of a key bitmap for a batch of ``rows``; None where the largest one
+    would not keep most of the stored rows out."""
+    bits = 1 << max(10, (BITS_A_ROW * max(1, rows) - 1).bit_length())
+    return min(bits, BITMAP_BITS) if rows * 4 <= BITMAP_BITS else None
+
+
+def divide_by_bitmap(target: DataFrame, batch: DataFrame, keys: Sequence[str], bits: int) -> tuple[DataFrame, DataFrame]:
+    """(stored rows whose key's bit is set by a key of the batch, the others).
+    The bitmap is a table of words of 64 bits, at most ``bits`` / 64 of them, made by
+    a partial aggregate and broadcast under that bound; the stored rows are
+    divided where they are scanned."""
+    if bits > BITMAP_BITS:
+        raise ValueError(f"a key bitmap has at most {BITMAP_BITS} bits")
+    types = {f.name: f.dataType for f in target.schema.fields}
+    place = F.pmod(F.xxhash64(*[qcol(k).cast(types[k]) for k in keys]), F.lit(bits))
+    one = lambda p: F.expr(f"shiftleft(1L, cast({p} % 64 as int))")
+    words = batch.select(place.alias("__qs_p")).select(F.floor(F.col("__qs_p") / 64).alias("__qs_w"), one("__qs_p").alias("__qs_m"))
+    words = words.groupBy("__qs_w").agg(F.bit_or("__qs_m").alias("__qs_bits"))
+    marked = target.withColumn("__qs_p", place).withColumn("__qs_w", F.floor(F.col("__qs_p") / 64))
+    marked = marked.join(F.broadcast(words), "__qs_w", "left")
+    met = F.coalesce(F.col("__qs_bits").bitwiseAND(one("__qs_p")) != 0, F.lit(False))
+    columns = [qcol(c) for c in target.columns]
+    return marked.where(met).select(*columns), marked.where(~met).select(*columns)
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
            order_cols: Sequence[str] | None = None, touch_updated_at: bool = False,
            dedupe: bool = True, guard_cols: Sequence[str] = (),
            insert_defaults: dict[str, object] | None = None,
-           broadcast_batch: bool = False) -> DataFrame:
+           broadcast_batch: bool = False, bitmap: int | None = None) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE SET <batch non-key columns>`` as
     one full outer join.  Returns the new table content (target schema).
 
@@ -103,7 +135,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     (``broadcast_batch``) it is broadcast and the target is never shuffled:
     ``target LEFT JOIN batch`` gives matched and untouched rows in one scan,
     and the new rows are the batch without the target keys that a key-only
-    scan finds in it.
+    scan finds in it.  A batch too large for that, into a target that is not
+    bucketed, can have a key ``bitmap`` of so many bits: stored rows that no key
+    of the batch can meet are then not shuffled either.
     """
     keys = list(keys)
     batch = drop_audit(batch)
@@ -119,6 +153,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
     nonkey = [c for c in batch.columns if c not in keys]
     b = batch.select(*[qcol(k) for k in keys], *[qcol(c).alias(BPFX + c) for c in nonkey],
                      F.lit(True).alias(PRESENT))
+    untouched = None
+    if bitmap and not broadcast_batch:
+        whole = target
+        target, untouched = divide_by_bitmap(target, batch, keys, bitmap)
     t = target.withColumn("__qs_t", F.lit(True)) if (guard_cols or insert_defaults or broadcast_batch) else target
     if broadcast_batch:
         names = [qcol(k) for k in keys]
@@ -157,7 +195,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], now,
             out.append(F.when(present & F.col("__qs_t").isNull(), default).otherwise(qcol(c)).alias(c))
         else:
             out.append(qcol(c))
-    return joined.select(*out)
+    if untouched is None:
+        return joined.select(*out)
+    stamps = {f.name: _now_literal(now, f.dataType) for f in whole.schema.fields if f.name in ("created_at", "updated_at")}
+    if touch_updated_at:
+        stamps.pop("updated_at", None)
+    rest = untouched.select(*[F.coalesce(qcol(c), stamps[c]).alias(c) if c in stamps else qcol(c) for c in whole.columns])
+    return joined.select(*out).unionByName(rest)
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], now=None,

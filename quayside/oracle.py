@@ -243,6 +243,12 @@ ORACLE_SQL["tick_rows"] = """
 SELECT 'supplier ' || CAST(s_suppkey AS VARCHAR) AS what, CASE WHEN s_acctbal < 0 THEN 'again' ELSE 'first' END AS value FROM supplier
 UNION ALL SELECT 'files FAILURE', '2024-01-01' UNION ALL SELECT 'files SUCCESS', '2024-01-02' UNION ALL SELECT 'files SUCCESS', '2024-01-04'"""
 
+ORACLE_SQL["upsert_bitmap_rows"] = """
+WITH l AS (SELECT *, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS k FROM lineitem),
+s AS (SELECT k, CAST(MAX(l_quantity) AS INTEGER) AS qty FROM l WHERE l_shipdate < TIMESTAMP '1998-01-01 00:00:00' GROUP BY k),
+b AS (SELECT k, CAST(-MAX(l_quantity) AS INTEGER) AS qty FROM l WHERE l_shipdate >= TIMESTAMP '1997-10-01 00:00:00' GROUP BY k)
+SELECT COALESCE(b.k, s.k) AS k, COALESCE(b.qty, s.qty) AS qty, CASE WHEN s.k IS NULL THEN 2001 ELSE 2000 END AS created FROM s FULL JOIN b ON s.k = b.k"""
+
 ORACLE_SQL["tick_actions"] = """
 SELECT event_type || '_' || CAST(event_id AS VARCHAR) || '.csv' AS name,
        CASE WHEN event_id % 4 = 0 THEN 'retire' WHEN event_id % 8 = 2 THEN 'wait' WHEN event_id % 2 = 0 THEN 'relaunch'

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.columns import any_null, qcol
 from ..functions.tokens import SENTINEL, SOURCE_FILE
 from ..operators.mapping import drop_audit, fill_missing_required, fill_sentinel, map_strict
-from ..operators.merge import POS, replace_by_key, target_schema_for, upsert
+from ..operators.merge import POS, bitmap_bits, replace_by_key, target_schema_for, upsert
 from ..operators.split import flag_repeated, split_repeated
 from ..sinks.commits import commit_together
 from ..sinks.jdbc import JdbcTable
@@ -135,8 +135,9 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
             return load_report(target.label, target.read())
         current, rest = touched_rows(target, target_schema_for(fill_missing_required(batch, keep_stored)), batch)
         defaults = {c: SENTINEL for c in keep_stored}
+        small = small_enough(batch, target)
         staged = target.stage(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None, guard_cols=guard_cols,
-                                     broadcast_batch=small_enough(batch, target)), progress=progress, **rest)
+                                     broadcast_batch=small, bitmap=None if small or target.buckets else bitmap_bits(n)), progress=progress, **rest)
         commit_together([(target, staged), *also])
     finally:
         batch.unpersist()

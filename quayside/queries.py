@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .landing import land, land_bytes
 from .operators.mapping import (as_strings, fill_missing_required, fill_sentinel, incremental_window,
                                 map_lenient, map_strict, missing_columns, missing_columns_frame)
-from .operators.merge import dedupe_last, replace_by_key, upsert
+from .operators.merge import bitmap_bits, dedupe_last, replace_by_key, upsert
 from .operators.split import flag_repeated, split_counts, split_repeated
 from .plans.flows import load_upsert, run_claims, run_claims_files, run_journal, run_routed_claims
 from .session import fs_for, work_path
@@ -761,6 +761,19 @@ def q_replace_by_key_hot(spark, sf):
     return replace_by_key(target, batch, ["k"])
 
 
+def q_upsert_bitmap_rows(spark, sf):
+    """An upsert that shuffles only the stored rows that a key of the batch can
+    meet (a few more, by chance of their hash)."""
+    li = table(spark, sf, "lineitem")
+    key = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("k")
+    stamp = F.lit("2000-01-01 00:00:00").cast("timestamp")
+    stored = li.where(F.col("l_shipdate") < _ts("1998-01-01 00:00:00", li, "l_shipdate")).groupBy(key).agg(F.max("l_quantity").cast("int").alias("qty")).withColumns(
+        {"created_at": stamp, "updated_at": stamp})
+    batch = li.where(F.col("l_shipdate") >= _ts("1997-10-01 00:00:00", li, "l_shipdate")).groupBy(key).agg((-F.max("l_quantity")).cast("int").alias("qty"))
+    out = upsert(stored, batch, ["k"], now="2001-01-01 00:00:00", bitmap=bitmap_bits(batch.count()))
+    return out.select("k", "qty", F.year("created_at").alias("created"))
+
+
 def q_skip_empty_report(spark, sf):
     """A batch without rows writes nothing."""
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus")
@@ -851,6 +864,7 @@ QUERIES: dict[str, Query] = {
     "bucket_change_rows": q_bucket_change_rows,
     "partitioned_upsert_rows": q_partitioned_upsert_rows,
     "replace_by_key_hot": q_replace_by_key_hot,
+    "upsert_bitmap_rows": q_upsert_bitmap_rows,
     "skip_empty_report": q_skip_empty_report,
     "incremental_window_two": q_incremental_window_two,
     "fill_missing_counts": q_fill_missing_counts,
