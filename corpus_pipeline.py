@@ -9,6 +9,13 @@ the cluster's shared folder and read back as the next one's input.
 5. bpe: every remaining text is encoded; the last stage's columns are doc_id,
    ids, n_tokens, ids_sha256 and decoded_sha256.
 
+Defined cases: a null text, or one without a letter, has no language and goes at
+stage 1; of rows that repeat an id and a text all that stage 2 keeps one of stay
+(they are one document); a null id takes part and is kept if no row with an id is
+in its group; a text from which stage 3 takes all is the empty text and has no
+ids; without a benchmark stage 4 keeps all; an empty table gives an empty result;
+further columns pass through stages 1 to 4.
+
 Stages 1 to 4 return the columns of documents.  ``ORACLE_SQL`` is None: SQL
 cannot express stages 1 and 5; the tests compare with brute force instead.
 """
