@@ -93,3 +93,31 @@ def test_pipeline_equals_brute_force_stage_by_stage(spark):
             rows = {r[0]: rows[r[0]] for r in decontamination(list(rows.items()), items) if not r[-1]}
         assert sorted(r.doc_id for r in out) == sorted(rows)
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+
+
+def tables(scratch, spark, docs, items):
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, q_uid string, member int").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    return scratch
+
+
+def test_pipeline_defined_cases(spark, scratch):
+    real = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    docs = [(d, t, lang, "s", len(t or ""), "x", d) for d, t, lang in real]
+    first = next(t for d, t, lang in real if lang == "en" and t and len(t) > 2000)
+    extra = [(9001, None), (9002, ""), (9003, "12 34 !!"), (9004, first + " with a tail of its own"), (9004, first + " with a tail of its own"), (None, "words without an id " * 3), (None, None),
+             (9005, " ".join(first.split()[::-1] * 40))]
+    docs += [(d, t, None, None, None, None, None) for d, t in extra]
+    sf = tables(scratch, spark, docs, [(1, None), (2, ""), (None, "an item without an id that stands nowhere in these texts at all")])
+    out = corpus_pipeline.run(spark, sf)
+    rows = out.collect()
+    kept = [r.doc_id for r in rows]
+    assert out.columns == ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert not {9001, 9002, 9003} & set(kept) and 9004 not in kept  # no language; a near copy of a smaller id
+    assert 9005 in kept and all(len(r.ids) == r.n_tokens for r in rows)
+    one = [r for r in rows if r.doc_id == 9005]
+    assert len(one) == 1 and one[0].n_tokens < 200  # nearly all of it repeats
+
+
+def test_pipeline_of_an_empty_table(spark, scratch):
+    assert corpus_pipeline.run(spark, tables(scratch, spark, [], [])).collect() == []
