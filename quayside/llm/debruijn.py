@@ -7,15 +7,15 @@ document with a smaller id; windows are judged on the input.
 As in partitioned compaction of k-mer graphs, edges are dealt by minimizer:
 the least ``ANCHOR``-word sequence of a window by hash.  Consecutive windows of
 one anchor place make a path that is shuffled as two hashes, not window by
-window.  An anchor met in one document only has no repeat.  Where all paths of
-an anchor are equal they are one nonbranching path, whose first document is
-known at once.  The rest is the branching part of the graph:
+window.  An anchor met in one document only has no repeat.  The paths of all
+others, each distinct one once, with the least document that it stands in:
 
-1. each distinct path is spelt out from its source, as nodes;
+1. each path is spelt out from its source, as nodes;
 2. a join finds the branching nodes (two different predecessors or successors,
    or a path that begins or ends there while another goes on);
 3. paths are cut there into nonbranching pieces, equal pieces are compacted
-   into one, and the least document of each is joined back;
+   into one, and the least document of each is joined back to every place that
+   its path stands at;
 4. pieces are read at their source coordinates and must agree in a second hash
    of their words, independent of the first.
 
@@ -119,8 +119,8 @@ def _spelt(rows: DataFrame, window: int) -> DataFrame:
 
 def compacted(spelt: DataFrame) -> DataFrame:
     """spelt (anchor, h, first, nodes, checks): each path cut at branching
-    nodes into pieces (anchor, h, first, lo, hi, least), ``least`` being the
-    least document that any equal piece stands in."""
+    nodes into pieces (anchor, h, lo, hi, least), ``least`` being the least
+    document that any equal piece stands in."""
     each = spelt.select("anchor", "h", "nodes", F.posexplode("nodes").alias("i", "node"))
     around = each.select("anchor", "h", "i", "node", (F.col("i") == 0).alias("head"), (F.col("i") == F.size("nodes") - 1).alias("tail"),
                          F.when(F.col("i") > 0, F.expr("nodes[i - 1]")).alias("before"),
@@ -133,8 +133,8 @@ def compacted(spelt: DataFrame) -> DataFrame:
     pieces = cut.select("anchor", "h", "first", "nodes", "checks", F.posexplode(F.expr("transform(sequence(1, size(at) - 1), k -> struct(at[k - 1] as lo, at[k] as hi))")).alias("k", "p"))
     named = pieces.select("anchor", "h", "first", F.col("p.lo").alias("lo"), F.col("p.hi").alias("hi"),
                           F.xxhash64(F.expr("slice(nodes, p.lo + 1, p.hi - p.lo + 1)")).alias("key"), F.xxhash64(F.expr("slice(checks, p.lo + 1, p.hi - p.lo)")).alias("check"))
-    least = named.groupBy("key", "check").agg(F.min("first").alias("least"), F.max("first").alias("most")).where("least < most").drop("most")
-    return named.join(least, ["key", "check"]).select("anchor", "h", "first", "lo", "hi", "least")
+    least = named.groupBy("key", "check").agg(F.min("first").alias("least"))
+    return named.join(least, ["key", "check"]).select("anchor", "h", "lo", "hi", "least")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -145,23 +145,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     ident, body = C.exactly(docs, doc_id), C.exactly(docs, text)
     rows = docs.select(ident.alias("doc_id"), C.row_uid(ident, body).alias("uid"), body.alias("text"))
     places = C.written(anchored(rows.where("doc_id is not null"), window, anchor), "paths")
-    state = places.groupBy("anchor").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"), F.min("h").alias("h1"), F.max("h").alias("h2")).where("d1 < d2")
-    met = C.written(C.spread_join(places, state.select("anchor", F.col("d1").alias("first"), (F.col("h1") == F.col("h2")).alias("same")), ["anchor"]), "repeated")
-    whole = lambda rows: rows.select("uid", F.col("at").alias("lo"), (F.col("at") + F.col("edges") + (window - 1)).alias("hi"))
-    sure = whole(met.where("same and doc_id > first"))
+    state = places.groupBy("anchor").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2")).where("d1 < d2").select("anchor")
+    met = C.written(C.spread_join(places, state, ["anchor"]), "repeated")
 
-    mixed = met.where("not same").drop("first", "same")
-    kinds = C.written(mixed.groupBy("anchor", "h").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "uid", "at", "edges")).alias("r")), "kinds")
+    kinds = met.groupBy("anchor", "h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min(F.struct("doc_id", "uid", "at", "edges")).alias("r"))
+    kinds = C.written(kinds, "kinds")
     chosen = kinds.groupBy(F.col("r.uid").alias("uid")).agg(F.collect_set(F.struct("anchor", "h", F.col("r.at").alias("at"), F.col("r.edges").alias("edges"))).alias("segs"))
     spelt = _spelt(rows.select("uid", "text").join(chosen, "uid").select("text", "segs"), window).dropDuplicates(["anchor", "h"])
     table = C.written(spelt.join(kinds.select("anchor", "h", "first"), ["anchor", "h"]), "spelt")
-    pieces = C.written(compacted(table).where("least < first").select("anchor", "h", "lo", "hi"), "pieces")
-
-    own = mixed.join(kinds.select("anchor", "h", "first"), ["anchor", "h"])
-    later = whole(own.where("doc_id > first"))
-    partly = own.where("doc_id = first").join(pieces, ["anchor", "h"]).select(
+    # a piece matters where a document behind its least one has it
+    pieces = compacted(table).join(kinds.select("anchor", "h", "last"), ["anchor", "h"]).where("least < last").drop("last")
+    pieces = C.written(pieces, "pieces")
+    found = C.spread_join(met, pieces, ["anchor", "h"]).where("doc_id > least").select(
         "uid", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") + (window - 1)).alias("hi"))
-    return sure.unionByName(later).unionByName(partly).groupBy("uid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    return found.groupBy("uid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id", with_text: bool = True, **options) -> DataFrame:  # noqa: ANN003
