@@ -249,6 +249,10 @@ s AS (SELECT k, CAST(MAX(l_quantity) AS INTEGER) AS qty FROM l WHERE l_shipdate
 b AS (SELECT k, CAST(-MAX(l_quantity) AS INTEGER) AS qty FROM l WHERE l_shipdate >= TIMESTAMP '1997-10-01 00:00:00' GROUP BY k)
 SELECT COALESCE(b.k, s.k) AS k, COALESCE(b.qty, s.qty) AS qty, CASE WHEN s.k IS NULL THEN 2001 ELSE 2000 END AS created FROM s FULL JOIN b ON s.k = b.k"""
 
+ORACLE_SQL["snapshot_at_rows"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus || ' 1997' AS status, 'orders_19970101_080000' AS snapshot, 3 AS snapshots
+FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00'"""
+
 ORACLE_SQL["tick_actions"] = """
 SELECT event_type || '_' || CAST(event_id AS VARCHAR) || '.csv' AS name,
        CASE WHEN event_id % 4 = 0 THEN 'retire' WHEN event_id % 8 = 2 THEN 'wait' WHEN event_id % 2 = 0 THEN 'relaunch'

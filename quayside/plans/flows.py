@@ -96,7 +96,7 @@ def load_replace(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str]
             commit_together(also)
             return load_report(target.label, target.read())
         current, rest = touched_rows(target, target_schema_for(batch), batch)
-        staged = target.stage(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)), progress=progress, **rest)
+        staged = target.stage(replace_by_key(current, batch, spec_keys, now, bucketed=bool(target.buckets)), progress=progress, at=now, **rest)
         commit_together([(target, staged), *also])
     finally:
         batch.unpersist()
@@ -137,7 +137,7 @@ def load_upsert(spark: SparkSession, batch: DataFrame, spec_keys: Sequence[str],
         defaults = {c: SENTINEL for c in keep_stored}
         small = small_enough(batch, target)
         staged = target.stage(upsert(current, batch, spec_keys, now, insert_defaults=defaults or None, guard_cols=guard_cols,
-                                     broadcast_batch=small, bitmap=None if small or target.buckets else bitmap_bits(n)), progress=progress, **rest)
+                                     broadcast_batch=small, bitmap=None if small or target.buckets else bitmap_bits(n)), progress=progress, at=now, **rest)
         commit_together([(target, staged), *also])
     finally:
         batch.unpersist()
@@ -308,7 +308,7 @@ def run_claims(spark: SparkSession, batch: DataFrame, keys: Sequence[str], norma
             else:
                 new = replace_by_key(current, part, keys, now, stamp=stamp_repeated,
                                      broadcast_batch=small[table.label], bucketed=bool(table.buckets))
-            staged.append((table, table.stage(new, **rest)))
+            staged.append((table, table.stage(new, at=now, **rest)))
         commit_together([*staged, *also])
         for table, _ in staged:
             reports[table.label] = load_report(table.label, table.read())

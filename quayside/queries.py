@@ -740,6 +740,18 @@ def q_bucket_change_rows(spark, sf):
     return second.read().select("o_orderkey", "o_orderstatus")
 
 
+def q_snapshot_at_rows(spark, sf):
+    """Three loads of one table, read as the second left it, by its snapshot's
+    name."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus", "o_orderdate")
+    t = VersionedTable(spark, f"orders_at_{_uid()}", label="orders")
+    for year in (1996, 1997, 1999):
+        batch = orders.where(F.col("o_orderdate") < _ts(f"{year}-01-01 00:00:00", orders, "o_orderdate")).select("k", F.concat("o_orderstatus", F.lit(f" {year}")).alias("status"))
+        load_upsert(spark, batch, ["k"], t, now=f"{year}-01-01 08:00:00")
+    names = t.snapshots()
+    return t.read_at("1998-06-30 00:00:00").select("k", "status", F.lit(names[2]).alias("snapshot"), F.lit(len(names)).alias("snapshots"))
+
+
 def q_partitioned_upsert_rows(spark, sf):
     """A load into a table of which only the touched partitions are rewritten."""
     stored, arriving = _orders_split(spark, sf)
@@ -863,6 +875,7 @@ QUERIES: dict[str, Query] = {
     "tick_actions": q_tick_actions,
     "bucket_change_rows": q_bucket_change_rows,
     "partitioned_upsert_rows": q_partitioned_upsert_rows,
+    "snapshot_at_rows": q_snapshot_at_rows,
     "replace_by_key_hot": q_replace_by_key_hot,
     "upsert_bitmap_rows": q_upsert_bitmap_rows,
     "skip_empty_report": q_skip_empty_report,

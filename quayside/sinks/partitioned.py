@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from ..functions.columns import qcol
 from ..session import fs_for
 from .commits import LostUpdate
+from .snapshot import stamp
 
 PART = "__qs_part"
 _MANIFEST = re.compile(r"^v=(\d+)\.json$")
@@ -111,10 +112,11 @@ class PartitionedTable:
         return sorted(r[0] for r in rows.distinct().collect())
 
     # -- writing ------------------------------------------------------------
-    def stage(self, df: DataFrame, only: Sequence[int] | None = None, progress: tuple[str, int] | None = None) -> tuple[str, dict]:
+    def stage(self, df: DataFrame, only: Sequence[int] | None = None, progress: tuple[str, int] | None = None, at=None) -> tuple[str, dict]:  # noqa: ANN001
         """Write the rows of partitions ``only`` (all, if not given) to a fresh
         folder; nothing is visible until :meth:`commit`.  ``progress`` is the
-        (stream, micro-batch) that this version holds the rows of."""
+        (stream, micro-batch) that this version holds the rows of, ``at`` the
+        time of its load."""
         base = self._seen[0] if self._seen else self.current_version()
         stored = self.manifest(base) if base is not None else {}
         n = stored.get("partitions", self._wanted)
@@ -130,7 +132,7 @@ class PartitionedTable:
             if name.startswith(f"{PART}="):
                 held[name.partition("=")[2]] = f"{folder}/{name}"
         streams = {**stored.get("streams", {}), **({progress[0]: progress[1]} if progress else {})}
-        return folder, {"schema": json.loads(schema.json()), "keys": self.keys, "partitions": n, "folders": held, "base": base, "streams": streams}
+        return folder, {"schema": json.loads(schema.json()), "keys": self.keys, "partitions": n, "folders": held, "base": base, "streams": streams, **({"at": stamp(at)} if at is not None else {})}
 
     def commit(self, staged: tuple[str, dict]) -> int:
         base = staged[1]["base"]

@@ -29,6 +29,7 @@ the target without an exchange: only the batch is shuffled.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 import re
 from collections.abc import Sequence
@@ -56,6 +57,14 @@ class Staged:
     schema: T.StructType
     base: int | None
     progress: tuple[str, int] | None = None
+    at: str | None = None
+
+
+def stamp(at) -> str:  # noqa: ANN001
+    """A time as its text in a snapshot's name: ``20240131_235959``."""
+    at = _dt.datetime.fromisoformat(at) if isinstance(at, str) else at
+    at = at if isinstance(at, _dt.datetime) else _dt.datetime(at.year, at.month, at.day)
+    return at.strftime("%Y%m%d_%H%M%S")
 
 
 class VersionedTable:
@@ -119,6 +128,20 @@ class VersionedTable:
         held = self._marker(version)
         return list(held.get("keys", [])), held.get("buckets")
 
+    def snapshots(self) -> dict[int, str]:
+        """Published version: its name, ``<label>_<time of its load>`` (versions
+        published without a time have none)."""
+        times = {v: self._marker(v).get("at") for v in self.versions()}
+        return {v: f"{self.label}_{t}" for v, t in times.items() if t}
+
+    def read_at(self, at) -> DataFrame:  # noqa: ANN001
+        """The table as the last load up to ``at`` left it."""
+        limit = f"{self.label}_{stamp(at)}"
+        known = [v for v, name in self.snapshots().items() if name <= limit]
+        if not known:
+            raise FileNotFoundError(f"table {self.name} has no version of {at} or before")
+        return self.read(max(known))
+
     def progress(self, stream: str) -> int | None:
         """The last micro-batch of ``stream`` whose rows the table has."""
         cur = self.current_version()
@@ -170,11 +193,11 @@ class VersionedTable:
         return self.spark.createDataFrame([], schema)
 
     # -- writing ----------------------------------------------------------
-    def publish(self, df: DataFrame, progress: tuple[str, int] | None = None) -> int:
+    def publish(self, df: DataFrame, progress: tuple[str, int] | None = None, at=None) -> int:  # noqa: ANN001
         """Write ``df`` as the next version and make it current.  Returns the version."""
-        return self.commit(self.stage(df, progress=progress))
+        return self.commit(self.stage(df, progress=progress, at=at))
 
-    def stage(self, df: DataFrame, repartition: bool | None = None, progress: tuple[str, int] | None = None) -> Staged:
+    def stage(self, df: DataFrame, repartition: bool | None = None, progress: tuple[str, int] | None = None, at=None) -> Staged:  # noqa: ANN001
         """Write ``df`` into the next version directory without publishing it,
         so several tables can be written before any becomes visible.
 
@@ -184,7 +207,7 @@ class VersionedTable:
         the same hash into the same buckets, so by default they are written
         as they are: no second shuffle of the whole table (``repartition``
         forces either way).  ``progress`` is the (stream, micro-batch) that this
-        version holds the rows of."""
+        version holds the rows of, ``at`` the time of its load."""
         base = self._seen[0] if self._seen else self.current_version()
         existing = self._list_versions(committed=False)
         version = (existing[-1] + 1) if existing else 1
@@ -202,7 +225,7 @@ class VersionedTable:
             self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
         else:
             df.write.mode("errorifexists").parquet(path)
-        return Staged(version, path, df.schema, base, progress)
+        return Staged(version, path, df.schema, base, progress, None if at is None else stamp(at))
 
     def commit(self, staged: Staged) -> int:
         """Publish a staged version: mark it, then move the catalog pointer."""
@@ -219,7 +242,7 @@ class VersionedTable:
         streams = dict(self._marker(staged.base).get("streams", {})) if staged.base is not None else {}
         if staged.progress is not None:
             streams[staged.progress[0]] = staged.progress[1]
-        held = {"keys": self.keys, "buckets": self.buckets, **({"streams": streams} if streams else {})}
+        held = {"keys": self.keys, "buckets": self.buckets, **({"streams": streams} if streams else {}), **({"at": staged.at} if staged.at else {})}
         fs, jpath = fs_for(self.spark, staged.path)
         marker = fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jpath, PUBLISHED), True)
         marker.write(bytearray(json.dumps(held).encode("utf-8")))

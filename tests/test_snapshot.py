@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from quayside.sinks.snapshot import VersionedTable
+import pytest
 from helpers import rows
 
 
@@ -148,3 +149,17 @@ def test_a_load_rewrites_only_touched_partitions(spark, scratch):
     run_claims(spark, spark.createDataFrame([("1", "a", "w"), ("2", "a", "q"), ("2", "a", "r")], cols), ["talon", "source"], normal, rep,
                now="2024-01-02", move_between=True)
     assert rows(normal.read(), "talon", "v") == [("1", "w")] and rows(rep.read(), "talon", "v") == [("2", "q"), ("2", "r")]
+
+
+def test_read_as_of_a_time(spark, scratch):
+    import datetime as dt
+
+    t = VersionedTable(spark, "as_of_t", root=f"{scratch}/t", label="refs")
+    t.publish(spark.range(1), at="2024-01-01 10:00:00")
+    t.publish(spark.range(2), at=dt.datetime(2024, 1, 2))
+    t.publish(spark.range(3))  # a version without a time
+    t.publish(spark.range(4), at=dt.date(2024, 1, 5))
+    assert t.snapshots() == {1: "refs_20240101_100000", 2: "refs_20240102_000000", 4: "refs_20240105_000000"}
+    assert [t.read_at(x).count() for x in ("2024-01-01 10:00:00", "2024-01-01 23:00:00", "2024-01-04 00:00:00", "2025-01-01 00:00:00")] == [1, 1, 2, 4]
+    with pytest.raises(FileNotFoundError):
+        t.read_at("2023-12-31 00:00:00")
