@@ -224,10 +224,13 @@ def file_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ","
     # (Spark's own line reader drops a line that is blank to Java's trim)
     alone = value.rlike(f"^{field}(?:{sep}{field})*+\\r?$") & ~value.rlike(r"^[\x00-\x20]*$")
     filled = (F.col("block") == 0) & ~value.isin("", "\r", "\ufeff")
+    # the kinds of lines as a set: it keeps the aggregate in a hash table, while a
+    # string alone would make Spark sort all lines by their file
+    sort = F.when(alone, 0).otherwise(1) + F.when(value.rlike(r"\r(?!$)"), 2).otherwise(0)
     found = text_lines(spark, paths).groupBy("uri").agg(
-        F.min_by(F.when(filled, value), F.when(filled, F.col("row"))).alias("header"),
-        F.max(~alone).alias("joined"), F.max(value.rlike(r"\r(?!$)")).alias("lone"))
-    kind = F.when(F.col("lone") | F.lit(len(delimiter) != 1), WHOLE).when(F.col("joined"), RECORDS).otherwise(LINES)
+        F.min_by(F.when(filled, value), F.when(filled, F.col("row"))).alias("header"), F.collect_set(sort).alias("sorts"))
+    has = lambda bit: F.exists("sorts", lambda x: x.bitwiseAND(bit) != 0)
+    kind = F.when(has(2) | F.lit(len(delimiter) != 1), WHOLE).when(has(1), RECORDS).otherwise(LINES)
     opened = F.col("header").rlike(f'^(?:(?:"(?:[^"]|"")*+"[^{sep}]*+|[^"{sep}][^{sep}]*+|){sep})*+"(?:[^"]|"")*+$')
     return found.select("uri", F.col("header").cast("binary").alias("header"), opened.alias("header_open"), kind.alias("kind"))
 
