@@ -1,3 +1,6 @@
+import pytest
+
+from helpers import SF
 from quayside.sinks.jdbc import replace_statements, upsert_statement
 
 
@@ -49,3 +52,15 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.columns == ["table_name", "status", "final_count"]
     assert {r.table_name for r in df.collect()} == {"claims_normal", "claims_repeated"}
+
+
+@pytest.mark.parametrize("name", [
+    "claims_files_rows", "claims_flagship", "claims_normal_rows", "claims_repeated_rows", "journal_flow", "journal_two_part_key", "load_report", "publish_snapshot",
+    "read_split_multiline", "routed_claims_rows", "skip_empty_report", "snapshot_at_rows", "stream_ingest", "stream_journal", "stream_replace_rows", "stream_reuploads",
+    "stream_settled_files", "tick_rows"])
+def test_queries_name_the_roots_of_their_tables(spark, monkeypatch, name):
+    import __spark_entry__ as e
+
+    # a cluster session refuses a table without a root
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://driver:7077")
+    assert e.queries()[name](spark, SF).count() > 0
