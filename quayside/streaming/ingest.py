@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.tokens import SOURCE_FILE
@@ -55,13 +56,16 @@ def load_files(spark: SparkSession, spec: TableSpec, paths: Sequence[str], targe
                required: Sequence[str] = (), progress: tuple[str, int] | None = None, also: Sequence[tuple] = ()) -> DataFrame:
     """Files, in this order, into the table by the spec's strategy, in one
     version.  An upserted row keeps the name of the file that wrote it, and a row
-    of a lesser name never overwrites it."""
+    of a lesser name never overwrites it, unless that file is uploaded again in
+    the same load: then the stored row is of a form that is no more, and the key
+    may have moved to another file."""
     raw = read_delimited(spark, paths, spec.delimiter, spec.encoding, spec.multiline,
                          require=[(src, dst) for src, dst in spec.mapping], with_source=True)
     load = prepare_batch(raw, spec, required)
     if spec.strategy == "replace":
         return load_replace(spark, load, spec.keys, target, now, progress=progress, also=also)
-    return load_upsert(spark, load, spec.keys, target, now, guard_cols=[SOURCE_FILE], progress=progress, also=also)
+    again = F.col(SOURCE_FILE).isin([p.rsplit("/", 1)[-1] for p in paths])
+    return load_upsert(spark, load, spec.keys, target, now, guard_cols=[SOURCE_FILE], progress=progress, also=also, gives_way=again)
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, target: VersionedTable,
@@ -116,8 +120,6 @@ def stream_journal(spark: SparkSession, spec: TableSpec, landing: str, target: V
     recognised by its number.  With ``archive_dir`` the file
     source moves consumed files there (``cleanSource=archive``; Spark does it
     lazily, after the batch is committed)."""
-    from pyspark.sql import functions as F
-
     from ..functions.globs import glob_match
 
     if spec.strategy == "split":

@@ -52,6 +52,21 @@ def test_a_growing_file_is_loaded_once_in_its_last_form(spark, scratch):
     assert rows(t.read(), "k", "v") == [("1", "again"), ("2", "b"), ("3", "c")]
 
 
+def test_a_key_that_moves_between_files_uploaded_again(spark, scratch):
+    landing, log = f"{scratch}/landing", f"{scratch}/log"
+    t = VersionedTable(spark, "arr_move", root=f"{scratch}/t")
+    step = lambda at: (record_arrivals(spark, landing, log, f"2024-01-01 {at}"), stream_settled(spark, SPEC, landing, log, t, now="2024-02-01"))
+    put(spark, landing, "Sp_1.csv", "k;v\n1;a\n", "00:00:00")
+    put(spark, landing, "Sp_2.csv", "k;v\n2;a\n3;a\n", "00:00:00")
+    put(spark, landing, "Sp_3.csv", "k;v\n4;a\n", "00:00:00")
+    step("00:02:00")
+    put(spark, landing, "Sp_1.csv", "k;v\n1;b\n2;b\n4;b\n", "00:03:00")
+    put(spark, landing, "Sp_2.csv", "k;v\n3;b\n", "00:03:00")
+    step("00:05:00")
+    # 2 left the file it stood in; 4 is in Sp_3 still, whose name is greater
+    assert rows(t.read(), "k", "v") == [("1", "b"), ("2", "b"), ("3", "b"), ("4", "a")]
+
+
 def test_a_file_that_changes_after_it_settled_waits_for_its_next_arrival(spark, scratch):
     landing, log = f"{scratch}/landing", f"{scratch}/log"
     t = VersionedTable(spark, "arr_change", root=f"{scratch}/t")
