@@ -370,3 +370,14 @@ def test_required_columns_do_not_depend_on_the_catalog(spark, scratch):
     fresh = VersionedTable(spark, "rq_b", root=root)      # a name that the catalog has never seen
     run_journal(spark, SPEC, landing, fresh, as_of="2024-01-02", now="2024-02-01")
     assert rows(fresh.read(), "series_number", "full_name", "errors") == [("1", "new", "-")]
+
+
+def test_exports_of_the_atomic_load_are_several_files(spark, monkeypatch):
+    from quayside import queries
+    from helpers import SF
+
+    landed = []
+    monkeypatch.setattr(queries, "_land_lines", lambda *a, land=queries._land_lines, **kw: landed.append(land(*a, **kw)) or landed[-1])
+    out = queries.q_claims_atomic_rows(spark, SF).where("table_name = 'handled'").collect()
+    assert landed == [4, 4]  # as many as a shuffle has partitions here
+    assert [(r.n_rows, r.least) for r in out] == [(1, "claims_day1")]
