@@ -227,6 +227,12 @@ def _offsets(files: DataFrame) -> DataFrame:
     return inside.join(F.broadcast(table), "part").select("part", "shard", (F.col("before") + F.col("inside")).alias("begin"))
 
 
+def _placed(files: DataFrame) -> DataFrame:
+    """The shards with the ids before each.  The offsets (three numbers a shard of
+    about a million ids) are broadcast, so that no shard is shuffled or sorted."""
+    return files.join(F.broadcast(_offsets(files)), ["part", "shard"])
+
+
 def _grammar(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     kind = symbol_type(row["width"])
     lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
@@ -238,7 +244,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
     """Every document of the files: doc_id, start, n_tokens, ids_crc32 and,
     with ``with_ids``, its ids."""
     files = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    placed = files.join(_offsets(files), ["part", "shard"])
+    placed = _placed(files)
     names = ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +268,7 @@ def read_range(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
     """(start, ids): the ids at places [lo, hi) of the whole corpus, a row for
     each shard that holds some; other shards are not opened."""
     files = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    placed = files.join(_offsets(files), ["part", "shard"]).where((F.col("begin") < hi) & (F.col("begin") + F.col("n_tokens") > lo))
+    placed = _placed(files).where((F.col("begin") < hi) & (F.col("begin") + F.col("n_tokens") > lo))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

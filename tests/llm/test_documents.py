@@ -255,6 +255,21 @@ def test_token_file_round_trip_and_random_access(spark, scratch):
     assert tokenfile.read_ids(spark, f"{path}0").count() == 0
 
 
+def test_reading_token_files_shuffles_no_shard(spark, scratch):
+    path = f"{scratch}/ids"
+    tokenfile.write_ids(table(spark, [(i, f"text {i}") for i in range(20)]), VOCAB, path)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        for df in (tokenfile.read_ids(spark, path), tokenfile.read_range(spark, path, 0, 30)):
+            assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+            assert df.count() > 0
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+
+
 def test_grammar_round_trip():
     for _ in range(60):
         ids = np.array(rnd.choices(range(rnd.choice([1, 2, 5, 40])), k=rnd.randint(0, 300)), np.int64)
