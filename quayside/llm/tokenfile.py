@@ -42,6 +42,8 @@ from .bpe import text_list, vocabulary
 from .words import ByteWords, kept
 
 SHARD_TOKENS = 1 << 20
+#: Bytes of text, and documents, whose distinct words are looked up together.
+ENCODE_BYTES, ENCODE_DOCS = 4 << 20, 4096
 #: A pair is frequent if it occurs so often in a shard.
 LEAST = 16
 END = 0
@@ -62,17 +64,22 @@ def _equal_pairs(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """(rules (k, 2), sequence): symbol ``base + i`` stands for ``rules[i]``."""
+    """(rules (k, 2), sequence): symbol ``base + i`` stands for ``rules[i]``.
+
+    A round never makes a pair of older symbols more frequent.  So it sorts and
+    counts only pairs that hold a symbol of the last round or whose symbols begin
+    and end pairs that were frequent in it."""
     seq = ids.astype(np.int64)
     rules: list[tuple[int, int]] = []
-    while len(seq) > 1:
-        pairs = np.sort((seq[:-1] << 32) | seq[1:])
+    live = np.ones(max(len(seq) - 1, 0), bool)  # where a pair may be frequent
+    while live.any():
+        pairs = np.sort(((seq[:-1] << 32) | seq[1:])[live])
         new = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
         count = np.diff(np.concatenate([new, [len(pairs)]]))
         often = count >= least
         keys, count = pairs[new[often]], count[often]
         order = np.argsort(-count, kind="stable")
-        pair_at, pair_of = _equal_pairs(seq)
+        pair_at, pair_of = _equal_pairs(seq) if (keys >> 32 == keys & 0xFFFFFFFF).any() else _equal_pairs(seq[:0])
         doubles = dict(zip(*(x.tolist() for x in np.unique(pair_of, return_counts=True)), strict=True))
         heads, tails, taken, same = set(), set(), [], []
         for key in keys[order].tolist():
@@ -91,18 +98,16 @@ def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray,
             break
         chosen = np.sort(np.array(taken, np.int64))
         names = base + len(rules) + np.arange(len(chosen))
-        rules += [(k >> 32, k & 0xFFFFFFFF) for k in chosen.tolist()]
+        size = base + len(rules)
+        live &= _either(seq, keys, size)
         at, name = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(chosen):
-            size = int(seq.max()) + 1
-            begins, ends = np.zeros(size, bool), np.zeros(size, bool)
-            begins[chosen >> 32] = True
-            ends[chosen & 0xFFFFFFFF] = True
-            at = np.flatnonzero(begins[seq[:-1]] & ends[seq[1:]])
+            at = np.flatnonzero(live & _either(seq, chosen, size))
             key = (seq[at] << 32) | seq[at + 1]
             place = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
             hit = chosen[place] == key
             at, name = at[hit], names[place[hit]]
+        rules += [(k >> 32, k & 0xFFFFFFFF) for k in chosen.tolist()]
         if same:
             double = np.sort(np.array(same, np.int64))
             place = np.minimum(np.searchsorted(double, pair_of), len(double) - 1)
@@ -110,12 +115,23 @@ def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray,
             at, name = np.concatenate([at, pair_at[hit]]), np.concatenate([name, base + len(rules) + place[hit]])
             rules += [(a, a) for a in double.tolist()]
         seq[at] = name
+        live[at] = True
+        live[at[at > 0] - 1] = True
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
+        seq, live = seq[keep], live[keep[:-1]]
+        live = live[: len(seq) - 1]  # the last pair's second symbol may be gone
     return np.array(rules, np.int64).reshape(-1, 2), seq
 
 
+def _either(seq: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
+    """The pairs whose symbols begin and end some pair of ``keys``."""
+    begins, ends = np.zeros(size, bool), np.zeros(size, bool)
+    begins[keys >> 32] = True
+    ends[keys & 0xFFFFFFFF] = True
+    return begins[seq[:-1]] & ends[seq[1:]]
+
+
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     out = np.ones(len(rules), np.int64)
     for i, (a, b) in enumerate(rules.tolist()):
@@ -196,15 +212,20 @@ def write_ids(docs: DataFrame, vocabulary_path: str, path: str, text: str = "tex
 
         for batch in batches:
             _, off = C.text_buffer(batch.column(1))
-            for lo, hi in C.doc_chunks(off):
+            for lo, hi in C.doc_chunks(off, ENCODE_BYTES, ENCODE_DOCS):
                 flat, count = enc.encode(text_list(batch.column(1).slice(lo, hi - lo)))
-                ends = np.cumsum(count)
-                flat = np.insert(flat, ends, end)
-                held.append((batch.column(0).slice(lo, hi - lo).to_pylist(), flat, count + 1))
-                size += len(flat)
-                if size >= shard_tokens:
-                    yield shard()
-                    held, size, number = [], 0, number + 1
+                flat = np.insert(flat, np.cumsum(count), end)
+                count, doc_ids = count + 1, batch.column(0).slice(lo, hi - lo).to_pylist()
+                ends, done = np.cumsum(count), 0
+                while done < len(count):
+                    before = int(ends[done] - count[done])
+                    # up to the document with which the shard is full
+                    to = min(len(count), int(np.searchsorted(ends, before + shard_tokens - size)) + 1)
+                    held.append((doc_ids[done:to], flat[before : ends[to - 1]], count[done:to]))
+                    size, done = size + int(ends[to - 1]) - before, to
+                    if size >= shard_tokens:
+                        yield shard()
+                        held, size, number = [], 0, number + 1
         if held:
             yield shard()
 

@@ -18,10 +18,13 @@ import zlib
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-from .bpe import MAX_VOCAB_BYTES, PRETOKENS, Pieces, Rows, byte_letters
+from . import common as C
+from .bpe import _SPACE_RUN, MAX_VOCAB_BYTES, PRETOKENS, Pieces, Rows, byte_letters
 
 #: Words that a Python worker keeps encoded (about 250 bytes each).
 CACHE_WORDS = 800_000
@@ -32,6 +35,8 @@ _PLAIN = re.compile("[\t\n\r -~¡-©«-±´¶-¸»¿-ÿ‐-‧]*\\Z")
 #: ``PRETOKENS`` for plain texts, in the terms of the standard library.
 _PLAIN_WORDS = re.compile(f" ?[{_L}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\t\n\r 0-9{_L}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
 
+_ONE_WORD = re.compile(f" ?[{_L}]+\\Z")
+
 
 def pretokens(text: str) -> list[str]:
     return (_PLAIN_WORDS if _PLAIN.match(text) else PRETOKENS).findall(text)
@@ -54,6 +59,15 @@ class Words:
     def fresh(self, words: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
+    def found(self, words: list[str]) -> np.ndarray:
+        """The numbers of words in the store; those not met before are encoded."""
+        which = np.fromiter(map(self.met.__getitem__, words), np.int64, len(words))
+        if self.met.new:
+            got = self.fresh(self.met.new)
+            self.met.new = []
+            self.ids.add(np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got)))
+        return which
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end and the number of each text."""
         if len(self.met) > self.limit:
@@ -61,18 +75,17 @@ class Words:
         words, count = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             if text:
-                found = self.split(text)
-                words += found
-                count[i] = len(found)
-        which = np.array(list(map(self.met.__getitem__, words)), np.int64)
-        if self.met.new:
-            got = self.fresh(self.met.new)
-            self.met.new = []
-            self.ids.add(np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got)))
-        flat, n = self.ids.gather(which)
-        total = np.concatenate([[0], np.cumsum(n)])
-        ends = np.cumsum(count)
-        return flat, total[ends] - total[ends - count]
+                split = self.split(text)
+                words += split
+                count[i] = len(split)
+        flat, n = self.ids.gather(self.found(words))
+        return flat, sums(n, count)
+
+
+def sums(n: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Of neighbouring runs of ``count`` values each."""
+    total, ends = np.concatenate([[0], np.cumsum(n)]), np.cumsum(count)
+    return total[ends] - total[ends - count]
 
 
 class ByteWords(Words):
@@ -132,11 +145,55 @@ class ByteWords(Words):
                 got.append([t.id for t in model(w.encode().decode("latin-1").translate(letters))])
         return got
 
+    def pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct pieces of the texts between which no pretoken reaches, all
+        pieces in order by their number among these, and how many each text has.
+        A space that no white space follows begins a piece; texts that have
+        another one, or an added token, are split one by one."""
+        odd = [i for i, t in enumerate(texts) if _SPACE_RUN.search(t) or (self.mark is not None and self.mark.search(t))]
+        plain = texts
+        if odd:
+            plain = list(texts)
+            for i in odd:
+                plain[i] = ""
+        parts = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        at = parts.offsets.to_numpy().astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        which, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        first, begin = which[at[:-1]], len(names)  # a text's first piece follows no space
+        others = Pieces()
+        which[at[:-1]] = begin + np.fromiter(map(others.__getitem__, map(names.__getitem__, first.tolist())), np.int64, len(first))
+        count = np.diff(at)
+        if odd:
+            start, count, more = at[:-1].copy(), count.copy(), []
+            for i in odd:
+                split = self.split(texts[i])
+                start[i], count[i] = len(which) + len(more), len(split)
+                more += map(others.__getitem__, split)
+            which = np.concatenate([which, begin + np.array(more, np.int64)])[C.ranges(start, count)]
+        return [" " + p for p in names] + list(others), which, count
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.by_words:
-            return super().encode(texts)
-        got = [self.library.encode(t, add_special_tokens=False).ids for t in texts]
-        return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+        if not self.by_words:
+            got = [self.library.encode(t, add_special_tokens=False).ids for t in texts]
+            return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if len(self.met) > self.limit:
+            self.forget()
+        distinct, which, count = self.pieces(texts)
+        words, n_words, one = [], np.ones(len(distinct), np.int64), _ONE_WORD.match
+        for i, p in enumerate(distinct):
+            if one(p):
+                words.append(p)
+            else:
+                split = self.split(p)
+                words += split
+                n_words[i] = len(split)
+        flat, n = self.ids.gather(self.found(words))
+        size = sums(n, n_words)
+        begin = np.cumsum(size) - size
+        return flat[C.ranges(begin[which], size[which])], sums(size[which], count)
 
 
 class PieceWords(Words):

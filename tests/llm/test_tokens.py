@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -95,3 +96,67 @@ def test_grammar_with_four_byte_symbols(spark, scratch):
     raw = tokenfile._grammar({"width": 4, "lengths": tokenfile.expansion_lengths(rules, 70_020).astype("<u4").tobytes(), "rules": rules.astype("<u4").tobytes(),
                               "symbols": seq.astype("<u4").tobytes(), "base": 70_020})
     assert (raw[0] == rules).all() and (raw[2] == seq).all()
+
+
+def test_spaces_and_added_tokens_equal_the_library():
+    letters = [*"ab é'st1 2\n\t\r\x1c\x0b\u00a0\u2003\u200b漢.,!<|>", "  ", " \n", "<|endoftext|>", "'s", " a"]
+    for special in (True, False):
+        t, enc = library(special), words.ByteWords(open(VOCAB, encoding="utf-8").read(), special=special)
+        for _ in range(400):
+            texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 25))) for _ in range(rnd.randint(0, 5))]
+            assert per_text(enc, texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_a_word_is_looked_up_once_a_chunk():
+    class Counted(words.Pieces):
+        looked = 0
+
+        def __getitem__(self, key):
+            self.looked += 1
+            return super().__getitem__(key)
+
+    enc = words.ByteWords(open(VOCAB, encoding="utf-8").read())
+    enc.met = Counted()
+    enc.encode(["one two, three " * 1000 + "end"] * 3)
+    assert enc.met.looked < 20
+
+
+def plain_rounds(seq, base, least):
+    """The rounds of the grammar, all pairs counted anew in each."""
+    rules = []
+    while True:
+        count, doubles, i = Counter(zip(seq, seq[1:], strict=False)), Counter(), 0
+        while i < len(seq) - 1:
+            if seq[i] == seq[i + 1]:
+                doubles[seq[i]] += 1
+                i += 1
+            i += 1
+        heads, tails, taken, same = set(), set(), [], []
+        for (a, b), n in sorted(count.items(), key=lambda x: (-x[1], x[0])):
+            if n < least or a in tails or b in heads or (a == b and (a in heads or doubles[a] < least)):
+                continue
+            (same if a == b else taken).append((a, b))
+            heads.add(a)
+            tails.add(b)
+        if not taken and not same:
+            return rules, seq
+        name = {p: base + len(rules) + i for i, p in enumerate(sorted(taken) + sorted(same))}
+        rules += sorted(taken) + sorted(same)
+        out, i = [], 0
+        while i < len(seq):
+            pair = tuple(seq[i : i + 2])
+            out.append(name.get(pair, seq[i]))
+            i += 2 if pair in name else 1
+        seq = out
+
+
+def test_later_rounds_count_only_pairs_that_can_be_frequent(monkeypatch):
+    for _ in range(200):
+        ids = rnd.choices(range(rnd.choice([1, 2, 3, 8, 40])), k=rnd.randint(1, 300))
+        least = rnd.choice([2, 3, 8])
+        rules, seq = tokenfile.repair(np.array(ids), 50, least)
+        assert ([tuple(r) for r in rules.tolist()], seq.tolist()) == plain_rounds(ids, 50, least)
+    ids, sizes, sort = np.random.default_rng(1).zipf(1.2, 60_000) % 5000, [], np.sort
+    monkeypatch.setattr(np, "sort", lambda x, *a, **k: sizes.append(len(x)) or sort(x, *a, **k))
+    tokenfile.repair(ids, 5000)
+    assert sum(sizes) < 3 * len(ids)
