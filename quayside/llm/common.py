@@ -277,7 +277,9 @@ def ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     if not total:
         return np.zeros(0, np.int64)
     first = np.cumsum(n) - n
-    return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(lo, np.int64) - first, n)
+    out = np.repeat(np.asarray(lo, np.int64) - first, n)
+    out += np.arange(total, dtype=np.int64)
+    return out
 
 
 def merged_spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -51,10 +51,9 @@ END = 0
 
 # -- grammar ---------------------------------------------------------------
 
-def _equal_pairs(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places at which equal symbols in a row are paired, from the left of each
-    run, and their symbols."""
-    at = np.flatnonzero(seq[:-1] == seq[1:])
+def _equal_pairs(seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the places ``at`` of pairs of equal symbols those that are paired, from
+    the left of each run, and their symbols."""
     if not len(at):
         return at, at
     new = np.concatenate([[True], np.diff(at) > 1])
@@ -63,27 +62,47 @@ def _equal_pairs(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, seq[at]
 
 
+def _sorted_pairs(left: np.ndarray, right: np.ndarray, at: np.ndarray, wide: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of symbols of ``wide`` bits as numbers, in order, and beside them their
+    places, in order for each pair, as the lowest ``bits`` bits of a number."""
+    pairs = left.astype(np.int64)
+    pairs <<= wide
+    pairs |= right
+    if 2 * wide + bits > 63:
+        order = np.argsort(pairs, kind="stable")
+        return pairs[order], at[order]
+    pairs <<= bits
+    pairs |= at
+    both = np.sort(pairs)  # a pair and its place in one number
+    return np.right_shift(both, bits, out=pairs), both
+
+
 def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """(rules (k, 2), sequence): symbol ``base + i`` stands for ``rules[i]``.
 
     A round never makes a pair of older symbols more frequent.  So it sorts and
     counts only pairs that hold a symbol of the last round or whose symbols begin
     and end pairs that were frequent in it."""
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32)
     rules: list[tuple[int, int]] = []
-    live = np.ones(max(len(seq) - 1, 0), bool)  # where a pair may be frequent
-    while live.any():
-        pairs = np.sort(((seq[:-1] << 32) | seq[1:])[live])
+    at = np.arange(max(len(seq) - 1, 0))  # where a pair may be frequent
+    while len(at):
+        size = base + len(rules)
+        wide, bits = int(size).bit_length(), len(seq).bit_length()
+        low, place = (1 << wide) - 1, (1 << bits) - 1
+        left, right = (seq[:-1], seq[1:]) if len(at) == len(seq) - 1 else (seq[at], seq[1:][at])
+        pairs, places = _sorted_pairs(left, right, at, wide, bits)
         new = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
         count = np.diff(np.concatenate([new, [len(pairs)]]))
-        often = count >= least
-        keys, count = pairs[new[often]], count[often]
-        order = np.argsort(-count, kind="stable")
-        pair_at, pair_of = _equal_pairs(seq) if (keys >> 32 == keys & 0xFFFFFFFF).any() else _equal_pairs(seq[:0])
+        often = np.flatnonzero(count >= least)
+        new, count = new[often], count[often]
+        keys = pairs[new]
+        begin, finish = keys >> wide, keys & low
+        pair_at, pair_of = _equal_pairs(seq, at[left == right] if (begin == finish).any() else at[:0])
         doubles = dict(zip(*(x.tolist() for x in np.unique(pair_of, return_counts=True)), strict=True))
         heads, tails, taken, same = set(), set(), [], []
-        for key in keys[order].tolist():
-            a, b = key >> 32, key & 0xFFFFFFFF
+        order = np.argsort(-count, kind="stable")
+        for i, a, b in zip(order.tolist(), begin[order].tolist(), finish[order].tolist(), strict=True):
             if a in tails or b in heads:
                 continue
             if a == b:
@@ -91,52 +110,45 @@ def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray,
                     continue
                 same.append(a)
             else:
-                taken.append(key)
+                taken.append(i)
             heads.add(a)
             tails.add(b)
         if not taken and not same:
             break
+        live = np.zeros(len(seq), bool)
+        live[at[_either(left, right, begin, finish, size)]] = True
         chosen = np.sort(np.array(taken, np.int64))
-        names = base + len(rules) + np.arange(len(chosen))
-        size = base + len(rules)
-        live &= _either(seq, keys, size)
-        at, name = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(chosen):
-            at = np.flatnonzero(live & _either(seq, chosen, size))
-            key = (seq[at] << 32) | seq[at + 1]
-            place = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
-            hit = chosen[place] == key
-            at, name = at[hit], names[place[hit]]
-        rules += [(k >> 32, k & 0xFFFFFFFF) for k in chosen.tolist()]
+        at, name = places[C.ranges(new[chosen], count[chosen])] & place, np.repeat(size + np.arange(len(chosen)), count[chosen])
+        rules += zip(begin[chosen].tolist(), finish[chosen].tolist(), strict=True)
         if same:
             double = np.sort(np.array(same, np.int64))
-            place = np.minimum(np.searchsorted(double, pair_of), len(double) - 1)
-            hit = double[place] == pair_of
-            at, name = np.concatenate([at, pair_at[hit]]), np.concatenate([name, base + len(rules) + place[hit]])
+            nth = np.minimum(np.searchsorted(double, pair_of), len(double) - 1)
+            hit = double[nth] == pair_of
+            at, name = np.concatenate([at, pair_at[hit]]), np.concatenate([name, base + len(rules) + nth[hit]])
             rules += [(a, a) for a in double.tolist()]
         seq[at] = name
         live[at] = True
         live[at[at > 0] - 1] = True
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, live = seq[keep], live[keep[:-1]]
-        live = live[: len(seq) - 1]  # the last pair's second symbol may be gone
+        seq, live = seq[keep], live[keep]
+        at = np.flatnonzero(live[:-1])
     return np.array(rules, np.int64).reshape(-1, 2), seq
 
 
-def _either(seq: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
-    """The pairs whose symbols begin and end some pair of ``keys``."""
+def _either(left: np.ndarray, right: np.ndarray, begin: np.ndarray, finish: np.ndarray, size: int) -> np.ndarray:
+    """The pairs that begin with one of ``begin`` and end with one of ``finish``."""
     begins, ends = np.zeros(size, bool), np.zeros(size, bool)
-    begins[keys >> 32] = True
-    ends[keys & 0xFFFFFFFF] = True
-    return begins[seq[:-1]] & ends[seq[1:]]
+    begins[begin] = True
+    ends[finish] = True
+    return begins[left] & ends[right]
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
-    out = np.ones(len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        out[i] = (out[a - base] if a >= base else 1) + (out[b - base] if b >= base else 1)
-    return out
+    out: list[int] = []
+    for a, b in rules.tolist():
+        out.append((out[a - base] if a >= base else 1) + (out[b - base] if b >= base else 1))
+    return np.array(out, np.int64)
 
 
 def expand(rules: np.ndarray, lengths: np.ndarray, seq: np.ndarray, base: int) -> np.ndarray:

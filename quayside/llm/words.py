@@ -15,7 +15,8 @@ import json
 import os
 import re
 import zlib
-from itertools import chain
+from itertools import chain, compress, pairwise
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,20 @@ from . import common as C
 from .bpe import _SPACE_RUN, MAX_VOCAB_BYTES, PRETOKENS, Pieces, Rows, byte_letters
 
 #: Words that a Python worker keeps encoded (about 250 bytes each).
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 #: Letters of the plain texts below; every other character of theirs is no
 #: letter, and 0-9 are their only numbers.
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile("[\t\n\r -~¡-©«-±´¶-¸»¿-ÿ‐-‧]*\\Z")
 #: ``PRETOKENS`` for plain texts, in the terms of the standard library.
 _PLAIN_WORDS = re.compile(f" ?[{_L}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\t\n\r 0-9{_L}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
-
-_ONE_WORD = re.compile(f" ?[{_L}]+\\Z")
+#: Pieces that are split at a time; those of a block that is not plain, one by one.
+BLOCK = 128
+#: New words of letters that the library's model is given at a time.
+TOGETHER = 64
+#: Bytes after a space with which white space may begin.
+_MAY_SPACE = np.zeros(256, bool)
+_MAY_SPACE[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def pretokens(text: str) -> list[str]:
@@ -56,16 +62,16 @@ class Words:
     def split(self, text: str) -> list[str]:
         raise NotImplementedError
 
-    def fresh(self, words: list[str]) -> list[list[int]]:
+    def fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words end to end and the number of each word."""
         raise NotImplementedError
 
     def found(self, words: list[str]) -> np.ndarray:
         """The numbers of words in the store; those not met before are encoded."""
         which = np.fromiter(map(self.met.__getitem__, words), np.int64, len(words))
         if self.met.new:
-            got = self.fresh(self.met.new)
+            self.ids.add(*self.fresh(self.met.new))
             self.met.new = []
-            self.ids.add(np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got)))
         return which
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,12 +88,31 @@ class Words:
         return flat, sums(n, count)
 
 
+def end_to_end(got: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+
+
 def sums(n: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Of neighbouring runs of ``count`` values each."""
     total, ends = np.concatenate([[0], np.cumsum(n)]), np.cumsum(count)
     return total[ends] - total[ends - count]
 
 
+def _may_be_odd(column: pa.Array) -> list[int]:
+    """The texts that may hold a space before white space or at their end."""
+    raw, off = C.text_buffer(column)
+    space = np.flatnonzero(raw == 32)
+    space = space[np.append(_MAY_SPACE[raw[1:]], True)[space]] if len(space) else space
+    last = np.flatnonzero((off[1:] > off[:-1]) & (raw[off[1:] - 1] == 32)) if len(raw) else space[:0]
+    return np.union1d(np.searchsorted(off, space, "right") - 1, last).tolist()
+
+
+def _over_words(token: bytes) -> bool:
+    """Whether a token may begin in a word of letters and go on behind a space."""
+    before = [token[: m.start()].decode("utf-8", "ignore")[-1:] for m in re.finditer(rb"(?<!\A) ", token)]
+    return any(not c or c.isalpha() for c in before)
+
+
 class ByteWords(Words):
     """A byte-level BPE file of the tokenizers library.  ``special``: the added
     tokens' strings in a text are their own ids (the library's default);
@@ -109,7 +134,15 @@ class ByteWords(Words):
         self.added = {t["content"]: t["id"] for t in added} if special else {}
         self.mark = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.letters = dict(enumerate(byte_letters()))
+        self.points = np.array([ord(c) for c in self.letters.values()], "<u4")
         self.base = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
+        tokens = self.bytes_of()
+        self.plain = Tokenizer(self.library.model).encode_batch_fast  # the model alone
+        self.n_bytes = np.array([len(t) for t in tokens])
+        model = layout["model"]
+        self.joins = (
+            model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "ignore_merges"))
+            and set(self.letters.values()) <= set(model["vocab"]) and not any(b" " in t[1:] and _over_words(t) for t in tokens))
         super().__init__(limit)
 
     def bytes_of(self) -> list[bytes]:
@@ -133,36 +166,59 @@ class ByteWords(Words):
                 out += pretokens(part)
         return out
 
-    def fresh(self, words: list[str]) -> list[list[int]]:
+    def fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of a space and letters go to the library's model many at a time,
+        end to end: no token reaches from one into the next, and the bytes of the
+        tokens tell whose they are.  Others go one by one."""
         letters, added, model, space = self.letters, self.added, self.library.model.tokenize, self.letters[32]
+        joined = [self.joins and w[0] == " " and w[1:].isalpha() and w not in added for w in words]
         got = []
-        for w in words:
+        for w in compress(words, map(not_, joined)):
             if w in added:
                 got.append([added[w]])
             elif w.isascii() and w.isprintable():
                 got.append([t.id for t in model(w.replace(" ", space))])
             else:
                 got.append([t.id for t in model(w.encode().decode("latin-1").translate(letters))])
-        return got
-
-    def pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Distinct pieces of the texts between which no pretoken reaches, all
-        pieces in order by their number among these, and how many each text has.
+        flat, n = end_to_end(got)
+        raw = np.frombuffer("".join(compress(words, joined)).encode(), np.uint8)
+        if not len(raw):
+            return flat, n
+        text, start = self.points[raw].tobytes().decode("utf-32-le"), np.flatnonzero(raw == 32)
+        parts = [text[a:b] for a, b in pairwise([*start[::TOGETHER].tolist(), len(raw)])]
+        coded = (e.ids for i in range(0, len(parts), TOGETHER) for e in self.plain(parts[i : i + TOGETHER], add_special_tokens=False))
+        ids = np.fromiter(chain.from_iterable(coded), np.int64)
+        ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.append(start[1:], len(raw)), "right")
+        mine, count, begin = np.array(joined), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        count[mine], count[~mine] = np.diff(ends, prepend=0), n
+        begin[mine], begin[~mine] = ends - count[mine], len(ids) + np.cumsum(n) - n
+        return np.concatenate([ids, flat])[C.ranges(begin, count)], count
+
+    def pieces(self, texts: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+        """Distinct pieces of the texts between which no pretoken reaches, first
+        those that follow a space (without it), then the others; all pieces in
+        order by their number among these, and how many each text has.
         A space that no white space follows begins a piece; texts that have
         another one, or an added token, are split one by one."""
-        odd = [i for i, t in enumerate(texts) if _SPACE_RUN.search(t) or (self.mark is not None and self.mark.search(t))]
-        plain = texts
+        column = pa.array(texts, pa.large_string())
+        odd = [i for i in _may_be_odd(column) if _SPACE_RUN.search(texts[i])]
+        if self.mark is not None:
+            odd = sorted({*odd, *(i for i, t in enumerate(texts) if self.mark.search(t))})
         if odd:
             plain = list(texts)
             for i in odd:
                 plain[i] = ""
-        parts = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+            column = pa.array(plain, pa.large_string())
+        parts = pc.split_pattern(column, " ")
         at = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.flatten().dictionary_encode()
         which, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        first, begin = which[at[:-1]], len(names)  # a text's first piece follows no space
+        first, begin = which[at[:-1]].tolist(), len(names)  # a text's first piece follows no space
         others = Pieces()
-        which[at[:-1]] = begin + np.fromiter(map(others.__getitem__, map(names.__getitem__, first.tolist())), np.int64, len(first))
+        which[at[:-1]] = begin + np.fromiter(map(others.__getitem__, map(names.__getitem__, first)), np.int64, len(first))
+        for i in first:
+            if not names[i] or names[i][0].isspace():
+                names[i] = "-"  # it follows no space anywhere
         count = np.diff(at)
         if odd:
             start, count, more = at[:-1].copy(), count.copy(), []
@@ -171,25 +227,35 @@ class ByteWords(Words):
                 start[i], count[i] = len(which) + len(more), len(split)
                 more += map(others.__getitem__, split)
             which = np.concatenate([which, begin + np.array(more, np.int64)])[C.ranges(start, count)]
-        return [" " + p for p in names] + list(others), which, count
+        return names, list(others), which, count
+
+    def words_of(self, names: list[str], others: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words of the pieces end to end, and how many each has.  Pieces
+        that follow a space are split many at a time, end to end."""
+        words: list[str] = []
+        for lo in range(0, len(names), BLOCK):
+            block = " " + " ".join(names[lo : lo + BLOCK])
+            if _PLAIN.match(block):
+                words += _PLAIN_WORDS.findall(block)
+            else:
+                for p in names[lo : lo + BLOCK]:
+                    words += pretokens(" " + p)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        sizes = np.fromiter(map(len, names), np.int64, len(names)) + 1
+        n_words = np.diff(np.searchsorted(ends, np.cumsum(sizes), "right"), prepend=0)
+        split = [self.split(p) for p in others]
+        words += chain.from_iterable(split)
+        return words, np.concatenate([n_words, np.fromiter(map(len, split), np.int64, len(split))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_words:
-            got = [self.library.encode(t, add_special_tokens=False).ids for t in texts]
-            return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+            return end_to_end([self.library.encode(t, add_special_tokens=False).ids for t in texts])
         if not texts:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         if len(self.met) > self.limit:
             self.forget()
-        distinct, which, count = self.pieces(texts)
-        words, n_words, one = [], np.ones(len(distinct), np.int64), _ONE_WORD.match
-        for i, p in enumerate(distinct):
-            if one(p):
-                words.append(p)
-            else:
-                split = self.split(p)
-                words += split
-                n_words[i] = len(split)
+        names, others, which, count = self.pieces(texts)
+        words, n_words = self.words_of(names, others)
         flat, n = self.ids.gather(self.found(words))
         size = sums(n, n_words)
         begin = np.cumsum(size) - size
@@ -229,18 +295,17 @@ class PieceWords(Words):
     def split(self, text: str) -> list[str]:
         return self.words.findall(" " + text.replace("▁", " "))  # the library does not tell them apart
 
-    def fresh(self, words: list[str]) -> list[list[int]]:
+    def fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # the library's own space stands for a word's first one; a word without
         # one goes behind a line break, whose ids are then left out
         got = self.library.encode([w[1:] if w[0] == " " else "\n" + w for w in words], num_threads=1)
         skip = len(self.blank)
-        return [self.blank[:1] if w == " " else ids if w[0] == " " else ids[skip:] for w, ids in zip(words, got, strict=True)]
+        return end_to_end([self.blank[:1] if w == " " else ids if w[0] == " " else ids[skip:] for w, ids in zip(words, got, strict=True)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.by_words:
             return super().encode(texts)
-        got = self.library.encode(texts, num_threads=1)
-        return np.fromiter(chain.from_iterable(got), np.int64), np.fromiter(map(len, got), np.int64, len(got))
+        return end_to_end(self.library.encode(texts, num_threads=1))
 
 
 _KEPT: dict[tuple, Words] = {}

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from quayside.llm import tokenfile, words
 
@@ -160,3 +160,54 @@ def test_later_rounds_count_only_pairs_that_can_be_frequent(monkeypatch):
     monkeypatch.setattr(np, "sort", lambda x, *a, **k: sizes.append(len(x)) or sort(x, *a, **k))
     tokenfile.repair(ids, 5000)
     assert sum(sizes) < 3 * len(ids)
+
+
+def test_new_pieces_are_split_and_encoded_together():
+    t, enc = library(), words.ByteWords(open(VOCAB, encoding="utf-8").read())
+    texts = [" ".join(f"{a}{b}{c}{d}," for a in "abcdefgh" for b in "aeiou" for c in "klmnrst" for d in "éàno")] * 2
+    calls = {"split": 0, "plain": 0}
+
+    def counted(name, call):
+        def run(*args, **options):
+            calls[name] += 1
+            return call(*args, **options)
+
+        return run
+
+    enc.split, enc.plain = counted("split", enc.split), counted("plain", enc.plain)
+    assert per_text(enc, texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert enc.joins and calls["split"] < 5 and 1 <= calls["plain"] < 5
+
+
+def test_words_are_not_joined_where_a_token_goes_over_them():
+    letters = words.byte_letters()
+    for more, options in ((["aĠ", "aĠb"], {}), (["ba", "Ġb", "Ġba"], {"ignore_merges": True}), (["ba", "Ġb"], {})):
+        vocab = {c: i for i, c in enumerate([*letters, *more])}
+        merges = {"aĠ": ("a", "Ġ"), "aĠb": ("aĠ", "b"), "ba": ("b", "a"), "Ġb": ("Ġ", "b")}
+        t = Tokenizer(models.BPE(vocab, [merges[m] for m in more if m in merges], **options))
+        t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+        enc = words.ByteWords(t.to_str())
+        assert enc.by_words and enc.joins == (more == ["ba", "Ġb"])
+        texts = ["a a ba bab b", " ba ba aa b", "b"]
+        assert per_text(enc, texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_texts_that_begin_and_end_with_white_space():
+    t, enc = library(), words.ByteWords(open(VOCAB, encoding="utf-8").read())
+    texts = ["a b\n", "\tx y", "", " z", "c\u00a0", "\u3000d e\u2003", "f ", "g \u2028h", "x b\n c", "\n", "\x1c \x1c", "i \x85"]
+    assert per_text(enc, texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_a_round_looks_only_at_places_that_can_be_frequent(monkeypatch):
+    ids, sizes, either = np.random.default_rng(1).zipf(1.2, 60_000) % 5000, [], tokenfile._either
+    monkeypatch.setattr(tokenfile, "_either", lambda left, *a: sizes.append(len(left)) or either(left, *a))
+    tokenfile.repair(ids, 5000)
+    assert len(sizes) > 5 and sum(sizes) < 3 * len(ids)
+
+
+def test_pairs_too_wide_for_one_number_are_sorted_alike():
+    left, right = (np.array(rnd.choices(range(30), k=500)) for _ in range(2))
+    at = np.flatnonzero(np.ones(500))
+    for wide in (5, 28):
+        pairs, places = tokenfile._sorted_pairs(left, right, at, wide, 9)
+        assert [(p >> wide, p & ((1 << wide) - 1), q & 511) for p, q in zip(pairs.tolist(), places.tolist(), strict=True)] == sorted(zip(left, right, at, strict=True))
